@@ -70,3 +70,237 @@ def q_monthly_summary(spark, base):
 @register("snapshot", O.with_snapshot("SELECT * FROM snap"))
 def q_snapshot(spark, base):
     return prep.snapshot_of(_src(spark, base), P)
+
+# ------------------------------------------------------- sources and views
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from spendgrid.operators import filters as flt  # noqa: E402
+from spendgrid.operators import features as feat  # noqa: E402
+from spendgrid.operators import snapshot as snap  # noqa: E402
+from spendgrid.operators.monthly import first_month  # noqa: E402
+from spendgrid.sources import store  # noqa: E402
+from spendgrid.sources import testdata  # noqa: E402
+from spendgrid.sources.tables import read_table  # noqa: E402
+
+
+@register("scan_project", "WITH " + O.adapter_ctes() + " SELECT * FROM src_product")
+def q_scan_project(spark, base):
+    _setup(spark)
+    return testdata.product_dim(spark, base)
+
+
+_VH_COLS = ("elc_master_id", "consumer_id", "sale_dt", "txn_id",
+            "usd_net_order_total", "currency_cd", "channel_cd",
+            "loyalty_trans_flag")
+
+
+@register("valid_headers", O.with_sales("SELECT " + ", ".join(_VH_COLS) + " FROM vh"))
+def q_valid_headers(spark, base):
+    return prep.headers_of(_src(spark, base), P).select(*_VH_COLS)
+
+
+_VD_COLS = ("sale_dt", "channel_cd", "elc_master_id", "consumer_id", "brand_id",
+            "txn_id", "sale_line_num", "src_txn_cd_desc", "net_item_qty",
+            "usd_total_price", "product_sku")
+
+
+@register("valid_details", O.with_sales("SELECT " + ", ".join(_VD_COLS) + " FROM vd"))
+def q_valid_details(spark, base):
+    return prep.details_of(_src(spark, base), P).select(*_VD_COLS)
+
+
+@register("brand_lookup", O.with_sales("SELECT brand_id, brand_cd, brand_desc FROM bl"))
+def q_brand_lookup(spark, base):
+    return prep.brands_of(_src(spark, base), P).select("brand_id", "brand_cd",
+                                                      "brand_desc")
+
+
+@register("distinct_pairs", """
+SELECT DISTINCT p_name, p_type FROM part WHERE p_type IS NOT NULL""")
+def q_distinct_pairs(spark, base):
+    _setup(spark)
+    return flt.distinct_pairs(read_table(spark, base, "part"), key_cols=("p_name",),
+                              category_col="p_type", type_col=None)
+
+
+@register("unique_mapping", """
+WITH pairs AS (SELECT DISTINCT p_name, p_size, p_type FROM part WHERE p_type IS NOT NULL),
+smy AS (SELECT *, count(*) OVER (PARTITION BY p_name, p_size) AS cnt FROM pairs)
+SELECT p_name, p_size, p_type FROM smy WHERE cnt = 1""")
+def q_unique_mapping(spark, base):
+    _setup(spark)
+    return flt.single_category_mapping(read_table(spark, base, "part"),
+                                       key_cols=("p_name", "p_size"),
+                                       category_col="p_type", type_col=None)
+
+
+@register("first_month", O.with_dense("SELECT * FROM fm"))
+def q_first_month(spark, base):
+    return first_month(prep.monthly_of(_src(spark, base), P))
+
+
+@register("densify", O.with_dense("SELECT elc_master_id, consumer_id, brand_id, dt FROM grid"))
+def q_densify(spark, base):
+    return snap.month_grid(prep.monthly_of(_src(spark, base), P),
+                           calendar_start=P.calendar_start,
+                           calendar_end=P.calendar_end)
+
+
+@register("densify_facts", O.with_dense("SELECT * FROM dense"))
+def q_densify_facts(spark, base):
+    return snap.densify(prep.monthly_of(_src(spark, base), P),
+                        calendar_start=P.calendar_start,
+                        calendar_end=P.calendar_end)
+
+
+def _snapshot_subset(name: str, cols: list[str]):
+    sel = ", ".join(["snapshot_dt", O.KEYS] + cols)
+
+    @register(name, O.with_snapshot(f"SELECT {sel} FROM snap"))
+    def q(spark, base):
+        return prep.snapshot_of(_src(spark, base), P).select(
+            "snapshot_dt", "elc_master_id", "consumer_id", "brand_id", *cols)
+    return q
+
+
+_CATS3 = ("makeup", "skincare", "fragrance")
+_snapshot_subset("targets", [f"target_{c}" for c in _CATS3 + ("haircare",)])
+_snapshot_subset("global_stats", ["first_purchase_dt", "last_purchase_dt",
+                                  "sales_tot", "txn_cnt_tot",
+                                  "sales_mnt_cnt_12m", "avg_item_cnt"])
+_snapshot_subset("trailing_counts", [f"{c}_cnt_{n}m" for c in _CATS3
+                                     for n in (3, 6, 12, 24)])
+_snapshot_subset("trailing_avg", [f"{c}_avg_12m" for c in _CATS3])
+_snapshot_subset("category_global", [f"{c}_{s}" for c in _CATS3
+                                     for s in ("amt_tot", "cnt_tot", "min",
+                                               "max", "avg")])
+
+# --------------------------------------------------------- feature refresh
+
+TARGETS_MONTHS, FEATURES_MONTHS = 3, 12
+
+
+@register("timeline", f"""
+WITH t AS (SELECT max(o_orderdate) AS latest_txn_ts FROM orders)
+SELECT latest_txn_ts,
+       latest_txn_ts - INTERVAL {TARGETS_MONTHS} MONTH AS training_end_ts,
+       (latest_txn_ts - INTERVAL {TARGETS_MONTHS} MONTH) - INTERVAL {FEATURES_MONTHS} MONTH
+         AS training_start_ts
+FROM t""")
+def q_timeline(spark, base):
+    _setup(spark)
+    return feat.timeline_frame(read_table(spark, base, "orders"), "o_orderdate",
+                               TARGETS_MONTHS, FEATURES_MONTHS)
+
+
+@register("eval_period", f"""
+WITH t AS (SELECT max(o_orderdate) - INTERVAL {TARGETS_MONTHS} MONTH AS e FROM orders)
+SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders, t
+WHERE o_orderdate > e - INTERVAL {FEATURES_MONTHS} MONTH AND o_orderdate <= e""")
+def q_eval_period(spark, base):
+    """Training-dataset refresh: the feature period ends at the training
+    end of the orders timeline."""
+    _setup(spark)
+    orders = read_table(spark, base, "orders")
+    tl = feat.Timeline.from_frame(orders, "o_orderdate", TARGETS_MONTHS,
+                                  FEATURES_MONTHS)
+    cond = feat.UpdateConditions(training_dataset=True, table_exists=False,
+                                 run_as_notebook=False)
+    start, end = feat.eval_period(cond, tl, FEATURES_MONTHS)
+    view = feat.register_period_view(orders, "orders_eval_period", "o_orderdate",
+                                     start, end)
+    return view.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+
+
+@register("latest_earliest",
+          "SELECT max(ts) AS latest, min(ts) AS earliest FROM events")
+def q_latest_earliest(spark, base):
+    _setup(spark)
+    return feat.latest_earliest(read_table(spark, base, "events"), "ts")
+
+
+@register("duplicate_ratio", """
+SELECT count(*) AS total_rows, count(DISTINCT user_id) AS unique_ids,
+       sum(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) AS null_ids,
+       coalesce(1.0 - CAST(count(DISTINCT user_id) AS DOUBLE)
+                / NULLIF(CAST(count(*) AS DOUBLE), 0), 0.0) AS duplicate_ratio
+FROM events""")
+def q_duplicate_ratio(spark, base):
+    _setup(spark)
+    return feat.duplicate_profile(read_table(spark, base, "events"), "user_id")
+
+
+@register("dedupe", """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1""")
+def q_dedupe(spark, base):
+    """Latest event per user (duplicates allowed: threshold 1)."""
+    _setup(spark)
+    ev = read_table(spark, base, "events")
+    return feat.DuplicatesHandler("user_id", threshold=1.0,
+                                  order_cols=("ts", "event_id")).apply(ev)
+
+
+def _daily_features(spark, base):
+    """The test's feature query: per user and day, events and value; the
+    row becomes valid at the end of the day (``feature_ts``)."""
+    from spendgrid.functions.money import from_cents, to_cents
+    ev = read_table(spark, base, "events")
+    day = F.date_trunc("day", F.col("ts"))
+    return (ev.groupBy("user_id", (day + F.expr("interval 1 day")).alias("feature_ts"))
+            .agg(F.count(F.lit(1)).alias("n_events"),
+                 F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0))
+                 .alias("n_purchases"),
+                 from_cents(F.sum(to_cents(F.col("value")))).alias("value_sum")))
+
+
+_DAILY_SQL = f"""
+daily AS (
+  SELECT user_id, date_trunc('day', ts) + INTERVAL 1 DAY AS feature_ts,
+         count(*) AS n_events,
+         sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS n_purchases,
+         {O.from_cents('sum(' + O.cents('value') + ')')} AS value_sum
+  FROM events GROUP BY ALL)"""
+
+
+@register("feature_table_roundtrip", f"WITH {_DAILY_SQL} SELECT * FROM daily")
+def q_feature_table_roundtrip(spark, base):
+    _setup(spark)
+    return store.write_feature_table(
+        _daily_features(spark, base), "user_daily_features",
+        primary_keys=["user_id"], timestamp_keys=["feature_ts"],
+        description="events and value per user and day",
+        path=store.run_scratch(spark, "user_daily_features"))
+
+
+@register("cold_start", f"""WITH {_DAILY_SQL}
+SELECT min(feature_ts) AS earliest_update,
+       (min(feature_ts) IS NULL OR min(feature_ts) > TIMESTAMP '2024-01-15 00:00:00') AS cold_start
+FROM daily""")
+def q_cold_start(spark, base):
+    _setup(spark)
+    return feat.cold_start_frame(_daily_features(spark, base), "feature_ts",
+                                 "2024-01-15 00:00:00")
+
+
+@register("inference_input", f"""WITH {_DAILY_SQL}
+SELECT user_id, feature_ts FROM daily WHERE feature_ts = (SELECT max(feature_ts) FROM daily)""")
+def q_inference_input(spark, base):
+    _setup(spark)
+    return feat.inference_input(_daily_features(spark, base), "user_id", "feature_ts")
+
+
+@register("point_in_time", f"""WITH {_DAILY_SQL}
+SELECT e.event_id, e.user_id, e.ts, d.feature_ts, d.n_events, d.n_purchases, d.value_sum
+FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase') e
+ASOF LEFT JOIN daily d ON e.user_id = d.user_id AND e.ts >= d.feature_ts""")
+def q_point_in_time(spark, base):
+    """Each purchase event with the user's latest daily features available
+    at that moment."""
+    _setup(spark)
+    ev = read_table(spark, base, "events")
+    spine = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    return feat.as_of_join(spine, _daily_features(spark, base), keys=["user_id"],
+                           spine_ts="ts", feature_ts="feature_ts")

@@ -43,3 +43,15 @@ def to_datetime(value: _dt.date | _dt.datetime) -> _dt.datetime:
     if isinstance(value, _dt.datetime):
         return value
     return _dt.datetime.combine(value, _dt.time.min)
+
+
+def literal_of(value, dtype):
+    """A date/timestamp literal of the given Spark type, built from its ISO
+    text so the Python process time zone plays no part."""
+    if isinstance(value, _dt.datetime):
+        text = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        text = value.isoformat()
+    else:
+        text = str(value)
+    return F.lit(text).cast(dtype)

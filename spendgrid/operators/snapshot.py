@@ -4,11 +4,10 @@ The snapshot has one row per entity key and month, from the key's first
 purchase month to the calendar end. Months without a purchase carry null
 facts, so every ROWS frame below counts months.
 
-Plan shape: the monthly facts are hash-partitioned once by the entity keys.
-The first-month aggregate, the per-key ``explode(sequence(...))`` that builds
-the grid, the left join of grid and facts on (keys, month), and the window
-all reuse that partitioning, so the whole snapshot costs one exchange of the
-(already aggregated) monthly rows. A key's partition holds at most one row
+Plan shape: the monthly facts are hash-partitioned once by the entity keys;
+the gap-filling window, the ``explode`` that builds the grid and the
+feature window all reuse that partitioning, so the whole snapshot costs one
+exchange of the (already aggregated) monthly rows. A key's partition holds at most one row
 per calendar month, so even a key with a third of all transactions gives a
 window partition of a few hundred rows.
 """
@@ -24,55 +23,64 @@ from spendgrid.functions.dates import first_of_month
 from spendgrid.functions.money import from_cents, mean_from_cents, to_cents
 from spendgrid.operators import (CATEGORIES, ENTITY_KEYS, FEATURE_CATEGORIES,
                                  TARGET_CATEGORIES, category_prefix)
-from spendgrid.operators.monthly import MONTH, first_month
+from spendgrid.operators.monthly import MONTH
 
 SNAPSHOT = "snapshot_dt"
 FACT_COLUMNS = ("sales_amount", "txn_cnt", "item_cnt")
 TRAILING_MONTHS = (3, 6, 12, 24)
 
 
-def month_grid(monthly: DataFrame, *, calendar_start, calendar_end,
-               keys: Sequence[str] = ENTITY_KEYS,
-               month_col: str = MONTH) -> DataFrame:
-    """(keys, dt): every calendar month from the key's first month on.
-
-    Calendar months run from ``calendar_start`` to ``calendar_end`` (both
-    truncated to the month, inclusive). Written as a per-key
-    ``explode(sequence(...))``: the reference's cross join of keys with the
-    calendar plus ``dt >= first month`` gives the same rows, but plans as a
-    nested-loop join.
-    """
-    start = first_of_month(calendar_start)
-    end = first_of_month(calendar_end)
-    firsts = first_month(monthly, keys=keys, month_col=month_col)
-    lo = F.greatest(F.col("min_sale_month"), F.lit(start))
-    return (firsts.where(lo <= F.lit(end))
-            .select(*keys, F.explode(F.sequence(
-                lo, F.lit(end), F.expr("interval 1 month"))).alias("dt")))
-
-
 def densify(monthly: DataFrame, *, calendar_start, calendar_end,
             keys: Sequence[str] = ENTITY_KEYS, month_col: str = MONTH,
-            columns: Sequence[str] | None = None,
-            copartition: bool = True) -> DataFrame:
-    """Grid left-joined with the monthly facts on (keys, month).
-
-    ``copartition`` hash-partitions the facts by ``keys`` first, so the grid
-    (derived from them), the join and a later window over ``keys`` need no
-    further exchange.
+            columns: Sequence[str] | None = None) -> DataFrame:
+    """Dense (keys, month) grid with the monthly facts; null facts in months
+    without a purchase.
+
+    Rows: every calendar month (``calendar_start`` .. ``calendar_end``, both
+    truncated to the month) from the key's first purchase month on -- the
+    reference's cross join of keys with the calendar, filtered by
+    ``dt >= first month`` and left-joined with the facts on (keys, month).
+
+    Written as one pass instead of a join: within a key (one hash exchange on
+    the keys), each purchase month spans the months up to the next purchase
+    (``lead``), and ``explode(sequence(...))`` emits them; the purchase's facts
+    go on the first month only. The last purchase before the calendar opens
+    spans from the calendar start, so keys that began earlier still start
+    there. No second read of the facts, no join exchange, and the snapshot
+    window that follows partitions on the same keys, so it needs no exchange
+    either. Each key yields at most one row per calendar month.
     """
-    facts = monthly
-    if copartition:
-        facts = facts.repartition(*keys)
-    grid = month_grid(facts, calendar_start=calendar_start,
-                      calendar_end=calendar_end, keys=keys, month_col=month_col)
+    start = first_of_month(calendar_start)
+    end = first_of_month(calendar_end)
     if columns is None:
         columns = [c for c in monthly.columns
                    if c not in set(keys) | {month_col, "etl_date"}]
-    right = facts.select(*keys, F.col(month_col).alias("_m"), month_col, *columns)
-    cond = [grid[k] == right[k] for k in keys] + [grid["dt"] == right["_m"]]
-    joined = grid.join(right, cond, "left")
-    return joined.select("dt", *[grid[k] for k in keys], month_col, *columns)
+    m = F.col(month_col)
+    facts = monthly.where(m <= F.lit(end))
+    nxt = F.lead(m).over(Window.partitionBy(*keys).orderBy(month_col))
+    span_start = (F.when(m >= F.lit(start), m)
+                  .when(nxt.isNull() | (nxt > F.lit(start)), F.lit(start)))
+    span_end = F.coalesce(F.add_months(nxt, -1), F.lit(end))
+    spans = (facts.select(*keys, month_col, *columns,
+                          span_start.alias("_s"), span_end.alias("_e"))
+             .where(F.col("_s").isNotNull() & (F.col("_s") <= F.col("_e"))))
+    grid = spans.select(
+        *keys, month_col, *columns,
+        F.explode(F.sequence("_s", "_e", F.expr("interval 1 month"))).alias("dt"))
+    hit = F.col("dt") == m
+    return grid.select(
+        "dt", *keys, F.when(hit, m).alias(month_col),
+        *[F.when(hit, F.col(c)).alias(c) for c in columns])
+
+
+def month_grid(monthly: DataFrame, *, calendar_start, calendar_end,
+               keys: Sequence[str] = ENTITY_KEYS,
+               month_col: str = MONTH) -> DataFrame:
+    """(keys, dt): every calendar month from the key's first purchase month
+    on (the grid of :func:`densify` without the facts)."""
+    return densify(monthly, calendar_start=calendar_start,
+                   calendar_end=calendar_end, keys=keys, month_col=month_col,
+                   columns=[]).select(*keys, "dt")
 
 
 def _w(keys: Sequence[str], lo, hi):

@@ -39,6 +39,7 @@ def build_session(
     conf = dict(RECOMMENDED_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.ui.enabled", "false")
+    conf.setdefault("spark.ui.showConsoleProgress", "false")
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.host", "127.0.0.1")
         conf.setdefault("spark.driver.bindAddress", "127.0.0.1")
