@@ -304,3 +304,117 @@ def q_point_in_time(spark, base):
     spine = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     return feat.as_of_join(spine, _daily_features(spark, base), keys=["user_id"],
                            spine_ts="ts", feature_ts="feature_ts")
+
+# ------------------------------------------------------ tokens and baskets
+
+from spendgrid.operators import attributes as attr  # noqa: E402
+from spendgrid.operators import tokens as tok  # noqa: E402
+from spendgrid.operators.joins import token_details  # noqa: E402
+
+
+def _tokens(src):
+    return tok.product_tokens(src.products)
+
+
+def _emb(src):
+    return token_details(prep.details_of(src, P), prep.headers_of(src, P),
+                         _tokens(src), prep.brands_of(src, P))
+
+
+@register("product_token", O.with_tokens("SELECT * FROM tok"))
+def q_product_token(spark, base):
+    return _tokens(_src(spark, base)).select("sku_six_digit_identifier", "pdt_clean")
+
+
+@register("token_details", O.with_tokens(
+    "SELECT sale_dt, txn_id, elc_master_id, consumer_id, pdt_clean, sale_line_num, "
+    "net_item_qty, sales_amount, product_sku FROM emb"))
+def q_token_details(spark, base):
+    return _emb(_src(spark, base)).select(
+        "sale_dt", "txn_id", "elc_master_id", "consumer_id", "pdt_clean",
+        "sale_line_num", "net_item_qty", "sales_amount", "product_sku")
+
+
+@register("basket", O.with_tokens(f"""
+SELECT consumer_id, array_to_string(list_sort(list(pdt_clean)), ' ') AS basket
+FROM emb WHERE sale_dt < DATE '{P.basket_before}' GROUP BY consumer_id"""))
+def q_basket(spark, base):
+    """Token basket per consumer (tokens as text so the oracle can check it;
+    ``basket_hash`` is the reference's hashed form)."""
+    b = tok.baskets(_emb(_src(spark, base)), item_col="pdt_clean",
+                    before=P.basket_before)
+    return b.select("consumer_id", F.array_join("basket", " ").alias("basket"))
+
+
+@register("basket_hash")
+def q_basket_hash(spark, base):
+    """The reference's basket: 32-bit token hashes as text, per consumer."""
+    return tok.baskets(_emb(_src(spark, base)), item_col="pdt_hash",
+                       before=P.basket_before)
+
+
+# ------------------------------------------------------ attribute tables
+
+
+def _attr_sales(src):
+    return prep.sales_of(src, P, header_columns=("loyalty_trans_flag",))
+
+
+def _ratios(src):
+    return attr.ratio_attributes(_attr_sales(src), calendar_start=P.calendar_start,
+                                 calendar_end=P.calendar_end,
+                                 sales_before=P.sales_before)
+
+
+def _stores(src):
+    return attr.store_attributes(_attr_sales(src), src.stores,
+                                 calendar_start=P.calendar_start,
+                                 calendar_end=P.calendar_end,
+                                 sales_before=P.sales_before)
+
+
+@register("ratio_attributes", O.with_everything("SELECT * FROM ratios"))
+def q_ratio_attributes(spark, base):
+    return _ratios(_src(spark, base))
+
+
+@register("store_attributes", O.with_everything("SELECT * FROM stores"))
+def q_store_attributes(spark, base):
+    return _stores(_src(spark, base))
+
+
+@register("left_on_filter", O.with_everything("""
+SELECT f.elc_master_id, f.consumer_id, f.brand_id, f.min_sale_month,
+       cv.mosaic_segment, cv.income, cv.birth_year
+FROM fm f LEFT JOIN src_cv cv ON f.elc_master_id = cv.elc_master_id
+     AND cv.cdp_region = 'noam' AND cv.CDC_CODE <> 'D'"""))
+def q_left_on_filter(spark, base):
+    src = _src(spark, base)
+    df = attr.with_consumer_variables(first_month(prep.monthly_of(src, P)),
+                                      src.consumer_variables)
+    return df.select("elc_master_id", "consumer_id", "brand_id", "min_sale_month",
+                     "mosaic_segment", "income", "birth_year")
+
+
+@register("exists_flag", O.with_everything("""
+SELECT f.elc_master_id, f.consumer_id, f.brand_id,
+       CASE WHEN ca.consumer_id IS NOT NULL THEN 'Y' ELSE 'N' END AS exists_in_cdp,
+       ca.country_cd
+FROM fm f LEFT JOIN src_ca ca ON f.elc_master_id = ca.elc_master_id
+     AND f.consumer_id = ca.consumer_id AND ca.cdp_region = 'noam'"""))
+def q_exists_flag(spark, base):
+    src = _src(spark, base)
+    df = attr.with_exists_flag(first_month(prep.monthly_of(src, P)),
+                               src.consumer_attributes, columns=("country_cd",))
+    return df.select("elc_master_id", "consumer_id", "brand_id", "exists_in_cdp",
+                     "country_cd")
+
+
+def _master(src):
+    return attr.master_table(prep.snapshot_of(src, P), src.consumer_variables,
+                             src.consumer_attributes, _ratios(src), _stores(src))
+
+
+@register("master_table", O.with_everything(O.master_select()))
+def q_master_table(spark, base):
+    return _master(_src(spark, base))

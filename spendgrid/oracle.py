@@ -226,3 +226,174 @@ def with_dense(select: str) -> str:
 
 def with_sales(select: str) -> str:
     return "WITH " + sales_ctes() + "\n" + select
+
+
+def people_ctes() -> str:
+    """Consumer variables, consumer attributes and store dimension (mirror of
+    spendgrid.sources.testdata)."""
+    n = "CAST(NULL AS VARCHAR)"
+    flag = lambda cond: f"CASE WHEN {cond} THEN '1' ELSE '0' END"
+    return f""",
+src_cv AS (
+  SELECT c_name AS elc_master_id, {n} AS ethnic_group, {n} AS gender, {n} AS language,
+         {n} AS marital_status, {n} AS occupation_group, c_mktsegment AS mosaic_segment,
+         {n} AS mosaic_group, {n} AS age_range, {n} AS ethnicity_detail,
+         c_mktsegment AS income, 1950 + c_nationkey AS birth_year, 'noam' AS cdp_region,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN 'D' ELSE 'U' END AS CDC_CODE
+  FROM customer),
+src_ca AS (
+  SELECT c_name AS elc_master_id, c_custkey AS consumer_id, 'US' AS country_cd,
+         'S' || CAST(c_nationkey AS VARCHAR) AS state_cd, 'en' AS lang_cd,
+         {flag('c_acctbal > 0')} AS email_opt_in_ind,
+         {flag('c_acctbal > 5000')} AS phone_opt_in_ind,
+         {n} AS city, {n} AS zip_code,
+         {flag("c_mktsegment = 'AUTOMOBILE'")} AS dm_opt_in_ind,
+         {flag('c_acctbal > 2500')} AS mobile_contactable_ind,
+         CAST(c_nationkey AS VARCHAR) AS first_store_id,
+         CAST(c_nationkey AS VARCHAR) AS last_store_id,
+         CAST(c_nationkey AS VARCHAR) AS closest_store,
+         CAST(c_nationkey AS VARCHAR) AS most_frequent_store,
+         c_mktsegment AS first_channel, 'N' AS deceased_flag, 'N' AS prison_flag,
+         {flag('c_acctbal > 7500')} AS mobile_opt_in_ind,
+         {n} AS dm_state, {n} AS dm_country,
+         CASE WHEN c_nationkey >= 20 THEN 'emea' ELSE 'noam' END AS cdp_region
+  FROM customer),
+src_store AS (
+  SELECT s.s_suppkey AS store_id, 'RETAIL' AS store_channel,
+         CAST(s.s_nationkey AS VARCHAR) AS store_market_cd, s.s_name AS store_name,
+         upper(substr(r.r_name, 1, 2)) AS store_brand_cd, r.r_name AS store_region,
+         n.n_name AS store_sub_region, {n} AS store_state_prov_cd, {n} AS store_city,
+         {n} AS store_postal_cd, CAST(NULL AS DOUBLE) AS store_latitude,
+         CAST(NULL AS DOUBLE) AS store_longitude, 'A' AS store_status_cd
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def ratio_cte() -> str:
+    """Behaviour ratios over the snapshot grid (needs dense_cte's grid)."""
+    chans = {"fss": "FSS", "mobile": "MOBILE", "web": "WEB", "tablet": "TABLET"}
+    flags = ",\n         ".join(
+        f"max(CASE WHEN channel_cd = '{v}' THEN 1 ELSE 0 END) AS f_{k}" for k, v in chans.items())
+    sums = ", ".join(f"sum(f_{k}) AS f_{k}" for k in chans)
+    ratios = ",\n         ".join(
+        f"{_ratio('sum(r.f_' + k + ') ' + _RUNR, 'sum(r.n_txn) ' + _RUNR)} AS {k}_txn_ratio"
+        for k in chans)
+    return f""",
+txn_flags AS (
+  SELECT {KEYS}, CAST(date_trunc('month', sale_dt) AS DATE) AS sale_month, txn_id,
+         {flags},
+         max(CASE WHEN loyalty_trans_flag = 'Y' THEN 1 ELSE 0 END) AS f_loyal,
+         max(CASE WHEN src_txn_cd_desc = 'RETURN' THEN 1 ELSE 0 END) AS f_ret,
+         sum({cents('sales_amount')}) AS c_sales,
+         sum({cents('usd_discount_amount')}) AS c_disc,
+         sum(CASE WHEN quarter(sale_dt) = 4 THEN {cents('sales_amount')} ELSE 0 END) AS c_q4
+  FROM sd WHERE sale_dt < DATE '{P.sales_before}' GROUP BY ALL),
+ratio_month AS (
+  SELECT {KEYS}, sale_month, count(*) AS n_txn, {sums}, sum(f_loyal) AS f_loyal,
+         sum(f_ret) AS f_ret, sum(c_sales) AS c_sales, sum(c_disc) AS c_disc, sum(c_q4) AS c_q4
+  FROM txn_flags GROUP BY ALL),
+ratios AS (
+  SELECT g.dt AS snapshot_dt, g.elc_master_id, g.consumer_id, g.brand_id,
+         {ratios},
+         {_ratio('sum(r.c_disc) ' + _RUNR, 'sum(r.c_sales) ' + _RUNR)} AS discount_ratio,
+         {_ratio('sum(r.c_q4) ' + _RUNR, 'sum(r.c_sales) ' + _RUNR)} AS sales_q4_ratio,
+         {_ratio('sum(r.f_loyal) ' + _RUNR, 'sum(r.n_txn) ' + _RUNR)} AS loyalty_txn_ratio,
+         {_ratio('sum(r.f_ret) ' + _RUNR, 'sum(r.n_txn) ' + _RUNR)} AS return_txn_ratio
+  FROM grid g LEFT JOIN ratio_month r
+    ON g.elc_master_id = r.elc_master_id AND g.consumer_id = r.consumer_id
+   AND g.brand_id = r.brand_id AND g.dt = r.sale_month)"""
+
+
+_RUNR = ("OVER (PARTITION BY g.elc_master_id, g.consumer_id, g.brand_id ORDER BY g.dt "
+         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+
+STORE_COLS = ("store_channel, store_market_cd, store_name, store_brand_cd, store_region, "
+              "store_sub_region, store_state_prov_cd, store_city, store_postal_cd, "
+              "store_latitude, store_longitude, store_status_cd")
+
+
+def store_cte() -> str:
+    """Most frequent store by brute force: every grid month against every
+    earlier visit of the key (fine at test scale)."""
+    return f""",
+visits AS (
+  SELECT {KEYS}, store_id, CAST(date_trunc('month', sale_dt) AS DATE) AS sale_month,
+         count(DISTINCT txn_id) AS n
+  FROM sd WHERE sale_dt < DATE '{P.sales_before}' AND store_id IS NOT NULL GROUP BY ALL),
+upto AS (
+  SELECT g.dt, g.elc_master_id, g.consumer_id, g.brand_id, v.store_id, sum(v.n) AS n
+  FROM grid g JOIN visits v
+    ON g.elc_master_id = v.elc_master_id AND g.consumer_id = v.consumer_id
+   AND g.brand_id = v.brand_id AND v.sale_month <= g.dt
+  GROUP BY ALL),
+leader AS (
+  SELECT dt, {KEYS}, arg_max(store_id, n * 1000000000 - store_id) AS most_freq_store_id
+  FROM upto GROUP BY ALL),
+stores AS (
+  SELECT g.dt AS snapshot_dt, g.elc_master_id, g.consumer_id, g.brand_id,
+         l.most_freq_store_id, {STORE_COLS}
+  FROM grid g
+  LEFT JOIN leader l ON g.elc_master_id = l.elc_master_id AND g.consumer_id = l.consumer_id
+   AND g.brand_id = l.brand_id AND g.dt = l.dt
+  LEFT JOIN src_store s ON l.most_freq_store_id = s.store_id)"""
+
+
+def master_select() -> str:
+    cv = ("ethnic_group, gender, language, marital_status, occupation_group, "
+          "mosaic_segment, mosaic_group, age_range, ethnicity_detail, income")
+    ints = ("email_opt_in_ind", "phone_opt_in_ind", "dm_opt_in_ind",
+            "mobile_contactable_ind", "first_store_id", "last_store_id",
+            "closest_store", "most_frequent_store", "mobile_opt_in_ind")
+    ca_order = ("country_cd", "state_cd", "lang_cd", "email_opt_in_ind",
+                "phone_opt_in_ind", "city", "zip_code", "dm_opt_in_ind",
+                "mobile_contactable_ind", "first_store_id", "last_store_id",
+                "closest_store", "most_frequent_store", "first_channel",
+                "deceased_flag", "prison_flag", "mobile_opt_in_ind", "dm_state",
+                "dm_country")
+    ca = ", ".join(f"TRY_CAST(ca.{c} AS INTEGER) AS {c}" if c in ints else f"ca.{c}"
+                   for c in ca_order)
+    ratios = ", ".join(f"cac.{c}" for c in (
+        "fss_txn_ratio", "mobile_txn_ratio", "web_txn_ratio", "tablet_txn_ratio",
+        "discount_ratio", "sales_q4_ratio", "loyalty_txn_ratio", "return_txn_ratio"))
+    store = ", ".join(f"cas.{c.strip()}" for c in ("most_freq_store_id, " + STORE_COLS).split(","))
+    return f"""
+SELECT d.*, {', '.join('cv.' + c.strip() for c in cv.split(','))},
+       CAST(year(d.snapshot_dt) - cv.birth_year AS INTEGER) AS age,
+       CASE WHEN ca.consumer_id IS NOT NULL THEN 'Y' ELSE 'N' END AS exists_in_cdp,
+       {ca}, {ratios}, {store}
+FROM snap d
+LEFT JOIN src_cv cv ON d.elc_master_id = cv.elc_master_id AND cv.cdp_region = 'noam'
+      AND cv.CDC_CODE <> 'D'
+LEFT JOIN src_ca ca ON d.elc_master_id = ca.elc_master_id AND d.consumer_id = ca.consumer_id
+      AND ca.cdp_region = 'noam'
+LEFT JOIN ratios cac ON d.consumer_id = cac.consumer_id AND d.elc_master_id = cac.elc_master_id
+      AND d.brand_id = cac.brand_id AND d.snapshot_dt = cac.snapshot_dt
+LEFT JOIN stores cas ON d.consumer_id = cas.consumer_id AND d.elc_master_id = cas.elc_master_id
+      AND d.brand_id = cas.brand_id AND d.snapshot_dt = cas.snapshot_dt"""
+
+
+def with_everything(select: str) -> str:
+    return ("WITH " + sales_ctes() + people_ctes() + monthly_cte() + dense_cte()
+            + snapshot_cte() + ratio_cte() + store_cte() + "\n" + select)
+
+
+def token_ctes() -> str:
+    return f""",
+tok AS (
+  SELECT DISTINCT sku_six_digit_identifier,
+         lower(regexp_replace(regexp_replace(
+             major_category_name || '_' || category_name || '_' || sub_category_name,
+             '[&,/ ()-]', '_', 'g'), '_+', '_', 'g')) AS pdt_clean
+  FROM src_product
+  WHERE major_category_name IS NOT NULL AND product_type_code = 'FERT'),
+emb AS (
+  SELECT d.sale_dt, d.txn_id, d.elc_master_id, d.consumer_id, c.pdt_clean,
+         d.sale_line_num, d.net_item_qty, d.usd_total_price AS sales_amount, d.product_sku
+  FROM vd d
+  JOIN vh h ON d.txn_id = h.txn_id
+  JOIN tok c ON substr(d.product_sku, 1, 6) = c.sku_six_digit_identifier
+  JOIN bl b ON d.brand_id = b.brand_id)"""
+
+
+def with_tokens(select: str) -> str:
+    return "WITH " + sales_ctes() + token_ctes() + "\n" + select

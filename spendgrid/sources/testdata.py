@@ -135,10 +135,8 @@ def detail_source(spark: SparkSession, base: str) -> DataFrame:
         .alias("src_txn_cd_desc"),
         F.col("l_quantity").cast("int").alias("net_item_qty"),
         F.col("l_extendedprice").alias("usd_total_price"),
-        F.round(F.try_divide("l_extendedprice", "l_quantity"), 2)
-        .alias("usd_unit_price"),
-        F.round(F.col("l_extendedprice") * F.col("l_discount"), 2)
-        .alias("usd_discount_amount"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("usd_unit_price"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("usd_discount_amount"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.concat(_sku(F.col("l_partkey")), F.lit("-"),
                  F.col("l_suppkey").cast("string")).alias("product_sku"),
