@@ -418,3 +418,182 @@ def _master(src):
 @register("master_table", O.with_everything(O.master_select()))
 def q_master_table(spark, base):
     return _master(_src(spark, base))
+
+# ------------------------------------------- sampling, model data, metrics
+
+from spendgrid.operators import matrix as mx  # noqa: E402
+from spendgrid.operators import metrics as met  # noqa: E402
+from spendgrid.operators import sampling as smp  # noqa: E402
+
+SLICE_DT = "2000-06-01"
+TARGET = "skincare"
+_IDS = ["elc_master_id", "consumer_id", "brand_id"]
+
+
+def _snap_slice(src):
+    return prep.snapshot_of(src, P).where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
+
+
+def _training_slice(src):
+    """The training query: snapshot month, ids ending in 1, known to CDP."""
+    m = _master(src).where((F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
+                           & (F.col("exists_in_cdp") == "Y"))
+    return smp.last_digit_sample(m, "consumer_id", ("1",))
+
+
+_SLICE_SQL = f"SELECT * FROM snap WHERE snapshot_dt = DATE '{SLICE_DT}'"
+_TRAIN_SQL = (f"SELECT * FROM master WHERE snapshot_dt = DATE '{SLICE_DT}' "
+              "AND exists_in_cdp = 'Y' AND right(CAST(consumer_id AS VARCHAR), 1) IN ('1')")
+_ROWID = "concat_ws('|', elc_master_id, CAST(consumer_id AS VARCHAR), CAST(brand_id AS VARCHAR))"
+_HASH = f"CAST(('0x' || substr(md5({_ROWID}), 1, 8)) AS BIGINT)"
+
+
+
+def _with_master_fixed(select: str) -> str:
+    base = O.with_everything("")
+    return base + f",\nmaster AS ({O.master_select()})\n" + select
+
+
+@register("snapshot_slice", O.with_snapshot(_SLICE_SQL))
+def q_snapshot_slice(spark, base):
+    """Snapshot rows of one month, read back from the stored partitioned
+    snapshot table (the equality filter prunes to one partition)."""
+    src = _src(spark, base)
+    path = store.run_scratch(spark, "sales_snapshot")
+    store.overwrite_partitions(prep.snapshot_of(src, P), path, ["snapshot_dt"])
+    t = spark.read.parquet(path)
+    return t.where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
+
+
+@register("partition_overwrite", O.with_monthly("SELECT * FROM ms"))
+def q_partition_overwrite(spark, base):
+    """Monthly summary stored by month twice (a rerun replaces the same
+    partitions instead of appending) and read back."""
+    src = _src(spark, base)
+    path = store.run_scratch(spark, "sales_monthly_summary")
+    monthly = prep.monthly_of(src, P)
+    store.overwrite_partitions(monthly, path, ["sale_month"])
+    store.overwrite_partitions(monthly, path, ["sale_month"])
+    t = spark.read.parquet(path)
+    return t.select(*monthly.columns)
+
+
+@register("id_digit_sample", _with_master_fixed(
+    "SELECT snapshot_dt, elc_master_id, consumer_id, brand_id, target_skincare FROM ("
+    + _TRAIN_SQL + ")"))
+def q_id_digit_sample(spark, base):
+    return _training_slice(_src(spark, base)).select(
+        "snapshot_dt", "elc_master_id", "consumer_id", "brand_id", "target_skincare")
+
+
+@register("hash_sample", O.with_snapshot(
+    f"SELECT snapshot_dt, {O.KEYS}, target_skincare FROM snap WHERE snapshot_dt = DATE '{SLICE_DT}' "
+    f"AND {_HASH} < {int(0.3 * 2 ** 32)}"))
+def q_hash_sample(spark, base):
+    s = smp.hash_sample(_snap_slice(_src(spark, base)), _IDS, 0.3)
+    return s.select("snapshot_dt", *_IDS, "target_skincare")
+
+
+@register("hash_limit", O.with_snapshot(
+    f"SELECT snapshot_dt, {O.KEYS}, sales_tot FROM snap WHERE snapshot_dt = DATE '{SLICE_DT}' "
+    f"ORDER BY {_HASH}, elc_master_id, consumer_id, brand_id LIMIT 500"))
+def q_hash_limit(spark, base):
+    s = smp.hash_limit(_snap_slice(_src(spark, base)), _IDS, 500)
+    return s.select("snapshot_dt", *_IDS, "sales_tot")
+
+
+@register("stratified_split", O.with_snapshot(f"""
+, sl AS ({_SLICE_SQL}),
+rk AS (SELECT *, row_number() OVER (PARTITION BY target_skincare
+                                    ORDER BY {_HASH}, elc_master_id, consumer_id, brand_id) AS r,
+              count(*) OVER (PARTITION BY target_skincare) AS n FROM sl)
+SELECT snapshot_dt, {O.KEYS}, target_skincare,
+       CASE WHEN r <= ceil(n * 0.3) THEN 'test' ELSE 'train' END AS split FROM rk""".replace(
+    "\n, sl AS", "\nSELECT * FROM (WITH sl AS", 1) + ")"))
+def q_stratified_split(spark, base):
+    s = _snap_slice(_src(spark, base)).select("snapshot_dt", *_IDS, "target_skincare")
+    return smp.stratified_split(s, id_cols=_IDS, label_col="target_skincare",
+                                test_size=0.3)
+
+
+@register("model_matrix", _with_master_fixed(
+    O.model_matrix_select(TARGET, "(" + _TRAIN_SQL + ")")))
+def q_model_matrix(spark, base):
+    return mx.model_matrix(_training_slice(_src(spark, base)), TARGET)
+
+
+@register("dataset_profile", _with_master_fixed(f"""
+SELECT count(*) AS row_count, {len([c for c in O.master_names() if c not in mx.DROP_COLUMNS])} AS column_count,
+       round(avg(CAST(target_{TARGET} AS DOUBLE)), 6) AS target_ratio,
+       count(*) - count(DISTINCT (elc_master_id, consumer_id, brand_id)) AS duplicate_count
+FROM ({_TRAIN_SQL})"""))
+def q_dataset_profile(spark, base):
+    return mx.dataset_profile(_training_slice(_src(spark, base)), TARGET)
+
+
+_SCORE_CAT = ["income", "first_channel", "store_region"]
+_SCORE_NUM = ["sales_tot", "makeup_cnt_12m", "age", "discount_ratio"]
+_SCORE_IND = ["email_opt_in_ind", "dm_opt_in_ind"]
+
+
+@register("score_input", _with_master_fixed(
+    "SELECT snapshot_dt, elc_master_id, consumer_id, brand_id, target_makeup, "
+    "target_skincare, target_fragrance, target_haircare, "
+    + ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in _SCORE_CAT) + ", "
+    + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}" for c in _SCORE_IND) + ", "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _SCORE_NUM)
+    + f" FROM master WHERE snapshot_dt = DATE '{SLICE_DT}'"))
+def q_score_input(spark, base):
+    return mx.score_input(_master(_src(spark, base)), categorical=_SCORE_CAT,
+                          numeric=_SCORE_NUM, indicators=_SCORE_IND,
+                          snapshot_dt=SLICE_DT)
+
+
+@register("one_hot")
+def q_one_hot(spark, base):
+    """Vocabulary fitted on the train split of the training slice, applied
+    to all of its rows (unseen values encode as all zeros)."""
+    m = mx.model_matrix(_training_slice(_src(spark, base)), TARGET, keep_ids=_IDS)
+    split = smp.stratified_split(m, id_cols=_IDS, label_col="label")
+    enc = mx.OneHot(["income", "first_channel", "store_region"]).fit(
+        split.where(F.col("split") == "train"))
+    return enc.transform(split)
+
+
+def _scored(spark, base):
+    """Test scores: label = document quality, score = n_chars/(1000+n_chars)."""
+    _setup(spark)
+    lab = read_table(spark, base, "labels")
+    doc = read_table(spark, base, "documents").select("doc_id", "n_chars")
+    n = F.col("n_chars").cast("double")
+    return lab.join(doc, "doc_id").select(
+        F.col("doc_id").alias("id"), F.col("quality").alias("label"),
+        (n / (F.lit(1000.0) + n)).alias("score"))
+
+
+_M = O.metrics_oracle()
+
+
+@register("avg_precision", _M["avg_precision"])
+def q_avg_precision(spark, base):
+    return met.average_precision(_scored(spark, base))
+
+
+@register("roc_auc", _M["roc_auc"])
+def q_roc_auc(spark, base):
+    return met.roc_auc(_scored(spark, base))
+
+
+@register("ks_score", _M["ks_score"])
+def q_ks_score(spark, base):
+    return met.ks_statistic(_scored(spark, base))
+
+
+@register("brier", _M["brier"])
+def q_brier(spark, base):
+    return met.brier_score(_scored(spark, base))
+
+
+@register("coverage_at_decile", _M["coverage_at_decile"])
+def q_coverage_at_decile(spark, base):
+    return met.coverage_at(_scored(spark, base))

@@ -397,3 +397,85 @@ emb AS (
 
 def with_tokens(select: str) -> str:
     return "WITH " + sales_ctes() + token_ctes() + "\n" + select
+
+
+def snapshot_names() -> list[str]:
+    """Output column names of the snapshot, in order."""
+    names = ["snapshot_dt", "elc_master_id", "consumer_id", "brand_id"]
+    names += [f"target_{category_prefix(c)}" for c in TARGET_CATEGORIES]
+    names += ["first_purchase_dt", "last_purchase_dt", "sales_tot", "txn_cnt_tot",
+              "sales_mnt_cnt_12m", "avg_item_cnt"]
+    names += [f"{category_prefix(c)}_amt_last" for c in CATEGORIES]
+    names += ["item_cnt_last", "txn_cnt_last", "sales_amt_last"]
+    for c in FEATURE_CATEGORIES:
+        p = category_prefix(c)
+        names += [f"{p}_cnt_{n}m" for n in TRAILING_MONTHS]
+        names += [f"{p}_avg_12m", f"{p}_amt_tot", f"{p}_cnt_tot", f"{p}_min",
+                  f"{p}_max", f"{p}_avg"]
+    return names + ["months_since_first_purchase", "months_since_last_purchase"]
+
+
+MASTER_TEXT = ("elc_master_id", "ethnic_group", "gender", "language", "marital_status",
+               "occupation_group", "mosaic_segment", "mosaic_group", "age_range",
+               "ethnicity_detail", "income", "exists_in_cdp", "country_cd", "state_cd",
+               "lang_cd", "city", "zip_code", "first_channel", "deceased_flag",
+               "prison_flag", "dm_state", "dm_country", "store_channel",
+               "store_market_cd", "store_name", "store_brand_cd", "store_region",
+               "store_sub_region", "store_state_prov_cd", "store_city",
+               "store_postal_cd", "store_status_cd")
+
+
+def master_names() -> list[str]:
+    from spendgrid.operators import attributes as A
+    ca = (A.CA_STRING_COLUMNS + A.CA_INT_COLUMNS + A.CA_MORE_STRING + A.CA_MORE_INT
+          + A.CA_TAIL_STRING + A.CA_TAIL_INT + A.CA_LAST_STRING)
+    return (snapshot_names() + list(A.CV_COLUMNS) + ["age", "exists_in_cdp"] + list(ca)
+            + list(A.RATIO_COLUMNS) + ["most_freq_store_id"] + list(A.STORE_COLUMNS))
+
+
+def model_matrix_select(target: str, source: str) -> str:
+    from spendgrid.operators.matrix import DROP_COLUMNS, INDICATOR_COLUMNS
+    cols = [c for c in master_names() if c not in DROP_COLUMNS]
+    out = []
+    for c in cols:
+        if c in INDICATOR_COLUMNS:
+            out.append(f"coalesce(CAST({c} AS VARCHAR), 'Unknown') AS {c}")
+        elif c in MASTER_TEXT:
+            out.append(f"coalesce({c}, 'Unknown') AS {c}")
+        else:
+            out.append(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}")
+    out.append(f"CAST(target_{target} AS INTEGER) AS label")
+    return f"SELECT {', '.join(out)} FROM {source}"
+
+
+SCORED = """, scored AS (
+  SELECT l.doc_id AS id, l.quality AS label,
+         CAST(d.n_chars AS DOUBLE) / (CAST(1000 AS DOUBLE) + CAST(d.n_chars AS DOUBLE)) AS score
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+by_score AS (
+  SELECT score, CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg
+  FROM scored GROUP BY score),
+cum AS (
+  SELECT *, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp
+  FROM by_score),
+tot AS (SELECT CAST(sum(label) AS DOUBLE) AS p, CAST(count(*) - sum(label) AS DOUBLE) AS n,
+               count(*) AS rows FROM scored)"""
+
+
+def metric_sql(expr: str, name: str, source: str = "cum") -> str:
+    return f"WITH _x AS (SELECT 1){SCORED}\nSELECT round({expr}, 6) AS {name} FROM {source}, tot"
+
+
+def metrics_oracle() -> dict[str, str]:
+    ap = metric_sql("sum(pos * (CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE))) / max(p)",
+                    "avg_precision")
+    auc = metric_sql("sum(pos * ((max(n) OVER () - fp) + neg / 2.0)) / max(p * n)", "roc_auc")
+    auc = metric_sql("sum(pos * ((n - fp) + neg / 2.0)) / max(p * n)", "roc_auc")
+    ks = metric_sql("max(abs((n - fp + neg) / n - (p - tp + pos) / p))", "ks_score")
+    brier = metric_sql("avg((score - label) * (score - label))", "brier_score", "scored")
+    cov = (f"WITH _x AS (SELECT 1){SCORED},\n"
+           "ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, id) AS rk FROM scored)\n"
+           "SELECT round(CAST(sum(CASE WHEN rk <= (rows // 10) * 3 THEN label ELSE 0 END) AS DOUBLE)"
+           " / max(p), 6) AS cov_at_decile_3 FROM ranked, tot")
+    return {"avg_precision": ap, "roc_auc": auc, "ks_score": ks, "brier": brier,
+            "coverage_at_decile": cov}
