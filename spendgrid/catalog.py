@@ -597,3 +597,68 @@ def q_brier(spark, base):
 @register("coverage_at_decile", _M["coverage_at_decile"])
 def q_coverage_at_decile(spark, base):
     return met.coverage_at(_scored(spark, base))
+
+# ------------------------------------------------ lifetime functions, model
+
+from spendgrid.functions import lifetime as lt  # noqa: E402
+from spendgrid.operators import model as ml  # noqa: E402
+
+_LT = lt.LifetimeParams()
+_RFM_SQL = f"""
+, pm AS (SELECT consumer_id, sale_month, sum({O.cents('sales_amount')}) AS c FROM ms GROUP BY ALL),
+g AS (SELECT consumer_id, min(sale_month) AS f, max(sale_month) AS l, count(*) AS n,
+             sum(c) AS tot, arg_min(c, sale_month) AS c0 FROM pm GROUP BY ALL),
+rfm AS (
+  SELECT consumer_id, CAST(n - 1 AS DOUBLE) AS frequency,
+         CAST(date_diff('month', f, l) AS DOUBLE) AS recency,
+         CAST(date_diff('month', f, DATE '{P.calendar_end}') AS DOUBLE) AS T,
+         coalesce({O.from_cents('tot - c0')} / NULLIF(CAST(n - 1 AS DOUBLE), 0), 0.0) AS monetary_value
+  FROM g)"""
+
+
+def _rfm(spark, base):
+    return lt.rfm_summary(prep.monthly_of(_src(spark, base), P),
+                          observation_end=P.calendar_end)
+
+
+@register("rfm_summary", O.with_monthly(_RFM_SQL.replace(", pm AS", "SELECT * FROM (WITH pm AS", 1)
+                                       + "\nSELECT * FROM rfm)"))
+def q_rfm_summary(spark, base):
+    return _rfm(spark, base)
+
+
+@register("probability_alive", O.with_monthly(
+    _RFM_SQL.replace(", pm AS", "SELECT * FROM (WITH pm AS", 1)
+    + "\nSELECT consumer_id, round(" + lt.probability_alive_sql(_LT, d="")
+    + ", 6) AS p_alive FROM rfm)"))
+def q_probability_alive(spark, base):
+    rfm = _rfm(spark, base)
+    lt.register_lifetime_functions(spark, _LT)
+    rfm.createOrReplaceTempView("rfm_summary")
+    return spark.sql("SELECT consumer_id, round(probability_alive(frequency, recency, T), 6)"
+                     " AS p_alive FROM rfm_summary")
+
+
+@register("clv", O.with_monthly(
+    _RFM_SQL.replace(", pm AS", "SELECT * FROM (WITH pm AS", 1)
+    + "\nSELECT consumer_id, round(" + lt.clv_sql(_LT, d="") + ", 4) AS clv FROM rfm)"))
+def q_clv(spark, base):
+    rfm = _rfm(spark, base)
+    lt.register_lifetime_functions(spark, _LT)
+    rfm.createOrReplaceTempView("rfm_summary")
+    return spark.sql("SELECT consumer_id, round(clv(frequency, recency, T, monetary_value), 4)"
+                     " AS clv FROM rfm_summary")
+
+
+@register("batch_scores")
+def q_batch_scores(spark, base):
+    """Train gradient-boosted trees on the train split of the training
+    slice (early stop on its test split) and score every row of it."""
+    m = mx.model_matrix(_training_slice(_src(spark, base)), TARGET,
+                        keep_ids=["snapshot_dt", *_IDS])
+    split = smp.stratified_split(m, id_cols=_IDS, label_col="label")
+    split = split.withColumn("is_valid", F.col("split") == "test").cache()
+    cat, ind, num = mx.feature_kinds(split.drop("label", "split", "is_valid"))
+    model = ml.fit(split, cat + ind, num, ml.TreeParams(num_trees=20, depth=3),
+                   validation_col="is_valid")
+    return ml.batch_scores(model, split, TARGET)
