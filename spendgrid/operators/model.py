@@ -13,6 +13,7 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
@@ -137,16 +138,26 @@ def pandas_scorer(spark, model, features: Sequence[str]):
     feature columns. The model travels once per executor as a broadcast
     variable, not inside every task closure.
     """
-    import pandas as pd
+    from pyspark import cloudpickle
     from pyspark.sql.functions import pandas_udf
 
     names = list(features)
-    shared = spark.sparkContext.broadcast(model)
+    # cloudpickle bytes: any model object (also classes defined in a notebook)
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    cache: dict = {}
 
     @pandas_udf("double")
-    def score(*cols: pd.Series) -> pd.Series:
-        x = pd.concat(cols, axis=1)
+    def _score(x: pd.DataFrame) -> pd.Series:
+        if "m" not in cache:  # once per task, not per Arrow batch
+            cache["m"] = cloudpickle.loads(shared.value)
+        x = x.copy()
         x.columns = names
-        return pd.Series(shared.value.predict_proba(x)[:, 1])
+        return pd.Series(cache["m"].predict_proba(x)[:, 1])
+
+    def score(*cols):
+        """Score column over the feature columns (sent as one struct, which
+        arrives in Python as a pandas DataFrame)."""
+        from pyspark.sql import functions as F
+        return _score(F.struct(*cols))
 
     return score

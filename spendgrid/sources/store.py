@@ -15,8 +15,12 @@ from pyspark.sql.types import StructType
 from spendgrid.session import scratch_path
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
 def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -40,7 +44,7 @@ def create_partitioned_table(spark: SparkSession, name: str, schema: StructType,
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     parts = ", ".join(f"`{c}`" for c in partition_cols)
     loc = f" LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE `{name}` ({cols}) USING parquet "
+    spark.sql(f"CREATE TABLE {_quoted(name)} ({cols}) USING parquet "
               f"PARTITIONED BY ({parts}){loc}")
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="sg-warehouse-")
+    s = build_session("local[4]", shuffle_partitions=4,
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
