@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendgrid import oracle as O
 from spendgrid.plans import preparation as prep
+from spendgrid.session import shared_checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -39,6 +40,7 @@ def oracle_table() -> dict[str, str]:
 def _setup(spark: SparkSession) -> None:
     # Test tables hold naive timestamps; fix the zone for date arithmetic.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    shared_checkpoint_dir(spark)
 
 
 def _src(spark: SparkSession, base: str) -> prep.Sources:
@@ -411,8 +413,9 @@ def q_exists_flag(spark, base):
 
 
 def _master(src):
-    return attr.master_table(prep.snapshot_of(src, P), src.consumer_variables,
-                             src.consumer_attributes, _ratios(src), _stores(src))
+    t = prep.prepare_tables(src, P)
+    return attr.master_table(t.snapshot, src.consumer_variables,
+                             src.consumer_attributes, t.ratios, t.stores)
 
 
 @register("master_table", O.with_everything(O.master_select()))

@@ -95,6 +95,39 @@ def _flag(col: Column) -> Column:
     return F.when(col > 0, 1).otherwise(0)
 
 
+def _cum(name: str) -> str:
+    return f"_cum_{name}"
+
+
+def running_columns(*, keys: Sequence[str] = ENTITY_KEYS,
+                    feature_categories: Sequence[str] = FEATURE_CATEGORIES
+                    ) -> list[Column]:
+    """Stage 1: null-safe running sums (0 before any value) that the
+    trailing windows are differenced from."""
+    run = _w(keys, Window.unboundedPreceding, Window.currentRow)
+
+    def cum(expr: Column, name: str) -> Column:
+        return F.coalesce(F.sum(expr).over(run), F.lit(0)).alias(_cum(name))
+
+    cols = [cum(_flag(F.col("sales_amount")), "sales_flag")]
+    for cat in feature_categories:
+        p = category_prefix(cat)
+        amt = F.col(f"{p}_amount")
+        cols += [cum(_flag(amt), f"{p}_flag"),
+                 cum(to_cents(_pos(amt)), f"{p}_pos_cents"),
+                 cum(F.when(amt > 0, 1).otherwise(0), f"{p}_pos_n")]
+    return cols
+
+
+def _trailing(keys: Sequence[str], name: str, n: int) -> Column:
+    """Sum over the current and ``n - 1`` previous rows, as a difference of
+    running sums: O(1) per row where a sliding ROWS frame re-reads all
+    ``n`` rows of the frame for every row. Exact for integer sums."""
+    order = Window.partitionBy(*keys).orderBy("dt")
+    c = F.col(_cum(name))
+    return c - F.lag(c, n, 0).over(order)
+
+
 def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
                      target_categories: Sequence[str] = TARGET_CATEGORIES,
                      feature_categories: Sequence[str] = FEATURE_CATEGORIES,
@@ -103,8 +136,9 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
                      trailing_months: Sequence[int] = TRAILING_MONTHS,
                      avg_months: int = 12,
                      active_months: int = 12) -> list[Column]:
-    """Window expressions of the snapshot, in output order (over a densified
-    frame with columns dt, keys, sale_month and the monthly facts)."""
+    """Stage 2: the snapshot's output columns, in order, over a densified
+    frame (dt, keys, sale_month, monthly facts) carrying the stage-1
+    running sums of :func:`running_columns`."""
     run = _w(keys, Window.unboundedPreceding, Window.currentRow)
     fwd = _w(keys, 1, horizon)
     cols: list[Column] = [F.col("dt").alias(SNAPSHOT), *[F.col(k) for k in keys]]
@@ -121,7 +155,7 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
         F.max(MONTH).over(run).alias("last_purchase_dt"),
         from_cents(F.sum(to_cents(sales)).over(run)).alias("sales_tot"),
         F.sum("txn_cnt").over(run).cast("double").alias("txn_cnt_tot"),
-        F.sum(_flag(sales)).over(_w(keys, -(active_months - 1), 0))
+        _trailing(keys, "sales_flag", active_months)
         .cast("double").alias(f"sales_mnt_cnt_{active_months}m"),
         F.try_divide(F.sum(_pos(item)).over(run).cast("double"),
                      F.count(_pos(item)).over(run).cast("double"))
@@ -138,21 +172,21 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
     for cat in feature_categories:
         p = category_prefix(cat)
         amt = F.col(f"{p}_amount")
-        pos_cents = to_cents(_pos(amt))
         for n in trailing_months:
-            cols.append(F.sum(_flag(amt)).over(_w(keys, -(n - 1), 0))
-                        .cast("double").alias(f"{p}_cnt_{n}m"))
-        trail = _w(keys, -(avg_months - 1), 0)
-        cols.append(mean_from_cents(F.sum(pos_cents).over(trail),
-                                    F.count(pos_cents).over(trail))
-                    .alias(f"{p}_avg_{avg_months}m"))
+            cols.append(_trailing(keys, f"{p}_flag", n).cast("double")
+                        .alias(f"{p}_cnt_{n}m"))
+        pos_n = _trailing(keys, f"{p}_pos_n", avg_months)
+        cols.append(F.when(pos_n > 0, mean_from_cents(
+            _trailing(keys, f"{p}_pos_cents", avg_months), pos_n))
+            .alias(f"{p}_avg_{avg_months}m"))
+        run_n = F.col(_cum(f"{p}_pos_n"))
         cols += [
             from_cents(F.sum(to_cents(amt)).over(run)).alias(f"{p}_amt_tot"),
-            F.sum(_flag(amt)).over(run).cast("double").alias(f"{p}_cnt_tot"),
+            F.col(_cum(f"{p}_flag")).cast("double").alias(f"{p}_cnt_tot"),
             F.min(_pos(amt)).over(run).alias(f"{p}_min"),
             F.max(_pos(amt)).over(run).alias(f"{p}_max"),
-            mean_from_cents(F.sum(pos_cents).over(run),
-                            F.count(pos_cents).over(run)).alias(f"{p}_avg"),
+            F.when(run_n > 0, mean_from_cents(F.col(_cum(f"{p}_pos_cents")), run_n))
+            .alias(f"{p}_avg"),
         ]
     return cols
 
@@ -177,12 +211,14 @@ def snapshot(monthly: DataFrame, *, calendar_start, calendar_end,
     """
     dense = densify(monthly, calendar_start=calendar_start,
                     calendar_end=calendar_end, keys=keys)
+    staged = dense.select("*", *running_columns(
+        keys=keys, feature_categories=feature_categories))
     cols = snapshot_columns(keys=keys, target_categories=target_categories,
                             feature_categories=feature_categories,
                             last_categories=last_categories, horizon=horizon,
                             trailing_months=trailing_months,
                             avg_months=avg_months)
-    out = dense.select(*cols)
+    out = staged.select(*cols)
     out = out.select(
         "*",
         F.months_between(SNAPSHOT, "first_purchase_dt")

@@ -104,3 +104,50 @@ def snapshot_of(src: Sources, p: PrepParams, **kw) -> DataFrame:
     return snapshot(monthly_of(src, p), calendar_start=p.calendar_start,
                     calendar_end=p.calendar_end, last_categories=p.categories,
                     **kw)
+
+
+def materialize(df: DataFrame, name: str = "sales_lines") -> DataFrame:
+    """Write ``df`` once as parquet into a fresh folder under the shared
+    checkpoint folder and read it back: the plan runs once (an eager
+    ``checkpoint()`` of an uncached plan computes it twice), the lineage is
+    cut, and the files survive executor loss. Used where several tables are
+    derived from the same sale lines."""
+    from spendgrid.sources.store import run_scratch
+    path = run_scratch(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+MASTER_HEADER_COLUMNS = ("loyalty_trans_flag",)
+
+
+@dataclass
+class PreparedTables:
+    """Tables of one preparation run derived from one set of sale lines."""
+
+    sales: DataFrame
+    monthly: DataFrame
+    snapshot: DataFrame
+    ratios: DataFrame
+    stores: DataFrame
+
+
+def prepare_tables(src: Sources, p: PrepParams, *, materialize_sales: bool = True
+                   ) -> PreparedTables:
+    """Sale lines (joined once, optionally checkpointed), then the monthly
+    summary, snapshot, behaviour ratios and store attributes from them."""
+    from spendgrid.operators.attributes import ratio_attributes, store_attributes
+    sales = sales_of(src, p, header_columns=MASTER_HEADER_COLUMNS)
+    if materialize_sales:
+        sales = materialize(sales)
+    monthly = monthly_summary(sales, categories=p.categories,
+                              sales_before=p.sales_before, etl_ts=p.etl_ts)
+    snap = snapshot(monthly, calendar_start=p.calendar_start,
+                    calendar_end=p.calendar_end, last_categories=p.categories)
+    ratios = ratio_attributes(sales, calendar_start=p.calendar_start,
+                              calendar_end=p.calendar_end,
+                              sales_before=p.sales_before)
+    stores = store_attributes(sales, src.stores, calendar_start=p.calendar_start,
+                              calendar_end=p.calendar_end,
+                              sales_before=p.sales_before)
+    return PreparedTables(sales, monthly, snap, ratios, stores)
