@@ -40,6 +40,8 @@ def oracle_table() -> dict[str, str]:
 def _setup(spark: SparkSession) -> None:
     # Test tables hold naive timestamps; fix the zone for date arithmetic.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # joins between grids partitioned by the entity id reuse that partitioning
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     shared_checkpoint_dir(spark)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from spendgrid.functions.dates import month_start
 from spendgrid.functions.money import to_cents
 from spendgrid.operators import ENTITY_KEYS, REGION
-from spendgrid.operators.snapshot import SNAPSHOT, densify
+from spendgrid.operators.snapshot import SNAPSHOT, densify, sparse_running
 
 # Channels with a transaction-share ratio.
 RATIO_CHANNELS = {"fss": "FSS", "mobile": "MOBILE", "web": "WEB", "tablet": "TABLET"}
@@ -47,7 +47,8 @@ def _txn_month_flags(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def ratio_attributes(sales: DataFrame, *, calendar_start, calendar_end,
                      keys: Sequence[str] = ENTITY_KEYS,
-                     sales_before: str | None = None) -> DataFrame:
+                     sales_before: str | None = None,
+                     partition_by: Sequence[str] | None = None) -> DataFrame:
     """Behaviour ratios per key and snapshot month, over all sale lines up
     to that month: share of transactions per channel (fss, mobile, web,
     tablet), with the loyalty flag, and with a returned line; discount
@@ -65,24 +66,23 @@ def ratio_attributes(sales: DataFrame, *, calendar_start, calendar_end,
         F.count(F.lit(1)).alias("_txn"),
         *[F.sum(c).alias(c) for c in flag_cols],
         *[F.sum(c).alias(c) for c in ("_sales", "_disc", "_q4")])
-    dense = densify(monthly, calendar_start=calendar_start,
-                    calendar_end=calendar_end, keys=keys)
-    run = (Window.partitionBy(*keys).orderBy("dt")
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    def cum(c):
-        return F.sum(c).over(run).cast("double")
+    run = sparse_running(keys)
 
     def ratio(num, den):
-        return F.try_divide(cum(num), cum(den))
-
-    out = [F.col("dt").alias(SNAPSHOT), *keys]
-    out += [ratio(f"_{k}", "_txn").alias(f"{k}_txn_ratio") for k in RATIO_CHANNELS]
-    out += [ratio("_disc", "_sales").alias("discount_ratio"),
-            ratio("_q4", "_sales").alias("sales_q4_ratio"),
-            ratio("_loyal", "_txn").alias("loyalty_txn_ratio"),
-            ratio("_ret", "_txn").alias("return_txn_ratio")]
-    return dense.select(*out)
+        return F.try_divide(F.sum(num).over(run).cast("double"),
+                            F.sum(den).over(run).cast("double"))
+
+    carry = {f"{k}_txn_ratio": ratio(f"_{k}", "_txn") for k in RATIO_CHANNELS}
+    carry.update({"discount_ratio": ratio("_disc", "_sales"),
+                  "sales_q4_ratio": ratio("_q4", "_sales"),
+                  "loyalty_txn_ratio": ratio("_loyal", "_txn"),
+                  "return_txn_ratio": ratio("_ret", "_txn")})
+    # running ratios change only in months with transactions: evaluated on
+    # those rows and carried over the gaps, no window over the dense grid
+    dense = densify(monthly, calendar_start=calendar_start,
+                    calendar_end=calendar_end, keys=keys, partition_by=partition_by,
+                    carry=carry)
+    return dense.select(F.col("dt").alias(SNAPSHOT), *keys, *carry)
 
 
 STORE_COLUMNS = ("store_channel", "store_market_cd", "store_name",
@@ -94,7 +94,8 @@ STORE_COLUMNS = ("store_channel", "store_market_cd", "store_name",
 def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
                      calendar_end, keys: Sequence[str] = ENTITY_KEYS,
                      sales_before: str | None = None,
-                     store_col: str = "store_id") -> DataFrame:
+                     store_col: str = "store_id",
+                     partition_by: Sequence[str] | None = None) -> DataFrame:
     """Most frequent store per key and snapshot month (most transactions up
     to that month; ties go to the lowest store id) with the store's
     descriptors.
@@ -105,38 +106,45 @@ def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
     that month, since a store's latest count is its largest. Months without
     a visit keep the previous leader (forward fill over the grid).
     """
-    all_rows = sales
+    rows = sales
     if sales_before is not None:
-        all_rows = all_rows.where(F.col("sale_dt") < F.lit(sales_before).cast("date"))
-    rows = all_rows.where(F.col(store_col).isNotNull())
+        rows = rows.where(F.col("sale_dt") < F.lit(sales_before).cast("date"))
     month = month_start(F.col("sale_dt"))
-    visits = (rows.select(*keys, month.alias("sale_month"), store_col, "txn_id")
-              .distinct()
-              .groupBy(*keys, store_col, "sale_month").agg(F.count(F.lit(1)).alias("_n")))
+    store = F.col(store_col)
+    # transactions per (key, store, month); lines without a store stay as
+    # rows with a null store, so every month with sales anchors the grid
+    visits = (rows.groupBy(*keys, store.alias(store_col), month.alias("sale_month"))
+              .agg(F.countDistinct("txn_id").alias("_n")))
+    # one exchange of the aggregated visits; both windows and the leader
+    # aggregate below partition on supersets of these columns and reuse it
+    visits = visits.repartition(*(partition_by or keys))
     per_store = Window.partitionBy(*keys, store_col).orderBy("sale_month").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     upto_month = Window.partitionBy(*keys).orderBy("sale_month").rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = visits.withColumn("_cum", F.sum("_n").over(per_store))
-    lead = F.max(F.struct(F.col("_cum"), (-F.col(store_col)).alias("_neg"))).over(upto_month)
-    # every key with sales gets its grid, visited or not: its first month
-    # joins the leader rows with a null leader
-    firsts = (all_rows.groupBy(*keys).agg(F.min(month).alias("sale_month"))
-              .select(*keys, "sale_month",
-                      F.lit(None).cast(ranked.select(lead).schema[0].dataType).alias("_lead")))
-    anchors = (ranked.select(*keys, "sale_month", lead.alias("_lead"))
-               .unionByName(firsts)
+    lead = F.max(F.when(store.isNotNull(), F.struct(
+        F.col("_cum"), (-store).alias("_neg")))).over(upto_month)
+    leaders = (ranked.select(*keys, "sale_month", lead.alias("_lead"))
                .groupBy(*keys, "sale_month").agg(F.max("_lead").alias("_lead")))
+    # descriptors go onto the sparse leader rows (one per key and month with
+    # a visit), so the dense grid needs no dimension join
+    dim = stores.select(F.col(store_col).alias("_sid"), *STORE_COLUMNS)
+    anchors = (leaders.withColumn("_sid", -F.col("_lead._neg"))
+               .join(dim, "_sid", "left")
+               .select(*keys, "sale_month", F.when(
+                   F.col("_sid").isNotNull(),
+                   F.struct(F.col("_sid").alias("most_freq_store_id"),
+                            *[F.col(c) for c in STORE_COLUMNS])).alias("_store")))
+    # the leader of a month holds until the next month with sales: carried
+    # over the gaps by the grid expansion, no window over the dense grid
     dense = densify(anchors, calendar_start=calendar_start,
-                    calendar_end=calendar_end, keys=keys, columns=["_lead"])
-    run = (Window.partitionBy(*keys).orderBy("dt")
-           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    filled = dense.select(
-        F.col("dt").alias(SNAPSHOT), *keys,
-        (-F.last("_lead", ignorenulls=True).over(run)["_neg"]).alias("most_freq_store_id"))
-    dim = stores.select(F.col(store_col).alias("most_freq_store_id"), *STORE_COLUMNS)
-    return (filled.join(dim, "most_freq_store_id", "left")
-            .select(SNAPSHOT, *keys, "most_freq_store_id", *STORE_COLUMNS))
+                    calendar_end=calendar_end, keys=keys, columns=["_store"],
+                    carry={"_s": F.last("_store", ignorenulls=True).over(
+                        sparse_running(keys))},
+                    carry_history=True)
+    return dense.select(F.col("dt").alias(SNAPSHOT), *keys, "_s.most_freq_store_id",
+                        *[f"_s.{c}" for c in STORE_COLUMNS])
 
 
 CV_COLUMNS = ("ethnic_group", "gender", "language", "marital_status",
@@ -199,8 +207,13 @@ def master_table(snapshot: DataFrame, cv: DataFrame, ca: DataFrame,
     df = with_consumer_variables(snapshot, cv, region)
     df = with_exists_flag(df, ca, region, columns=ca_cols)
     jk = [*keys, SNAPSHOT]
-    df = df.join(ratios.select(*jk, *RATIO_COLUMNS), jk, "left")
-    df = df.join(stores.select(*jk, "most_freq_store_id", *STORE_COLUMNS), jk, "left")
+    # 1:1 joins of frames as large as the snapshot: never broadcast (AQE
+    # could pick a broadcast from the compressed shuffle size); grids built
+    # with the same partition_by are co-partitioned, so the merge join reads
+    # them in place.
+    df = df.join(ratios.select(*jk, *RATIO_COLUMNS).hint("merge"), jk, "left")
+    df = df.join(stores.select(*jk, "most_freq_store_id", *STORE_COLUMNS).hint("merge"),
+                 jk, "left")
     ints = set(CA_INT_COLUMNS + CA_MORE_INT + CA_TAIL_INT)
     base_cols = [c for c in snapshot.columns]
     out = [F.col(c) for c in base_cols]

@@ -30,9 +30,22 @@ FACT_COLUMNS = ("sales_amount", "txn_cnt", "item_cnt")
 TRAILING_MONTHS = (3, 6, 12, 24)
 
 
+def sparse_running(keys: Sequence[str] = ENTITY_KEYS) -> Window:
+    """Running frame over a key's purchase months (the sparse rows that
+    :func:`densify` expands): ``carry`` expressions use it."""
+    return (Window.partitionBy(*keys).orderBy(SPAN_MONTH)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
+SPAN_MONTH = "_span_month"
+
+
 def densify(monthly: DataFrame, *, calendar_start, calendar_end,
             keys: Sequence[str] = ENTITY_KEYS, month_col: str = MONTH,
-            columns: Sequence[str] | None = None) -> DataFrame:
+            columns: Sequence[str] | None = None,
+            carry: dict[str, Column] | None = None,
+            partition_by: Sequence[str] | None = None,
+            carry_history: bool = False) -> DataFrame:
     """Dense (keys, month) grid with the monthly facts; null facts in months
     without a purchase.
 
@@ -46,31 +59,53 @@ def densify(monthly: DataFrame, *, calendar_start, calendar_end,
     (``lead``), and ``explode(sequence(...))`` emits them; the purchase's facts
     go on the first month only. The last purchase before the calendar opens
     spans from the calendar start, so keys that began earlier still start
-    there. No second read of the facts, no join exchange, and the snapshot
-    window that follows partitions on the same keys, so it needs no exchange
-    either. Each key yields at most one row per calendar month.
+    there. No second read of the facts and no join exchange; a window over
+    the keys afterwards needs no exchange either. Each key yields at most one
+    row per calendar month.
+
+    ``carry`` maps output names to window expressions over
+    :func:`sparse_running` evaluated on the purchase rows (facts before the
+    calendar start are blanked for them, as the grid never holds those
+    months; ``carry_history=True`` keeps them) and copied onto every month
+    of the row's span. A running total only changes in a purchase month, so
+    it costs one evaluation per purchase month rather than one per calendar
+    month.
+
+    ``partition_by`` (a subset of ``keys``, e.g. the entity id alone) hash-
+    partitions by those columns instead: every grid built this way -- the
+    snapshot and the attribute tables -- is then co-partitioned, and joins
+    between them on (keys, month) need no exchange (with
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``).
     """
     start = first_of_month(calendar_start)
     end = first_of_month(calendar_end)
     if columns is None:
         columns = [c for c in monthly.columns
                    if c not in set(keys) | {month_col, "etl_date"}]
-    m = F.col(month_col)
-    facts = monthly.where(m <= F.lit(end))
-    nxt = F.lead(m).over(Window.partitionBy(*keys).orderBy(month_col))
-    span_start = (F.when(m >= F.lit(start), m)
+    carry = carry or {}
+    m = F.col(SPAN_MONTH)
+    in_cal = m >= F.lit(start)
+    facts = monthly.where(F.col(month_col) <= F.lit(end))
+    if partition_by:
+        facts = facts.repartition(*partition_by)
+    facts = facts.select(*keys, F.col(month_col).alias(SPAN_MONTH),
+                         *[F.col(c) if carry_history else F.when(in_cal, F.col(c)).alias(c)
+                           for c in [month_col, *columns]])
+    nxt = F.lead(m).over(Window.partitionBy(*keys).orderBy(SPAN_MONTH))
+    span_start = (F.when(in_cal, m)
                   .when(nxt.isNull() | (nxt > F.lit(start)), F.lit(start)))
     span_end = F.coalesce(F.add_months(nxt, -1), F.lit(end))
-    spans = (facts.select(*keys, month_col, *columns,
-                          span_start.alias("_s"), span_end.alias("_e"))
-             .where(F.col("_s").isNotNull() & (F.col("_s") <= F.col("_e"))))
-    grid = spans.select(
-        *keys, month_col, *columns,
-        F.explode(F.sequence("_s", "_e", F.expr("interval 1 month"))).alias("dt"))
+    spans = (facts.select(*keys, SPAN_MONTH, month_col, *columns,
+                          *[e.alias(n) for n, e in carry.items()],
+                          span_start.alias("_span_from"), span_end.alias("_span_to"))
+             .where(F.col("_span_from").isNotNull()
+                    & (F.col("_span_from") <= F.col("_span_to"))))
+    grid = spans.select("*", F.explode(F.sequence(
+        "_span_from", "_span_to", F.expr("interval 1 month"))).alias("dt"))
     hit = F.col("dt") == m
     return grid.select(
-        "dt", *keys, F.when(hit, m).alias(month_col),
-        *[F.when(hit, F.col(c)).alias(c) for c in columns])
+        "dt", *keys, F.when(hit, F.col(month_col)).alias(month_col),
+        *[F.when(hit, F.col(c)).alias(c) for c in columns], *carry)
 
 
 def month_grid(monthly: DataFrame, *, calendar_start, calendar_end,
@@ -101,26 +136,45 @@ def _cum(name: str) -> str:
 
 def running_columns(*, keys: Sequence[str] = ENTITY_KEYS,
                     feature_categories: Sequence[str] = FEATURE_CATEGORIES
-                    ) -> list[Column]:
-    """Stage 1: null-safe running sums (0 before any value) that the
-    trailing windows are differenced from."""
-    run = _w(keys, Window.unboundedPreceding, Window.currentRow)
-
-    def cum(expr: Column, name: str) -> Column:
-        return F.coalesce(F.sum(expr).over(run), F.lit(0)).alias(_cum(name))
-
-    cols = [cum(_flag(F.col("sales_amount")), "sales_flag")]
+                    ) -> dict[str, Column]:
+    """Running aggregates of the snapshot, evaluated on the purchase months
+    and carried across the gaps by :func:`densify`. ``_cum_*`` are null-safe
+    running sums (0 before any value) that the trailing windows are
+    differenced from."""
+    run = sparse_running(keys)
+
+    def cum(expr: Column) -> Column:
+        return F.coalesce(F.sum(expr).over(run), F.lit(0))
+
+    sales, item = F.col("sales_amount"), F.col("item_cnt")
+    out = {
+        "first_purchase_dt": F.min(MONTH).over(run),
+        "last_purchase_dt": F.max(MONTH).over(run),
+        "sales_tot": from_cents(F.sum(to_cents(sales)).over(run)),
+        "txn_cnt_tot": F.sum("txn_cnt").over(run).cast("double"),
+        "avg_item_cnt": F.try_divide(F.sum(_pos(item)).over(run).cast("double"),
+                                     F.count(_pos(item)).over(run).cast("double")),
+        _cum("sales_flag"): cum(_flag(sales)),
+    }
     for cat in feature_categories:
         p = category_prefix(cat)
         amt = F.col(f"{p}_amount")
-        cols += [cum(_flag(amt), f"{p}_flag"),
-                 cum(to_cents(_pos(amt)), f"{p}_pos_cents"),
-                 cum(F.when(amt > 0, 1).otherwise(0), f"{p}_pos_n")]
-    return cols
+        pos_n = F.count(_pos(amt)).over(run)
+        pos_cents = F.sum(to_cents(_pos(amt))).over(run)
+        out.update({
+            f"{p}_amt_tot": from_cents(F.sum(to_cents(amt)).over(run)),
+            f"{p}_min": F.min(_pos(amt)).over(run),
+            f"{p}_max": F.max(_pos(amt)).over(run),
+            f"{p}_avg": F.when(pos_n > 0, mean_from_cents(pos_cents, pos_n)),
+            _cum(f"{p}_flag"): cum(_flag(amt)),
+            _cum(f"{p}_pos_cents"): cum(to_cents(_pos(amt))),
+            _cum(f"{p}_pos_n"): cum(F.when(amt > 0, 1).otherwise(0)),
+        })
+    return out
 
 
 def _trailing(keys: Sequence[str], name: str, n: int) -> Column:
-    """Sum over the current and ``n - 1`` previous rows, as a difference of
+    """Sum over the current and ``n - 1`` previous months, as a difference of
     running sums: O(1) per row where a sliding ROWS frame re-reads all
     ``n`` rows of the frame for every row. Exact for integer sums."""
     order = Window.partitionBy(*keys).orderBy("dt")
@@ -136,10 +190,8 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
                      trailing_months: Sequence[int] = TRAILING_MONTHS,
                      avg_months: int = 12,
                      active_months: int = 12) -> list[Column]:
-    """Stage 2: the snapshot's output columns, in order, over a densified
-    frame (dt, keys, sale_month, monthly facts) carrying the stage-1
-    running sums of :func:`running_columns`."""
-    run = _w(keys, Window.unboundedPreceding, Window.currentRow)
+    """The snapshot's output columns, in order, over the dense grid that
+    carries :func:`running_columns`."""
     fwd = _w(keys, 1, horizon)
     cols: list[Column] = [F.col("dt").alias(SNAPSHOT), *[F.col(k) for k in keys]]
 
@@ -148,30 +200,23 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
         cols.append(F.when(F.sum(amt).over(fwd) > 0, 1).otherwise(0)
                     .cast("int").alias(f"target_{category_prefix(cat)}"))
 
-    sales = F.col("sales_amount")
-    item = F.col("item_cnt")
     cols += [
-        F.min(MONTH).over(run).alias("first_purchase_dt"),
-        F.max(MONTH).over(run).alias("last_purchase_dt"),
-        from_cents(F.sum(to_cents(sales)).over(run)).alias("sales_tot"),
-        F.sum("txn_cnt").over(run).cast("double").alias("txn_cnt_tot"),
+        F.col("first_purchase_dt"), F.col("last_purchase_dt"),
+        F.col("sales_tot"), F.col("txn_cnt_tot"),
         _trailing(keys, "sales_flag", active_months)
         .cast("double").alias(f"sales_mnt_cnt_{active_months}m"),
-        F.try_divide(F.sum(_pos(item)).over(run).cast("double"),
-                     F.count(_pos(item)).over(run).cast("double"))
-        .alias("avg_item_cnt"),
+        F.col("avg_item_cnt"),
     ]
     for cat in last_categories:
         cols.append(F.col(f"{category_prefix(cat)}_amount")
                     .alias(f"{category_prefix(cat)}_amt_last"))
     cols += [
-        item.cast("double").alias("item_cnt_last"),
+        F.col("item_cnt").cast("double").alias("item_cnt_last"),
         F.col("txn_cnt").cast("double").alias("txn_cnt_last"),
-        sales.alias("sales_amt_last"),
+        F.col("sales_amount").alias("sales_amt_last"),
     ]
     for cat in feature_categories:
         p = category_prefix(cat)
-        amt = F.col(f"{p}_amount")
         for n in trailing_months:
             cols.append(_trailing(keys, f"{p}_flag", n).cast("double")
                         .alias(f"{p}_cnt_{n}m"))
@@ -179,15 +224,9 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
         cols.append(F.when(pos_n > 0, mean_from_cents(
             _trailing(keys, f"{p}_pos_cents", avg_months), pos_n))
             .alias(f"{p}_avg_{avg_months}m"))
-        run_n = F.col(_cum(f"{p}_pos_n"))
-        cols += [
-            from_cents(F.sum(to_cents(amt)).over(run)).alias(f"{p}_amt_tot"),
-            F.col(_cum(f"{p}_flag")).cast("double").alias(f"{p}_cnt_tot"),
-            F.min(_pos(amt)).over(run).alias(f"{p}_min"),
-            F.max(_pos(amt)).over(run).alias(f"{p}_max"),
-            F.when(run_n > 0, mean_from_cents(F.col(_cum(f"{p}_pos_cents")), run_n))
-            .alias(f"{p}_avg"),
-        ]
+        cols += [F.col(f"{p}_amt_tot"),
+                 F.col(_cum(f"{p}_flag")).cast("double").alias(f"{p}_cnt_tot"),
+                 F.col(f"{p}_min"), F.col(f"{p}_max"), F.col(f"{p}_avg")]
     return cols
 
 
@@ -199,7 +238,8 @@ def snapshot(monthly: DataFrame, *, calendar_start, calendar_end,
              horizon: int = 3,
              trailing_months: Sequence[int] = TRAILING_MONTHS,
              avg_months: int = 12,
-             label_complete: bool = False) -> DataFrame:
+             label_complete: bool = False,
+             partition_by: Sequence[str] | None = None) -> DataFrame:
     """Full snapshot: targets over the next ``horizon`` months, running
     first/last purchase and totals, active months in 12, current-month
     values, trailing category counts and averages, running category stats,
@@ -210,15 +250,15 @@ def snapshot(monthly: DataFrame, *, calendar_start, calendar_end,
     a flag telling whether the whole forward window lies in the calendar.
     """
     dense = densify(monthly, calendar_start=calendar_start,
-                    calendar_end=calendar_end, keys=keys)
-    staged = dense.select("*", *running_columns(
-        keys=keys, feature_categories=feature_categories))
+                    calendar_end=calendar_end, keys=keys, partition_by=partition_by,
+                    carry=running_columns(keys=keys,
+                                          feature_categories=feature_categories))
     cols = snapshot_columns(keys=keys, target_categories=target_categories,
                             feature_categories=feature_categories,
                             last_categories=last_categories, horizon=horizon,
                             trailing_months=trailing_months,
                             avg_months=avg_months)
-    out = staged.select(*cols)
+    out = dense.select(*cols)
     out = out.select(
         "*",
         F.months_between(SNAPSHOT, "first_purchase_dt")

@@ -119,6 +119,9 @@ def materialize(df: DataFrame, name: str = "sales_lines") -> DataFrame:
 
 
 MASTER_HEADER_COLUMNS = ("loyalty_trans_flag",)
+# All grids of one run are hash-partitioned by the entity id alone, so the
+# master table joins them without moving them again.
+GRID_PARTITION = ("elc_master_id",)
 
 
 @dataclass
@@ -143,11 +146,14 @@ def prepare_tables(src: Sources, p: PrepParams, *, materialize_sales: bool = Tru
     monthly = monthly_summary(sales, categories=p.categories,
                               sales_before=p.sales_before, etl_ts=p.etl_ts)
     snap = snapshot(monthly, calendar_start=p.calendar_start,
-                    calendar_end=p.calendar_end, last_categories=p.categories)
+                    calendar_end=p.calendar_end, last_categories=p.categories,
+                    partition_by=GRID_PARTITION)
     ratios = ratio_attributes(sales, calendar_start=p.calendar_start,
                               calendar_end=p.calendar_end,
-                              sales_before=p.sales_before)
+                              sales_before=p.sales_before,
+                              partition_by=GRID_PARTITION)
     stores = store_attributes(sales, src.stores, calendar_start=p.calendar_start,
                               calendar_end=p.calendar_end,
-                              sales_before=p.sales_before)
+                              sales_before=p.sales_before,
+                              partition_by=GRID_PARTITION)
     return PreparedTables(sales, monthly, snap, ratios, stores)
