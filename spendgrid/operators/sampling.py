@@ -12,18 +12,24 @@ from spendgrid.operators.ranking import ordered_running
 SPACE = 2 ** 32
 
 
-def id_hash(col: str | Column) -> Column:
-    """Repeatable 32-bit bucket of an id: the first 8 hex digits of its md5
-    (same value in any engine with md5)."""
+def id_hash(col: str | Column, salt: str = "") -> Column:
+    """Repeatable 32-bit bucket of an id: the first 8 hex digits of the md5
+    of ``salt || id`` (same value in any engine with md5). Draws that must
+    be independent of each other (a split and a sample of it) use different
+    salts."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
+    text = c.cast("string")
+    if salt:
+        text = F.concat(F.lit(salt), text)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def hash_sample(df: DataFrame, id_cols: str | Sequence[str], fraction: float) -> DataFrame:
+def hash_sample(df: DataFrame, id_cols: str | Sequence[str], fraction: float,
+                salt: str = "") -> DataFrame:
     """Rows whose id hash falls below ``fraction`` of the hash space: the
     same ids on every run and partitioning (a seeded ``sample`` depends on
     the partition layout)."""
-    return df.where(id_hash(row_id(id_cols)) < F.lit(int(fraction * SPACE)))
+    return df.where(id_hash(row_id(id_cols), salt) < F.lit(int(fraction * SPACE)))
 
 
 def row_id(id_cols: str | Sequence[str]) -> Column:
@@ -49,7 +55,8 @@ def last_digit_sample(df: DataFrame, id_col: str,
 
 
 def stratified_split(df: DataFrame, *, id_cols: str | Sequence[str], label_col: str,
-                     test_size: float = 0.3, ranges: int = 64) -> DataFrame:
+                     test_size: float = 0.3, ranges: int = 64,
+                     salt: str = "") -> DataFrame:
     """Add ``split`` = 'test' / 'train' with exactly ceil(test_size * n)
     test rows in every label, chosen by id hash order (then id).
 
@@ -58,7 +65,7 @@ def stratified_split(df: DataFrame, *, id_cols: str | Sequence[str], label_col:
     """
     cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     ranked = ordered_running(
-        df.withColumn("_h", id_hash(row_id(cols))), order="_h", groups=[label_col],
+        df.withColumn("_h", id_hash(row_id(cols), salt)), order="_h", groups=[label_col],
         tiebreak=cols, ranges=ranges)
     sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n_label"))
     j = ranked.join(sizes, label_col, "inner")
