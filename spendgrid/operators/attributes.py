@@ -45,27 +45,24 @@ def _txn_month_flags(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
             .groupBy(*keys, "sale_month", "txn_id").agg(*aggs))
 
 
-def ratio_attributes(sales: DataFrame, *, calendar_start, calendar_end,
-                     keys: Sequence[str] = ENTITY_KEYS,
-                     sales_before: str | None = None,
-                     partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Behaviour ratios per key and snapshot month, over all sale lines up
-    to that month: share of transactions per channel (fss, mobile, web,
-    tablet), with the loyalty flag, and with a returned line; discount
-    amount / sales amount; Q4 sales / all sales. Null when undefined.
-
-    ``sales`` are sale lines with keys, sale_dt, txn_id, channel_cd,
-    loyalty_trans_flag, src_txn_cd_desc, sales_amount, usd_discount_amount.
-    """
+def ratio_monthly(sales: DataFrame, *, keys: Sequence[str] = ENTITY_KEYS,
+                  sales_before: str | None = None) -> DataFrame:
+    """Per key and month: transactions, transactions per channel / with the
+    loyalty flag / with a returned line, and sales, discount and Q4 cents."""
     rows = sales
     if sales_before is not None:
         rows = rows.where(F.col("sale_dt") < F.lit(sales_before).cast("date"))
     per_txn = _txn_month_flags(rows, keys)
     flag_cols = [f"_{k}" for k in RATIO_CHANNELS] + ["_loyal", "_ret"]
-    monthly = per_txn.groupBy(*keys, "sale_month").agg(
+    return per_txn.groupBy(*keys, "sale_month").agg(
         F.count(F.lit(1)).alias("_txn"),
         *[F.sum(c).alias(c) for c in flag_cols],
         *[F.sum(c).alias(c) for c in ("_sales", "_disc", "_q4")])
+
+
+def ratio_carry(keys: Sequence[str] = ENTITY_KEYS) -> dict:
+    """Running ratios over the months of :func:`ratio_monthly` (evaluated on
+    months with transactions, carried over the gaps)."""
     run = sparse_running(keys)
 
     def ratio(num, den):
@@ -77,11 +74,27 @@ def ratio_attributes(sales: DataFrame, *, calendar_start, calendar_end,
                   "sales_q4_ratio": ratio("_q4", "_sales"),
                   "loyalty_txn_ratio": ratio("_loyal", "_txn"),
                   "return_txn_ratio": ratio("_ret", "_txn")})
-    # running ratios change only in months with transactions: evaluated on
-    # those rows and carried over the gaps, no window over the dense grid
-    dense = densify(monthly, calendar_start=calendar_start,
-                    calendar_end=calendar_end, keys=keys, partition_by=partition_by,
-                    carry=carry)
+    return carry
+
+
+def ratio_attributes(sales: DataFrame, *, calendar_start, calendar_end,
+                     keys: Sequence[str] = ENTITY_KEYS,
+                     sales_before: str | None = None,
+                     partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Behaviour ratios per key and snapshot month, over all sale lines up
+    to that month: share of transactions per channel (fss, mobile, web,
+    tablet), with the loyalty flag, and with a returned line; discount
+    amount / sales amount; Q4 sales / all sales. Null when undefined.
+
+    ``sales`` are sale lines with keys, sale_dt, txn_id, channel_cd,
+    loyalty_trans_flag, src_txn_cd_desc, sales_amount, usd_discount_amount.
+    The running ratios change only in months with transactions: evaluated on
+    those rows and carried over the gaps, no window over the dense grid.
+    """
+    carry = ratio_carry(keys)
+    dense = densify(ratio_monthly(sales, keys=keys, sales_before=sales_before),
+                    calendar_start=calendar_start, calendar_end=calendar_end,
+                    keys=keys, partition_by=partition_by, carry=carry)
     return dense.select(F.col("dt").alias(SNAPSHOT), *keys, *carry)
 
 
@@ -91,20 +104,18 @@ STORE_COLUMNS = ("store_channel", "store_market_cd", "store_name",
                  "store_latitude", "store_longitude", "store_status_cd")
 
 
-def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
-                     calendar_end, keys: Sequence[str] = ENTITY_KEYS,
-                     sales_before: str | None = None,
-                     store_col: str = "store_id",
-                     partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Most frequent store per key and snapshot month (most transactions up
-    to that month; ties go to the lowest store id) with the store's
-    descriptors.
+def store_leaders(sales: DataFrame, stores: DataFrame, *,
+                  keys: Sequence[str] = ENTITY_KEYS,
+                  sales_before: str | None = None, store_col: str = "store_id",
+                  partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Per key and month with sales: the most frequent store so far (most
+    transactions, ties to the lowest id) with its descriptors, as a struct
+    ``_store`` (null before the first visit).
 
     No per-month re-count over all stores: per (key, store) a running
     transaction count is kept; the leader at a month is the running maximum
     of (count, -store id) over all of the key's (store, month) rows up to
-    that month, since a store's latest count is its largest. Months without
-    a visit keep the previous leader (forward fill over the grid).
+    that month, since a store's latest count is its largest.
     """
     rows = sales
     if sales_before is not None:
@@ -128,23 +139,39 @@ def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
     leaders = (ranked.select(*keys, "sale_month", lead.alias("_lead"))
                .groupBy(*keys, "sale_month").agg(F.max("_lead").alias("_lead")))
     # descriptors go onto the sparse leader rows (one per key and month with
-    # a visit), so the dense grid needs no dimension join
+    # sales), so the dense grid needs no dimension join
     dim = stores.select(F.col(store_col).alias("_sid"), *STORE_COLUMNS)
-    anchors = (leaders.withColumn("_sid", -F.col("_lead._neg"))
-               .join(dim, "_sid", "left")
-               .select(*keys, "sale_month", F.when(
-                   F.col("_sid").isNotNull(),
-                   F.struct(F.col("_sid").alias("most_freq_store_id"),
-                            *[F.col(c) for c in STORE_COLUMNS])).alias("_store")))
-    # the leader of a month holds until the next month with sales: carried
-    # over the gaps by the grid expansion, no window over the dense grid
+    return (leaders.withColumn("_sid", -F.col("_lead._neg"))
+            .join(dim, "_sid", "left")
+            .select(*keys, "sale_month", F.when(
+                F.col("_sid").isNotNull(),
+                F.struct(F.col("_sid").alias("most_freq_store_id"),
+                         *[F.col(c) for c in STORE_COLUMNS])).alias("_store")))
+
+
+def store_carry(keys: Sequence[str] = ENTITY_KEYS) -> dict:
+    """The leader holds until the next month with sales."""
+    return {"_store_now": F.last("_store", ignorenulls=True).over(sparse_running(keys))}
+
+
+def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
+                     calendar_end, keys: Sequence[str] = ENTITY_KEYS,
+                     sales_before: str | None = None,
+                     store_col: str = "store_id",
+                     partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Most frequent store per key and snapshot month (most transactions up
+    to that month, all history; ties go to the lowest store id) with the
+    store's descriptors. Leaders come from :func:`store_leaders` and are
+    carried over the months without sales by the grid expansion -- no window
+    over the dense grid."""
+    anchors = store_leaders(sales, stores, keys=keys, sales_before=sales_before,
+                            store_col=store_col, partition_by=partition_by)
     dense = densify(anchors, calendar_start=calendar_start,
                     calendar_end=calendar_end, keys=keys, columns=["_store"],
-                    carry={"_s": F.last("_store", ignorenulls=True).over(
-                        sparse_running(keys))},
-                    carry_history=True)
-    return dense.select(F.col("dt").alias(SNAPSHOT), *keys, "_s.most_freq_store_id",
-                        *[f"_s.{c}" for c in STORE_COLUMNS])
+                    carry=store_carry(keys), carry_history=True)
+    return dense.select(F.col("dt").alias(SNAPSHOT), *keys,
+                        "_store_now.most_freq_store_id",
+                        *[f"_store_now.{c}" for c in STORE_COLUMNS])
 
 
 CV_COLUMNS = ("ethnic_group", "gender", "language", "marital_status",
@@ -195,33 +222,87 @@ def with_exists_flag(df: DataFrame, ca: DataFrame, region: str = REGION,
     return j.drop("_ca_id", "_ca_consumer")
 
 
+def _ca_columns() -> tuple:
+    return (CA_STRING_COLUMNS + CA_INT_COLUMNS + CA_MORE_STRING + CA_MORE_INT
+            + CA_TAIL_STRING + CA_TAIL_INT + CA_LAST_STRING)
+
+
+def _with_people(df: DataFrame, cv: DataFrame, ca: DataFrame, *, region: str,
+                 base_cols: Sequence[str]) -> DataFrame:
+    """Consumer variables, age, CDP attributes (indicator and store columns
+    as int), then the ratio and store columns already on ``df``."""
+    ca_cols = _ca_columns()
+    df = with_consumer_variables(df, cv, region)
+    df = with_exists_flag(df, ca, region, columns=ca_cols)
+    ints = set(CA_INT_COLUMNS + CA_MORE_INT + CA_TAIL_INT)
+    out = [F.col(c) for c in base_cols]
+    out += [F.col(c) for c in CV_COLUMNS]
+    out.append((F.year(SNAPSHOT) - F.col("birth_year")).alias("age"))
+    out.append(F.col("exists_in_cdp"))
+    out += [F.expr(f"try_cast({c} as int)").alias(c) if c in ints else F.col(c)
+            for c in ca_cols]
+    out += [F.col(c) for c in RATIO_COLUMNS]
+    out += [F.col("most_freq_store_id"), *[F.col(c) for c in STORE_COLUMNS]]
+    return df.select(*out)
+
+
 def master_table(snapshot: DataFrame, cv: DataFrame, ca: DataFrame,
                  ratios: DataFrame, stores: DataFrame, *,
                  keys: Sequence[str] = ENTITY_KEYS,
                  region: str = REGION) -> DataFrame:
     """Snapshot with consumer variables, age, CDP attributes (indicator and
     store columns as int), behaviour ratios and store attributes -- all left
-    joins, so every snapshot row stays."""
-    ca_cols = (CA_STRING_COLUMNS + CA_INT_COLUMNS + CA_MORE_STRING + CA_MORE_INT
-               + CA_TAIL_STRING + CA_TAIL_INT + CA_LAST_STRING)
-    df = with_consumer_variables(snapshot, cv, region)
-    df = with_exists_flag(df, ca, region, columns=ca_cols)
+    joins, so every snapshot row stays. (For tables built from the same sale
+    lines, :func:`master_table_from_parts` gives the same rows with one grid
+    expansion instead of two grid joins.)"""
     jk = [*keys, SNAPSHOT]
     # 1:1 joins of frames as large as the snapshot: never broadcast (AQE
     # could pick a broadcast from the compressed shuffle size); grids built
     # with the same partition_by are co-partitioned, so the merge join reads
     # them in place.
-    df = df.join(ratios.select(*jk, *RATIO_COLUMNS).hint("merge"), jk, "left")
+    df = snapshot.join(ratios.select(*jk, *RATIO_COLUMNS).hint("merge"), jk, "left")
     df = df.join(stores.select(*jk, "most_freq_store_id", *STORE_COLUMNS).hint("merge"),
                  jk, "left")
-    ints = set(CA_INT_COLUMNS + CA_MORE_INT + CA_TAIL_INT)
-    base_cols = [c for c in snapshot.columns]
-    out = [F.col(c) for c in base_cols]
-    out += [F.col(c) for c in CV_COLUMNS]
-    out.append((F.year(SNAPSHOT) - F.col("birth_year")).alias("age"))
-    out.append(F.col("exists_in_cdp"))
-    out += [F.expr(f"try_cast({c} as int)").alias(c) if c in ints else F.col(c)
-            for c in ca_cols]
-    out += [F.col(c) for c in RATIO_COLUMNS]
-    out += [F.col("most_freq_store_id"), *[F.col(c) for c in STORE_COLUMNS]]
-    return df.select(*out)
+    return _with_people(df, cv, ca, region=region, base_cols=snapshot.columns)
+
+
+def master_table_from_parts(monthly: DataFrame, ratio_rows: DataFrame,
+                            leader_rows: DataFrame, cv: DataFrame, ca: DataFrame, *,
+                            calendar_start, calendar_end,
+                            keys: Sequence[str] = ENTITY_KEYS,
+                            categories: Sequence[str] | None = None,
+                            region: str = REGION,
+                            partition_by: Sequence[str] | None = None) -> DataFrame:
+    """The master table in one grid expansion: same rows and columns as
+    :func:`master_table` over :func:`~spendgrid.operators.snapshot.snapshot`,
+    :func:`ratio_attributes` and :func:`store_attributes` of the same sale
+    lines.
+
+    The three grids share their (key, month) anchor rows -- the months with
+    sales -- so their sparse inputs are joined on those rows (one row per key
+    and month with sales) and expanded once, carrying the snapshot's running
+    values, the running ratios and the store leader together. This replaces
+    two 1:1 joins of calendar-sized grids by joins of purchase-month rows.
+    """
+    from spendgrid.operators import CATEGORIES
+    from spendgrid.operators.snapshot import running_columns, snapshot_columns
+
+    cats = tuple(categories or CATEGORIES)
+    jk = [*keys, "sale_month"]
+    sparse = (monthly.join(ratio_rows, jk, "left")
+              .join(leader_rows, jk, "left"))
+    carry = {**running_columns(keys=keys), **ratio_carry(keys), **store_carry(keys)}
+    fact_cols = [c for c in sparse.columns if c not in set(jk) | {"etl_date"}]
+    dense = densify(sparse, calendar_start=calendar_start, calendar_end=calendar_end,
+                    keys=keys, columns=fact_cols, carry=carry,
+                    carry_history=["_store"], partition_by=partition_by)
+    snap_cols = snapshot_columns(keys=keys, last_categories=cats)
+    snap = dense.select(
+        *snap_cols,
+        F.months_between("dt", "first_purchase_dt").alias("months_since_first_purchase"),
+        F.months_between("dt", "last_purchase_dt").alias("months_since_last_purchase"),
+        *RATIO_COLUMNS, "_store_now.most_freq_store_id",
+        *[F.col(f"_store_now.{c}").alias(c) for c in STORE_COLUMNS])
+    return _with_people(snap, cv, ca, region=region,
+                        base_cols=[c for c in snap.columns
+                                   if c not in set(RATIO_COLUMNS) | {"most_freq_store_id", *STORE_COLUMNS}])

@@ -45,7 +45,7 @@ def densify(monthly: DataFrame, *, calendar_start, calendar_end,
             columns: Sequence[str] | None = None,
             carry: dict[str, Column] | None = None,
             partition_by: Sequence[str] | None = None,
-            carry_history: bool = False) -> DataFrame:
+            carry_history: bool | Sequence[str] = False) -> DataFrame:
     """Dense (keys, month) grid with the monthly facts; null facts in months
     without a purchase.
 
@@ -66,7 +66,8 @@ def densify(monthly: DataFrame, *, calendar_start, calendar_end,
     ``carry`` maps output names to window expressions over
     :func:`sparse_running` evaluated on the purchase rows (facts before the
     calendar start are blanked for them, as the grid never holds those
-    months; ``carry_history=True`` keeps them) and copied onto every month
+    months; ``carry_history=True`` keeps them, or a list keeps just those
+    columns) and copied onto every month
     of the row's span. A running total only changes in a purchase month, so
     it costs one evaluation per purchase month rather than one per calendar
     month.
@@ -88,8 +89,13 @@ def densify(monthly: DataFrame, *, calendar_start, calendar_end,
     facts = monthly.where(F.col(month_col) <= F.lit(end))
     if partition_by:
         facts = facts.repartition(*partition_by)
+    def keep(c: str) -> bool:
+        if isinstance(carry_history, bool):
+            return carry_history
+        return c in set(carry_history)
+
     facts = facts.select(*keys, F.col(month_col).alias(SPAN_MONTH),
-                         *[F.col(c) if carry_history else F.when(in_cal, F.col(c)).alias(c)
+                         *[F.col(c) if keep(c) else F.when(in_cal, F.col(c)).alias(c)
                            for c in [month_col, *columns]])
     nxt = F.lead(m).over(Window.partitionBy(*keys).orderBy(SPAN_MONTH))
     span_start = (F.when(in_cal, m)

@@ -157,3 +157,26 @@ def prepare_tables(src: Sources, p: PrepParams, *, materialize_sales: bool = Tru
                               sales_before=p.sales_before,
                               partition_by=GRID_PARTITION)
     return PreparedTables(sales, monthly, snap, ratios, stores)
+
+
+def master_of(src: Sources, p: PrepParams, *, materialize_sales: bool = True) -> DataFrame:
+    """The master table of a run in one grid expansion
+    (:func:`~spendgrid.operators.attributes.master_table_from_parts`): the
+    sale lines are joined once (and written once), the monthly facts, ratio
+    counts and store leaders are computed on purchase months and expanded
+    together."""
+    from spendgrid.operators.attributes import (master_table_from_parts,
+                                                ratio_monthly, store_leaders)
+    sales = sales_of(src, p, header_columns=MASTER_HEADER_COLUMNS)
+    if materialize_sales:
+        sales = materialize(sales)
+    monthly = monthly_summary(sales, categories=p.categories,
+                              sales_before=p.sales_before)
+    ratio_rows = ratio_monthly(sales, sales_before=p.sales_before)
+    leaders = store_leaders(sales, src.stores, sales_before=p.sales_before,
+                            partition_by=GRID_PARTITION)
+    return master_table_from_parts(
+        monthly, ratio_rows, leaders, src.consumer_variables,
+        src.consumer_attributes, calendar_start=p.calendar_start,
+        calendar_end=p.calendar_end, categories=p.categories,
+        region=p.region, partition_by=GRID_PARTITION)
