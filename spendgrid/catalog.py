@@ -525,7 +525,10 @@ SELECT snapshot_dt, {O.KEYS}, target_skincare,
        CASE WHEN r <= ceil(n * 0.3) THEN 'test' ELSE 'train' END AS split FROM rk""".replace(
     "\n, sl AS", "\nSELECT * FROM (WITH sl AS", 1) + ")"))
 def q_stratified_split(spark, base):
-    s = _snap_slice(_src(spark, base)).select("snapshot_dt", *_IDS, "target_skincare")
+    # the split reads its input twice (range cuts, then ranks): write the
+    # slice once instead of computing the snapshot twice
+    s = prep.materialize(_snap_slice(_src(spark, base)).select(
+        "snapshot_dt", *_IDS, "target_skincare"), "split_input")
     return smp.stratified_split(s, id_cols=_IDS, label_col="target_skincare",
                                 test_size=0.3)
 
@@ -567,7 +570,8 @@ def q_score_input(spark, base):
 def q_one_hot(spark, base):
     """Vocabulary fitted on the train split of the training slice, applied
     to all of its rows (unseen values encode as all zeros)."""
-    m = mx.model_matrix(_training_slice(_src(spark, base)), TARGET, keep_ids=_IDS)
+    m = prep.materialize(mx.model_matrix(_training_slice(_src(spark, base)), TARGET,
+                                         keep_ids=_IDS), "one_hot_input")
     split = smp.stratified_split(m, id_cols=_IDS, label_col="label")
     enc = mx.OneHot(["income", "first_channel", "store_region"]).fit(
         split.where(F.col("split") == "train"))
@@ -668,10 +672,11 @@ def q_clv(spark, base):
 def q_batch_scores(spark, base):
     """Train gradient-boosted trees on the train split of the training
     slice (early stop on its test split) and score every row of it."""
-    m = mx.model_matrix(_training_slice(_src(spark, base)), TARGET,
-                        keep_ids=["snapshot_dt", *_IDS])
+    m = prep.materialize(mx.model_matrix(_training_slice(_src(spark, base)), TARGET,
+                                         keep_ids=["snapshot_dt", *_IDS]), "model_input")
     split = smp.stratified_split(m, id_cols=_IDS, label_col="label")
-    split = split.withColumn("is_valid", F.col("split") == "test").cache()
+    split = prep.materialize(split.withColumn("is_valid", F.col("split") == "test"),
+                             "model_split")
     cat, ind, num = mx.feature_kinds(split.drop("label", "split", "is_valid"))
     model = ml.fit(split, cat + ind, num, ml.TreeParams(num_trees=20, depth=3),
                    validation_col="is_valid")

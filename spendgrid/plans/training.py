@@ -45,11 +45,14 @@ def train(master: DataFrame, *, target: str, snapshot_dt: str,
           max_evals: int = 1, parallelism: int = 4) -> TrainingResult:
     """Search on a hash sample of the slice, fit on the full train split
     (early stop on the test split), report metrics on both splits."""
+    from spendgrid.plans.preparation import materialize
     rows = training_slice(master, snapshot_dt)
-    m = mx.model_matrix(rows, target, keep_ids=IDS)
+    # the matrix and the split are read by every trial and the final fit:
+    # written once to the shared checkpoint folder
+    m = materialize(mx.model_matrix(rows, target, keep_ids=IDS), "train_matrix")
     split = smp.stratified_split(m, id_cols=list(IDS), label_col="label",
                                  test_size=test_size)
-    split = split.withColumn("id", smp.row_id(list(IDS)))
+    split = materialize(split.withColumn("id", smp.row_id(list(IDS))), "train_split")
     cat, ind, num = mx.feature_kinds(split.drop("label", "split", "id"), drop=IDS)
     categorical = cat + ind
     # a draw independent of the split (own salt), else the sample would be
