@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendgrid.operators.ranking import ordered_running
+from spendgrid.operators.ranking import ordered_running, range_count
 
 DIGITS = 6
 
@@ -29,27 +29,28 @@ def _totals(df: DataFrame, label: str) -> tuple[int, int]:
     return p, int(row["n"]) - p
 
 
-def _descending_cum(df, label, score, ranges):
+def _descending_cum(df, label, score, ranges, rows):
     return ordered_running(_by_score(df, label, score), order="score",
-                           sums=["pos", "neg"], descending=True, ranges=ranges)
+                           sums=["pos", "neg"], descending=True,
+                           ranges=ranges or range_count(rows))
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score",
-                      ranges: int = 64) -> DataFrame:
+                      ranges: int | None = None) -> DataFrame:
     """Step-wise average precision: sum over score thresholds of
     (recall gained) x (precision at the threshold); ties form one step."""
-    p, _ = _totals(df, label)
-    c = _descending_cum(df, label, score, ranges)
+    p, n = _totals(df, label)
+    c = _descending_cum(df, label, score, ranges, p + n)
     prec = F.col("pos_cum") / (F.col("pos_cum") + F.col("neg_cum"))
     val = F.sum(F.col("pos") * prec) / F.lit(float(p)) if p else F.lit(None)
     return c.agg(F.round(val.cast("double"), DIGITS).alias("avg_precision"))
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
-            ranges: int = 64) -> DataFrame:
+            ranges: int | None = None) -> DataFrame:
     """Area under the ROC curve; a tied positive/negative pair counts 1/2."""
     p, n = _totals(df, label)
-    c = _descending_cum(df, label, score, ranges)
+    c = _descending_cum(df, label, score, ranges, p + n)
     below = F.lit(float(n)) - F.col("neg_cum")
     val = (F.sum(F.col("pos") * (below + F.col("neg") / 2.0)) / F.lit(float(p * n))
            if p and n else F.lit(None))
@@ -57,11 +58,11 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
 
 
 def ks_statistic(df: DataFrame, label: str = "label", score: str = "score",
-                 ranges: int = 64) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic between the score
     distributions of negatives and positives."""
     p, n = _totals(df, label)
-    c = _descending_cum(df, label, score, ranges)
+    c = _descending_cum(df, label, score, ranges, p + n)
     f_pos = (F.lit(float(p)) - F.col("pos_cum") + F.col("pos")) / F.lit(float(p))
     f_neg = (F.lit(float(n)) - F.col("neg_cum") + F.col("neg")) / F.lit(float(n))
     val = F.max(F.abs(f_neg - f_pos)) if p and n else F.lit(None)
@@ -74,20 +75,21 @@ def brier_score(df: DataFrame, label: str = "label", score: str = "score") -> Da
 
 
 def coverage_at(df: DataFrame, label: str = "label", score: str = "score",
-                id_col: str = "id", deciles: int = 3, ranges: int = 64) -> DataFrame:
+                id_col: str = "id", deciles: int = 3, ranges: int | None = None) -> DataFrame:
     """Share of all positives among the top ``n // 10 * deciles`` rows by
     score (ties broken by id)."""
     p, n = _totals(df, label)
     k = (p + n) // 10 * deciles
     ranked = ordered_running(df.select(id_col, label, score), order=score,
-                             descending=True, tiebreak=[id_col], ranges=ranges)
+                             descending=True, tiebreak=[id_col],
+                             ranges=ranges or range_count(p + n))
     top = F.sum(F.when(F.col("_rank") <= k, F.col(label).cast("int")).otherwise(0))
     val = top.cast("double") / F.lit(float(p)) if p else F.lit(None)
     return ranked.agg(F.round(val, DIGITS).alias(f"cov_at_decile_{deciles}"))
 
 
 def classifier_report(df: DataFrame, label: str = "label", score: str = "score",
-                      id_col: str = "id", ranges: int = 64) -> DataFrame:
+                      id_col: str = "id", ranges: int | None = None) -> DataFrame:
     """All five metrics, one (metric, value) row each."""
     parts = [average_precision(df, label, score, ranges),
              roc_auc(df, label, score, ranges), brier_score(df, label, score),

@@ -38,17 +38,31 @@ def add_ranges(df: DataFrame, value: str, ranges: int,
     return out.drop(tmp)
 
 
+ROWS_PER_RANGE = 2_000_000
+
+
+def range_count(rows: int, rows_per_range: int = ROWS_PER_RANGE,
+                minimum: int = 8) -> int:
+    """Ranges so that one range (one window task) holds about
+    ``rows_per_range`` rows."""
+    return max(minimum, -(-rows // rows_per_range))
+
+
 def ordered_running(df: DataFrame, *, order: str, sums: Sequence[str] = (),
                     groups: Sequence[str] = (), descending: bool = False,
-                    tiebreak: Sequence[str] = (), ranges: int = 64,
+                    tiebreak: Sequence[str] = (), ranges: int | None = None,
                     rank_col: str = "_rank") -> DataFrame:
     """Add, per ``groups``, the 1-based rank of each row in ``order``
     (then ``tiebreak``) and inclusive running sums ``<c>_cum`` of ``sums``.
 
     Exact; ties in (order, tiebreak) are ranked in an arbitrary order, so
     pass a tiebreak that makes the order total when ranks matter.
+    ``ranges`` defaults to one per ~2M rows (one count of the input), so a
+    range stays a task-sized piece however large the input grows.
     """
     groups = list(groups)
+    if ranges is None:
+        ranges = range_count(df.count())
     key = "_ord"
     base = df.withColumn(key, (-F.col(order)) if descending else F.col(order))
     ranged = add_ranges(base, key, ranges)

@@ -55,7 +55,7 @@ def last_digit_sample(df: DataFrame, id_col: str,
 
 
 def stratified_split(df: DataFrame, *, id_cols: str | Sequence[str], label_col: str,
-                     test_size: float = 0.3, ranges: int = 64,
+                     test_size: float = 0.3, ranges: int | None = None,
                      salt: str = "") -> DataFrame:
     """Add ``split`` = 'test' / 'train' with exactly ceil(test_size * n)
     test rows in every label, chosen by id hash order (then id).
