@@ -56,8 +56,8 @@ def build_session(
 def shared_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a folder of
-    our own is created and registered.
+    Read from the session. Only a local session without the setting (tests)
+    gets a folder of our own; on a cluster an unset folder is an error.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
@@ -66,6 +66,11 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             configured = None
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: point it at a folder "
+                             "shared by all executors (a machine-local folder does "
+                             "not survive executor loss)")
+        # local runs and tests only: a private folder on this machine
         configured = tempfile.mkdtemp(prefix="spendgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
