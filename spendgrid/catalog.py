@@ -681,3 +681,36 @@ def q_batch_scores(spark, base):
     model = ml.fit(split, cat + ind, num, ml.TreeParams(num_trees=20, depth=3),
                    validation_col="is_valid")
     return ml.batch_scores(model, split, TARGET)
+
+# --------------------------------------------------- exports and CTAS shape
+
+import datetime as _dt  # noqa: E402
+import glob as _glob  # noqa: E402
+import os as _os  # noqa: E402
+
+
+@register("csv_export", O.with_monthly("SELECT * FROM ms"))
+def q_csv_export(spark, base):
+    """Monthly summary exported as one CSV file with a header into a folder
+    named for the run, then read back with the summary's schema."""
+    monthly = prep.monthly_of(_src(spark, base), P)
+    folder = store.run_scratch(spark, "exports")
+    out = store.export_csv(monthly, folder, "db_cat_aff.sales_monthly_summary",
+                           _dt.datetime(2001, 8, 1, 6, 0, 0))
+    files = _glob.glob(_os.path.join(out, "*.csv"))
+    assert len(files) == 1, files
+    return spark.read.csv(files[0], header=True, schema=monthly.schema)
+
+
+@register("master_table_empty", O.with_everything(
+    "SELECT * FROM (" + O.master_select() + ") WHERE 1 = 0"))
+def q_master_table_empty(spark, base):
+    """The master table created empty from the query's schema, partitioned by
+    snapshot month (``CREATE TABLE ... AS SELECT ... WHERE 1=0``), read back."""
+    src = _src(spark, base)
+    name = "master_table_empty"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    store.create_empty_like(_master(src), name, partition_cols=["snapshot_dt"],
+                            path=store.run_scratch(spark, name))
+    t = spark.table(name)
+    return t.select(*_master(src).columns)

@@ -68,11 +68,15 @@ def insert_partitions(df: DataFrame, table_name: str) -> None:
 
 
 def create_empty_like(df: DataFrame, name: str,
-                      partition_cols: Sequence[str] = ()) -> None:
-    """Empty table with the schema of a query (``CTAS ... where 1=0``)."""
+                      partition_cols: Sequence[str] = (),
+                      path: str | None = None) -> None:
+    """Empty table with the schema of a query (``CTAS ... where 1=0``);
+    with ``path`` an external table stored there."""
     w = df.limit(0).write.format("parquet")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
 
 
