@@ -7,13 +7,31 @@ library operators; each oracle entry is the DuckDB restatement.
 
 from __future__ import annotations
 
+import datetime as _dt
+import glob as _glob
+import os as _os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendgrid import oracle as O
+from spendgrid.functions import lifetime as lt
+from spendgrid.operators import attributes as attr
+from spendgrid.operators import features as feat
+from spendgrid.operators import filters as flt
+from spendgrid.operators import matrix as mx
+from spendgrid.operators import metrics as met
+from spendgrid.operators import model as ml
+from spendgrid.operators import sampling as smp
+from spendgrid.operators import snapshot as snap
+from spendgrid.operators import tokens as tok
+from spendgrid.operators.joins import token_details
+from spendgrid.operators.monthly import first_month
 from spendgrid.plans import preparation as prep
 from spendgrid.session import shared_checkpoint_dir
+from spendgrid.sources import store, testdata
+from spendgrid.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -77,16 +95,6 @@ def q_snapshot(spark, base):
 
 # ------------------------------------------------------- sources and views
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from spendgrid.operators import filters as flt  # noqa: E402
-from spendgrid.operators import features as feat  # noqa: E402
-from spendgrid.operators import snapshot as snap  # noqa: E402
-from spendgrid.operators.monthly import first_month  # noqa: E402
-from spendgrid.sources import store  # noqa: E402
-from spendgrid.sources import testdata  # noqa: E402
-from spendgrid.sources.tables import read_table  # noqa: E402
-
 
 @register("scan_project", "WITH " + O.adapter_ctes() + " SELECT * FROM src_product")
 def q_scan_project(spark, base):
@@ -311,10 +319,6 @@ def q_point_in_time(spark, base):
 
 # ------------------------------------------------------ tokens and baskets
 
-from spendgrid.operators import attributes as attr  # noqa: E402
-from spendgrid.operators import tokens as tok  # noqa: E402
-from spendgrid.operators.joins import token_details  # noqa: E402
-
 
 def _tokens(src):
     return tok.product_tokens(src.products)
@@ -435,9 +439,6 @@ def q_master_table(spark, base):
 
 # ------------------------------------------- sampling, model data, metrics
 
-from spendgrid.operators import matrix as mx  # noqa: E402
-from spendgrid.operators import metrics as met  # noqa: E402
-from spendgrid.operators import sampling as smp  # noqa: E402
 
 SLICE_DT = "2000-06-01"
 TARGET = "skincare"
@@ -462,7 +463,6 @@ _ROWID = "concat_ws('|', elc_master_id, CAST(consumer_id AS VARCHAR), CAST(brand
 _HASH = f"CAST(('0x' || substr(md5({_ROWID}), 1, 8)) AS BIGINT)"
 
 
-
 def _with_master_fixed(select: str) -> str:
     base = O.with_everything("")
     return base + f",\nmaster AS ({O.master_select()})\n" + select
@@ -618,8 +618,6 @@ def q_coverage_at_decile(spark, base):
 
 # ------------------------------------------------ lifetime functions, model
 
-from spendgrid.functions import lifetime as lt  # noqa: E402
-from spendgrid.operators import model as ml  # noqa: E402
 
 _LT = lt.LifetimeParams()
 _RFM_SQL = f"""
@@ -684,10 +682,6 @@ def q_batch_scores(spark, base):
 
 # --------------------------------------------------- exports and CTAS shape
 
-import datetime as _dt  # noqa: E402
-import glob as _glob  # noqa: E402
-import os as _os  # noqa: E402
-
 
 @register("csv_export", O.with_monthly("SELECT * FROM ms"))
 def q_csv_export(spark, base):
@@ -695,7 +689,7 @@ def q_csv_export(spark, base):
     named for the run, then read back with the summary's schema."""
     monthly = prep.monthly_of(_src(spark, base), P)
     folder = store.run_scratch(spark, "exports")
-    out = store.export_csv(monthly, folder, "db_cat_aff.sales_monthly_summary",
+    out = store.export_csv(monthly, folder, "analytics.sales_monthly_summary",
                            _dt.datetime(2001, 8, 1, 6, 0, 0))
     files = _glob.glob(_os.path.join(out, "*.csv"))
     assert len(files) == 1, files

@@ -1,7 +1,6 @@
 import datetime as dt
 import random
 
-import pandas as pd
 import pytest
 
 from spendgrid.functions.dates import add_months

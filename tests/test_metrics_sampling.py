@@ -91,3 +91,12 @@ def test_hash_sample_and_limit_repeatable(spark):
     assert l1 == l2 and len(l1) == 10
     assert {r.cid for r in smp.last_digit_sample(df, "cid").collect()} == \
         {i for i in range(2000) if i % 10 == 1}
+
+
+def test_auc_of_negated_score(spark):
+    rng = random.Random(11)
+    labels = [rng.random() < 0.4 for _ in range(200)]
+    scores = [round(rng.random(), 2) for _ in labels]
+    a = met.roc_auc(frame(spark, labels, scores)).first()[0]
+    b = met.roc_auc(frame(spark, labels, [-s for s in scores])).first()[0]
+    assert a + b == pytest.approx(1.0, abs=2e-6)

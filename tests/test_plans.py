@@ -5,7 +5,6 @@ import os
 import numpy as np
 from pyspark.sql import functions as F
 
-from spendgrid.operators import model as ml
 from spendgrid.plans import scoring, training
 from spendgrid.sources import store
 

@@ -3,7 +3,6 @@ import datetime as dt
 import duckdb
 import pandas as pd
 import pytest
-from pyspark.sql import Row
 
 from spendgrid import oracle as O
 from spendgrid.operators import CATEGORIES, category_prefix
@@ -144,3 +143,29 @@ def test_properties(gap_customer):
         prev = r["makeup_cnt_tot"]
         assert (r["makeup_cnt_3m"] <= r["makeup_cnt_6m"] <= r["makeup_cnt_12m"]
                 <= r["makeup_cnt_24m"] <= r["makeup_cnt_tot"])
+
+
+def test_grid_rows_per_key_property(spark):
+    """Rows per key = months from the key's first purchase (or the calendar
+    start, if later) to the calendar end."""
+    import random
+    rng = random.Random(21)
+    rows = []
+    for k in range(40):
+        for m in sorted(rng.sample(range(0, 60), rng.randint(1, 6))):
+            rows.append((f"E{k}", k, 1, D(2017 + m // 12, m % 12 + 1, 1),
+                         1.0, 1, 1, 1.0, 0.0, 0.0, 0.0, 0.0))
+    df, _ = monthly_rows(spark, rows)
+    start, end = D(2018, 3, 1), D(2020, 6, 1)
+    got = {r["consumer_id"]: r["n"] for r in month_grid(
+        df, calendar_start=start, calendar_end=end).groupBy("consumer_id").count()
+        .withColumnRenamed("count", "n").collect()}
+
+    def months(a, b):
+        return (b.year - a.year) * 12 + b.month - a.month + 1
+
+    want = {}
+    for _, k, _, m, *rest in rows:
+        want[k] = min(want.get(k, m), m)
+    want = {k: months(max(m, start), end) for k, m in want.items() if m <= end}
+    assert got == want
