@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,16 +60,46 @@ class Sources:
     extra: dict = field(default_factory=dict)
 
 
-def test_sources(spark: SparkSession, base: str) -> Sources:
-    return Sources(
-        header=testdata.header_source(spark, base),
-        detail=testdata.detail_source(spark, base),
-        products=testdata.product_dim(spark, base),
-        brands=testdata.brand_source(spark, base),
-        consumer_variables=testdata.consumer_variables(spark, base),
-        consumer_attributes=testdata.consumer_attributes(spark, base),
-        stores=testdata.store_dim(spark, base),
-    )
+class _TestSources:
+    """Sources over the driver's test tables (same attributes as
+    :class:`Sources`), each frame built on first use, so a query builds only
+    the frames it reads."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self._spark, self._base = spark, base
+        self.extra: dict = {}
+
+    @cached_property
+    def header(self) -> DataFrame:
+        return testdata.header_source(self._spark, self._base)
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        return testdata.detail_source(self._spark, self._base)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return testdata.product_dim(self._spark, self._base)
+
+    @cached_property
+    def brands(self) -> DataFrame:
+        return testdata.brand_source(self._spark, self._base)
+
+    @cached_property
+    def consumer_variables(self) -> DataFrame:
+        return testdata.consumer_variables(self._spark, self._base)
+
+    @cached_property
+    def consumer_attributes(self) -> DataFrame:
+        return testdata.consumer_attributes(self._spark, self._base)
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return testdata.store_dim(self._spark, self._base)
+
+
+def test_sources(spark: SparkSession, base: str) -> "_TestSources":
+    return _TestSources(spark, base)
 
 
 def headers_of(src: Sources, p: PrepParams, extra=()) -> DataFrame:
