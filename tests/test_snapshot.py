@@ -169,3 +169,18 @@ def test_grid_rows_per_key_property(spark):
         want[k] = min(want.get(k, m), m)
     want = {k: months(max(m, start), end) for k, m in want.items() if m <= end}
     assert got == want
+
+
+def test_snapshot_plan_has_one_exchange(spark):
+    """Facts -> grid -> features: one hash exchange by the keys, no join."""
+    rows = [("E1", 1, 7, D(2020, 1, 1), 10.0, 1, 2, 10.0, 0.0, 0.0, 0.0, 0.0),
+            ("E1", 1, 7, D(2020, 4, 1), 5.0, 1, 1, 0.0, 5.0, 0.0, 0.0, 0.0)]
+    df, _ = monthly_rows(spark, rows)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = snapshot(df, calendar_start="2020-01-01", calendar_end="2020-06-01")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert "Join" not in plan, plan
