@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from spendgrid.operators.attributes import (STORE_COLUMNS, ratio_attributes,
                                             store_attributes)
@@ -66,3 +67,38 @@ def test_ratios(spark):
     assert dec.mobile_txn_ratio == pytest.approx(1 / 3)
     assert dec.sales_q4_ratio == pytest.approx(100 / 300)
     assert dec.tablet_txn_ratio == 0.0
+
+
+def test_master_joins_are_copartitioned(spark):
+    """Grids partitioned by the entity id join without a new exchange."""
+    from spendgrid.operators.attributes import master_table
+    from spendgrid.operators.monthly import monthly_summary
+    from spendgrid.operators.snapshot import snapshot
+
+    e = ("E", 1, 1)
+    rows = [(*e, D(2020, 1, 3), 1, 5, "WEB", "N", "SALE", 10.0, 0.0),
+            (*e, D(2020, 3, 9), 2, 3, "FSS", "Y", "SALE", 10.0, 1.0)]
+    sales = lines(spark, rows).withColumn("major_category", F.lit("Makeup"))
+    kw = dict(calendar_start="2020-01-01", calendar_end="2020-05-01",
+              partition_by=("elc_master_id",))
+    snap = snapshot(monthly_summary(sales), **kw)
+    ratios = ratio_attributes(sales, **kw)
+    stores = store_attributes(sales, stores_dim(spark), **kw)
+    cv = spark.createDataFrame([], "elc_master_id string, ethnic_group string, gender string, "
+                               "language string, marital_status string, occupation_group string, "
+                               "mosaic_segment string, mosaic_group string, age_range string, "
+                               "ethnicity_detail string, income string, birth_year int, "
+                               "cdp_region string, CDC_CODE string")
+    from spendgrid.operators.attributes import _ca_columns
+    ca = spark.createDataFrame([], "elc_master_id string, consumer_id long, cdp_region string, "
+                               + ", ".join(f"{c} string" for c in _ca_columns()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        out = master_table(snap, cv, ca, ratios, stores)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" in plan
+    assert "hashpartitioning(elc_master_id, consumer_id, brand_id, snapshot_dt" not in plan, plan
+    assert out.count() == 5
