@@ -63,7 +63,7 @@ RULES = (
     Rule("long_words", "word_chars", "n_words", "max", 14_000),
     Rule("few_stop_words", "n_stop_words", "n_words", "min", 20),
     Rule("exclamation", "n_exclamations", "n_words", "max", 300),
-    Rule("duplicate_lines", "n_dup_lines", "n_lines", "max", 300),
+    Rule("duplicate_lines", "n_dup_lines", "n_lines", "max", 500),
 )
 
 _POSITION_BITS = 24

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from spendgrid.llm import quality_rules
+from spendgrid.llm import chat_format, quality_rules
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
+    "op2_chat_format": chat_format,
 }
 
 
