@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from spendgrid.llm import chat_format, quality_rules
+from spendgrid.llm import chat_format, quality_rules, sentencepiece_bpe, wavelet_files
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_chat_format": chat_format,
+    "op4_wavelet_files": wavelet_files,
+    "op5_sentencepiece": sentencepiece_bpe,
 }
 
 

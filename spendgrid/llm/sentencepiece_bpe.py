@@ -18,7 +18,6 @@ further columns do not matter; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -50,7 +49,8 @@ class MergeEncoder:
         if len(set(self.rank.values())) < len(self.rank) or any(SPACE in p[1:] for p in self.rank):
             raise ValueError("pieces with equal scores or inner separators are not supported")
         self._known = {p for p in self.id_of if len(p) == 1}
-        self._unknown = re.compile(f"([^{''.join(map(re.escape, self._known))}])")
+        # nothing is ever merged across two characters that are neighbours in no piece
+        self._neighbours = {pair for p in self.rank for pair in zip(p, p[1:])}
         self._automaton = ahocorasick.Automaton()
         for p, i in self.id_of.items():
             if len(p) == 1 or p in self.rank and self.merge(p) == [p]:
@@ -59,6 +59,7 @@ class MergeEncoder:
         self._longest = max(map(len, self.id_of))
         self.follows = lru_cache(_CACHE)(lambda a, b: self.merge(a + b) == [a, b])
         self._word = lru_cache(_CACHE)(self._encode_word)
+        self._part = lru_cache(_CACHE)(self._encode_part)
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a short text by merging the best pair, again and again."""
@@ -75,7 +76,7 @@ class MergeEncoder:
         return parts
 
     def _encode_part(self, text: str) -> tuple[int, ...]:
-        """Ids of a text of known characters. The longest pieces one after the
+        """Ids of a text whose characters may all be merged. The longest pieces one after the
         other are the first path; most texts need no other."""
         path = [piece for _, piece in self._automaton.iter_long(text)]
         if sum(map(len, path)) != len(text) or not all(map(self.follows, path, path[1:])):
@@ -106,14 +107,16 @@ class MergeEncoder:
 
     def _encode_word(self, word: str) -> tuple[int, ...]:
         """Ids of a word with the separator before it."""
-        if self._known.issuperset(word):
-            return self._encode_part(SPACE + word)
+        text = SPACE + word
+        near = self._neighbours
+        cuts = [i for i, pair in enumerate(zip(text, word), 1) if pair not in near]
         out: list[int] = []
-        for k, part in enumerate(self._unknown.split(SPACE + word)):
-            if k % 2:
+        for begin, end in zip([0, *cuts], [*cuts, len(text)]):
+            part = text[begin:end]
+            if end - begin == 1 and part not in self._known:
                 out += [self.byte_ids[b] for b in part.encode()]
-            elif part:
-                out += self._encode_part(part)
+            else:
+                out += self._part(part) if end - begin <= _CACHED_WORD else self._encode_part(part)
         return tuple(out)
 
     def spaces(self, n: int) -> list[int]:
