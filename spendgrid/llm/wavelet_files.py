@@ -27,6 +27,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -42,7 +43,7 @@ from spendgrid.llm.common import Scratch, checkpoint_dir, read_table
 MAGIC = b"WVMX0001"
 BLOCK_BYTES = 1 << 13
 BLOCK_BITS = 8 * BLOCK_BYTES
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
 BATCH_BYTES = 8 << 20
 END_ID = 2
 
@@ -62,14 +63,13 @@ def pack(ids: np.ndarray, doc_starts: np.ndarray, doc_ids: list) -> bytes:
     ones: list[np.ndarray] = []
     zeros = np.zeros(width, dtype=np.int64)
     for level in range(width):
-        bits = (level_ids >> level_ids.dtype.type(width - 1 - level)).astype(bool) if level == 0 else (
-            level_ids & level_ids.dtype.type(1 << (width - 1 - level))).astype(bool)
+        bits = (level_ids & level_ids.dtype.type(1 << (width - 1 - level))) != 0
         plane = np.packbits(bits)
         cuts = range(0, len(plane), BLOCK_BYTES)
         blocks += [zlib.compress(plane[c:c + BLOCK_BYTES].tobytes(), 1) for c in cuts]
         counts = np.add.reduceat(np.bitwise_count(plane), np.arange(0, len(plane), BLOCK_BYTES), dtype=np.int64) if n else np.zeros(0, np.int64)
         ones.append(np.concatenate(([0], np.cumsum(counts))))
-        low, high = level_ids[~bits], level_ids[bits]
+        low, high = level_ids[np.flatnonzero(~bits)], level_ids[np.flatnonzero(bits)]
         zeros[level] = len(low)
         level_ids = np.concatenate((low, high))
     table = pa.table({"doc_id": pa.array(doc_ids), "start": pa.array(doc_starts, pa.int64())})
@@ -177,8 +177,8 @@ class WaveletFile:
             bits = np.unpackbits(np.frombuffer(plane, np.uint8), count=self.n).astype(bool)
             zeros = int(self.zeros[level])
             up = np.empty_like(value)
-            up[~bits] = value[:zeros]
-            up[bits] = value[zeros:] | kind(1 << (self.width - 1 - level))
+            up[np.flatnonzero(~bits)] = value[:zeros]
+            up[np.flatnonzero(bits)] = value[zeros:] | kind(1 << (self.width - 1 - level))
             value = up
         return value
 
@@ -190,6 +190,10 @@ _KIND[33:127] = 1
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123)]] = 2
 _KIND[ord("'")] = 3
 _KIND[[32, *range(9, 14)]] = 0
+#: By the kinds of two neighbours: whether a part begins at the second.
+_CUT = np.zeros(16, dtype=bool)
+_CUT[[0 * 4 + 1, 0 * 4 + 2, 0 * 4 + 3, 1 * 4 + 2, 2 * 4 + 1]] = True
+_CACHED_PART = 32
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -197,28 +201,37 @@ _LOWER[65:91] += 32
 class PartEncoder:
     """Ids of texts, for a lower-casing tokenizer with this split pattern."""
 
-    def __init__(self, path: str, cache: int = 1 << 18):
+    def __init__(self, path: str, cache: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._cache: dict[bytes, list[int]] = {}
         self._most = cache
-
-    def _ids(self, parts: list[bytes]) -> list[list[int]]:
-        cache = self._cache
-        new = [p for p in parts if p not in cache]
-        found = cache
+        self._reset()
+
+    def _reset(self) -> None:
+        self._row: dict[bytes, int] = {}  # of a part in the two arrays below
+        self._ends = array("q", [0])
+        self._pool = array("I")
+
+    def _rows(self, parts: list[bytes]) -> np.ndarray:
+        """Where the ids of each part stand in the pool."""
+        if len(self._row) + len(parts) > self._most:
+            self._reset()
+        rows = self._row
+        new = [p for p in parts if p not in rows]
         if new:
-            encoded = self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-            fresh = {p: e.ids for p, e in zip(new, encoded)}
-            if len(cache) + len(fresh) > self._most:
-                found = cache | fresh
-                self._cache = {p: v for p, v in fresh.items() if len(p) <= 32} if len(fresh) <= self._most else {}
-            else:
-                cache |= fresh
-        return [found[p] for p in parts]
+            first = len(self._ends) - 1
+            for e in self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False):
+                self._pool.extend(e.ids)
+                self._ends.append(len(self._pool))
+            rows.update(zip(new, range(first, first + len(new))))
+        found = np.fromiter(map(rows.__getitem__, parts), np.int64, len(parts))
+        for p in new:
+            if len(p) > _CACHED_PART:
+                del rows[p]
+        return found
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each begins
@@ -230,22 +243,22 @@ class PartEncoder:
         data = _LOWER[np.frombuffer(b"".join(t + b"\n" for i, t in enumerate(texts) if i not in whole), dtype=np.uint8)]
         if len(data):
             kind = _KIND[data]
-            a, b = kind[:-1], kind[1:]
-            cut = np.flatnonzero((a == 0) & (b != 0) | (a == 1) & (b == 2) | (a == 2) & (b == 1)) + 1
+            cut = np.flatnonzero(_CUT[kind[:-1] * np.uint8(4) + kind[1:]]) + 1
             start = np.concatenate(([0], cut)) if kind[0] else cut
             real = kind != 0
-            length = np.add.reduceat(real, start, dtype=np.int64) if len(start) else np.zeros(0, np.int64)
+            before = np.cumsum(real, dtype=np.int64)
             parts = pa.Array.from_buffers(pa.large_binary(), len(start), [
-                None, pa.py_buffer(np.concatenate(([0], np.cumsum(length))).astype(np.int64)), pa.py_buffer(data[real])])
+                None, pa.py_buffer(np.append(before[start] - 1, before[-1])), pa.py_buffer(data[real])])
             coded = parts.dictionary_encode()
-            ids = self._ids(coded.dictionary.to_pylist())
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            pool = np.fromiter((x for part in ids for x in part), np.uint32, int(sizes.sum()))
-            first = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+            rows = self._rows(coded.dictionary.to_pylist())
+            ends_of, pool = np.array(self._ends), np.array(self._pool, dtype=np.uint32)
+            first, sizes = ends_of[rows], ends_of[rows + 1] - ends_of[rows]
             which = coded.indices.to_numpy()
             size = sizes[which]
             ends = np.cumsum(size)
-            flat = pool[np.repeat(first[which] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+            at = np.repeat(first[which] - (ends - size), size)
+            at += np.arange(len(at))
+            flat = pool[at]
             upto = np.concatenate(([0], ends))[np.searchsorted(start, offsets)]
         else:
             flat, upto = np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
