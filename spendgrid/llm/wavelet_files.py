@@ -34,6 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,6 +60,7 @@ def pack(ids: np.ndarray, doc_starts: np.ndarray, doc_ids: list) -> bytes:
     n = len(ids)
     width = max(1, int(ids.max()).bit_length()) if n else 1
     level_ids = ids.astype(np.uint16 if width <= 16 else np.uint32)
+    compress = zstandard.ZstdCompressor(level=1).compress
     blocks: list[bytes] = []
     ones: list[np.ndarray] = []
     zeros = np.zeros(width, dtype=np.int64)
@@ -66,7 +68,7 @@ def pack(ids: np.ndarray, doc_starts: np.ndarray, doc_ids: list) -> bytes:
         bits = (level_ids & level_ids.dtype.type(1 << (width - 1 - level))) != 0
         plane = np.packbits(bits)
         cuts = range(0, len(plane), BLOCK_BYTES)
-        blocks += [zlib.compress(plane[c:c + BLOCK_BYTES].tobytes(), 1) for c in cuts]
+        blocks += [compress(plane[c:c + BLOCK_BYTES].tobytes()) for c in cuts]
         counts = np.add.reduceat(np.bitwise_count(plane), np.arange(0, len(plane), BLOCK_BYTES), dtype=np.int64) if n else np.zeros(0, np.int64)
         ones.append(np.concatenate(([0], np.cumsum(counts))))
         low, high = level_ids[np.flatnonzero(~bits)], level_ids[np.flatnonzero(bits)]
@@ -106,7 +108,7 @@ class WaveletFile:
     def _read_block(self, level: int, block: int) -> np.ndarray:
         k = level * self.blocks + block
         begin, end = self._begin + self._directory[k:k + 2]
-        return np.frombuffer(zlib.decompress(self._data[begin:end]), np.uint8)
+        return np.frombuffer(zstandard.decompress(self._data[begin:end]), np.uint8)
 
     def _rank(self, level: int, i: int) -> tuple[int, int]:
         """Ones before position i of a plane, and its bit there (0 at the end)."""
