@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
@@ -32,6 +33,7 @@ from spendgrid.llm.common import read_table
 SPACE = "▁"
 _CACHED_WORD = 64  # longer words are not kept in the cache
 _CACHE = 1 << 18
+_CACHED_WORDS = 1 << 19
 
 
 class MergeEncoder:
@@ -58,7 +60,7 @@ class MergeEncoder:
         self._automaton.make_automaton()
         self._longest = max(map(len, self.id_of))
         self.follows = lru_cache(_CACHE)(lambda a, b: self.merge(a + b) == [a, b])
-        self._word = lru_cache(_CACHE)(self._encode_word)
+        self._word = lru_cache(_CACHED_WORDS)(self._encode_word)
         self._part = lru_cache(_CACHE)(self._encode_part)
 
     def merge(self, text: str) -> list[str]:
@@ -134,6 +136,8 @@ class MergeEncoder:
             return []
         out: list[int] = []
         words = text.replace(SPACE, " ").split(" ")
+        if "" not in words and max(map(len, words)) <= _CACHED_WORD:
+            return list(chain.from_iterable(map(self._word, words)))
         spaces = 0
         single = self.id_of[SPACE]
         cached, plain = self._word, self._encode_word
