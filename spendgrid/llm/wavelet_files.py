@@ -13,8 +13,9 @@ folder is below ``spark.checkpoint.dir`` unless given.
 
 Tokenizing a text in parts: the tokenizer's pattern never spans white space or
 a change between an ASCII letter or digit and ASCII punctuation other than the
-apostrophe, and it lower-cases. So each distinct part is encoded once per
-batch. Texts that could hold a special token are encoded whole.
+apostrophe, and it lower-cases. So each distinct part is encoded once; parts
+met before are found again by a 64-bit hash, up to a bounded number of them.
+Texts that could hold a special token are encoded whole.
 
 Defined cases: a null text counts as empty (only the end id is written); null
 ids come first; rows of equal id are ordered by text; further columns do not
@@ -39,13 +40,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spendgrid.llm.common import Scratch, checkpoint_dir, read_table
+from spendgrid.llm.common import Scratch, checkpoint_dir, hash_spans, read_table
 
 MAGIC = b"WVMX0001"
 BLOCK_BYTES = 1 << 13
 BLOCK_BITS = 8 * BLOCK_BYTES
 SHARD_TOKENS = 1 << 20
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 12 << 20
 END_ID = 2
 
 
@@ -195,7 +196,6 @@ _KIND[[32, *range(9, 14)]] = 0
 #: By the kinds of two neighbours: whether a part begins at the second.
 _CUT = np.zeros(16, dtype=bool)
 _CUT[[0 * 4 + 1, 0 * 4 + 2, 0 * 4 + 3, 1 * 4 + 2, 2 * 4 + 1]] = True
-_CACHED_PART = 32
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -203,7 +203,7 @@ _LOWER[65:91] += 32
 class PartEncoder:
     """Ids of texts, for a lower-casing tokenizer with this split pattern."""
 
-    def __init__(self, path: str, cache: int = 600_000):
+    def __init__(self, path: str, cache: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -213,27 +213,32 @@ class PartEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self._row: dict[bytes, int] = {}  # of a part in the two arrays below
+        self._keys = np.zeros(0, np.uint64)  # sorted hashes of the parts met so far
+        self._at = np.zeros(0, np.int64)  # and their rows in the two arrays below
         self._ends = array("q", [0])
         self._pool = array("I")
 
-    def _rows(self, parts: list[bytes]) -> np.ndarray:
+    def _rows(self, parts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where the ids of each part stand in the pool."""
-        if len(self._row) + len(parts) > self._most:
+        if len(self._keys) + len(parts) > self._most:
             self._reset()
-        rows = self._row
-        new = [p for p in parts if p not in rows]
-        if new:
-            first = len(self._ends) - 1
-            for e in self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False):
+        keys = hash_spans(data, offsets[:-1], offsets[1:], lower=False)
+        place = np.searchsorted(self._keys, keys)
+        known = np.zeros(len(keys), dtype=bool)
+        inside = place < len(self._keys)
+        known[inside] = self._keys[place[inside]] == keys[inside]
+        rows = np.empty(len(keys), dtype=np.int64)
+        rows[known] = self._at[place[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            rows[new] = np.arange(len(new)) + (len(self._ends) - 1)
+            texts = [p.decode() for p in parts.take(pa.array(new)).to_pylist()]
+            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
                 self._pool.extend(e.ids)
                 self._ends.append(len(self._pool))
-            rows.update(zip(new, range(first, first + len(new))))
-        found = np.fromiter(map(rows.__getitem__, parts), np.int64, len(parts))
-        for p in new:
-            if len(p) > _CACHED_PART:
-                del rows[p]
-        return found
+            order = new[np.argsort(keys[new], kind="stable")]
+            self._keys, self._at = (np.insert(old, place[order], fresh) for old, fresh in ((self._keys, keys[order]), (self._at, rows[order])))
+        return rows
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each begins
@@ -252,7 +257,9 @@ class PartEncoder:
             parts = pa.Array.from_buffers(pa.large_binary(), len(start), [
                 None, pa.py_buffer(np.append(before[start] - 1, before[-1])), pa.py_buffer(data[real])])
             coded = parts.dictionary_encode()
-            rows = self._rows(coded.dictionary.to_pylist())
+            table = coded.dictionary
+            table_offsets = np.frombuffer(table.buffers()[1], np.int64)[:len(table) + 1]
+            rows = self._rows(table, np.frombuffer(table.buffers()[2], np.uint8), table_offsets)
             ends_of, pool = np.array(self._ends), np.array(self._pool, dtype=np.uint32)
             first, sizes = ends_of[rows], ends_of[rows + 1] - ends_of[rows]
             which = coded.indices.to_numpy()
@@ -363,26 +370,26 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path in batch.column(0).to_pylist():
+        for path, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             file = load(path)
             ids = file.tokens().astype("<u4")
             starts = file.documents["start"].to_numpy()
             ends = np.append(starts[1:], file.n)
             yield pa.RecordBatch.from_arrays([
-                pa.array([path] * len(starts)), file.documents["doc_id"].combine_chunks(), pa.array(starts, pa.int64()),
-                pa.array(ends - starts, pa.int64()),
-                pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)], pa.int64())],
-                names=["path", "doc_id", "at", "n_tokens", "ids_crc32"])
+                file.documents["doc_id"].combine_chunks(), pa.array(starts + base, pa.int64()), pa.array(ends - starts, pa.int64()),
+                pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends)], pa.int64()), pa.array([path] * len(starts))],
+                names=["doc_id", "start", "n_tokens", "ids_crc32", "path"])
 
 
-def read_documents(manifest: DataFrame) -> DataFrame:
+def read_documents(manifest: DataFrame, doc_id: str = "bigint") -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32, path`` of every document, from the
-    files. Only the manifest, a row for each shard, is put in one order."""
+    files, one file after the other in each task. Only the manifest, a row for
+    each shard, is put in one order."""
     before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    read = manifest.select("path").repartition("path").mapInArrow(
-        _reader, "path string, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
-    return read.join(placed, "path").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", "path")
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return placed.repartition(tasks).mapInArrow(
+        _reader, f"doc_id {doc_id}, start bigint, n_tokens bigint, ids_crc32 bigint, path string")
 
 
 def default_tokenizer() -> str:
