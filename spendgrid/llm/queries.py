@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from spendgrid.llm import chat_format, near_duplicates, quality_rules, secret_scan, sentencepiece_bpe, wavelet_files
+from spendgrid.llm import chat_format, line_dedup, near_duplicates, quality_rules, secret_scan, sentencepiece_bpe, wavelet_files
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_chat_format": chat_format,
+    "op3_line_dedup": line_dedup,
     "op4_wavelet_files": wavelet_files,
     "op5_sentencepiece": sentencepiece_bpe,
     "op9_secret_scan": secret_scan,
