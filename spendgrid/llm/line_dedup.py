@@ -8,11 +8,6 @@ line's substrings at the places that can match a segment are hashed together
 with that length and the segment's number (multi-match-aware selection), which
 puts lines into inverted lists; members are then checked by the edit distance.
 
-Hashes are moved packed, by the bucket of their leading bits, not row by row.
-A first pass finds those that two lines share (at most two lines of a hash go
-on from each batch); a second sends the lines of these hashes. A bucket's
-lines are dealt to ``SALT`` tasks and read there as a stream.
-
 The distance is counted for many pairs at once: after a common start and end
 are left off, a band of ``2 * edits + 1`` diagonals is kept as bits of one
 64-bit word for each pair, and one step takes a code point of each pair.
@@ -38,13 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgrid.llm.common import _BASE, _BASE_INVERSE, _powers, Scratch, mix, read_table, text_of
-from spendgrid.llm.lists import classes, distinct_lists
+from spendgrid.llm.lists import classes, distinct_lists, shared_entries
 
 EDITS = 2
 MIN_CHARS = 20
-SALT = 8
 BATCH_BYTES = 12 << 20
-BUCKET_ENTRIES = 1 << 20
 _CHUNK = 1 << 20
 _POINT_VALUES = mix(np.arange(0x110000, dtype=np.uint64) + np.uint64(1 << 40))
 _POWERS, _INVERSE = _powers(_BASE, _CHUNK + 1), _powers(_BASE_INVERSE, _CHUNK + 1)
@@ -174,7 +167,7 @@ def segment_keys(lines: list[str], edits: int, least: int) -> tuple[np.ndarray,
 
 
 def _entries(batches: Iterator[pa.RecordBatch], edits: int, min_chars: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Sorted distinct (key, node) of about ``BATCH_BYTES`` of text at a time."""
+    """(key, node) of about ``BATCH_BYTES`` of text at a time."""
     seen: dict[str, None] = {}
     held = 0
 
@@ -182,12 +175,7 @@ def _entries(batches: Iterator[pa.RecordBatch], edits: int, min_chars: int) -> I
         lines = list(seen)
         nodes = np.array([line_node(x) for x in lines], dtype=np.int64)
         keys, of = segment_keys(lines, edits, min_chars)
-        node = nodes[of] if len(of) else np.zeros(0, np.int64)
-        order = np.lexsort((node, keys))
-        keys, node = keys[order], node[order]
-        new = np.ones(len(keys), dtype=bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (node[1:] != node[:-1])
-        return keys[new], node[new]
+        return keys, nodes[of] if len(of) else np.zeros(0, np.int64)
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
@@ -202,68 +190,6 @@ def _entries(batches: Iterator[pa.RecordBatch], edits: int, min_chars: int) -> I
         yield flush()
 
 
-def _packed(keys: np.ndarray, nodes: np.ndarray, bits: int, task: int) -> pa.RecordBatch:
-    """A row for each bucket of leading bits."""
-    cuts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.int64)
-    cuts = np.append(cuts, len(keys))
-    full = np.flatnonzero(np.diff(cuts))
-    return pa.RecordBatch.from_arrays([
-        pa.array(full, pa.int64()), pa.array([task % SALT] * len(full), pa.int64()), pa.array([1] * len(full), pa.int64()),
-        pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
-        pa.array([nodes[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary())], names=["bucket", "salt", "kind", "keys", "nodes"])
-
-
-_PACKED = "bucket bigint, salt bigint, kind bigint, keys binary, nodes binary"
-
-
-def _first_pass(edits: int, min_chars: int, bits: int):
-    def run(batches):
-        for keys, nodes in _entries(batches, edits, min_chars):
-            change = keys[1:] != keys[:-1]
-            first, last = np.append(True, change), np.append(change, True)
-            yield _packed(keys[first | last], nodes[first | last], bits, 0)
-    return run
-
-
-def _second_pass(edits: int, min_chars: int, bits: int):
-    def run(batches):
-        from pyspark import TaskContext
-        for k, (keys, nodes) in enumerate(_entries(batches, edits, min_chars)):
-            yield _packed(keys, nodes, bits, TaskContext.get().partitionId() + k)
-    return run
-
-
-def _unpack(column, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
-
-
-def _shared_keys(key, group):
-    keys, nodes = _unpack(group.column("keys"), np.uint64), _unpack(group.column("nodes"), np.int64)
-    order = np.argsort(keys, kind="stable")
-    keys, nodes = keys[order], nodes[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    several = np.minimum.reduceat(nodes, first) != np.maximum.reduceat(nodes, first)
-    shared = keys[first][several]
-    return pa.table({"bucket": [key[0].as_py()] if len(shared) else pa.array([], pa.int64()),
-                     "keys": pa.array([shared.tobytes()] if len(shared) else [], pa.binary())})
-
-
-def _members(batches):
-    """Rows come by bucket and salt, the shared keys of a bucket first."""
-    at, shared = None, np.zeros(0, np.uint64)
-    for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for bucket, salt, kind, keys, nodes in zip(*columns):
-            if kind == 0:
-                at, shared = (bucket, salt), np.frombuffer(keys, np.uint64)
-            elif at == (bucket, salt):
-                keys = np.frombuffer(keys, np.uint64)
-                place = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
-                hit = shared[place] == keys
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(keys[hit].view(np.int64)), pa.array(np.frombuffer(nodes, np.int64)[hit])], names=["value", "node"])
-
-
 def _check(edits: int):
     def run(batches):
         for batch in batches:
@@ -296,23 +222,13 @@ def _compare(edits: int):
 def line_classes(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id, text_hash, line, chars, class_doc, class_line``: for each line
     the first place of its class."""
-    spark = docs.sparkSession
     texts = docs.select("doc_id", text_of().alias("text"))
     at = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "s"))
     lines = scratch.write(at.select("doc_id", "text_hash", "line", F.xxhash64("s").alias("node"), F.length("s").alias("chars")), "lines")
     long = lines.where(F.col("chars") >= min_chars)
-    wanted = long.agg(F.count("*")).first()[0] * (edits + 1) * (edits + 2) / BUCKET_ENTRIES
-    bits = int(np.ceil(np.log2(max(wanted, 1))))
-    just_text = texts.select("text")
-    first = just_text.mapInArrow(_first_pass(edits, min_chars, bits), _PACKED)
-    shared = scratch.write(first.groupBy("bucket").applyInArrow(_shared_keys, "bucket bigint, keys binary"), "shared")
-    dealt = just_text.mapInArrow(_second_pass(edits, min_chars, bits), _PACKED).union(shared.select(
-        "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt"),
-        F.lit(0).cast("long").alias("kind"), "keys", F.lit(None).cast("binary").alias("nodes")))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = dealt.repartition(tasks, "bucket", "salt").sortWithinPartitions("bucket", "salt", "kind").mapInArrow(
-        _members, "value bigint, node bigint")
-    members = distinct_lists(scratch.write(entries.distinct(), "entries"), scratch)
+    n_entries = long.count() * (edits + 1) * (edits + 2)
+    members = distinct_lists(shared_entries(
+        texts.select("text"), lambda batches: _entries(batches, edits, min_chars), n_entries, scratch), scratch)
 
     # the texts of listed lines, from the first place of each
     listed = members.select("node").distinct()

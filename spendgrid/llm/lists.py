@@ -14,8 +14,11 @@ So any two members of a list are connected, or were checked.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,105 @@ from spendgrid.llm.common import Scratch
 from spendgrid.llm.components import connected_components
 
 BLOCK = 512
+SALT = 8
+BUCKET_ENTRIES = 1 << 20
+
+Entries = Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]]
+
+
+def _sorted(entries: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (key, node), by key."""
+    keys, nodes = entries
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    return keys[new], nodes[new]
+
+
+def _packed(keys: np.ndarray, nodes: np.ndarray, bits: int, task: int) -> pa.RecordBatch:
+    """A row for each bucket of leading bits."""
+    cuts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.zeros(1, np.int64)
+    cuts = np.append(cuts, len(keys))
+    full = np.flatnonzero(np.diff(cuts))
+    return pa.RecordBatch.from_arrays([
+        pa.array(full, pa.int64()), pa.array([task % SALT] * len(full), pa.int64()), pa.array([1] * len(full), pa.int64()),
+        pa.array([keys[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary()),
+        pa.array([nodes[cuts[b]:cuts[b + 1]].tobytes() for b in full], pa.binary())], names=["bucket", "salt", "kind", "keys", "nodes"])
+
+
+_PACKED = "bucket bigint, salt bigint, kind bigint, keys binary, nodes binary"
+
+
+def _first_pass(entries: Entries, bits: int):
+    def run(batches):
+        for keys, nodes in map(_sorted, entries(batches)):
+            change = keys[1:] != keys[:-1]
+            first, last = np.append(True, change), np.append(change, True)
+            yield _packed(keys[first | last], nodes[first | last], bits, 0)
+    return run
+
+
+def _second_pass(entries: Entries, bits: int):
+    def run(batches):
+        for k, (keys, nodes) in enumerate(map(_sorted, entries(batches))):
+            yield _packed(keys, nodes, bits, TaskContext.get().partitionId() + k)
+    return run
+
+
+def _unpack(column, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _shared_keys(key, group):
+    keys, nodes = _unpack(group.column("keys"), np.uint64), _unpack(group.column("nodes"), np.int64)
+    order = np.argsort(keys, kind="stable")
+    keys, nodes = keys[order], nodes[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    several = np.minimum.reduceat(nodes, first) != np.maximum.reduceat(nodes, first)
+    shared = keys[first][several]
+    return pa.table({"bucket": [key[0].as_py()] if len(shared) else pa.array([], pa.int64()),
+                     "keys": pa.array([shared.tobytes()] if len(shared) else [], pa.binary())})
+
+
+def _members(batches):
+    """Rows come by bucket and salt, the shared keys of a bucket first."""
+    at, shared = None, np.zeros(0, np.uint64)
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        for bucket, salt, kind, keys, nodes in zip(*columns):
+            if kind == 0:
+                at, shared = (bucket, salt), np.frombuffer(keys, np.uint64)
+            elif at == (bucket, salt):
+                keys = np.frombuffer(keys, np.uint64)
+                place = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
+                hit = shared[place] == keys
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(keys[hit].view(np.int64)), pa.array(np.frombuffer(nodes, np.int64)[hit])], names=["value", "node"])
+
+
+def shared_entries(rows: DataFrame, entries: Entries, n_entries: int, scratch: Scratch) -> DataFrame:
+    """Distinct ``value, node`` for the keys that two nodes share. ``entries``
+    turns the Arrow batches of a task's ``rows`` into arrays (uint64 keys,
+    int64 nodes), of bounded length each.
+
+    Keys are moved packed, by the bucket of their leading bits, not row by row.
+    A first pass finds those that two nodes share; at most two nodes of a key
+    go on from each batch. A second pass sends the nodes of all keys to where
+    the shared ones of their bucket are; a bucket's nodes are dealt to
+    ``SALT`` tasks and read there as a stream, so a key that very many nodes
+    hold fills no task's memory.
+    """
+    bits = int(np.ceil(np.log2(max(n_entries / BUCKET_ENTRIES, 1))))
+    first = rows.mapInArrow(_first_pass(entries, bits), _PACKED)
+    shared = scratch.write(first.groupBy("bucket").applyInArrow(_shared_keys, "bucket bigint, keys binary"), "shared")
+    dealt = rows.mapInArrow(_second_pass(entries, bits), _PACKED).union(shared.select(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt"),
+        F.lit(0).cast("long").alias("kind"), "keys", F.lit(None).cast("binary").alias("nodes")))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = dealt.repartition(tasks, "bucket", "salt").sortWithinPartitions("bucket", "salt", "kind").mapInArrow(
+        _members, "value bigint, node bigint")
+    return scratch.write(found.distinct(), "entries")
 
 
 def distinct_lists(entries: DataFrame, scratch: Scratch) -> DataFrame:
