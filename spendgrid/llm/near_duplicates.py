@@ -11,9 +11,9 @@
    Union sketches estimate the similarity and drop what is far below; exact
    Jaccard similarity on the full sets decides.
 4. Members of a list that are still in different components are compared in
-   blocks of ``BLOCK`` members: overlaps of the sketches are counted in a
-   task, and only pairs that pass the estimate leave it for the exact check.
-   So every pair that shares an entry is either connected or was compared.
+   blocks of ``BLOCK`` members, on their full sets, each pair in one list; only
+   links that join components leave the task. So every pair that shares an
+   entry is connected, or was compared.
 5. Components over the exact links.
 
 Shingles are compared by 64-bit hashes. Defined cases: a document without
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from spendgrid.llm.common import Scratch, hash_words, read_table, shingle_set
 from spendgrid.llm.components import connected_components
+from spendgrid.llm.lists import blocks_of
 
 SKETCH = 64
 INDEXED = 32
@@ -151,36 +152,73 @@ def _verifier(words: int, percent: int):
     return run
 
 
-def _block_pairs(percent: int):
-    """Pairs of different components, in a block of a list, that may be similar."""
-    least = safe_overlap(SKETCH, percent)
-
+def _block_links(words: int, percent: int):
+    """Links between different components among the rows of two blocks of a
+    list, as a spanning forest. A pair is looked at in the least of the lists
+    that both are in. Overlaps of the full sets are counted for all pairs at
+    once, by a product of 0/1 matrices over the shingles, some at a time."""
     def run(key, group):
         table = group.combine_chunks()
-        node, n, comp = (table.column(c).to_numpy() for c in ("node", "n", "comp"))
-        side, i, j = table.column("block").to_numpy(), key[1].as_py(), key[2].as_py()
-        sketches, size = _padded(table.column("sketch").to_pylist())
+        value, i, j = (k.as_py() for k in key)
+        node, n, comp, side = (table.column(c).to_numpy() for c in ("node", "n", "comp", "block"))
         left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-        real = np.arange(SKETCH) < size[:, None]
-        values, inverse, count = np.unique(sketches[real], return_inverse=True, return_counts=True)
-        column = np.cumsum(count > 1) - 1
-        held = np.zeros((len(node), int((count > 1).sum())), dtype=np.float32)
-        at = np.repeat(np.arange(len(node)), size)
-        shared = count[inverse] > 1
-        held[at[shared], column[inverse[shared]]] = 1
-        need = np.minimum(least, -(-percent * np.minimum.outer(n[left], n[right]) // 100))
-        ok = (held[left] @ held[right].T >= need - 0.5) & (comp[left][:, None] != comp[right][None, :])
-        ok &= 100 * np.minimum.outer(n[left], n[right]) >= percent * np.maximum.outer(n[left], n[right])
-        x, y = np.nonzero(ok)
-        a, b = left[x], right[y]
-        keep = node[a] < node[b] if i == j else np.ones(len(a), dtype=bool)
-        a, b = a[keep], b[keep]
-        keep = _estimate(sketches[a], sketches[b], percent)
-        a, b = node[a[keep]], node[b[keep]]
-        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+        maybe = comp[left][:, None] != comp[right][None, :]
+        maybe &= 100 * np.minimum.outer(n[left], n[right]) >= percent * np.maximum.outer(n[left], n[right])
+        if i == j:
+            maybe &= node[left][:, None] < node[right][None, :]
+        values = [np.array([x for x in v if x < value], dtype=np.int64) for v in table.column("values").to_pylist()]
+        maybe &= _overlap(values, left, right) == 0
+        keep_left, keep_right = maybe.any(axis=1), maybe.any(axis=0)
+        left, right, maybe = left[keep_left], right[keep_right], maybe[keep_left][:, keep_right]
+        if not maybe.any():
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        used = np.unique(np.concatenate((left, right)))
+        sets: list = [np.zeros(0, np.uint64)] * len(node)
+        for k, found in zip(used, _sets(table.column("text").take(pa.array(used)).combine_chunks(), words)):
+            sets[k] = found
+        both = _overlap(sets, left, right)
+        union = np.add.outer(n[left], n[right]) - both
+        x, y = np.nonzero(maybe & (100 * both >= percent * union))
+        root = {c: c for c in comp.tolist()}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        links = []
+        for a, b in zip(left[x].tolist(), right[y].tolist()):
+            p, q = find(int(comp[a])), find(int(comp[b]))
+            if p != q:
+                root[p] = q
+                links.append((min(node[a], node[b]), max(node[a], node[b])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
     return run
 
 
+def _overlap(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with those ``right``."""
+    used = np.unique(np.concatenate((left, right)))
+    size = np.array([len(sets[k]) for k in used])
+    out = np.zeros((len(left), len(right)), dtype=np.int64)
+    if not size.sum():
+        return out
+    _, inverse, count = np.unique(np.concatenate([sets[k] for k in used]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(used)), size)
+    shared = count[inverse] > 1
+    row, column = row[shared], (np.cumsum(count > 1) - 1)[inverse[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    l, r = np.searchsorted(used, left), np.searchsorted(used, right)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        lo, hi = np.searchsorted(column, (begin, begin + columns))
+        held = np.zeros((len(used), columns), dtype=np.float32)
+        held[row[lo:hi], column[lo:hi] - begin] = 1
+        out += (held[l] @ held[r].T).astype(np.int64)
+    return out
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``
     (``doc_id`` bigint, ``text``): the component over all links of at least
@@ -232,13 +270,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     placed = members.where("size > 2").join(first, "node", "left").select(
         "value", "size", "node", "n", F.coalesce("root", "node").alias("comp"))
     open_lists = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
-    spread = placed.join(open_lists, "value", "left_semi").join(active.select("node", "sketch"), "node").select(
-        "value", "node", "n", "comp", "sketch", F.pmod(F.xxhash64("node"), blocks).alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
-    more = spread.select("*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")).groupBy("value", "i", "j").applyInArrow(
-        _block_pairs(percent), "a bigint, b bigint")
-    candidates = scratch.write(more.distinct(), "more")
-    links = links.union(verified(candidates, "block-links"))
+    values = members.groupBy("node").agg(F.collect_list("value").alias("values"))
+    wanted = scratch.write(placed.join(open_lists, "value", "left_semi").join(values, "node"), "open")
+    more = blocks_of(wanted, BLOCK).join(body, "node").groupBy("value", "i", "j").applyInArrow(
+        _block_links(words, percent), "a bigint, b bigint")
+    links = links.union(scratch.write(more, "block-links"))
     found = connected_components(links, scratch)
 
     # the least id of each component
