@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendgrid.llm import chat_format, decontaminate, line_dedup, near_duplicates, quality_rules, secret_scan, sentencepiece_bpe, wavelet_files
+from spendgrid.llm import chat_format, decontaminate, katz_model, line_dedup, near_duplicates, passage_dedup, quality_rules, secret_scan, sentencepiece_bpe, wavelet_files
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
@@ -10,7 +10,9 @@ _MODULES = {
     "op3_line_dedup": line_dedup,
     "op4_wavelet_files": wavelet_files,
     "op5_sentencepiece": sentencepiece_bpe,
+    "op6_katz_model": katz_model,
     "op7_decontaminate": decontaminate,
+    "op8_passage_dedup": passage_dedup,
     "op9_secret_scan": secret_scan,
     "op10_near_duplicates": near_duplicates,
 }
