@@ -9,10 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spendgrid.llm.common import Scratch, read_table
+from spendgrid.llm.decontaminate import decontaminate_stage
+from spendgrid.llm.line_dedup import line_dedup_stage
+from spendgrid.llm.near_duplicates import near_duplicate_stage
 from spendgrid.llm.quality_rules import quality_stage
+from spendgrid.llm.sentencepiece_bpe import sentencepiece_stage
 
 STAGES = [
     ("quality rules", quality_stage),
+    ("line dedup", line_dedup_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("benchmark decontamination", decontaminate_stage),
+    ("sentencepiece encoding", sentencepiece_stage),
 ]
 
 #: The stages after the first are similarity searches and a tokenizer, which
