@@ -7,8 +7,8 @@ alone. :func:`hash_words` does the same for a whole Arrow batch in numpy.
 
 from __future__ import annotations
 
-import os
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +63,20 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def filtered_scans(spark: SparkSession):
+    """Joins written here may filter the scan of a large table by a Bloom
+    filter over the other side, whose size Spark bounds, before they shuffle
+    it. Spark leaves it out where the other side is too large or not filtered."""
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_of(column: str = "text"):
     """The text, with null read as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -179,12 +193,3 @@ def shingle_set(words: np.ndarray, n: int) -> np.ndarray:
     if len(words) < n:
         return hash_grams(words, len(words)) ^ np.uint64(len(words))
     return np.unique(hash_grams(words, n))
-
-
-def drop_clashes(df: DataFrame, *names: str) -> DataFrame:
-    """Keep the input's own columns of these names only."""
-    return df.select(*names)
-
-
-def join_path(*parts: str) -> str:
-    return os.path.join(*parts)

@@ -6,7 +6,8 @@ segments of nearly equal length; a line within reach of it must hold one of
 them unchanged, near its place. For each length that a partner may have, a
 line's substrings at the places that can match a segment are hashed together
 with that length and the segment's number (multi-match-aware selection), which
-puts lines into inverted lists; members are then checked by the edit distance.
+puts lines into inverted lists; members are then checked by the edit distance,
+after lengths and counts of code points have ruled out what they can.
 
 The distance is counted for many pairs at once: after a common start and end
 are left off, a band of ``2 * edits + 1`` diagonals is kept as bits of one
@@ -32,8 +33,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrid.llm.common import _BASE, _BASE_INVERSE, _powers, Scratch, mix, read_table, text_of
-from spendgrid.llm.lists import classes, distinct_lists, shared_entries
+from spendgrid.llm.common import _BASE, _BASE_INVERSE, _powers, Scratch, filtered_scans, mix, read_table, text_of
+from spendgrid.llm.lists import classes, dealt_by_group, distinct_lists, pairs_within, shared_entries, whole_groups
 
 EDITS = 2
 MIN_CHARS = 20
@@ -200,20 +201,56 @@ def _check(edits: int):
     return run
 
 
-def _compare(edits: int):
-    def run(key, group):
-        node, comp, block = (group.column(c).to_numpy() for c in ("node", "comp", "block"))
-        lines = group.column("line").to_pylist()
-        size = np.array([len(x) for x in lines])
-        i, j = key[1].as_py(), key[2].as_py()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        maybe = (np.abs(size[left][:, None] - size[right][None, :]) <= edits) & (comp[left][:, None] != comp[right][None, :])
-        if i == j:
-            maybe &= node[left][:, None] < node[right][None, :]
-        x, y = np.nonzero(maybe)
-        a, b = left[x], right[y]
-        keep = within_edits([lines[k] for k in a], [lines[k] for k in b], edits)
-        return pa.table({"a": node[a[keep]], "b": node[b[keep]]})
+MARKS = 32
+
+
+def _mark(batches):
+    """Length and counts of 32 classes of code points (modulo 256)."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 4096):
+            part = batch.slice(begin, 4096)
+            points, starts = code_points(part.column("body").to_pylist())
+            size = np.diff(starts)
+            of = np.repeat(np.arange(len(size)) * MARKS, size) + (_POINT_VALUES[points] >> np.uint64(59)).astype(np.int64)
+            counts = np.bincount(of, minlength=MARKS * len(size)).astype(np.uint8).reshape(-1, MARKS)
+            yield pa.RecordBatch.from_arrays([
+                part.column("node"), pa.array(size), pa.array([c.tobytes() for c in counts], pa.binary())], names=["node", "chars", "mark"])
+
+
+def _may_be_within(a_chars, b_chars, a_mark, b_mark, edits: int) -> np.ndarray:
+    """An edit changes the length by one at most, and two counts by one."""
+    ok = np.abs(a_chars - b_chars) <= edits
+    at = np.flatnonzero(ok)
+    change = np.abs(np.subtract(a_mark[at], b_mark[at]).view(np.int8).astype(np.int16)).sum(axis=1)  # modulo 256, signed
+    ok[at] = change <= 2 * edits
+    return ok
+
+
+def _marks_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, MARKS)
+
+
+def _likely(edits: int):
+    def run(batches):
+        for batch in batches:
+            keep = _may_be_within(batch.column("chars_a").to_numpy(), batch.column("chars_b").to_numpy(),
+                                  _marks_of(batch.column("mark_a")), _marks_of(batch.column("mark_b")), edits)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    return run
+
+
+def _likely_in_blocks(edits: int):
+    """Pairs of different components of a list that may be within reach."""
+    def run(batches):
+        for table, cuts in whole_groups(batches, ["value", "i", "j"]):
+            node, comp, block, i, j, chars = (table.column(c).to_numpy() for c in ("node", "comp", "block", "i", "j", "chars"))
+            marks = _marks_of(table.column("mark"))
+            for x, y in pairs_within(cuts):
+                ok = (comp[x] != comp[y]) & ((block[x] != block[y]) | (i[x] == j[x])) & (np.abs(chars[x] - chars[y]) <= edits)
+                x, y = x[ok], y[ok]
+                ok = _may_be_within(chars[x], chars[y], marks[x], marks[y], edits)
+                a, b = node[x[ok]], node[y[ok]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
     return run
 
 
@@ -234,18 +271,24 @@ def line_classes(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_char
     listed = members.select("node").distinct()
     place = long.join(listed, "node").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("p"))
     places = scratch.write(place.select("node", F.col("p.doc_id").alias("at_doc"), F.col("p.line").alias("at_line")), "places")
-    asked = places.groupBy("at_doc").agg(F.collect_list(F.struct("node", "at_line")).alias("asked"))
+    asked = scratch.write(places.groupBy("at_doc").agg(F.collect_list(F.struct("node", "at_line")).alias("asked")).withColumn("n", F.size("asked")), "asked").where("n > 0")
     read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"])).select(F.split("text", "\n").alias("s"), F.explode("asked").alias("q"))
-    body = scratch.write(read.select(F.col("q.node").alias("node"), F.get("s", F.col("q.at_line")).alias("body")).where(
-        F.xxhash64("body") == F.col("node")).dropDuplicates(["node"]), "bodies")
+    with filtered_scans(docs.sparkSession):
+        body = scratch.write(read.select(F.col("q.node").alias("node"), F.get("s", F.col("q.at_line")).alias("body")).where(
+            F.xxhash64("body") == F.col("node")).dropDuplicates(["node"]), "bodies")
+    marks = scratch.write(body.mapInArrow(_mark, "node bigint, chars bigint, mark binary"), "marks")
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
+        mark = lambda s: marks.select(F.col("node").alias(s), F.col("chars").alias(f"chars_{s}"), F.col("mark").alias(f"mark_{s}"))
         side = lambda s: body.select(F.col("node").alias(s), F.col("body").alias(f"line_{s}"))
-        return scratch.write(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "line_a", "line_b").mapInArrow(
+        likely = scratch.write(pairs.join(mark("a"), "a").join(mark("b"), "b").mapInArrow(_likely(edits), "a bigint, b bigint"), "likely")
+        return scratch.write(likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "line_a", "line_b").mapInArrow(
             _check(edits), "a bigint, b bigint"), name)
 
-    compare = lambda dealt: dealt.join(body.withColumnRenamed("body", "line"), "node").groupBy("value", "i", "j").applyInArrow(
-        _compare(edits), "a bigint, b bigint")
+    def compare(dealt: DataFrame) -> DataFrame:
+        maybe = dealt_by_group(dealt.join(marks, "node")).mapInArrow(_likely_in_blocks(edits), "a bigint, b bigint")
+        return check(scratch.write(maybe.distinct(), "in-blocks"), "block-checked")
+
     roots = classes(members, scratch, check, compare)
     named = lines.join(roots, "node", "left").select(
         "doc_id", "text_hash", "line", "chars", F.coalesce("root", "node").alias("class"))

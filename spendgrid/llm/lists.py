@@ -146,6 +146,52 @@ def blocks_of(placed: DataFrame, block: int = BLOCK) -> DataFrame:
     return spread.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "size")
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows that come sorted by ``by``, in tables that hold groups as a whole,
+    with the offsets of their groups and the end."""
+    held: list[pa.RecordBatch] = []
+
+    def out(table: pa.Table, last: bool) -> tuple[pa.Table, np.ndarray, pa.Table]:
+        keys = [table.column(c).to_numpy() for c in by]
+        new = np.ones(table.num_rows, dtype=bool)
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        cuts = np.append(np.flatnonzero(new), table.num_rows)
+        end = int(cuts[-1] if last else cuts[-2])
+        return table.slice(0, end), cuts[cuts <= end], table.slice(end)
+
+    for batch in batches:
+        if batch.num_rows:
+            table, cuts, rest = out(pa.Table.from_batches([*held, batch]), False)
+            held = rest.combine_chunks().to_batches()
+            if table.num_rows:
+                yield table.combine_chunks(), cuts
+    if held:
+        table, cuts, _ = out(pa.Table.from_batches(held), True)
+        yield table.combine_chunks(), cuts
+
+
+def pairs_within(cuts: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs (x, y), x before y, of rows of one group, about ``most`` at a
+    time."""
+    size = np.diff(cuts)
+    after = np.repeat(cuts[1:], size) - np.arange(cuts[0], cuts[-1]) - 1  # partners of each row
+    total = np.cumsum(after)
+    at = 0
+    while at < len(after):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, side="right")))
+        many = after[at:stop]
+        x = np.repeat(np.arange(at, stop), many)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
+        yield x + cuts[0], y + cuts[0]
+        at = stop
+
+
+def dealt_by_group(dealt: DataFrame) -> DataFrame:
+    """Rows of a pair of blocks one after the other, in one task."""
+    tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "value", "i", "j").sortWithinPartitions("value", "i", "j")
+
+
 def classes(members: DataFrame, scratch: Scratch, check: Callable[[DataFrame, str], DataFrame],
             compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``node, root`` of all linked nodes, roots included.
