@@ -215,11 +215,10 @@ def q_eval_period(spark, base):
     end of the orders timeline."""
     _setup(spark)
     orders = read_table(spark, base, "orders")
-    tl = feat.Timeline.from_frame(orders, "o_orderdate", TARGETS_MONTHS,
-                                  FEATURES_MONTHS)
-    cond = feat.UpdateConditions(training_dataset=True, table_exists=False,
-                                 run_as_notebook=False)
-    start, end = feat.eval_period(cond, tl, FEATURES_MONTHS)
+    timeline = feat.timeline_frame(orders, "o_orderdate", TARGETS_MONTHS,
+                                   FEATURES_MONTHS).first()
+    start, end = feat.eval_period(timeline, FEATURES_MONTHS, training=True,
+                                  table_exists=False)
     view = feat.register_period_view(orders, "orders_eval_period", "o_orderdate",
                                      start, end)
     return view.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
@@ -251,21 +250,20 @@ def q_dedupe(spark, base):
     """Latest event per user (duplicates allowed: threshold 1)."""
     _setup(spark)
     ev = read_table(spark, base, "events")
-    return feat.DuplicatesHandler("user_id", threshold=1.0,
-                                  order_cols=("ts", "event_id")).apply(ev)
+    return feat.deduplicate(ev, "user_id", ("ts", "event_id"), threshold=1.0)
 
 
 def _daily_features(spark, base):
     """The test's feature query: per user and day, events and value; the
     row becomes valid at the end of the day (``feature_ts``)."""
-    from spendgrid.functions.money import from_cents, to_cents
+    from spendgrid.functions.money import from_units, to_units
     ev = read_table(spark, base, "events")
     day = F.date_trunc("day", F.col("ts"))
     return (ev.groupBy("user_id", (day + F.expr("interval 1 day")).alias("feature_ts"))
             .agg(F.count(F.lit(1)).alias("n_events"),
                  F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0))
                  .alias("n_purchases"),
-                 from_cents(F.sum(to_cents(F.col("value")))).alias("value_sum")))
+                 from_units(F.sum(to_units(F.col("value")))).alias("value_sum")))
 
 
 _DAILY_SQL = f"""
@@ -273,7 +271,7 @@ daily AS (
   SELECT user_id, date_trunc('day', ts) + INTERVAL 1 DAY AS feature_ts,
          count(*) AS n_events,
          sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS n_purchases,
-         {O.from_cents('sum(' + O.cents('value') + ')')} AS value_sum
+         {O.from_units('sum(' + O.units('value') + ')')} AS value_sum
   FROM events GROUP BY ALL)"""
 
 
@@ -621,14 +619,14 @@ def q_coverage_at_decile(spark, base):
 
 _LT = lt.LifetimeParams()
 _RFM_SQL = f"""
-, pm AS (SELECT consumer_id, sale_month, sum({O.cents('sales_amount')}) AS c FROM ms GROUP BY ALL),
+, pm AS (SELECT consumer_id, sale_month, sum({O.units('sales_amount')}) AS c FROM ms GROUP BY ALL),
 g AS (SELECT consumer_id, min(sale_month) AS f, max(sale_month) AS l, count(*) AS n,
              sum(c) AS tot, arg_min(c, sale_month) AS c0 FROM pm GROUP BY ALL),
 rfm AS (
   SELECT consumer_id, CAST(n - 1 AS DOUBLE) AS frequency,
          CAST(date_diff('month', f, l) AS DOUBLE) AS recency,
          CAST(date_diff('month', f, DATE '{P.calendar_end}') AS DOUBLE) AS T,
-         coalesce({O.from_cents('tot - c0')} / NULLIF(CAST(n - 1 AS DOUBLE), 0), 0.0) AS monetary_value
+         coalesce({O.from_units('tot - c0')} / NULLIF(CAST(n - 1 AS DOUBLE), 0), 0.0) AS monetary_value
   FROM g)"""
 
 
@@ -666,19 +664,35 @@ def q_clv(spark, base):
                      " AS clv FROM rfm_summary")
 
 
-@register("batch_scores")
-def q_batch_scores(spark, base):
+def _month_scores(spark, base):
     """Train gradient-boosted trees on the train split of the training
-    slice (early stop on its test split) and score every row of it."""
-    m = prep.materialize(mx.model_matrix(_training_slice(_src(spark, base)), TARGET,
-                                         keep_ids=["snapshot_dt", *_IDS]), "model_input")
-    split = smp.stratified_split(m, id_cols=_IDS, label_col="label")
+    slice (early stop on its test split) and score the whole month."""
+    month = _master(_src(spark, base)).where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
+    known = prep.materialize(month.where(F.col("exists_in_cdp") == "Y"), "master_month")
+    m = prep.materialize(mx.model_matrix(known, TARGET, keep_ids=["snapshot_dt", *_IDS]), "model_input")
+    split = smp.stratified_split(smp.last_digit_sample(m, "consumer_id", ("1",)),
+                                 id_cols=_IDS, label_col="label")
     split = prep.materialize(split.withColumn("is_valid", F.col("split") == "test"),
                              "model_split")
     cat, ind, num = mx.feature_kinds(split.drop("label", "split", "is_valid"))
     model = ml.fit(split, cat + ind, num, ml.TreeParams(num_trees=20, depth=3),
                    validation_col="is_valid")
-    return ml.batch_scores(model, split, TARGET)
+    return ml.batch_scores(model, m, TARGET)
+
+
+@register("batch_scores")
+def q_batch_scores(spark, base):
+    """Every row of the month known to CDP, with its score."""
+    return _month_scores(spark, base)
+
+
+@register("batch_scores_complete", _with_master_fixed(
+    "SELECT snapshot_dt, elc_master_id, consumer_id, brand_id, TRUE AS scored FROM master "
+    f"WHERE snapshot_dt = DATE '{SLICE_DT}' AND exists_in_cdp = 'Y'"))
+def q_batch_scores_complete(spark, base):
+    """Which rows were scored: all of the month, each with a probability."""
+    return _month_scores(spark, base).select(
+        "snapshot_dt", *_IDS, F.col(f"pred_proba_{TARGET}").between(0.0, 1.0).alias("scored"))
 
 # --------------------------------------------------- exports and CTAS shape
 

@@ -38,13 +38,6 @@ def add_months(value: _dt.date | _dt.datetime, months: int):
     return value.replace(year=year, month=month, day=min(value.day, last))
 
 
-def to_datetime(value: _dt.date | _dt.datetime) -> _dt.datetime:
-    """Date -> midnight timestamp; timestamps pass through."""
-    if isinstance(value, _dt.datetime):
-        return value
-    return _dt.datetime.combine(value, _dt.time.min)
-
-
 def literal_of(value, dtype):
     """A date/timestamp literal of the given Spark type, built from its ISO
     text so the Python process time zone plays no part."""

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from spendgrid.functions.money import from_cents, to_cents
+from spendgrid.functions.money import from_units, to_units
 
 
 @dataclass(frozen=True)
@@ -66,20 +66,14 @@ def register_lifetime_functions(spark: SparkSession,
         "T DOUBLE, monetary_value DOUBLE) RETURNS DOUBLE RETURN " + clv_sql(par))
 
 
-def verify_functions(spark: SparkSession) -> bool:
-    """Evaluate both functions on one row (1, 2, 3, 4); False (and the
-    analysis error printed) when either is missing or broken."""
+def function_problem(spark: SparkSession) -> str | None:
+    """What keeps the two SQL functions from working in this session, or None.
+    They are called on constants, so nothing is read or registered."""
     try:
-        row = spark.createDataFrame(
-            [(1, 2, 3, 4)], ["frequency", "recency", "T", "monetary_value"])
-        row.createOrReplaceTempView("lifetime_smoke")
-        spark.sql("SELECT clv(frequency, recency, T, monetary_value) AS clv_value, "
-                  "probability_alive(frequency, recency, T) AS prob_alive "
-                  "FROM lifetime_smoke").collect()
-        return True
-    except AnalysisException as exc:
-        print(f"Error occurred: {exc}")
-        return False
+        spark.sql("SELECT probability_alive(1, 2, 3), clv(1, 2, 3, 4)").first()
+    except AnalysisException as missing:
+        return missing.getMessage() or str(missing)
+    return None
 
 
 def rfm_summary(monthly: DataFrame, *, id_cols=("consumer_id",),
@@ -95,7 +89,7 @@ def rfm_summary(monthly: DataFrame, *, id_cols=("consumer_id",),
     """
     ids = list(id_cols)
     per_month = monthly.groupBy(*ids, month_col).agg(
-        F.sum(to_cents(F.col(amount_col))).alias("_c"))
+        F.sum(to_units(F.col(amount_col))).alias("_c"))
     if observation_end is None:
         end = per_month.agg(F.max(month_col)).first()[0]
     else:
@@ -110,5 +104,5 @@ def rfm_summary(monthly: DataFrame, *, id_cols=("consumer_id",),
         *ids, freq.cast("double").alias("frequency"),
         F.months_between("_last", "_first").alias("recency"),
         F.months_between(end_lit, "_first").alias("T"),
-        F.coalesce(F.try_divide(from_cents(F.col("_tot") - F.col("_c0")),
+        F.coalesce(F.try_divide(from_units(F.col("_tot") - F.col("_c0")),
                                 freq.cast("double")), F.lit(0.0)).alias("monetary_value"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendgrid.functions.dates import month_start
-from spendgrid.functions.money import to_cents
+from spendgrid.functions.money import to_units
 from spendgrid.operators import ENTITY_KEYS, REGION
 from spendgrid.operators.snapshot import SNAPSHOT, densify, sparse_running
 
@@ -31,14 +31,14 @@ def _txn_month_flags(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
     aggregate."""
     is_ret = F.col("src_txn_cd_desc") == RETURN_LINE
     q4 = F.quarter("sale_dt") == 4
-    amt = to_cents(F.col("sales_amount"))
+    amt = to_units(F.col("sales_amount"))
     aggs = [F.max(F.when(F.col("channel_cd") == v, 1).otherwise(0)).alias(f"_{k}")
             for k, v in RATIO_CHANNELS.items()]
     aggs += [
         F.max(F.when(F.col("loyalty_trans_flag") == "Y", 1).otherwise(0)).alias("_loyal"),
         F.max(F.when(is_ret, 1).otherwise(0)).alias("_ret"),
         F.sum(amt).alias("_sales"),
-        F.sum(to_cents(F.col("usd_discount_amount"))).alias("_disc"),
+        F.sum(to_units(F.col("usd_discount_amount"))).alias("_disc"),
         F.sum(F.when(q4, amt).otherwise(0)).alias("_q4"),
     ]
     return (sales.withColumn("sale_month", month_start(F.col("sale_dt")))
@@ -48,7 +48,7 @@ def _txn_month_flags(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
 def ratio_monthly(sales: DataFrame, *, keys: Sequence[str] = ENTITY_KEYS,
                   sales_before: str | None = None) -> DataFrame:
     """Per key and month: transactions, transactions per channel / with the
-    loyalty flag / with a returned line, and sales, discount and Q4 cents."""
+    loyalty flag / with a returned line, and sales, discount and Q4 amounts."""
     rows = sales
     if sales_before is not None:
         rows = rows.where(F.col("sale_dt") < F.lit(sales_before).cast("date"))
@@ -174,17 +174,20 @@ def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
                         *[f"_store_now.{c}" for c in STORE_COLUMNS])
 
 
+# The output columns taken from the consumer tables, in order.
 CV_COLUMNS = ("ethnic_group", "gender", "language", "marital_status",
               "occupation_group", "mosaic_segment", "mosaic_group", "age_range",
               "ethnicity_detail", "income")
-CA_STRING_COLUMNS = ("country_cd", "state_cd", "lang_cd")
-CA_INT_COLUMNS = ("email_opt_in_ind", "phone_opt_in_ind")
-CA_MORE_STRING = ("city", "zip_code")
-CA_MORE_INT = ("dm_opt_in_ind", "mobile_contactable_ind", "first_store_id",
-               "last_store_id", "closest_store", "most_frequent_store")
-CA_TAIL_STRING = ("first_channel", "deceased_flag", "prison_flag")
-CA_TAIL_INT = ("mobile_opt_in_ind",)
-CA_LAST_STRING = ("dm_state", "dm_country")
+CA_COLUMNS = (
+    "country_cd", "state_cd", "lang_cd", "email_opt_in_ind", "phone_opt_in_ind",
+    "city", "zip_code", "dm_opt_in_ind", "mobile_contactable_ind",
+    "first_store_id", "last_store_id", "closest_store", "most_frequent_store",
+    "first_channel", "deceased_flag", "prison_flag", "mobile_opt_in_ind",
+    "dm_state", "dm_country")
+# those of them that the output holds as int
+CA_INTS = {"email_opt_in_ind", "phone_opt_in_ind", "dm_opt_in_ind",
+           "mobile_contactable_ind", "first_store_id", "last_store_id",
+           "closest_store", "most_frequent_store", "mobile_opt_in_ind"}
 RATIO_COLUMNS = tuple(f"{k}_txn_ratio" for k in RATIO_CHANNELS) + (
     "discount_ratio", "sales_q4_ratio", "loyalty_txn_ratio", "return_txn_ratio")
 
@@ -222,25 +225,18 @@ def with_exists_flag(df: DataFrame, ca: DataFrame, region: str = REGION,
     return j.drop("_ca_id", "_ca_consumer")
 
 
-def _ca_columns() -> tuple:
-    return (CA_STRING_COLUMNS + CA_INT_COLUMNS + CA_MORE_STRING + CA_MORE_INT
-            + CA_TAIL_STRING + CA_TAIL_INT + CA_LAST_STRING)
-
-
 def _with_people(df: DataFrame, cv: DataFrame, ca: DataFrame, *, region: str,
                  base_cols: Sequence[str]) -> DataFrame:
     """Consumer variables, age, CDP attributes (indicator and store columns
     as int), then the ratio and store columns already on ``df``."""
-    ca_cols = _ca_columns()
     df = with_consumer_variables(df, cv, region)
-    df = with_exists_flag(df, ca, region, columns=ca_cols)
-    ints = set(CA_INT_COLUMNS + CA_MORE_INT + CA_TAIL_INT)
+    df = with_exists_flag(df, ca, region, columns=CA_COLUMNS)
     out = [F.col(c) for c in base_cols]
     out += [F.col(c) for c in CV_COLUMNS]
     out.append((F.year(SNAPSHOT) - F.col("birth_year")).alias("age"))
     out.append(F.col("exists_in_cdp"))
-    out += [F.expr(f"try_cast({c} as int)").alias(c) if c in ints else F.col(c)
-            for c in ca_cols]
+    out += [F.expr(f"try_cast({c} as int)").alias(c) if c in CA_INTS else F.col(c)
+            for c in CA_COLUMNS]
     out += [F.col(c) for c in RATIO_COLUMNS]
     out += [F.col("most_freq_store_id"), *[F.col(c) for c in STORE_COLUMNS]]
     return df.select(*out)

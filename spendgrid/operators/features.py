@@ -5,29 +5,14 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from spendgrid.functions.dates import add_months, literal_of, to_datetime
+from spendgrid.functions.dates import add_months, literal_of
 
-# ----------------------------------------------------------------- aggregates
-
-
-def agg_value(df: DataFrame, col: str, func=F.max):
-    """One aggregate of one column, returned to the driver (a single value:
-    the aggregate itself runs distributed with partial aggregation)."""
-    return df.agg(func(F.col(col)).alias("v")).first()["v"]
-
-
-def latest(df: DataFrame, col: str):
-    return agg_value(df, col, F.max)
-
-
-def earliest(df: DataFrame, col: str):
-    return agg_value(df, col, F.min)
+# ------------------------------------------------------------------- periods
 
 
 def latest_earliest(df: DataFrame, col: str) -> DataFrame:
@@ -35,29 +20,11 @@ def latest_earliest(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.max(col).alias("latest"), F.min(col).alias("earliest"))
 
 
-# ------------------------------------------------------------------ timeline
-
-
-@dataclass(frozen=True)
-class Timeline:
-    """Latest transaction, end and start of the training feature window."""
-
-    latest_txn_ts: _dt.datetime
-    training_end_ts: _dt.datetime
-    training_start_ts: _dt.datetime
-
-    @classmethod
-    def from_frame(cls, df: DataFrame, ts_col: str, targets_months: int,
-                   features_months: int) -> "Timeline":
-        last = to_datetime(latest(df, ts_col))
-        end = add_months(last, -targets_months)
-        return cls(last, end, add_months(end, -features_months))
-
-
 def timeline_frame(df: DataFrame, ts_col: str, targets_months: int,
                    features_months: int) -> DataFrame:
-    """The timeline as a one-row DataFrame (same month arithmetic, in SQL:
-    ``ts - interval n month`` clamps to the month end and keeps the time)."""
+    """One row: the latest transaction, and end and start of the training
+    feature window before it. ``ts - interval n month`` clamps to the month
+    end and keeps the time; a date counts as its midnight."""
     last = F.max(F.col(ts_col).cast("timestamp_ntz"))
     end = last - F.expr(f"interval {int(targets_months)} month")
     return df.agg(last.alias("latest_txn_ts"), end.alias("training_end_ts"),
@@ -65,27 +32,20 @@ def timeline_frame(df: DataFrame, ts_col: str, targets_months: int,
                   .alias("training_start_ts"))
 
 
-@dataclass(frozen=True)
-class UpdateConditions:
-    training_dataset: bool
-    table_exists: bool
-    run_as_notebook: bool
+def eval_period(timeline: Row, features_months: int, *, training: bool,
+                interactive: bool = False, table_exists: bool = True
+                ) -> tuple[_dt.datetime, _dt.datetime]:
+    """(start, end] of the feature evaluation period; ``timeline`` is the row
+    of :func:`timeline_frame`.
 
-
-def eval_period(cond: UpdateConditions, timeline: Timeline,
-                features_months: int) -> tuple[_dt.datetime, _dt.datetime]:
-    """(start, end] of the feature evaluation period.
-
-    End: training end for a training dataset, or for an interactive run
-    without the feature table; otherwise the latest transaction. An
-    interactive run with the training flag is an error.
+    It ends with the training window where a training dataset is made, and in
+    an interactive run that finds no feature table yet; else with the latest
+    transaction. Training datasets are not made interactively.
     """
-    if cond.training_dataset and cond.run_as_notebook:
-        raise RuntimeError("Incorrect script context")
-    if cond.training_dataset or (cond.run_as_notebook and not cond.table_exists):
-        end = timeline.training_end_ts
-    else:
-        end = timeline.latest_txn_ts
+    if training and interactive:
+        raise RuntimeError("a training dataset is made by a job, not interactively")
+    first_build = interactive and not table_exists
+    end = timeline["training_end_ts" if training or first_build else "latest_txn_ts"]
     return add_months(end, -features_months), end
 
 
@@ -155,8 +115,8 @@ def check_duplicates(df: DataFrame, id_cols, threshold: float = 0.01) -> dict:
     row = duplicate_profile(df, id_cols).first().asDict()
     if row["duplicate_ratio"] > threshold:
         raise DuplicatesExceeded(
-            "Duplicates threshold is exceeded. "
-            f"Total rows: {row['total_rows']}, unique rows: {row['unique_ids']}")
+            f"{row['unique_ids']} ids in {row['total_rows']} rows: a share of "
+            f"{row['duplicate_ratio']:.4f} repeats an id, {threshold} is allowed")
     return row
 
 
@@ -177,18 +137,11 @@ def keep_one_per_id(df: DataFrame, id_cols: str | Sequence[str],
             .select(*ids, *[F.col(f"_b.row.{c}").alias(c) for c in rest]))
 
 
-class DuplicatesHandler:
-    """Check the duplicate ratio of ``id_col`` and keep one row per id."""
-
-    def __init__(self, id_col: str, threshold: float = 0.01,
-                 order_cols: Sequence[str] = ()):
-        self.id_col = id_col
-        self.threshold = threshold
-        self.order_cols = list(order_cols)
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        check_duplicates(df, self.id_col, self.threshold)
-        return keep_one_per_id(df, self.id_col, self.order_cols)
+def deduplicate(df: DataFrame, id_cols: str | Sequence[str],
+                order_cols: Sequence[str] = (), threshold: float = 0.01) -> DataFrame:
+    """One row per id, provided that few enough rows repeat one."""
+    check_duplicates(df, id_cols, threshold)
+    return keep_one_per_id(df, id_cols, order_cols)
 
 
 # ------------------------------------------------------- inference / lookups
@@ -197,7 +150,8 @@ class DuplicatesHandler:
 def inference_input(features: DataFrame, id_col: str, ts_col: str) -> DataFrame:
     """Ids of the latest update, with that timestamp attached as a literal
     (one aggregate job, then a pushed-down equality filter)."""
-    ts = literal_of(latest(features, ts_col), features.schema[ts_col].dataType)
+    ts = literal_of(latest_earliest(features, ts_col).first()["latest"],
+                    features.schema[ts_col].dataType)
     return (features.where(F.col(ts_col) == ts).select(id_col)
             .withColumn(ts_col, ts))
 
@@ -207,7 +161,8 @@ def as_of_join(spine: DataFrame, features: DataFrame, *, keys: Sequence[str],
                feature_cols: Sequence[str] | None = None,
                bucket: str = "day") -> DataFrame:
     """Point-in-time lookup: each spine row gets the feature row of the same
-    keys with the latest ``feature_ts <= spine_ts`` (nulls when none).
+    keys with the latest ``feature_ts <= spine_ts`` (nulls when none, and
+    where a key is null, as in a join).
 
     No pairs are formed. Spine and feature rows are unioned and ordered in
     time; within a (keys, time bucket) partition a running
@@ -229,6 +184,11 @@ def as_of_join(spine: DataFrame, features: DataFrame, *, keys: Sequence[str],
     f_rows = features.select(*keys, F.col(feature_ts).alias("_t"),
                              F.lit(1).alias("_kind"), payload.alias("_p"))
     s_cols = [c for c in spine.columns]
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    unmatched, spine = spine.where(no_key), spine.where(~no_key)
+    f_rows = f_rows.where(~no_key)
     s_rows = spine.select(*keys, F.col(spine_ts).alias("_t"),
                           F.lit(2).alias("_kind"),
                           F.lit(None).cast(f_rows.schema["_p"].dataType).alias("_p"),
@@ -252,6 +212,7 @@ def as_of_join(spine: DataFrame, features: DataFrame, *, keys: Sequence[str],
              .where(F.col("_kind") == 2))
     joined = found.join(carry, [*keys, "_b"], "left")
     best = F.coalesce(F.col("_hit"), F.col("_carry._p"))
-    return joined.select(*[F.col(f"_s.{c}").alias(c) for c in s_cols],
-                         best["_fts"].alias(feature_ts),
-                         *[best[c].alias(c) for c in feature_cols])
+    out = joined.select(*[F.col(f"_s.{c}").alias(c) for c in s_cols],
+                        best["_fts"].alias(feature_ts),
+                        *[best[c].alias(c) for c in feature_cols])
+    return out.unionByName(unmatched.select(*s_cols), allowMissingColumns=True)

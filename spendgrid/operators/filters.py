@@ -27,9 +27,12 @@ DETAIL_COLUMNS = (
 )
 
 
-def _present(df: DataFrame, wanted: Sequence[str]) -> list[str]:
-    have = set(df.columns)
-    return [c for c in wanted if c in have]
+def _required(df: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """``wanted``; a column that the source lacks is an error."""
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"source columns missing: {', '.join(missing)}")
+    return list(wanted)
 
 
 def valid_headers(header: DataFrame, *, start_date: str = DEFAULT_START_DATE,
@@ -55,7 +58,7 @@ def valid_headers(header: DataFrame, *, start_date: str = DEFAULT_START_DATE,
             & (F.col("visit_ind") == 1)
             & (F.col("CDC_CODE") != "D")
             & (F.col("sale_dt") > F.lit(start_date).cast("date")))
-    cols = _present(header, list(HEADER_COLUMNS) + list(extra_columns))
+    cols = _required(header, list(HEADER_COLUMNS) + list(extra_columns))
     return header.where(cond).select(*cols)
 
 
@@ -71,7 +74,7 @@ def valid_details(detail: DataFrame, *, start_date: str = DEFAULT_START_DATE,
             & (F.col("sale_line_type") == "Sale")
             & (F.col("net_item_qty") > 0)
             & (F.col("sale_dt") > F.lit(start_date).cast("date")))
-    cols = _present(detail, list(DETAIL_COLUMNS) + list(extra_columns))
+    cols = _required(detail, list(DETAIL_COLUMNS) + list(extra_columns))
     return detail.where(cond).select(*cols)
 
 

@@ -26,13 +26,14 @@ def _line_lookups(details: DataFrame, mapping: DataFrame, brands: DataFrame,
 def sales_details(details: DataFrame, headers: DataFrame, mapping: DataFrame,
                   brands: DataFrame, *, sku_len: int = 6,
                   category_col: str = "major_category_name",
-                  header_columns: Sequence[str] = ()) -> DataFrame:
+                  header_columns: Sequence[str] = (),
+                  line_columns: Sequence[str] = ()) -> DataFrame:
     """Sale lines with their major category and header amount.
 
     Inner joins: line -> header on ``txn_id``; ``substr(product_sku, 1, 6)``
     -> the one-category sku mapping; line brand -> brand lookup. The
     computed key is projected once, so the join stays an equi-join.
-    ``header_columns`` carries extra header fields onto the lines.
+    ``header_columns`` and ``line_columns`` carry extra fields along.
     """
     lines = _line_lookups(details, mapping.select(SKU_KEY, category_col),
                           brands, sku_len)
@@ -40,14 +41,13 @@ def sales_details(details: DataFrame, headers: DataFrame, mapping: DataFrame,
                        F.col("usd_net_order_total").alias("header_sales_amount"),
                        *header_columns)
     j = lines.join(h, "txn_id", "inner")
-    extra = [c for c in ("usd_discount_amount", "store_id") if c in j.columns]
     return j.select(
         "sale_dt", "channel_cd", "txn_id", "elc_master_id", "consumer_id",
         "brand_id", F.col(category_col).alias("major_category"),
         "header_sales_amount", "txn_detail_id", "sale_line_type",
         "sale_line_num", "src_txn_cd_desc", "net_item_qty",
         F.col("usd_total_price").alias("sales_amount"), "usd_unit_price",
-        "product_id", "product_sku", *extra, *header_columns)
+        "product_id", "product_sku", *line_columns, *header_columns)
 
 
 def token_details(details: DataFrame, headers: DataFrame, tokens: DataFrame,

@@ -56,7 +56,7 @@ def draw_params(n: int, seed: int = SEED, space=SEARCH_SPACE) -> list[TreeParams
 
 def build_pipeline(categorical: Sequence[str], numeric: Sequence[str],
                    params: TreeParams = TreeParams(), label: str = "label",
-                   validation_col: str | None = None) -> Pipeline:
+                   validation_col: str | None = None, bins: int = 64) -> Pipeline:
     idx = [f"{c}__idx" for c in categorical]
     stages = [StringIndexer(inputCols=list(categorical), outputCols=idx,
                             handleInvalid="keep")] if categorical else []
@@ -65,7 +65,7 @@ def build_pipeline(categorical: Sequence[str], numeric: Sequence[str],
     gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=SEED,
                         maxIter=params.num_trees, stepSize=params.learning_rate,
                         maxDepth=params.depth, minInfoGain=params.min_info_gain,
-                        maxBins=64)
+                        maxBins=bins)
     if validation_col:
         gbt = gbt.setValidationIndicatorCol(validation_col)
     stages.append(gbt)
@@ -76,7 +76,17 @@ def fit(train: DataFrame, categorical, numeric, params: TreeParams = TreeParams(
         label: str = "label", validation_col: str | None = None) -> PipelineModel:
     """Fit; with ``validation_col`` (boolean column marking eval rows) the
     trees stop early once the validation loss stops improving."""
-    return build_pipeline(categorical, numeric, params, label, validation_col).fit(train)
+    return build_pipeline(categorical, numeric, params, label, validation_col,
+                          bins_for(train, categorical)).fit(train)
+
+
+def bins_for(train: DataFrame, categorical: Sequence[str], least: int = 64) -> int:
+    """Bins that hold every category of every column: a tree needs one for
+    each value, one for null and one for values it has not seen."""
+    if not categorical:
+        return least
+    row = train.agg(*[F.countDistinct(c) for c in categorical]).first()
+    return max(least, max(row) + 2)
 
 
 def predict(model: PipelineModel, df: DataFrame, out_col: str,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendgrid.functions.dates import month_start
-from spendgrid.functions.money import from_cents, to_cents
+from spendgrid.functions.money import from_units, to_units
 from spendgrid.operators import CATEGORIES, ENTITY_KEYS, category_prefix
 
 MONTH = "sale_month"
@@ -38,15 +38,15 @@ def monthly_summary(sales: DataFrame, *,
     rows = sales
     if sales_before is not None:
         rows = rows.where(F.col(date_col) < F.lit(sales_before).cast("date"))
-    cents = to_cents(F.col(amount_col))
+    units = to_units(F.col(amount_col))
     aggs = [
-        from_cents(F.sum(cents)).alias("sales_amount"),
+        from_units(F.sum(units)).alias("sales_amount"),
         F.countDistinct(txn_col).alias("txn_cnt"),
         F.count(F.lit(1)).alias("item_cnt"),
     ]
     for cat in categories:
-        aggs.append(from_cents(F.sum(
-            F.when(F.col(category_col) == cat, cents).otherwise(F.lit(0))
+        aggs.append(from_units(F.sum(
+            F.when(F.col(category_col) == cat, units).otherwise(F.lit(0))
         )).alias(f"{category_prefix(cat)}_amount"))
     out = (rows.withColumn(MONTH, month_start(F.col(date_col)))
            .groupBy(MONTH, *keys).agg(*aggs))

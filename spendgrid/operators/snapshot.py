@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendgrid.functions.dates import first_of_month
-from spendgrid.functions.money import from_cents, mean_from_cents, to_cents
+from spendgrid.functions.money import from_units, mean_from_units, to_units
 from spendgrid.operators import (CATEGORIES, ENTITY_KEYS, FEATURE_CATEGORIES,
                                  TARGET_CATEGORIES, category_prefix)
 from spendgrid.operators.monthly import MONTH
@@ -59,7 +59,7 @@ def densify(monthly: DataFrame, *, calendar_start, calendar_end,
     (``lead``), and ``explode(sequence(...))`` emits them; the purchase's facts
     go on the first month only. The last purchase before the calendar opens
     spans from the calendar start, so keys that began earlier still start
-    there. No second read of the facts and no join exchange; a window over
+    there. Two rows of a key in one month are an error. No second read of the facts and no join exchange; a window over
     the keys afterwards needs no exchange either. Each key yields at most one
     row per calendar month.
 
@@ -100,7 +100,9 @@ def densify(monthly: DataFrame, *, calendar_start, calendar_end,
     nxt = F.lead(m).over(Window.partitionBy(*keys).orderBy(SPAN_MONTH))
     span_start = (F.when(in_cal, m)
                   .when(nxt.isNull() | (nxt > F.lit(start)), F.lit(start)))
-    span_end = F.coalesce(F.add_months(nxt, -1), F.lit(end))
+    repeated = F.raise_error(F.lit("a key has two rows in one month; summarise by month first"))
+    span_end = (F.when(nxt == m, repeated.cast("date"))
+                .otherwise(F.coalesce(F.add_months(nxt, -1), F.lit(end))))
     spans = (facts.select(*keys, SPAN_MONTH, month_col, *columns,
                           *[e.alias(n) for n, e in carry.items()],
                           span_start.alias("_span_from"), span_end.alias("_span_to"))
@@ -156,7 +158,7 @@ def running_columns(*, keys: Sequence[str] = ENTITY_KEYS,
     out = {
         "first_purchase_dt": F.min(MONTH).over(run),
         "last_purchase_dt": F.max(MONTH).over(run),
-        "sales_tot": from_cents(F.sum(to_cents(sales)).over(run)),
+        "sales_tot": from_units(F.sum(to_units(sales)).over(run)),
         "txn_cnt_tot": F.sum("txn_cnt").over(run).cast("double"),
         "avg_item_cnt": F.try_divide(F.sum(_pos(item)).over(run).cast("double"),
                                      F.count(_pos(item)).over(run).cast("double")),
@@ -166,14 +168,14 @@ def running_columns(*, keys: Sequence[str] = ENTITY_KEYS,
         p = category_prefix(cat)
         amt = F.col(f"{p}_amount")
         pos_n = F.count(_pos(amt)).over(run)
-        pos_cents = F.sum(to_cents(_pos(amt))).over(run)
+        pos_units = F.sum(to_units(_pos(amt))).over(run)
         out.update({
-            f"{p}_amt_tot": from_cents(F.sum(to_cents(amt)).over(run)),
+            f"{p}_amt_tot": from_units(F.sum(to_units(amt)).over(run)),
             f"{p}_min": F.min(_pos(amt)).over(run),
             f"{p}_max": F.max(_pos(amt)).over(run),
-            f"{p}_avg": F.when(pos_n > 0, mean_from_cents(pos_cents, pos_n)),
+            f"{p}_avg": F.when(pos_n > 0, mean_from_units(pos_units, pos_n)),
             _cum(f"{p}_flag"): cum(_flag(amt)),
-            _cum(f"{p}_pos_cents"): cum(to_cents(_pos(amt))),
+            _cum(f"{p}_pos_units"): cum(to_units(_pos(amt))),
             _cum(f"{p}_pos_n"): cum(F.when(amt > 0, 1).otherwise(0)),
         })
     return out
@@ -202,7 +204,7 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
     cols: list[Column] = [F.col("dt").alias(SNAPSHOT), *[F.col(k) for k in keys]]
 
     for cat in target_categories:
-        amt = to_cents(F.col(f"{category_prefix(cat)}_amount"))
+        amt = to_units(F.col(f"{category_prefix(cat)}_amount"))
         cols.append(F.when(F.sum(amt).over(fwd) > 0, 1).otherwise(0)
                     .cast("int").alias(f"target_{category_prefix(cat)}"))
 
@@ -227,8 +229,8 @@ def snapshot_columns(*, keys: Sequence[str] = ENTITY_KEYS,
             cols.append(_trailing(keys, f"{p}_flag", n).cast("double")
                         .alias(f"{p}_cnt_{n}m"))
         pos_n = _trailing(keys, f"{p}_pos_n", avg_months)
-        cols.append(F.when(pos_n > 0, mean_from_cents(
-            _trailing(keys, f"{p}_pos_cents", avg_months), pos_n))
+        cols.append(F.when(pos_n > 0, mean_from_units(
+            _trailing(keys, f"{p}_pos_units", avg_months), pos_n))
             .alias(f"{p}_avg_{avg_months}m"))
         cols += [F.col(f"{p}_amt_tot"),
                  F.col(_cum(f"{p}_flag")).cast("double").alias(f"{p}_cnt_tot"),

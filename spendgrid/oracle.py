@@ -26,12 +26,12 @@ def _case(col: str, mapping: dict, default: str | None = None) -> str:
     return f"CASE {arms} ELSE {tail} END"
 
 
-def cents(x: str) -> str:
-    return f"CAST(round(({x}) * CAST(100 AS DOUBLE)) AS BIGINT)"
+def units(x: str) -> str:
+    return f"CAST(round(({x}) * CAST(1000000 AS DOUBLE)) AS BIGINT)"
 
 
-def from_cents(x: str) -> str:
-    return f"(CAST({x} AS DOUBLE) / CAST(100 AS DOUBLE))"
+def from_units(x: str) -> str:
+    return f"(CAST({x} AS DOUBLE) / CAST(1000000 AS DOUBLE))"
 
 
 def _ratio(num: str, den: str) -> str:
@@ -123,12 +123,12 @@ sd AS (
 
 def monthly_cte() -> str:
     cat_cols = ",\n         ".join(
-        f"{from_cents('sum(CASE WHEN major_category = ' + repr(c) + ' THEN ' + cents('sales_amount') + ' ELSE 0 END)')} "
+        f"{from_units('sum(CASE WHEN major_category = ' + repr(c) + ' THEN ' + units('sales_amount') + ' ELSE 0 END)')} "
         f"AS {category_prefix(c)}_amount" for c in CATEGORIES)
     return f""",
 ms AS (
   SELECT CAST(date_trunc('month', sale_dt) AS DATE) AS sale_month, {KEYS},
-         {from_cents('sum(' + cents('sales_amount') + ')')} AS sales_amount,
+         {from_units('sum(' + units('sales_amount') + ')')} AS sales_amount,
          count(DISTINCT txn_id) AS txn_cnt, count(*) AS item_cnt,
          {cat_cols}
   FROM sd WHERE sale_dt < DATE '{P.sales_before}'
@@ -166,13 +166,13 @@ def snapshot_select() -> str:
     cols = ["dt AS snapshot_dt", KEYS]
     for c in TARGET_CATEGORIES:
         p = category_prefix(c)
-        cols.append(f"CASE WHEN sum({cents(p + '_amount')}) "
+        cols.append(f"CASE WHEN sum({units(p + '_amount')}) "
                     f"{_frame('1 FOLLOWING', '3 FOLLOWING')} > 0 THEN 1 ELSE 0 END "
                     f"AS target_{p}")
     cols += [
         f"min(sale_month) {RUN} AS first_purchase_dt",
         f"max(sale_month) {RUN} AS last_purchase_dt",
-        f"{from_cents('sum(' + cents('sales_amount') + ') ' + RUN)} AS sales_tot",
+        f"{from_units('sum(' + units('sales_amount') + ') ' + RUN)} AS sales_tot",
         f"CAST(sum(txn_cnt) {RUN} AS DOUBLE) AS txn_cnt_tot",
         f"CAST(sum(CASE WHEN sales_amount > 0 THEN 1 ELSE 0 END) {_trail(12)} AS DOUBLE) AS sales_mnt_cnt_12m",
         f"{_ratio('sum(CASE WHEN item_cnt > 0 THEN item_cnt END) ' + RUN, 'count(CASE WHEN item_cnt > 0 THEN item_cnt END) ' + RUN)} AS avg_item_cnt",
@@ -188,16 +188,16 @@ def snapshot_select() -> str:
         a = f"{p}_amount"
         flag = f"CASE WHEN {a} > 0 THEN 1 ELSE 0 END"
         pos = f"CASE WHEN {a} > 0 THEN {a} END"
-        pc = cents(pos)
+        pc = units(pos)
         for n in TRAILING_MONTHS:
             cols.append(f"CAST(sum({flag}) {_trail(n)} AS DOUBLE) AS {p}_cnt_{n}m")
-        cols.append(f"{_ratio(from_cents('sum(' + pc + ') ' + _trail(12)), 'count(' + pc + ') ' + _trail(12))} AS {p}_avg_12m")
+        cols.append(f"{_ratio(from_units('sum(' + pc + ') ' + _trail(12)), 'count(' + pc + ') ' + _trail(12))} AS {p}_avg_12m")
         cols += [
-            f"{from_cents('sum(' + cents(a) + ') ' + RUN)} AS {p}_amt_tot",
+            f"{from_units('sum(' + units(a) + ') ' + RUN)} AS {p}_amt_tot",
             f"CAST(sum({flag}) {RUN} AS DOUBLE) AS {p}_cnt_tot",
             f"min({pos}) {RUN} AS {p}_min",
             f"max({pos}) {RUN} AS {p}_max",
-            f"{_ratio(from_cents('sum(' + pc + ') ' + RUN), 'count(' + pc + ') ' + RUN)} AS {p}_avg",
+            f"{_ratio(from_units('sum(' + pc + ') ' + RUN), 'count(' + pc + ') ' + RUN)} AS {p}_avg",
         ]
     return ",\n  ".join(cols)
 
@@ -284,9 +284,9 @@ txn_flags AS (
          {flags},
          max(CASE WHEN loyalty_trans_flag = 'Y' THEN 1 ELSE 0 END) AS f_loyal,
          max(CASE WHEN src_txn_cd_desc = 'RETURN' THEN 1 ELSE 0 END) AS f_ret,
-         sum({cents('sales_amount')}) AS c_sales,
-         sum({cents('usd_discount_amount')}) AS c_disc,
-         sum(CASE WHEN quarter(sale_dt) = 4 THEN {cents('sales_amount')} ELSE 0 END) AS c_q4
+         sum({units('sales_amount')}) AS c_sales,
+         sum({units('usd_discount_amount')}) AS c_disc,
+         sum(CASE WHEN quarter(sale_dt) = 4 THEN {units('sales_amount')} ELSE 0 END) AS c_q4
   FROM sd WHERE sale_dt < DATE '{P.sales_before}' GROUP BY ALL),
 ratio_month AS (
   SELECT {KEYS}, sale_month, count(*) AS n_txn, {sums}, sum(f_loyal) AS f_loyal,
@@ -427,8 +427,7 @@ MASTER_TEXT = ("elc_master_id", "ethnic_group", "gender", "language", "marital_s
 
 def master_names() -> list[str]:
     from spendgrid.operators import attributes as A
-    ca = (A.CA_STRING_COLUMNS + A.CA_INT_COLUMNS + A.CA_MORE_STRING + A.CA_MORE_INT
-          + A.CA_TAIL_STRING + A.CA_TAIL_INT + A.CA_LAST_STRING)
+    ca = A.CA_COLUMNS
     return (snapshot_names() + list(A.CV_COLUMNS) + ["age", "exists_in_cdp"] + list(ca)
             + list(A.RATIO_COLUMNS) + ["most_freq_store_id"] + list(A.STORE_COLUMNS))
 

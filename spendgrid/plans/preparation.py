@@ -123,7 +123,8 @@ def sales_of(src: Sources, p: PrepParams, header_columns=()) -> DataFrame:
         headers_of(src, p, extra=header_columns),
         single_category_mapping(src.products),
         brands_of(src, p),
-        header_columns=header_columns)
+        header_columns=header_columns,
+        line_columns=("usd_discount_amount", "store_id"))
 
 
 def monthly_of(src: Sources, p: PrepParams) -> DataFrame:

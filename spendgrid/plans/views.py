@@ -23,9 +23,8 @@ class ViewRegistry:
         return list(self._views)
 
     def run(self, spark: SparkSession, name: str) -> DataFrame:
-        build = self._views.get(name)
-        if build is None:
-            raise ValueError(f"Query key '{name}' not found in the view registry.")
-        df = build(spark)
-        df.createOrReplaceTempView(name)
-        return df
+        if name not in self._views:
+            raise ValueError(f"no view is called {name!r}; there are {sorted(self._views)}")
+        frame = self._views[name](spark)
+        frame.createOrReplaceTempView(name)
+        return frame

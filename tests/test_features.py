@@ -17,19 +17,26 @@ def test_month_arithmetic_clamps():
 
 def test_timeline_and_eval_period(spark):
     df = spark.createDataFrame([(T(2024, 3, 31, 10),), (T(2023, 1, 1),)], "ts timestamp_ntz")
-    tl = feat.Timeline.from_frame(df, "ts", 1, 12)
+    tl = feat.timeline_frame(df, "ts", 1, 12).first()
     assert tl.latest_txn_ts == T(2024, 3, 31, 10)
     assert tl.training_end_ts == T(2024, 2, 29, 10)
     assert tl.training_start_ts == T(2023, 2, 28, 10)
-    row = feat.timeline_frame(df, "ts", 1, 12).first()
-    assert row["training_end_ts"] == tl.training_end_ts
-    assert row["training_start_ts"] == tl.training_start_ts
-    c = feat.UpdateConditions
-    assert feat.eval_period(c(True, True, False), tl, 3)[1] == tl.training_end_ts
-    assert feat.eval_period(c(False, False, True), tl, 3)[1] == tl.training_end_ts
-    assert feat.eval_period(c(False, True, True), tl, 3)[1] == tl.latest_txn_ts
+
+    def end(**how):
+        return feat.eval_period(tl, 3, **how)[1]
+
+    assert end(training=True) == tl.training_end_ts
+    assert end(training=False, interactive=True, table_exists=False) == tl.training_end_ts
+    assert end(training=False, interactive=True) == tl.latest_txn_ts
+    assert end(training=False) == tl.latest_txn_ts
+    assert feat.eval_period(tl, 3, training=False)[0] == T(2023, 12, 31, 10)
     with pytest.raises(RuntimeError):
-        feat.eval_period(c(True, True, True), tl, 3)
+        end(training=True, interactive=True)
+
+
+def test_timeline_of_dates(spark):
+    df = spark.createDataFrame([(dt.date(2024, 3, 31),)], "d date")
+    assert feat.timeline_frame(df, "d", 1, 12).first().training_end_ts == T(2024, 2, 29)
 
 
 def test_period_is_left_open(spark):
@@ -64,7 +71,7 @@ def test_duplicates_empty_and_nulls(spark):
     df = spark.createDataFrame([(1,), (None,), (None,)], "id long")
     row = feat.duplicate_profile(df, "id").first()
     assert (row.total_rows, row.unique_ids, row.null_ids) == (3, 1, 2)
-    out = feat.DuplicatesHandler("id", threshold=1.0).apply(df)
+    out = feat.deduplicate(df, "id", threshold=1.0)
     assert sorted((r.id is None) for r in out.collect()) == [False, True]
 
 

@@ -71,9 +71,9 @@ def test_export_single_csv(spark):
 def test_lifetime_functions(spark):
     spark.sql("DROP TEMPORARY FUNCTION IF EXISTS clv")
     spark.sql("DROP TEMPORARY FUNCTION IF EXISTS probability_alive")
-    assert not lt.verify_functions(spark)
+    assert "probability_alive" in lt.function_problem(spark)
     lt.register_lifetime_functions(spark)
-    assert lt.verify_functions(spark)
+    assert lt.function_problem(spark) is None
     par = lt.LifetimeParams()
     row = spark.sql("SELECT probability_alive(1, 2, 3) AS p, probability_alive(0, 0, 5) AS p0, "
                     "clv(1, 2, 3, 4) AS c").first()
