@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendgrid.llm.common import Scratch
@@ -137,10 +137,10 @@ def distinct_lists(entries: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(entries.join(once, "value").select("value", "size", "center", "node"), "members")
 
 
-def blocks_of(placed: DataFrame, block: int = BLOCK) -> DataFrame:
+def blocks_of(placed: DataFrame, n_blocks: Column | None = None) -> DataFrame:
     """Rows (value, size, node, ...) dealt to pairs of blocks (``i <= j``);
-    ``block`` is the row's own."""
-    n = F.ceil(F.col("size") / block).cast("long")
+    ``block`` is the row's own. ``n_blocks``: how many a list has."""
+    n = (F.ceil(F.col("size") / BLOCK) if n_blocks is None else n_blocks).cast("long")
     spread = placed.withColumn("block", F.pmod(F.xxhash64("node"), n)).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
     return spread.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "size")

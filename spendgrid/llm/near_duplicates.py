@@ -11,7 +11,8 @@
    Union sketches estimate the similarity and drop what is far below; exact
    Jaccard similarity on the full sets decides.
 4. Members of a list that are still in different components are compared in
-   blocks of ``BLOCK`` members, on their full sets, each pair in one list; only
+   blocks of ``BLOCK`` members (of ``BLOCK_SHINGLES`` shingles, if that is
+   less), on their full sets, each pair in one list; only
    links that join components leave the task. So every pair that shares an
    entry is connected, or was compared.
 5. Components over the exact links.
@@ -43,7 +44,7 @@ from spendgrid.llm.lists import blocks_of
 SKETCH = 64
 INDEXED = 32
 MISS = 1e-7
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
 BATCH_ROWS = 512
 
 
@@ -243,9 +244,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.col("e.value").alias("value"), "node", "n"), "lists")
     # lists with the same members say the same: one of them is enough
     about = lists.groupBy("value").agg(
-        F.count("*").alias("size"), F.min("node").alias("center"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
-    about = scratch.write(about.where("size > 1").groupBy("size", "center", "mark").agg(F.min("value").alias("value")), "about")
-    members = scratch.write(lists.join(about, "value").select("value", "size", "center", "node", "n"), "members")
+        F.count("*").alias("size"), F.min("node").alias("center"), F.sum("n").alias("total"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"))
+    about = scratch.write(about.where("size > 1").groupBy("size", "total", "center", "mark").agg(F.min("value").alias("value")), "about")
+    members = scratch.write(lists.join(about, "value").select("value", "size", "total", "center", "node", "n"), "members")
     scratch.drop(lists)
 
     # what the comparisons need of the nodes that are in any list
@@ -268,11 +270,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     # members of a list that no star has brought together
     placed = members.where("size > 2").join(first, "node", "left").select(
-        "value", "size", "node", "n", F.coalesce("root", "node").alias("comp"))
+        "value", "size", "total", "node", "n", F.coalesce("root", "node").alias("comp"))
     open_lists = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
     values = members.groupBy("node").agg(F.collect_list("value").alias("values"))
     wanted = scratch.write(placed.join(open_lists, "value", "left_semi").join(values, "node"), "open")
-    more = blocks_of(wanted, BLOCK).join(body, "node").groupBy("value", "i", "j").applyInArrow(
+    n_blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("total") / BLOCK_SHINGLES))
+    more = blocks_of(wanted, n_blocks).drop("total").join(body, "node").groupBy("value", "i", "j").applyInArrow(
         _block_links(words, percent), "a bigint, b bigint")
     links = links.union(scratch.write(more, "block-links"))
     found = connected_components(links, scratch)
