@@ -75,13 +75,15 @@ P = prep.TEST_PARAMS
 
 @register("sales_details", O.with_sales(
     "SELECT sale_dt, txn_id, elc_master_id, consumer_id, brand_id, major_category, "
-    "header_sales_amount, sale_line_num, net_item_qty, sales_amount, product_sku FROM sd"))
+    "header_sales_amount, sale_line_num, net_item_qty, sales_amount, product_sku, "
+    "product_desc, master_category, category, sub_category, subcategory_alter FROM sd"))
 def q_sales_details(spark, base):
     s = prep.sales_of(_src(spark, base), P)
     return s.select("sale_dt", "txn_id", "elc_master_id", "consumer_id",
                     "brand_id", "major_category", "header_sales_amount",
                     "sale_line_num", "net_item_qty", "sales_amount",
-                    "product_sku")
+                    "product_sku", "product_desc", "master_category", "category",
+                    "sub_category", "subcategory_alter")
 
 
 @register("monthly_summary", O.with_monthly("SELECT * FROM ms"))
@@ -114,7 +116,8 @@ def q_valid_headers(spark, base):
 
 _VD_COLS = ("sale_dt", "channel_cd", "elc_master_id", "consumer_id", "brand_id",
             "txn_id", "sale_line_num", "src_txn_cd_desc", "net_item_qty",
-            "usd_total_price", "product_sku")
+            "usd_total_price", "product_sku", "product_desc", "master_category",
+            "category", "sub_category", "subcategory_alter")
 
 
 @register("valid_details", O.with_sales("SELECT " + ", ".join(_VD_COLS) + " FROM vd"))
@@ -334,11 +337,11 @@ def q_product_token(spark, base):
 
 @register("token_details", O.with_tokens(
     "SELECT sale_dt, txn_id, elc_master_id, consumer_id, pdt_clean, sale_line_num, "
-    "net_item_qty, sales_amount, product_sku FROM emb"))
+    "net_item_qty, sales_amount, product_sku, product_desc FROM emb"))
 def q_token_details(spark, base):
     return _emb(_src(spark, base)).select(
         "sale_dt", "txn_id", "elc_master_id", "consumer_id", "pdt_clean",
-        "sale_line_num", "net_item_qty", "sales_amount", "product_sku")
+        "sale_line_num", "net_item_qty", "sales_amount", "product_sku", "product_desc")
 
 
 @register("basket", O.with_tokens(f"""

@@ -23,7 +23,8 @@ DETAIL_COLUMNS = (
     "sale_dt", "channel_cd", "elc_master_id", "consumer_id", "brand_id",
     "txn_id", "txn_detail_id", "sale_line_type", "sale_line_num",
     "src_txn_cd_desc", "net_item_qty", "usd_total_price", "usd_unit_price",
-    "product_id", "product_sku",
+    "product_id", "product_sku", "product_desc", "master_category", "category",
+    "sub_category", "subcategory_alter",
 )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SKU_KEY = "sku_six_digit_identifier"
+PRODUCT_COLUMNS = ("product_desc", "master_category", "category",
+                   "sub_category", "subcategory_alter")
 
 
 def _line_lookups(details: DataFrame, mapping: DataFrame, brands: DataFrame,
@@ -47,7 +49,7 @@ def sales_details(details: DataFrame, headers: DataFrame, mapping: DataFrame,
         "header_sales_amount", "txn_detail_id", "sale_line_type",
         "sale_line_num", "src_txn_cd_desc", "net_item_qty",
         F.col("usd_total_price").alias("sales_amount"), "usd_unit_price",
-        "product_id", "product_sku", *line_columns, *header_columns)
+        "product_id", "product_sku", *PRODUCT_COLUMNS, *line_columns, *header_columns)
 
 
 def token_details(details: DataFrame, headers: DataFrame, tokens: DataFrame,
@@ -62,4 +64,4 @@ def token_details(details: DataFrame, headers: DataFrame, tokens: DataFrame,
         "pdt_hash", "txn_detail_id", "sale_line_type", "sale_line_num",
         "src_txn_cd_desc", "net_item_qty",
         F.col("usd_total_price").alias("sales_amount"), "usd_unit_price",
-        "product_id", "product_sku")
+        "product_id", "product_sku", "product_desc")

@@ -65,7 +65,13 @@ src_header AS (
          o_totalprice AS usd_net_order_total,
          {_case('o_orderpriority', PRIORITY_CURRENCY, DEFAULT_CURRENCY)} AS currency_cd,
          {_case('o_orderpriority', PRIORITY_CHANNEL)} AS channel_cd,
-         CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS loyalty_trans_flag
+         CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS loyalty_trans_flag,
+         CASE WHEN o_orderkey % 71 = 19 THEN 'emea' ELSE 'noam' END AS cdp_region,
+         CASE WHEN o_orderkey % 97 = 3 THEN 0 ELSE 1 END AS valid_ind,
+         CASE WHEN o_custkey % 89 = 5 THEN 'N' ELSE 'Y' END AS consumer_valid_flag,
+         CASE WHEN o_orderkey % 83 = 7 THEN 'Y' ELSE 'N' END AS mac_pro_flag,
+         CASE WHEN o_orderkey % 79 = 11 THEN 0 ELSE 1 END AS visit_ind,
+         CASE WHEN o_orderkey % 73 = 13 THEN 'D' WHEN o_orderkey % 73 <> 17 THEN 'U' END AS cdc
   FROM src_orders),
 src_detail AS (
   SELECT CAST(o.o_orderdate AS DATE) AS sale_dt,
@@ -78,7 +84,12 @@ src_detail AS (
          l.l_extendedprice AS usd_total_price,
          l.l_extendedprice * l.l_discount AS usd_discount_amount,
          lpad(CAST(l.l_partkey AS VARCHAR), 6, '0') || '-' || CAST(l.l_suppkey AS VARCHAR) AS product_sku,
-         l.l_suppkey AS store_id
+         l.l_suppkey AS store_id,
+         CASE WHEN l.l_linenumber = 7 THEN 'Return' ELSE 'Sale' END AS sale_line_type,
+         CASE WHEN l.l_orderkey % 67 = 23 THEN 'emea' ELSE 'noam' END AS cdp_region,
+         'Product ' || l.l_partkey AS product_desc, 'M' || (l.l_partkey % 5) AS master_category,
+         'C' || (l.l_partkey % 25) AS category, 'S' || (l.l_partkey % 125) AS sub_category,
+         CASE WHEN l.l_partkey % 3 <> 0 THEN 'A' || (l.l_partkey % 7) END AS subcategory_alter
   FROM lineitem l
   LEFT JOIN src_orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -91,11 +102,14 @@ def sales_ctes() -> str:
 vh AS (
   SELECT * FROM src_header
   WHERE elc_master_id IS NOT NULL AND consumer_id IS NOT NULL
+    AND cdp_region = 'noam' AND valid_ind = 1 AND consumer_valid_flag = 'Y'
+    AND mac_pro_flag = 'N' AND visit_ind = 1 AND cdc <> 'D'
     AND usd_net_order_total > 0 AND currency_cd IN ('USD', 'CAD')
     AND sale_dt > DATE '{P.start_date}'),
 vd AS (
   SELECT * FROM src_detail
   WHERE elc_master_id IS NOT NULL AND consumer_id IS NOT NULL
+    AND cdp_region = 'noam' AND sale_line_type = 'Sale'
     AND product_sku IS NOT NULL AND net_item_qty > 0
     AND sale_dt > DATE '{P.start_date}'),
 bl AS (
@@ -114,7 +128,8 @@ sd AS (
          h.usd_net_order_total AS header_sales_amount, h.loyalty_trans_flag,
          d.sale_line_num, d.src_txn_cd_desc, d.net_item_qty,
          d.usd_total_price AS sales_amount, d.usd_discount_amount, d.store_id,
-         d.product_sku
+         d.product_sku, d.product_desc, d.master_category, d.category,
+         d.sub_category, d.subcategory_alter
   FROM vd d
   JOIN vh h ON d.txn_id = h.txn_id
   JOIN cm c ON substr(d.product_sku, 1, 6) = c.sku_six_digit_identifier
@@ -388,7 +403,8 @@ tok AS (
   WHERE major_category_name IS NOT NULL AND product_type_code = 'FERT'),
 emb AS (
   SELECT d.sale_dt, d.txn_id, d.elc_master_id, d.consumer_id, c.pdt_clean,
-         d.sale_line_num, d.net_item_qty, d.usd_total_price AS sales_amount, d.product_sku
+         d.sale_line_num, d.net_item_qty, d.usd_total_price AS sales_amount, d.product_sku,
+         d.product_desc
   FROM vd d
   JOIN vh h ON d.txn_id = h.txn_id
   JOIN tok c ON substr(d.product_sku, 1, 6) = c.sku_six_digit_identifier

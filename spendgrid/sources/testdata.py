@@ -103,12 +103,14 @@ def header_source(spark: SparkSession, base: str) -> DataFrame:
         .alias("loyalty_trans_flag"),
         F.lit(None).cast("bigint").alias("store_id"),
         F.lit(None).cast("string").alias("store_num"),
-        F.lit(REGION).alias("cdp_region"),
-        F.lit(1).alias("valid_ind"),
-        F.lit("Y").alias("consumer_valid_flag"),
-        F.lit("N").alias("mac_pro_flag"),
-        F.lit(1).alias("visit_ind"),
-        F.lit("U").alias("CDC_CODE"),
+        # flags the tables lack: some orders fail each condition
+        F.when(F.col("o_orderkey") % 71 == 19, "emea").otherwise(REGION).alias("cdp_region"),
+        F.when(F.col("o_orderkey") % 97 == 3, 0).otherwise(1).alias("valid_ind"),
+        F.when(F.col("o_custkey") % 89 == 5, "N").otherwise("Y").alias("consumer_valid_flag"),
+        F.when(F.col("o_orderkey") % 83 == 7, "Y").otherwise("N").alias("mac_pro_flag"),
+        F.when(F.col("o_orderkey") % 79 == 11, 0).otherwise(1).alias("visit_ind"),
+        F.when(F.col("o_orderkey") % 73 == 13, "D")
+        .when(F.col("o_orderkey") % 73 != 17, "U").alias("CDC_CODE"),
     )
 
 
@@ -121,6 +123,7 @@ def detail_source(spark: SparkSession, base: str) -> DataFrame:
     j = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
          .join(s, li.l_suppkey == s.s_suppkey, "left")
          .join(n, F.col("s_nationkey") == n.n_nationkey, "left"))
+    part = F.col("l_partkey").cast("string")
     return j.select(
         F.to_date("o_orderdate").alias("sale_dt"),
         _case_map(F.col("o_orderpriority"), PRIORITY_CHANNEL).alias("channel_cd"),
@@ -129,7 +132,7 @@ def detail_source(spark: SparkSession, base: str) -> DataFrame:
         F.col("n_regionkey").cast("bigint").alias("brand_id"),
         F.col("l_orderkey").alias("txn_id"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("txn_detail_id"),
-        F.lit("Sale").alias("sale_line_type"),
+        F.when(F.col("l_linenumber") == 7, "Return").otherwise("Sale").alias("sale_line_type"),
         F.col("l_linenumber").alias("sale_line_num"),
         F.when(F.col("l_returnflag") == "R", "RETURN").otherwise("SALE")
         .alias("src_txn_cd_desc"),
@@ -141,7 +144,13 @@ def detail_source(spark: SparkSession, base: str) -> DataFrame:
         F.concat(_sku(F.col("l_partkey")), F.lit("-"),
                  F.col("l_suppkey").cast("string")).alias("product_sku"),
         F.col("l_suppkey").alias("store_id"),
-        F.lit(REGION).alias("cdp_region"),
+        F.concat(F.lit("Product "), part).alias("product_desc"),
+        F.concat(F.lit("M"), F.col("l_partkey") % 5).alias("master_category"),
+        F.concat(F.lit("C"), F.col("l_partkey") % 25).alias("category"),
+        F.concat(F.lit("S"), F.col("l_partkey") % 125).alias("sub_category"),
+        F.when(F.col("l_partkey") % 3 != 0, F.concat(F.lit("A"), F.col("l_partkey") % 7))
+        .alias("subcategory_alter"),
+        F.when(F.col("l_orderkey") % 67 == 23, "emea").otherwise(REGION).alias("cdp_region"),
     )
 
 
