@@ -52,8 +52,10 @@ def overwrite_partitions(df: DataFrame, path: str,
                          partition_cols: Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition
     overwrite): re-running a month rewrites that month only, so the step is
-    idempotent, unlike an append."""
-    (df.write.mode("overwrite")
+    idempotent, unlike an append. Rows are dealt by the partition columns
+    first, and large partitions to several tasks, so a partition gets files
+    of Spark's advisory size and not one from every task."""
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
 
@@ -90,15 +92,16 @@ def write_feature_table(df: DataFrame, name: str, *, primary_keys: Sequence[str]
     """Create (or replace) a feature table and write ``df`` into it.
 
     Keys are stored as table properties; (primary keys, timestamp keys) must
-    be unique -- checked with one aggregate before writing.
+    be unique. ``df`` runs once: it is written to the new table's folder, the
+    written files are checked, and only then does the name point to them.
     """
     spark = df.sparkSession
     keys = list(primary_keys) + list(timestamp_keys)
-    dup = (df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count())
-    if dup:
-        raise ValueError(f"feature table {name}: keys {keys} are not unique")
     path = path or run_scratch(spark, name.replace(".", "_"))
     df.write.mode("overwrite").parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    if written.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count():
+        raise ValueError(f"feature table {name}: keys {keys} are not unique")
     props = {
         "primary_keys": ",".join(primary_keys),
         "timestamp_keys": ",".join(timestamp_keys),
@@ -120,12 +123,11 @@ def feature_table_keys(spark: SparkSession, name: str) -> dict[str, list[str]]:
 
 def export_csv(df: DataFrame, folder: str, table_name: str,
                write_dt: _dt.datetime) -> str:
-    """One CSV file with a header in a folder named for the run
-    (``<table>_<Y-m-d H:M:S>``). ``coalesce(1)`` writes from one task without
-    a full shuffle; meant for score exports of a bounded size."""
+    """CSV parts with headers, written in parallel, in a folder named for the
+    run (``<table>_<Y-m-d H:M:S>``)."""
     short = table_name.split(".", 1)[1] if "." in table_name else table_name
     out = os.path.join(folder, f"{short}_{write_dt.strftime('%Y-%m-%d %H:%M:%S')}")
-    df.coalesce(1).write.mode("overwrite").csv(out, header=True, sep=",")
+    df.write.mode("overwrite").csv(out, header=True, sep=",")
     return out
 
 

@@ -57,15 +57,17 @@ def test_feature_table_keys(spark):
         store.write_feature_table(dup, "feat_t2", primary_keys=["id"], timestamp_keys=["ts"])
 
 
-def test_export_single_csv(spark):
+def test_export_csv_parts(spark):
     folder = store.run_scratch(spark, "export")
     df = spark.range(50).repartition(4)
     out = store.export_csv(df, folder, "db.scores", dt.datetime(2024, 1, 2, 3, 4, 5))
     assert out.endswith("scores_2024-01-02 03:04:05")
     files = glob.glob(os.path.join(out, "*.csv"))
-    assert len(files) == 1
-    with open(files[0]) as fh:
-        assert fh.readline().strip() == "id"
+    assert len(files) == 4
+    for name in files:
+        with open(name) as fh:
+            assert fh.readline().strip() == "id"
+    assert spark.read.csv(out, header=True).count() == 50
 
 
 def test_lifetime_functions(spark):
