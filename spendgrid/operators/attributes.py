@@ -168,7 +168,8 @@ def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
                             store_col=store_col, partition_by=partition_by)
     dense = densify(anchors, calendar_start=calendar_start,
                     calendar_end=calendar_end, keys=keys, columns=["_store"],
-                    carry=store_carry(keys), carry_history=True)
+                    carry=store_carry(keys), carry_history=True,
+                    partition_by=partition_by or keys)
     return dense.select(F.col("dt").alias(SNAPSHOT), *keys,
                         "_store_now.most_freq_store_id",
                         *[f"_store_now.{c}" for c in STORE_COLUMNS])
