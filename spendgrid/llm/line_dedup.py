@@ -289,7 +289,7 @@ def line_classes(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_char
         maybe = dealt_by_group(dealt.join(marks, "node")).mapInArrow(_likely_in_blocks(edits), "a bigint, b bigint")
         return check(scratch.write(maybe.distinct(), "in-blocks"), "block-checked")
 
-    roots = classes(members, scratch, check, compare)
+    roots = classes(members, scratch, check, compare, block=4096)  # a row is a few bytes
     named = lines.join(roots, "node", "left").select(
         "doc_id", "text_hash", "line", "chars", F.coalesce("root", "node").alias("class"))
     firsts = named.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("at"))

@@ -137,10 +137,10 @@ def distinct_lists(entries: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(entries.join(once, "value").select("value", "size", "center", "node"), "members")
 
 
-def blocks_of(placed: DataFrame, n_blocks: Column | None = None) -> DataFrame:
+def blocks_of(placed: DataFrame, n_blocks: Column) -> DataFrame:
     """Rows (value, size, node, ...) dealt to pairs of blocks (``i <= j``);
     ``block`` is the row's own. ``n_blocks``: how many a list has."""
-    n = (F.ceil(F.col("size") / BLOCK) if n_blocks is None else n_blocks).cast("long")
+    n = n_blocks.cast("long")
     spread = placed.withColumn("block", F.pmod(F.xxhash64("node"), n)).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
     return spread.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "size")
@@ -193,12 +193,12 @@ def dealt_by_group(dealt: DataFrame) -> DataFrame:
 
 
 def classes(members: DataFrame, scratch: Scratch, check: Callable[[DataFrame, str], DataFrame],
-            compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            compare: Callable[[DataFrame], DataFrame], block: int = BLOCK) -> DataFrame:
     """``node, root`` of all linked nodes, roots included.
 
     ``check(pairs, name)`` returns the linked ones of pairs (a, b).
     ``compare(dealt)`` returns links (a, b) between rows of different ``comp``
-    within each (value, i, j).
+    within each (value, i, j). ``block``: members of a block at most.
     """
     stars = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     links = check(stars, "star-links")
@@ -206,6 +206,7 @@ def classes(members: DataFrame, scratch: Scratch, check: Callable[[DataFrame, st
     placed = members.where("size > 2").join(first, "node", "left").select(
         "value", "size", "node", F.coalesce("root", "node").alias("comp"))
     still_open = placed.groupBy("value").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("value")
-    more = scratch.write(compare(blocks_of(placed.join(still_open, "value", "left_semi"))).distinct(), "block-links")
+    more = scratch.write(compare(blocks_of(
+        placed.join(still_open, "value", "left_semi"), F.ceil(F.col("size") / block))).distinct(), "block-links")
     found = scratch.write(connected_components(links.union(more), scratch), "roots")
     return found.select("node", "root").union(found.select("root", "root")).distinct()
