@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from spendgrid.llm.common import (_BASE, _BASE_INVERSE, WORD_SEPARATOR, Scratch, _powers, hash_grams, hash_words, mix,
                                   read_table, shingle_set, text_of)
 from spendgrid.llm.components import connected_components
-from spendgrid.llm.lists import classes, distinct_lists, shared_entries
+from spendgrid.llm.lists import classes, dealt_by_group, distinct_lists, pairs_within, shared_entries, whole_groups
 from spendgrid.llm.near_duplicates import _slices
 
 MIN_WORDS = 50
@@ -192,38 +192,67 @@ def _check(min_words: int):
     return run
 
 
+def _ragged(values: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of each row's entry, one after the other, and the rows."""
+    size = np.array([len(v) for v in values], dtype=np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint64), *values])
+    first, many = (np.cumsum(size) - size)[rows], size[rows]
+    at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    return flat[at], np.repeat(np.arange(len(rows)), many)
+
+
+def _alike(marks: np.ndarray, rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows, ordered so that those of one group and mark follow each other in
+    their order, and the offsets of such stretches of two or more."""
+    key = mix(marks + mix(group[rows].astype(np.uint64)))
+    order = np.lexsort((rows, key))
+    key, rows = key[order], rows[order]
+    cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key)) if len(key) else np.zeros(1, np.int64)
+    size = np.diff(cuts)
+    keep = np.repeat(size > 1, size)
+    return rows[keep], np.append(0, np.cumsum(size[size > 1]))
+
+
 def _compare(min_words: int):
-    """Within two blocks: pairs that share a band, or a run of the length asked
-    for, are checked."""
-    def run(key, group):
-        node, comp, block = (group.column(c).to_numpy() for c in ("node", "comp", "block"))
-        hashes, first = hash_words(group.column("body").combine_chunks())
-        words = [hashes[x:y] for x, y in zip(first[:-1], first[1:])]
-        i, j = key[1].as_py(), key[2].as_py()
-        keys, of = paragraph_keys(hashes, first)
-        bands = BANDS * len(words)
-        marks = [(keys[:bands], of[:bands])] + [(r, np.full(len(r), k)) for k, r in enumerate(runs_of(w, min_words) for w in words)]
-        value, at = (np.concatenate(c) for c in zip(*marks))
-        values, inverse, count = np.unique(value, return_inverse=True, return_counts=True)
-        column = np.cumsum(count > 1) - 1
-        # paragraphs with equal marks are alike: one column for each set of them
-        pairs = np.unique(np.stack([column[inverse], at], axis=1)[count[inverse] > 1], axis=0)
-        sets: dict[bytes, None] = {}
-        if len(pairs):
-            for part in np.split(pairs[:, 1], np.flatnonzero(np.diff(pairs[:, 0])) + 1):
-                sets[part.astype(np.int64).tobytes()] = None
-        held = np.zeros((len(words), len(sets)), dtype=np.float32)
-        for c, members in enumerate(sets):
-            held[np.frombuffer(members, np.int64), c] = 1
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        maybe = (held[left] @ held[right].T > 0.5) & (comp[left][:, None] != comp[right][None, :])
-        if i == j:
-            maybe &= node[left][:, None] < node[right][None, :]
-        x, y = np.nonzero(maybe)
-        rows = []
-        for a, b in zip(left[x], right[y]):
-            rows += [(int(node[a]), int(node[b]), *s) for s in shared_runs(words[a], words[b], min_words)]
-        return pa.table(_links(rows))
+    """Links between components within two blocks of a list. Paragraphs that
+    hold the same run of words are linked one to the next; those that share a
+    band are checked with each other."""
+    def run(batches):
+        for table, cuts in whole_groups(batches, ["value", "i", "j"]):
+            node, comp = (table.column(c).to_numpy() for c in ("node", "comp"))
+            group = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+            _, at, own = np.unique(node, return_index=True, return_inverse=True)
+            hashes, first = hash_words(table.column("body").take(pa.array(at)).combine_chunks())
+            words = [hashes[x:y] for x, y in zip(first[:-1], first[1:])]
+            bands = paragraph_keys(hashes, first)[0][:BANDS * len(words)].reshape(BANDS, len(words)).T
+            root = {c: c for c in comp.tolist()}
+
+            def find(c):
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            found = []
+
+            def link(x: np.ndarray, y: np.ndarray, joined: bool) -> None:
+                """``joined``: also where the two are in one component by now."""
+                apart = comp[x] != comp[y]
+                for a, b in np.unique(np.stack([x[apart], y[apart]], axis=1), axis=0).tolist():
+                    p, q = find(int(comp[a])), find(int(comp[b]))
+                    if (joined or p != q) and (spans := shared_runs(words[own[a]], words[own[b]], min_words)):
+                        root[p] = q
+                        found.extend((int(node[a]), int(node[b]), *s) for s in spans)
+
+            rows, stretch = _alike(*_ragged([runs_of(w, min_words) for w in words], own), group)
+            next_to = np.ones(max(len(rows) - 1, 0), dtype=bool)
+            next_to[stretch[1:-1] - 1] = False
+            link(rows[:-1][next_to], rows[1:][next_to], True)
+            rows, stretch = _alike(bands[own].ravel(), np.repeat(np.arange(len(own)), BANDS), group)
+            if len(rows):
+                for x, y in pairs_within(stretch):
+                    link(rows[x], rows[y], False)
+            yield pa.RecordBatch.from_pydict(_links(found))
     return run
 
 
@@ -280,11 +309,11 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         return all_links[-1].select("a", "b")
 
     def compare(dealt: DataFrame) -> DataFrame:
-        all_links.append(scratch.write(dealt.join(body, "node").groupBy("value", "i", "j").applyInArrow(
+        all_links.append(scratch.write(dealt_by_group(dealt.join(body, "node")).mapInArrow(
             _compare(min_words), _LINKS).distinct(), "block-links"))
         return all_links[-1].select("a", "b")
 
-    classes(members, scratch, check, compare)
+    classes(members, scratch, check, compare, block=512)
     links = all_links[0].union(all_links[1])
 
     # passages of each paragraph, then components over passages
