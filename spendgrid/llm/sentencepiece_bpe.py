@@ -166,7 +166,7 @@ def encoder(model: str) -> MergeEncoder:
     return MergeEncoder(model)
 
 
-def _batches(model: str, per_batch: int, ids_type: pa.DataType):
+def _batches(model: str, per_batch: int, ids_type: pa.DataType, keep: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model)
         for batch in batches:
@@ -176,15 +176,18 @@ def _batches(model: str, per_batch: int, ids_type: pa.DataType):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, ids_type), pa.array([own.decode(x) for x in ids], pa.string())],
                     names=["key", "ids", "decoded"])
+        if not keep:
+            encoder.cache_clear()
     return encode
 
 
-def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", keep: bool = True) -> DataFrame:
     """``key, ids, decoded`` for each row of ``docs``. ``model`` is the path of
-    the model file, the same on all executors."""
+    the model file, the same on all executors. ``keep``: whether a worker keeps
+    the encoder and its cache of words for its next task."""
     picked = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = picked.schema["key"].dataType.simpleString()
-    return picked.mapInArrow(_batches(model, 256, pa.list_(pa.int32())), f"key {kind}, ids array<int>, decoded string")
+    return picked.mapInArrow(_batches(model, 256, pa.list_(pa.int32()), keep), f"key {kind}, ids array<int>, decoded string")
 
 
 def digest(encoded: DataFrame) -> DataFrame:
@@ -205,5 +208,6 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids and digests of every document that came this far."""
-    return digest(encode_documents(docs, default_model()))
+    """The ids and digests of every document that came this far. Other stages
+    use the same workers, so they get their memory back."""
+    return digest(encode_documents(docs, default_model(), keep=False))
