@@ -18,6 +18,7 @@ further columns do not matter; an empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -177,7 +178,9 @@ def _batches(model: str, per_batch: int, ids_type: pa.DataType, keep: bool):
                     [part.column(0), pa.array(ids, ids_type), pa.array([own.decode(x) for x in ids], pa.string())],
                     names=["key", "ids", "decoded"])
         if not keep:
+            del own
             encoder.cache_clear()
+            gc.collect()  # the encoder's caches refer to it
     return encode
 
 
