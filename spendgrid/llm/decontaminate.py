@@ -1,14 +1,15 @@
-"""Benchmark decontamination: rare seeds, then Smith-Waterman alignment.
-
-Seeds are the ``SEED``-word windows of a test item (the whole item if it is
-shorter). A first pass over the corpus counts how often each occurs; of every
-item the rarer half stays, so that windows which are just common speech start
-nothing, and an item that was copied a thousand times still has seeds. A second
-pass aligns the item with the passage around each seed it meets, in words. A
-document is contaminated if an alignment scores at least half of what a whole
-copy does (2 for an equal word, -1 for a changed, left out or added one), which
-about one changed word in three does not prevent, and at least as much as eight
-equal words or the whole item.
+"""Benchmark decontamination: seeds, then Smith-Waterman alignment.
+
+Seeds are all ``SEED``-word windows of a test item (the whole item if it is
+shorter), whatever their count in the corpus. Each seed that a document holds
+asks for an alignment of the item with the passage around it, in words. Words
+are counted first: an alignment of ``k`` equal words needs ``k`` of the item's
+words in the passage, so a passage with too few of them for the least score is
+not aligned. A document is contaminated if an alignment scores at least half of
+what a whole copy does (2 for an equal word, -1 for a changed, left out or added
+one), which about one changed word in three does not prevent, and at least as
+much as eight equal words or the whole item. A copy without ``SEED`` words in a
+row as they were is not met.
 
 Test items go round in blocks of a bounded number of words, each as a
 broadcast; documents are read where they lie and not shuffled.
@@ -38,6 +39,7 @@ LEAST_WORDS = 8
 BLOCK_WORDS = 500_000
 EQUAL, OTHER = 2, -1
 _CELLS = 1 << 21
+_HITS = 1 << 19
 
 
 def _windows(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,30 +64,54 @@ class Items:
             if own.any():
                 order = np.argsort(grams[own], kind="stable")
                 self.seeds[n] = (grams[own][order], item[own][order], place[own][order])
-
-    def keep_rare(self, counts: dict[int, int]) -> None:
-        """Leave each item the windows that are no more frequent than its
-        median one."""
-        for n, (grams, item, place) in self.seeds.items():
-            many = np.array([counts.get(g, 0) for g in grams.view(np.int64).tolist()], dtype=np.int64)
-            order = np.lexsort((many, item))
-            begin = np.flatnonzero(np.append(True, np.diff(item[order]) > 0))
-            size = np.diff(np.append(begin, len(order)))
-            median = np.zeros(int(item.max()) + 1, dtype=np.int64)
-            median[item[order][begin]] = many[order][begin + (size - 1) // 2]
-            rare = many <= median[item]
-            self.seeds[n] = (grams[rare], item[rare], place[rare])
+        # each item's distinct words and how often it holds them, by (item, word)
+        of = np.repeat(np.arange(len(size)), size)
+        order = np.lexsort((self.words, of))
+        new = np.append(True, (np.diff(of[order]) > 0) | (self.words[order][1:] != self.words[order][:-1]))[:len(order)]
+        begin = np.flatnonzero(new)
+        self.known, code = np.unique(self.words, return_inverse=True)
+        self.key = of[order][begin] * max(1, len(self.known)) + code[order][begin]
+        self.many = np.diff(np.append(begin, len(order)))
+
+    def least(self, item: np.ndarray) -> np.ndarray:
+        """The score that an alignment with the item has to reach."""
+        size = np.diff(self.first)[item]
+        return np.maximum(SHARE * EQUAL * size, EQUAL * np.minimum(LEAST_WORDS, size))
+
+    def common(self, item: np.ndarray, hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """How many words each item has in common with ``hashes[low:high]``,
+        each as often as both hold it."""
+        span = high - low
+        place = np.repeat(low - (np.cumsum(span) - span), span) + np.arange(int(span.sum()))
+        pair = np.repeat(np.arange(len(item)), span)
+        code = np.searchsorted(self.known, hashes)
+        held = code < len(self.known)
+        held[held] = self.known[code[held]] == hashes[held]
+        inside = held[place]
+        place, pair = place[inside], pair[inside]
+        key = item[pair] * max(1, len(self.known)) + code[place]
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        same = self.key[at] == key
+        entry, times = np.unique(pair[same] * len(self.key) + at[same], return_counts=True)
+        both = np.minimum(times, self.many[entry % len(self.key)])
+        return np.bincount(entry // len(self.key), weights=both, minlength=len(item)).astype(np.int64)
 
 
 def _hits(items: Items, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, place in it, item, place in it) of seeds, about ``_HITS`` at a time."""
     for n, (grams, item, place) in items.seeds.items():
         found, text, at = _windows(hashes, first, n)
         lo = np.searchsorted(grams, found, side="left")
         hit = np.flatnonzero((lo < len(grams)) & (grams[np.minimum(lo, len(grams) - 1)] == found))
         lo, size = lo[hit], np.searchsorted(grams, found[hit], side="right") - lo[hit]
-        which = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        back = np.repeat(hit, size)
-        yield grams[which], text[back], at[back], item[which], place[which]
+        ends, begin = np.cumsum(size), 0
+        while begin < len(hit):
+            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + _HITS, side="right")))
+            many = size[begin:stop]
+            which = np.repeat(lo[begin:stop] - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+            back = np.repeat(hit[begin:stop], many)
+            yield text[back], at[back], item[which], place[which]
+            begin = stop
 
 
 def align(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -117,46 +143,34 @@ def align(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
     return best, end
 
 
-def _counter(items):
-    def run(batches):
-        for batch in _slices(batches, rows=4096):
-            hashes, first = hash_words(batch.column(0))
-            for grams, *_ in _hits(items.value, hashes, first):
-                if len(grams):
-                    seen, many = np.unique(grams, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(many)], names=["gram", "n"])
-    return run
-
-
 def _searcher(items):
     def run(batches):
         block: Items = items.value
         lengths = np.diff(block.first)
         for batch in _slices(batches, rows=4096):
             hashes, first = hash_words(batch.column(1))
-            parts = [x[1:] for x in _hits(block, hashes, first)]
-            if not parts:
-                continue
-            text, at, item, place = (np.concatenate(c) for c in zip(*parts))
-            size = lengths[item]
-            slack = size // 2 + 2
-            # one alignment for each stretch of diagonals half as wide as the slack
-            stretch = (at - place) // np.maximum(1, slack // 2)
-            asked = np.unique(np.stack([text, item, stretch], axis=1), axis=0) if len(text) else np.zeros((0, 3), np.int64)
             found = []
-            begin = 0
-            while begin < len(asked):
-                stop = begin + max(1, _CELLS // (4 * int(lengths[asked[begin:begin + 2048, 1]].max()) + 16))
-                t, k, s = asked[begin:stop].T
-                slack = lengths[k] // 2 + 2
-                half = np.maximum(1, slack // 2)
-                low = np.maximum(s * half - slack, 0) + first[t]
-                high = np.minimum((s + 1) * half + lengths[k] + slack + first[t], first[t + 1])
-                score, end = align([block.words[block.first[x]:block.first[x + 1]] for x in k], [hashes[x:y] for x, y in zip(low, high)])
-                need = np.maximum(SHARE * EQUAL * lengths[k], EQUAL * np.minimum(LEAST_WORDS, lengths[k]))
-                ok = np.flatnonzero(score >= need)
-                found += [(int(t[x]), int(k[x]), score[x] / (EQUAL * int(lengths[k[x]])), int(low[x] - first[t[x]] + end[x])) for x in ok]
-                begin = stop
+            for text, at, item, place in _hits(block, hashes, first):
+                # one alignment for each stretch of diagonals half as wide as the slack
+                stretch = (at - place) // np.maximum(1, (lengths[item] // 2 + 2) // 2)
+                asked = np.unique(np.stack([text, item, stretch], axis=1), axis=0)
+                begin = 0
+                while begin < len(asked):
+                    stop = begin + max(1, _CELLS // (4 * int(lengths[asked[begin:begin + 2048, 1]].max()) + 16))
+                    t, k, s = asked[begin:stop].T
+                    begin = stop
+                    slack = lengths[k] // 2 + 2
+                    half = np.maximum(1, slack // 2)
+                    low = np.maximum(s * half - slack, 0) + first[t]
+                    high = np.minimum((s + 1) * half + lengths[k] + slack + first[t], first[t + 1])
+                    need = block.least(k)
+                    may = EQUAL * block.common(k, hashes, low, high) >= need
+                    if not may.any():
+                        continue
+                    t, k, low, high, need = t[may], k[may], low[may], high[may], need[may]
+                    score, end = align([block.words[block.first[x]:block.first[x + 1]] for x in k], [hashes[x:y] for x, y in zip(low, high)])
+                    ok = np.flatnonzero(score >= need)
+                    found += [(int(t[x]), int(k[x]), score[x] / (EQUAL * int(lengths[k[x]])), int(low[x] - first[t[x]] + end[x])) for x in ok]
             if found:
                 t, k, share, end = zip(*found)
                 yield pa.RecordBatch.from_arrays([
@@ -180,11 +194,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK
     for block in range(n_blocks):
         rows = sorted(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect(),
                       key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
-        held = Items([r["text"] for r in rows])
-        sent = spark.sparkContext.broadcast(held)
-        counts = texts.select("text").mapInArrow(_counter(sent), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-        held.keep_rare({r["gram"]: r["n"] for r in counts.collect()})
-        sent = spark.sparkContext.broadcast(held)
+        sent = spark.sparkContext.broadcast(Items([r["text"] for r in rows]))
         ids = spark.createDataFrame([(k, r["item_id"]) for k, r in enumerate(rows)], f"k bigint, item_id {items.schema['item_id'].dataType.simpleString()}")
         matches = scratch.write(texts.mapInArrow(_searcher(sent), f"doc_id {kind}, k bigint, score double, end_word bigint"), "matches")
         part = matches.join(ids, "k").select("doc_id", "item_id", "score", "end_word")

@@ -142,6 +142,33 @@ def test_contaminated(spark, odd_docs, no_docs, block_words):
         assert decontaminate.contaminated(odd_docs, benchmark).collect() == []
 
 
+def test_edited_copies_of_items(spark):
+    """Single edited copies, 20 to 30 per cent of the words changed, without and
+    with an exact copy in the corpus."""
+    rng = random.Random(16)
+    items = [(k, " ".join(words(4000 + k, 30, 10**6))) for k in range(40)]
+    rows, expected = [], set()
+    for k, text in items:
+        item = text.split()
+        for at in rng.sample(range(30), rng.choice([6, 7, 8, 9])):
+            item[at] = f"other{at}"
+        whole = " ".join(item)
+        if any(" ".join(item[x:x + 3]) in text for x in range(28) if not any(w.startswith("other") for w in item[x:x + 3])):
+            expected.add((k, k))
+        rows.append((k, " ".join(words(k, 50, 10**6)) + " " + whole + " " + " ".join(words(200 + k, 50, 10**6))))
+        if k % 2:
+            rows.append((100 + k, text))
+            expected.add((100 + k, k))
+    assert len(expected) >= 55
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == expected
+    text = dict(rows)
+    for r in got:
+        item = items[r["item_id"]][1].split()
+        assert r["score"] == local_score(item, text[r["doc_id"]].split()) / 60
+
+
 # --- secrets -----------------------------------------------------------------------
 
 def test_base_spans():
