@@ -14,8 +14,10 @@ are left off, a band of ``2 * edits + 1`` diagonals is kept as bits of one
 64-bit word for each pair, and one step takes a code point of each pair.
 
 :func:`dedup_lines` drops a linked or equal line if an earlier one exists in
-the order of (doc_id, line). Documents that would lose more than half of their
-code points are copies as a whole; they are left to document-level dedup.
+the order of (doc_id, line). ``most`` is the share of its code points that a
+document may lose; one that would lose more keeps all. The query and the stage
+set no such bound (1.0): each line stays at its first place only, and a document
+of which nothing is left leaves the stage.
 Shorter lines are compared for equality, and never dropped.
 
 Defined cases: a null text counts as empty (one empty line); rows of equal id
@@ -298,7 +300,7 @@ def line_classes(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_char
         (F.struct("doc_id", "text_hash", "line") != F.col("at")).alias("repeated"))
 
 
-def document_lines(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def document_lines(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_chars: int = MIN_CHARS, most: float = 1.0) -> DataFrame:
     """For each (doc_id, text_hash): ``n_lines, n_repeated, dropped`` (line
     numbers) and ``classes`` (first place of each line's class, in order)."""
     of_line = line_classes(docs, scratch, edits, min_chars)
@@ -309,20 +311,23 @@ def document_lines(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_ch
     return rows.select(
         "doc_id", "text_hash", F.size("l").cast("long").alias("n_lines"),
         F.size(F.filter("l", lambda x: x["repeated"])).cast("long").alias("n_repeated"),
-        F.when(2 * chars(repeated) <= chars(F.col("l")), F.transform(repeated, lambda x: x["line"])).otherwise(
+        F.when(chars(repeated) <= most * chars(F.col("l")), F.transform(repeated, lambda x: x["line"])).otherwise(
             F.array().cast("array<int>")).alias("dropped"),
         F.transform("l", lambda x: x["class"]).alias("classes"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, most: float = 0.5, emptied: bool = True) -> DataFrame:
     """The rows of ``docs``, all columns, with dropped lines left out of
-    ``text``. A text of which nothing is dropped stays as it is, null too."""
+    ``text``. A text of which nothing is dropped stays as it is, null too. Rows
+    whose text has lost all but white space stay if ``emptied``."""
     scratch = Scratch(docs.sparkSession, "line-dedup")
-    found = document_lines(docs, scratch, edits, min_chars).where(F.size("dropped") > 0)
+    found = document_lines(docs, scratch, edits, min_chars, most).where(F.size("dropped") > 0)
     drops = scratch.write(found.select(F.col("doc_id").alias("drop_doc"), F.col("text_hash").alias("drop_hash"), "dropped"), "drops")
     keyed = docs.select(F.struct("*").alias("row"), text_of().alias("text_"))
     joined = keyed.join(drops, F.col("row.doc_id").eqNullSafe(F.col("drop_doc")) & (F.xxhash64("text_") == F.col("drop_hash")), "left")
     left = F.array_join(F.filter(F.split("text_", "\n"), lambda s, i: ~F.array_contains("dropped", i)), "\n")
+    if not emptied:
+        joined = joined.where(F.col("dropped").isNull() | left.rlike(r"[^\x20\x09-\x0D]"))
     return joined.select(F.col("row").withField("text", F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(left)).alias("row")).select("row.*")
 
 
@@ -333,5 +338,5 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stood before."""
-    return dedup_lines(docs)
+    """The documents without lines that stood before, as far as any are left."""
+    return dedup_lines(docs, most=1.0, emptied=False)

@@ -118,6 +118,25 @@ def test_line_dedup_keeps_rows_and_columns(odd_docs, odd_rows):
     assert sum(r["text"] is None for r in got) == sum(t is None for _, t in odd_rows)
 
 
+def test_repeated_lines_go_whatever_their_share(spark, tmp_path):
+    common = [" ".join(words(k, 8)) for k in range(6)]
+    own = [f"{k * 7919} are the only words of this document itself, {k * 104729}" for k in range(4)]
+    text = {k: "\n".join([*common, line]) for k, line in enumerate(own)}  # most of it boilerplate
+    text[4] = "\n".join(["the same line ten times over in one document"] * 10)
+    text[5] = text[1]  # a whole copy
+    text[6] = "\n".join([common[0], own[2], own[3]])  # all of it stood before, in several places
+    text[7] = None
+    rows = list(text.items())
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in line_dedup.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert {i: r["dropped"] for i, r in got.items()} == {
+        0: [], 1: [*range(6)], 2: [*range(6)], 3: [*range(6)], 4: [*range(1, 10)], 5: [*range(7)], 6: [0, 1, 2], 7: []}
+    assert all(r["n_dropped"] == len(r["dropped"]) for r in got.values())
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    left = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup_stage(spark, docs, "").collect()}
+    assert left == {0: text[0], 1: own[1], 2: own[2], 3: own[3], 4: "the same line ten times over in one document", 7: None}
+
+
 def test_repeated_passages(spark, odd_docs, no_docs):
     passage, other = words(1001, 60), words(1002, 75)
     rows = [(k, " ".join(words(k, 40) + (passage if k % 2 else other) + words(500 + k, 30)) + "\nshort line") for k in range(20)]
