@@ -20,8 +20,9 @@
 Shingles are compared by 64-bit hashes. Defined cases: a document without
 words, or a null text, has an empty set and is linked with nothing; with fewer
 words than a shingle has, the whole sequence is the one shingle; rows of equal
-id are nodes by their texts; rows with a null id take part, and their
-component is the least id that is not null; further columns do not matter; an
+id are nodes by their texts, which are found again by id and a 64-bit hash of
+the text; rows with a null id take part, and their component is the least id
+that is not null; further columns do not matter; an
 empty table gives no rows.
 """
 
@@ -85,8 +86,8 @@ def _sketcher(words: int):
             sets = _sets(batch.column(1), words)
             keys = [int.from_bytes(blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
-                pa.array([s[:SKETCH].tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "node", "sketch"])
+                batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.int64()),
+                pa.array([s[:SKETCH].tobytes() for s in sets], pa.binary())], names=["doc_id", "text_hash", "n", "node", "sketch"])
     return run
 
 
@@ -220,17 +221,24 @@ def _overlap(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, column
     return out
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``
-    (``doc_id`` bigint, ``text``): the component over all links of at least
-    ``percent`` per cent Jaccard similarity of the ``words``-word shingles."""
+def text_key():
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def components_of_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, text_hash, n, node, root, component_id`` for each row of
+    ``docs`` (``doc_id`` bigint, ``text``): rows of one ``root`` are a component
+    over all links of at least ``percent`` per cent Jaccard similarity of the
+    ``words``-word shingles; node and root are null without any shingle."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-duplicates")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = scratch.write(texts.mapInArrow(_sketcher(words), "doc_id bigint, n bigint, node bigint, sketch binary"), "sketched")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key().alias("text_hash"))
+    sketched = scratch.write(texts.mapInArrow(
+        _sketcher(words), "doc_id bigint, text_hash bigint, n bigint, node bigint, sketch binary"), "sketched")
     nodes = scratch.write(sketched.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
-    rows = scratch.write(sketched.select("doc_id", "n", "node"), "rows")
+        F.min("doc_id").alias("id"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("at"),
+        F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+    rows = scratch.write(sketched.select("doc_id", "text_hash", "n", "node"), "rows")
     scratch.drop(sketched)
 
     # inverted lists
@@ -253,7 +261,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # what the comparisons need of the nodes that are in any list
     listed = members.select("node").distinct()
     active = scratch.write(nodes.join(listed, "node", "left_semi"), "active")
-    body = scratch.write(texts.join(active.select(F.col("id").alias("doc_id"), "node"), "doc_id").select("node", "text").dropDuplicates(["node"]), "texts")
+    at = active.select(F.col("at.doc_id").alias("at_doc"), F.col("at.text_hash").alias("at_hash"), "node")
+    body = scratch.write(texts.join(at, texts["doc_id"].eqNullSafe(at["at_doc"]) & (texts["text_hash"] == at["at_hash"])).select(
+        "node", "text").dropDuplicates(["node"]), "texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         side = lambda s: body.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
@@ -283,10 +293,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # the least id of each component
     linked = nodes.select("node", "id").join(found.select("node", "root").union(found.select("root", "root")).distinct(), "node")
     least = linked.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = linked.select("node", "root").join(least, "root").select("node", "component_id")
-    classes = nodes.select("node", "id").join(named, "node", "left").select("node", F.coalesce("component_id", "id").alias("component_id"))
+    named = linked.select("node", "root").join(least, "root").select("node", "root", "component_id")
+    classes = nodes.select("node", "id").join(named, "node", "left").select(
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "id").alias("component_id"))
     return rows.join(classes, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
+        "doc_id", "text_hash", "n", "node", "root", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for each row of ``docs``."""
+    return components_of_rows(docs, words, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id").withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

@@ -83,6 +83,19 @@ def test_small_blocks_find_the_same(spark, monkeypatch):
     assert found(near_duplicates.near_duplicates(docs, 3, 70)) == brute(rows, 3, 70)
 
 
+def test_null_and_shared_ids_are_checked_on_their_own_texts(spark):
+    """Near copies whose rows have no id, or ids that other texts have too."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(12):
+        base = words(600 + k, 80, 10**6)
+        rows += [(None, " ".join(base)), (k, " ".join(words(700 + k, 80, 10**6))), (k, " ".join(edited(rng, base, 2)))]
+    base = words(800, 80, 10**6)
+    rows += [(None, " ".join(base)), (None, " ".join(edited(rng, base, 1))), (50, " ".join(edited(rng, base, 1)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert found(near_duplicates.near_duplicates(docs, 4, 80)) == brute(rows, 4, 80)
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     links = [(k, k + 1) for k in range(100, 160)] + [(5, 900), (5, 901), (901, 7), (3, 3), (None, 4)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
