@@ -311,9 +311,19 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, with five-word shingles; of rows with equal
-    ids one stays."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    staying = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return staying.dropDuplicates(["doc_id"]) if repeated else staying
+    """One row of each component, with five-word shingles: the one of the least
+    id, null last, and of the least hash of its text. Rows without words are
+    components of their own. Of the rows that are left under an id that is not
+    null one stays, of the least hash; rows with a null id do not meet."""
+    rows = components_of_rows(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = rows.where("node is not null").groupBy("root").agg(F.min(place).alias("at")).select("at.doc_id", "at.text_hash")
+    left = Scratch(spark, "near-duplicate-stage").write(first.union(rows.where("node is null").select("doc_id", "text_hash")), "left")
+    kept = left.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash")).union(
+        left.where("doc_id is null").distinct())
+    staying = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == kept["text_hash"]), "left_semi")
+    if not docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return staying
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = staying.where(F.col("doc_id").isNotNull() | worded).select(F.struct("*").alias("row"), "doc_id", text_key().alias("text_hash"))
+    return keyed.dropDuplicates(["doc_id", "text_hash"]).select("row.*").union(staying.where(F.col("doc_id").isNull() & ~worded))

@@ -96,6 +96,27 @@ def test_null_and_shared_ids_are_checked_on_their_own_texts(spark):
     assert found(near_duplicates.near_duplicates(docs, 4, 80)) == brute(rows, 4, 80)
 
 
+def test_stage_keeps_rows_without_id(spark):
+    """Rows with a null id go only as near copies; what stays under an id that
+    is there twice is no copy of another document."""
+    rng = random.Random(12)
+    base = words(900, 80, 10**6)
+    own = [" ".join(words(910 + k, 80, 10**6)) for k in range(6)]
+    rows = [(None, t) for t in own] + [(None, own[0]), (None, " ".join(edited(rng, own[1].split(), 1))), (None, None), (None, "")]
+    rows += [(1, " ".join(base)), (1, " ".join(base)), (None, " ".join(edited(rng, base, 1)))]
+    for k in range(2, 8):
+        rows += [(k, " ".join(edited(rng, base, 1))), (k, " ".join(words(930 + k, 80, 10**6)))]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, text_hash bigint").repartition(3)
+    out = near_duplicates.near_duplicate_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in out.collect())
+    near = {t for i, t in rows if i is None and shingles(t, 5) & shingles(own[1], 5)}
+    assert sum(t in near for _, t in got) == 1
+    assert [x for x in got if x[1] not in near] == sorted(
+        [("None", t) for t in own if t not in near] + [("None", "None"), ("None", ""), ("1", " ".join(base))]
+        + [(str(k), " ".join(words(930 + k, 80, 10**6))) for k in range(2, 8)])
+
+
 def test_connected_components(spark):
     rng = random.Random(4)
     links = [(k, k + 1) for k in range(100, 160)] + [(5, 900), (5, 901), (901, 7), (3, 3), (None, 4)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
