@@ -225,3 +225,16 @@ def test_scan_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
                          hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, b, k in spans).encode()).hexdigest()))
     assert sorted((str(r["doc_id"]), r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in got) == sorted(expected)
     assert secret_scan.secret_scan(no_docs).collect() == []
+
+
+def test_sample_holds_rare_matches_and_is_bounded(spark):
+    """One text in a thousand has a base match; most rows have no id."""
+    secrets = [t for t in secret_texts(5, 24) if secret_scan.base_spans(t)]
+    rows = [(None if k % 3 else k, f"plain text number {k} without any") for k in range(4000)] + [(None, "the same row")] * 500
+    rows += [(10_000 + k, t) for k, t in enumerate(secrets)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    texts = secret_scan.sample_texts(docs, 180)
+    assert set(secrets) <= set(texts) and len(texts) == 180 and len(set(texts)) == 180
+    assert texts == secret_scan.sample_texts(docs.repartition(2), 180)
+    assert len([t for t in secret_scan.sample_texts(docs, 60) if t in secrets]) >= 2
+    assert secret_scan.fit(texts) is not None
