@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spendgrid.llm import chat_format, decontaminate, katz_model, line_dedup, near_duplicates, passage_dedup, quality_rules, secret_scan, sentencepiece_bpe, wavelet_files
+from spendgrid.llm import chat_format, decontaminate, katz_model, line_dedup, near_duplicates, passage_dedup, personal_data, prefix_trie, quality_rules, secret_scan, sentencepiece_bpe, wavelet_files, whitening
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
@@ -15,6 +15,9 @@ _MODULES = {
     "op8_passage_dedup": passage_dedup,
     "op9_secret_scan": secret_scan,
     "op10_near_duplicates": near_duplicates,
+    "op11_personal_data": personal_data,
+    "op12_prefix_trie": prefix_trie,
+    "op13_whitening": whitening,
 }
 
 
