@@ -27,6 +27,7 @@ from spendgrid.operators import tokens as tok
 from spendgrid.operators.joins import token_details
 from spendgrid.operators.monthly import first_month
 from spendgrid.plans import preparation as prep
+from spendgrid.plans.stored import StoredRun
 from spendgrid.session import shared_checkpoint_dir
 from spendgrid.sources import store, testdata
 from spendgrid.sources.tables import read_table
@@ -360,6 +361,16 @@ def q_basket_hash(spark, base):
                        before=P.basket_before)
 
 
+def _decoded(src, hashed):
+    """Hashed baskets with each hash looked up in the token table again."""
+    texts = _tokens(src).select(F.col("pdt_hash").cast("string").alias("item"), "pdt_clean").distinct()
+    items = hashed.select("consumer_id", F.explode("basket").alias("item")).join(texts, "item")
+    counted = items.groupBy("consumer_id", "pdt_clean").agg(F.count("*").cast("int").alias("n"))
+    return counted.groupBy("consumer_id").agg(F.array_join(F.flatten(F.transform(
+        F.array_sort(F.collect_list(F.struct("pdt_clean", "n"))),
+        lambda e: F.array_repeat(e["pdt_clean"], e["n"]))), " ").alias("basket"))
+
+
 @register("basket_hash_decoded", O.with_tokens(f"""
 SELECT consumer_id, array_to_string(list_sort(list(pdt_clean)), ' ') AS basket
 FROM emb WHERE sale_dt < DATE '{P.basket_before}' GROUP BY consumer_id"""))
@@ -367,12 +378,7 @@ def q_basket_hash_decoded(spark, base):
     """The hashed baskets, each hash looked up in the token table again."""
     src = _src(spark, base)
     hashed = tok.baskets(_emb(src), item_col="pdt_hash", before=P.basket_before)
-    texts = _tokens(src).select(F.col("pdt_hash").cast("string").alias("item"), "pdt_clean").distinct()
-    items = hashed.select("consumer_id", F.explode("basket").alias("item")).join(texts, "item")
-    counted = items.groupBy("consumer_id", "pdt_clean").agg(F.count("*").cast("int").alias("n"))
-    return counted.groupBy("consumer_id").agg(F.array_join(F.flatten(F.transform(
-        F.array_sort(F.collect_list(F.struct("pdt_clean", "n"))),
-        lambda e: F.array_repeat(e["pdt_clean"], e["n"]))), " ").alias("basket"))
+    return _decoded(src, hashed)
 
 
 # ------------------------------------------------------ attribute tables
@@ -460,13 +466,12 @@ _IDS = ["elc_master_id", "consumer_id", "brand_id"]
 
 
 def _snap_slice(src):
-    return prep.snapshot_of(src, P).where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
+    return prep.snapshot_month_of(src, P, SLICE_DT)
 
 
 def _training_slice(src):
     """The training query: snapshot month, ids ending in 1, known to CDP."""
-    m = _master(src).where((F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
-                           & (F.col("exists_in_cdp") == "Y"))
+    m = prep.master_month_of(src, P, SLICE_DT).where(F.col("exists_in_cdp") == "Y")
     return smp.last_digit_sample(m, "consumer_id", ("1",))
 
 
@@ -484,15 +489,54 @@ def _with_master_fixed(select: str) -> str:
 
 @register("snapshot_slice", O.with_snapshot(_SLICE_SQL))
 def q_snapshot_slice(spark, base):
-    """Snapshot rows of one month, read back from the stored partitioned
-    snapshot table (the equality filter prunes to one partition)."""
+    """Snapshot rows of one month, read back from a stored partitioned
+    snapshot table of two months (the equality filter prunes to one)."""
     src = _src(spark, base)
     path = store.run_scratch(spark, "sales_snapshot")
-    store.overwrite_partitions(prep.snapshot_of(src, P), path, ["snapshot_dt"])
+    for month in ("2000-05-01", SLICE_DT):
+        store.overwrite_partitions(prep.snapshot_month_of(src, P, month), path, ["snapshot_dt"])
     t = spark.read.parquet(path)
     return t.where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
 
 
+_FOLDED = ("2000-03-01", "2000-04-01", "2000-05-01", SLICE_DT)
+
+
+@register("folded_snapshot", O.with_snapshot(
+    "SELECT * FROM snap WHERE snapshot_dt IN (" + ", ".join(f"DATE '{m}'" for m in _FOLDED) + ")"))
+def q_folded_snapshot(spark, base):
+    """Snapshot rows of four months of a stored run: the first from the state
+    computed from all facts, the others folded forward, each from one month of
+    facts and the state of the month before."""
+    run = StoredRun.scratch(spark, _src(spark, base), P)
+    run.load()
+    for month in _FOLDED:
+        run.advance(month)
+        run.publish_snapshot(month)
+    return run.table("sales_snapshot").where(F.col("snapshot_dt").isin([_dt.date.fromisoformat(m) for m in _FOLDED]))
+
+
+@register("stored_master_slice", _with_master_fixed(f"SELECT * FROM master WHERE snapshot_dt = DATE '{SLICE_DT}'"))
+def q_stored_master_slice(spark, base):
+    """One month of the master table, read back from the stored run that
+    declared, filled and joined its tables."""
+    run = StoredRun.scratch(spark, _src(spark, base), P)
+    run.load()
+    for month in _FOLDED[2:]:
+        run.advance(month)
+    run.publish(SLICE_DT)
+    return run.table("master_table").where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
+
+
+@register("stored_basket", O.with_tokens(f"""
+SELECT consumer_id, array_to_string(list_sort(list(pdt_clean)), ' ') AS basket
+FROM emb WHERE sale_dt < DATE '{P.basket_before}' GROUP BY consumer_id"""))
+def q_stored_basket(spark, base):
+    """The stored basket table of a run, its hashes looked up again."""
+    src = _src(spark, base)
+    return _decoded(src, StoredRun.scratch(spark, src, P).prepare_baskets())
+
+
 @register("partition_overwrite", O.with_monthly("SELECT * FROM ms"))
 def q_partition_overwrite(spark, base):
     """Monthly summary stored by month twice (a rerun replaces the same
@@ -575,7 +619,7 @@ _SCORE_IND = ["email_opt_in_ind", "dm_opt_in_ind"]
     + ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _SCORE_NUM)
     + f" FROM master WHERE snapshot_dt = DATE '{SLICE_DT}'"))
 def q_score_input(spark, base):
-    return mx.score_input(_master(_src(spark, base)), categorical=_SCORE_CAT,
+    return mx.score_input(prep.master_month_of(_src(spark, base), P, SLICE_DT), categorical=_SCORE_CAT,
                           numeric=_SCORE_NUM, indicators=_SCORE_IND,
                           snapshot_dt=SLICE_DT)
 
@@ -689,10 +733,12 @@ def q_clv(spark, base):
 def _month_scores(spark, base):
     """Train gradient-boosted trees on the train split of the training
     slice (early stop on its test split) and score the whole month."""
-    month = _master(_src(spark, base)).where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
-    known = prep.materialize(month.where(F.col("exists_in_cdp") == "Y"), "master_month")
-    m = prep.materialize(mx.model_matrix(known, TARGET, keep_ids=["snapshot_dt", *_IDS]), "model_input")
-    split = smp.stratified_split(smp.last_digit_sample(m, "consumer_id", ("1",)),
+    month = prep.materialize(prep.master_month_of(_src(spark, base), P, SLICE_DT), "master_month")
+    ids = ["snapshot_dt", *_IDS]
+    m = prep.materialize(mx.model_matrix(month, TARGET, keep_ids=ids), "model_input")
+    # only rows known to CDP train; all rows are scored
+    known = mx.model_matrix(month.where(F.col("exists_in_cdp") == "Y"), TARGET, keep_ids=ids)
+    split = smp.stratified_split(smp.last_digit_sample(known, "consumer_id", ("1",)),
                                  id_cols=_IDS, label_col="label")
     split = prep.materialize(split.withColumn("is_valid", F.col("split") == "test"),
                              "model_split")
@@ -704,13 +750,13 @@ def _month_scores(spark, base):
 
 @register("batch_scores")
 def q_batch_scores(spark, base):
-    """Every row of the month known to CDP, with its score."""
+    """Every row of the month, with its score."""
     return _month_scores(spark, base)
 
 
 @register("batch_scores_complete", _with_master_fixed(
     "SELECT snapshot_dt, elc_master_id, consumer_id, brand_id, TRUE AS scored FROM master "
-    f"WHERE snapshot_dt = DATE '{SLICE_DT}' AND exists_in_cdp = 'Y'"))
+    f"WHERE snapshot_dt = DATE '{SLICE_DT}'"))
 def q_batch_scores_complete(spark, base):
     """Which rows were scored: all of the month, each with a probability."""
     return _month_scores(spark, base).select(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from spendgrid.functions.dates import month_start
 from spendgrid.functions.money import to_units
 from spendgrid.operators import ENTITY_KEYS, REGION
+from spendgrid.operators.joins import dimension_join
 from spendgrid.operators.snapshot import SNAPSHOT, densify, sparse_running
 
 # Channels with a transaction-share ratio.
@@ -263,6 +264,18 @@ def master_table(snapshot: DataFrame, cv: DataFrame, ca: DataFrame,
     return _with_people(df, cv, ca, region=region, base_cols=snapshot.columns)
 
 
+def master_rows(snapshot: DataFrame, ratios: DataFrame, leaders: DataFrame, stores: DataFrame,
+                cv: DataFrame, ca: DataFrame, *, keys: Sequence[str] = ENTITY_KEYS,
+                region: str = REGION) -> DataFrame:
+    """Master rows of a single month from frames with one row per key:
+    snapshot rows, ratios and ``most_freq_store_id``; left joins throughout."""
+    dim = stores.select(F.col("store_id").alias("most_freq_store_id"), *STORE_COLUMNS)
+    df = snapshot.join(ratios.select(*keys, *RATIO_COLUMNS), list(keys), "left")
+    df = df.join(leaders.select(*keys, "most_freq_store_id"), list(keys), "left")
+    df = dimension_join(df, dim, "most_freq_store_id")
+    return _with_people(df, cv, ca, region=region, base_cols=snapshot.columns)
+
+
 def master_table_from_parts(monthly: DataFrame, ratio_rows: DataFrame,
                             leader_rows: DataFrame, cv: DataFrame, ca: DataFrame, *,
                             calendar_start, calendar_end,

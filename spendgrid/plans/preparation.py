@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendgrid.operators import (CATEGORIES, DEFAULT_START_DATE,
                                  EXCLUDED_BRAND_CODES, REGION)
@@ -144,10 +145,8 @@ def materialize(df: DataFrame, name: str = "sales_lines") -> DataFrame:
     ``checkpoint()`` of an uncached plan computes it twice), the lineage is
     cut, and the files survive executor loss. Used where several tables are
     derived from the same sale lines."""
-    from spendgrid.sources.store import run_scratch
-    path = run_scratch(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    from spendgrid.sources.store import written_once
+    return written_once(df, name)
 
 
 MASTER_HEADER_COLUMNS = ("loyalty_trans_flag",)
@@ -212,3 +211,39 @@ def master_of(src: Sources, p: PrepParams, *, materialize_sales: bool = True) ->
         src.consumer_attributes, calendar_start=p.calendar_start,
         calendar_end=p.calendar_end, categories=p.categories,
         region=p.region, partition_by=GRID_PARTITION)
+
+
+# --- one month ---------------------------------------------------------------
+
+def month_sales_of(src: Sources, p: PrepParams, month, *, horizon: int = 3, header_columns=MASTER_HEADER_COLUMNS) -> DataFrame:
+    """Sale lines that a month's tables need: none after ``horizon`` months
+    past it. The bound reaches the scans of lines and headers."""
+    from spendgrid.functions.dates import add_months, first_of_month
+    bound = add_months(first_of_month(month), horizon + 1)
+    sales = sales_of(src, p, header_columns=header_columns)
+    return sales.where(F.col("sale_dt") < F.lit(bound))
+
+
+def snapshot_month_of(src: Sources, p: PrepParams, month) -> DataFrame:
+    """One month of :func:`snapshot_of`, by one grouped aggregate over the
+    monthly facts up to its targets, without the grid."""
+    from spendgrid.operators.state import snapshot_month
+    monthly = monthly_summary(month_sales_of(src, p, month, header_columns=()), categories=p.categories, sales_before=p.sales_before)
+    return snapshot_month(monthly, month, calendar_start=p.calendar_start, calendar_end=p.calendar_end, last_categories=p.categories)
+
+
+def master_month_of(src: Sources, p: PrepParams, month) -> DataFrame:
+    """One month of the master table: the sale lines are joined and written
+    once; snapshot, ratios and leading stores are one grouped aggregate each,
+    with one row per key, and meet on the keys."""
+    from spendgrid.functions.dates import add_months, first_of_month
+    from spendgrid.operators import state as st
+    from spendgrid.operators.attributes import master_rows, ratio_monthly
+
+    sales = materialize(month_sales_of(src, p, month), "month_sales")
+    upto = sales.where(F.col("sale_dt") < F.lit(add_months(first_of_month(month), 1)))
+    monthly = monthly_summary(sales, categories=p.categories, sales_before=p.sales_before)
+    snap = st.snapshot_month(monthly, month, calendar_start=p.calendar_start, calendar_end=p.calendar_end, last_categories=p.categories)
+    ratios = st.ratio_rows_of(st.ratio_state(ratio_monthly(upto, sales_before=p.sales_before), month, calendar_start=p.calendar_start))
+    leaders = st.leading_stores(st.visit_state(st.monthly_visits(upto, sales_before=p.sales_before), month))
+    return master_rows(snap, ratios, leaders, src.stores, src.consumer_variables, src.consumer_attributes, region=p.region)

@@ -32,6 +32,15 @@ def run_scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"spendgrid/{name}-{uuid.uuid4().hex[:12]}")
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as parquet into a fresh shared folder and read back: its
+    plan runs once however often the result is read, lineage is cut, and the
+    files survive the loss of executors."""
+    path = run_scratch(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def create_partitioned_table(spark: SparkSession, name: str, schema: StructType,
                              partition_cols: Sequence[str],
                              path: str | None = None) -> None:
@@ -48,6 +57,33 @@ def create_partitioned_table(spark: SparkSession, name: str, schema: StructType,
               f"PARTITIONED BY ({parts}){loc}")
 
 
+def create_bucketed_table(spark: SparkSession, name: str, schema: StructType, *, partition_cols: Sequence[str],
+                          bucket_cols: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """``create table if not exists`` with a declared schema, partitioned by
+    ``partition_cols`` and, inside a partition, dealt to ``buckets`` files sorted
+    by ``bucket_cols``. Tables of equal buckets join on these columns where they
+    are: no exchange of either side."""
+    if table_exists(spark, name):
+        return
+    fields = [f for f in schema.fields if f.name not in partition_cols]
+    fields += [schema[c] for c in partition_cols]
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    listed = lambda names: ", ".join(f"`{c}`" for c in names)
+    loc = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE {_quoted(name)} ({cols}) USING parquet PARTITIONED BY ({listed(partition_cols)}) "
+              f"CLUSTERED BY ({listed(bucket_cols)}) SORTED BY ({listed(bucket_cols)}) INTO {buckets} BUCKETS{loc}")
+
+
+def replace_bucketed(df: DataFrame, name: str, *, bucket_cols: Sequence[str], buckets: int) -> None:
+    """Replace the partitions of a bucketed table that ``df`` has rows of. Rows
+    are dealt as the buckets are, so a task writes one file of each partition
+    that it holds."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    dealt = df.select(*spark.table(name).columns).repartition(buckets, *bucket_cols)
+    dealt.write.insertInto(name, overwrite=True)
+
+
 def overwrite_partitions(df: DataFrame, path: str,
                          partition_cols: Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition
@@ -60,13 +96,15 @@ def overwrite_partitions(df: DataFrame, path: str,
      .partitionBy(*partition_cols).parquet(path))
 
 
-def insert_partitions(df: DataFrame, table_name: str) -> None:
+def insert_partitions(df: DataFrame, table_name: str, partition_cols: Sequence[str] = ()) -> None:
     """Insert into a catalog table by column name (not position), replacing
-    the partitions present in ``df``."""
+    the partitions present in ``df``. Rows are dealt by ``partition_cols``
+    first, as :func:`overwrite_partitions` does."""
     spark = df.sparkSession
     target = spark.table(table_name).columns
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.select(*target).write.insertInto(table_name, overwrite=True)
+    dealt = df.hint("rebalance", *partition_cols) if partition_cols else df
+    dealt.select(*target).write.insertInto(table_name, overwrite=True)
 
 
 def create_empty_like(df: DataFrame, name: str,
@@ -86,32 +124,73 @@ def overwrite_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+class NotUnique(ValueError):
+    """Keys that must be unique are not."""
+
+
+def switch_table(df: DataFrame, name: str, *, path: str, unique: Sequence[str] = (),
+                 properties: dict[str, str] | None = None) -> DataFrame:
+    """Replace a table's rows in one step.
+
+    ``df`` runs once: it is written to a new folder below ``path`` beside the
+    rows in use, the written files are checked (``unique`` columns), and only
+    then does one catalog command point the name to the new folder. If the plan
+    or the check fails, the old rows stay readable; readers that began before
+    the switch keep the old files, which are left to :func:`drop_unused`.
+    """
+    spark = df.sparkSession
+    version = f"{path.rstrip('/')}/version-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(version)
+    written = spark.read.schema(df.schema).parquet(version)
+    if unique and written.groupBy(*unique).count().where(F.col("count") > 1).limit(1).count():
+        raise NotUnique(f"table {name}: {list(unique)} are not unique")
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
+    stored = spark.table(name).schema if table_exists(spark, name) else None
+    if stored is not None and stored.simpleString() != df.schema.simpleString():
+        spark.sql(f"DROP TABLE {_quoted(name)}")  # other columns: another table
+        stored = None
+    if stored is not None:
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{version}'")
+        if listed:
+            spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ({listed})")
+        spark.catalog.refreshTable(name)
+    else:
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        props = f" TBLPROPERTIES ({listed})" if listed else ""
+        spark.sql(f"CREATE TABLE {_quoted(name)} ({cols}) USING parquet LOCATION '{version}'{props}")
+    return spark.table(name)
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {_quoted(name)}").collect()
+    return next(r["data_type"] for r in rows if r["col_name"] == "Location")
+
+
+def drop_unused(spark: SparkSession, name: str, path: str) -> int:
+    """Remove the versions below ``path`` that ``name`` does not point to; how many."""
+    used = table_location(spark, name).rstrip("/").rsplit("/", 1)[-1]
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("version-") and f.getPath().getName() != used]
+    return sum(bool(fs.delete(p, True)) for p in old)
+
+
 def write_feature_table(df: DataFrame, name: str, *, primary_keys: Sequence[str],
                         timestamp_keys: Sequence[str], description: str = "",
                         path: str | None = None) -> DataFrame:
     """Create (or replace) a feature table and write ``df`` into it.
 
     Keys are stored as table properties; (primary keys, timestamp keys) must
-    be unique. ``df`` runs once: it is written to the new table's folder, the
-    written files are checked, and only then does the name point to them.
+    be unique, or the table stays as it was (:func:`switch_table`).
     """
-    spark = df.sparkSession
-    keys = list(primary_keys) + list(timestamp_keys)
-    path = path or run_scratch(spark, name.replace(".", "_"))
-    df.write.mode("overwrite").parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    if written.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count():
-        raise ValueError(f"feature table {name}: keys {keys} are not unique")
     props = {
         "primary_keys": ",".join(primary_keys),
         "timestamp_keys": ",".join(timestamp_keys),
         "comment": description.replace("'", " "),
     }
-    prop_sql = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' "
-              f"TBLPROPERTIES ({prop_sql})")
-    return spark.table(name)
+    return switch_table(df, name, path=path or run_scratch(df.sparkSession, name.replace(".", "_")),
+                        unique=[*primary_keys, *timestamp_keys], properties=props)
 
 
 def feature_table_keys(spark: SparkSession, name: str) -> dict[str, list[str]]:

@@ -100,3 +100,68 @@ def test_auc_of_negated_score(spark):
     a = met.roc_auc(frame(spark, labels, scores)).first()[0]
     b = met.roc_auc(frame(spark, labels, [-s for s in scores])).first()[0]
     assert a + b == pytest.approx(1.0, abs=2e-6)
+
+
+def test_ranges_stay_even_when_half_of_the_rows_tie(spark):
+    """Ties are cut by their ids: no range grows with a score's rows."""
+    from spendgrid.operators.ranking import RANGE, in_blocks
+    from pyspark.sql import functions as F
+
+    rows = spark.range(60_000).select("id", F.when(F.col("id") % 2 == 0, 0.5).otherwise(F.col("id") / 60_000.0).alias("s"),
+                                      (F.col("id") % 3 == 0).cast("int").alias("label"))
+    blocks = in_blocks(rows, order=F.col("s"), tiebreak=["id"], ranges=100)
+    sizes = [r["count"] for r in blocks.groupBy(RANGE).count().collect()]
+    assert len(sizes) > 80 and max(sizes) < 3 * 60_000 / 100
+    ranked = ordered_running(rows, order="s", tiebreak=["id"], ranges=100)
+    from pyspark.sql import Window
+    exact = rows.withColumn("r", F.row_number().over(Window.orderBy("s", "id")))
+    assert ranked.join(exact, "id").where("_rank != r").count() == 0 and ranked.count() == 60_000
+
+
+def test_twenty_thousand_ranges(spark):
+    from spendgrid.operators.ranking import RANGE, in_blocks
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 200_000, 1, 4).select("id", F.when(F.col("id") % 2 == 0, 0.5).otherwise(F.rand(1)).alias("s"))
+    dealt = rows.repartitionByRange(20_000, "s", "id").select(F.spark_partition_id().alias("p"))
+    sizes = [r["count"] for r in dealt.groupBy("p").count().collect()]
+    assert len(sizes) > 10_000 and max(sizes) < 200
+
+
+def test_running_totals_over_batches_and_groups(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = random.Random(3)
+        rows = [(i, rng.choice(["a", "b", None]), rng.randrange(9), rng.choice([None, 1.0, 2.5])) for i in range(200)]
+        df = spark.createDataFrame(rows, "id long, g string, v int, x double")
+        for ranges in (1, 3):
+            got = ordered_running(df, order="v", sums=["x", "v"], groups=["g"], tiebreak=["id"], ranges=ranges).collect()
+            assert len(got) == 200
+            for r in got:
+                upto = [q for q in rows if q[1] == r.g and (q[2], q[0]) <= (r.v, r.id)]
+                assert r._rank == len(upto) and r.v_cum == sum(q[2] for q in upto)
+                assert r.x_cum == pytest.approx(sum(q[3] or 0 for q in upto))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_coverage_cuts_a_tied_score_by_id(spark):
+    labels = [1, 0, 1, 0, 1, 0, 1, 0, 1, 0]
+    df = frame(spark, labels, [0.9] + [0.5] * 8 + [0.1])
+    assert met.coverage_at(df).first()[0] == pytest.approx(2 / 5)  # ids 0, 1, 2
+    assert met.coverage_at(frame(spark, [0] * 10, [0.5] * 10)).first()[0] is None
+    assert met.roc_auc(frame(spark, [], [])).first()[0] is None
+
+
+def test_report_reads_its_input_once(spark):
+    """One curve serves all metrics; a plan that fails on a second read shows it."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    df = frame(spark, [0, 1, 0, 1, 1] * 20, [i / 100 for i in range(100)]).mapInArrow(count, "id long, label int, score double")
+    rep = {r.metric: r.value for r in met.classifier_report(df).collect()}
+    assert len(rep) == 5 and reads.value == 100
