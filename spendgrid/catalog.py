@@ -24,6 +24,7 @@ from spendgrid.operators import model as ml
 from spendgrid.operators import sampling as smp
 from spendgrid.operators import snapshot as snap
 from spendgrid.operators import tokens as tok
+from spendgrid.operators.encoding import Vocabulary
 from spendgrid.operators.joins import token_details
 from spendgrid.operators.monthly import first_month
 from spendgrid.plans import preparation as prep
@@ -624,16 +625,29 @@ def q_score_input(spark, base):
                           snapshot_dt=SLICE_DT)
 
 
-@register("one_hot")
+_HOT = ["income", "first_channel", "store_region"]
+
+
+@register("one_hot", _with_master_fixed(
+    ", matrix AS (SELECT elc_master_id, consumer_id, brand_id, target_skincare AS label, "
+    + ", ".join(f"coalesce({c}, 'Unknown') AS {c}" for c in _HOT) + f" FROM ({_TRAIN_SQL})),"
+    f"""
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_HASH}, elc_master_id, consumer_id, brand_id) AS r,
+              count(*) OVER (PARTITION BY label) AS n FROM matrix),
+pairs AS (""" + " UNION ALL ".join(
+        f"SELECT elc_master_id, consumer_id, brand_id, r > ceil(n * 0.3) AS train, '{c}' AS \"column\", {c} AS value FROM rk" for c in _HOT) + """),
+vocabulary AS (SELECT "column", value, CAST(row_number() OVER (ORDER BY "column", value) - 1 AS INTEGER) AS number
+               FROM (SELECT DISTINCT "column", value FROM pairs WHERE train))
+SELECT elc_master_id, consumer_id, brand_id, p."column", p.value, number FROM pairs p
+JOIN vocabulary v ON p."column" = v."column" AND p.value = v.value"""))
 def q_one_hot(spark, base):
-    """Vocabulary fitted on the train split of the training slice, applied
-    to all of its rows (unseen values encode as all zeros)."""
+    """The ones of each row of the training slice, by a vocabulary fitted on its
+    train split (a distributed table; values unseen there have none)."""
     m = prep.materialize(mx.model_matrix(_training_slice(_src(spark, base)), TARGET,
                                          keep_ids=_IDS), "one_hot_input")
-    split = smp.stratified_split(m, id_cols=_IDS, label_col="label")
-    enc = mx.OneHot(["income", "first_channel", "store_region"]).fit(
-        split.where(F.col("split") == "train"))
-    return enc.transform(split)
+    split = prep.materialize(smp.stratified_split(m, id_cols=_IDS, label_col="label"), "one_hot_split")
+    words = Vocabulary(_HOT).fit(split.where(F.col("split") == "train"))
+    return words.transform_long(split, _IDS)
 
 
 def _scored(spark, base):
@@ -742,9 +756,9 @@ def _month_scores(spark, base):
                                  id_cols=_IDS, label_col="label")
     split = prep.materialize(split.withColumn("is_valid", F.col("split") == "test"),
                              "model_split")
-    cat, ind, num = mx.feature_kinds(split.drop("label", "split", "is_valid"))
+    cat, ind, num = mx.feature_kinds(split.drop("label", "split", "is_valid", *ids))
     model = ml.fit(split, cat + ind, num, ml.TreeParams(num_trees=20, depth=3),
-                   validation_col="is_valid")
+                   validation_col="is_valid", id_cols=_IDS)
     return ml.batch_scores(model, m, TARGET)
 
 

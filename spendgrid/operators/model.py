@@ -9,20 +9,23 @@ range, determinism and separation rather than values.
 
 from __future__ import annotations
 
-import random
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendgrid.operators.encoding import OrderedTargetEncoder
 from spendgrid.operators.metrics import coverage_at
+from spendgrid.operators.search import maximise
+from spendgrid.sources.store import written_once
 
 SEED = 42
 
@@ -41,55 +44,121 @@ SEARCH_SPACE = {"learning_rate": (0.01, 0.50), "num_trees": (50, 500),
                 "l2_leaf_reg": (1, 10), "depth": (2, 6)}
 
 
-def draw_params(n: int, seed: int = SEED, space=SEARCH_SPACE) -> list[TreeParams]:
-    """``n`` seeded random draws from the search space."""
-    rng = random.Random(seed)
-    out = []
-    for _ in range(n):
-        out.append(TreeParams(
-            learning_rate=rng.uniform(*space["learning_rate"]),
-            num_trees=rng.randint(*space["num_trees"]),
-            depth=rng.randint(*space["depth"]),
-            min_info_gain=rng.randint(*space["l2_leaf_reg"]) / 1000.0))
-    return out
+def params_of(point: dict) -> TreeParams:
+    return TreeParams(learning_rate=float(point["learning_rate"]), num_trees=int(point["num_trees"]), depth=int(point["depth"]),
+                      min_info_gain=point["l2_leaf_reg"] / 1000.0)
+
+
+# A tree splits a category of up to this many values by the values themselves;
+# beyond it, by their mean label (a number), so bins never follow the data.
+FEW_VALUES = 40
+BINS = 64
+PATIENCE = 30
+
+
+@dataclass
+class TreeModel:
+    """Encoder of large categories, and the fitted trees behind it."""
+
+    pipeline: PipelineModel
+    encoder: OrderedTargetEncoder | None
+    losses: list[float]  # on the evaluation rows, after each tree that was grown
+
+    @property
+    def trees(self):
+        return self.pipeline.stages[-1]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(self.encoder.transform(df) if self.encoder else df)
 
 
 def build_pipeline(categorical: Sequence[str], numeric: Sequence[str],
-                   params: TreeParams = TreeParams(), label: str = "label",
-                   validation_col: str | None = None, bins: int = 64) -> Pipeline:
+                   params: TreeParams = TreeParams(), label: str = "label", bins: int = BINS) -> Pipeline:
     idx = [f"{c}__idx" for c in categorical]
     stages = [StringIndexer(inputCols=list(categorical), outputCols=idx,
                             handleInvalid="keep")] if categorical else []
     stages.append(VectorAssembler(inputCols=idx + list(numeric), outputCol="features",
                                   handleInvalid="keep"))
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", seed=SEED,
-                        maxIter=params.num_trees, stepSize=params.learning_rate,
-                        maxDepth=params.depth, minInfoGain=params.min_info_gain,
-                        maxBins=bins)
-    if validation_col:
-        gbt = gbt.setValidationIndicatorCol(validation_col)
-    stages.append(gbt)
+    stages.append(GBTClassifier(labelCol=label, featuresCol="features", seed=SEED,
+                                maxIter=params.num_trees, stepSize=params.learning_rate,
+                                maxDepth=params.depth, minInfoGain=params.min_info_gain,
+                                maxBins=bins))
     return Pipeline(stages=stages)
 
 
-def fit(train: DataFrame, categorical, numeric, params: TreeParams = TreeParams(),
-        label: str = "label", validation_col: str | None = None) -> PipelineModel:
-    """Fit; with ``validation_col`` (boolean column marking eval rows) the
-    trees stop early once the validation loss stops improving."""
-    return build_pipeline(categorical, numeric, params, label, validation_col,
-                          bins_for(train, categorical)).fit(train)
-
-
-def bins_for(train: DataFrame, categorical: Sequence[str], least: int = 64) -> int:
-    """Bins that hold every category of every column: a tree needs one for
-    each value, one for null and one for values it has not seen."""
+def large_categories(train: DataFrame, categorical: Sequence[str], few: int = FEW_VALUES) -> list[str]:
+    """The columns with more than ``few`` values, by one sketch aggregate."""
     if not categorical:
-        return least
-    row = train.agg(*[F.countDistinct(c) for c in categorical]).first()
-    return max(least, max(row) + 2)
+        return []
+    row = train.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
+    return [c for c in categorical if row[c] > few]
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Number of trees up to the least loss before ``patience`` trees brought no
+    gain, and whether that many were seen."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def cut_trees(model: PipelineModel, n: int) -> PipelineModel:
+    """The model of the first ``n`` trees."""
+    last = model.stages[-1]
+    if n >= last.getNumTrees:
+        return model
+    jvm = last._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for k in range(n):
+        trees[k], weights[k] = jvm.trees()[k], jvm.treeWeights()[k]
+    cut = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(jvm.uid(), trees, weights, jvm.numFeatures(), 2)
+    jvm.copyValues(cut, jvm.extractParamMap())
+    return PipelineModel(stages=[*model.stages[:-1], GBTClassificationModel(cut)])
 
 
-def predict(model: PipelineModel, df: DataFrame, out_col: str,
+def fit(train: DataFrame, categorical, numeric, params: TreeParams = TreeParams(),
+        label: str = "label", validation_col: str | None = None, id_cols: Sequence[str] | None = None,
+        patience: int = PATIENCE) -> TreeModel:
+    """Fit gradient-boosted trees.
+
+    Columns of more than ``FEW_VALUES`` values are coded by their mean label
+    (:class:`~spendgrid.operators.encoding.OrderedTargetEncoder`) over ``id_cols``
+    (all columns, if not given). With ``validation_col`` (a boolean column that
+    marks evaluation rows) trees are grown until ``patience`` of them bring no
+    gain in loss on those rows, and those after the best one are cut off. Trees
+    are grown in rounds of twice as many, so at most about twice as many as
+    needed; a tree depends only on those before it.
+    """
+    rows = train.where(~F.col(validation_col)) if validation_col else train
+    large = large_categories(rows, categorical)
+    few = [c for c in categorical if c not in large]
+    encoder = OrderedTargetEncoder(large, label, list(id_cols or [c for c in train.columns if c not in (label, validation_col)])) if large else None
+    coded = written_once(encoder.fit_transform(rows), "coded") if encoder else rows
+    columns = [f"{c}__mean" for c in large]
+    if not validation_col:
+        return TreeModel(build_pipeline(few, [*numeric, *columns], params, label).fit(coded), encoder, [])
+    valid = train.where(F.col(validation_col))
+    valid = written_once(encoder.transform(valid) if encoder else valid, "evaluation")
+    n = min(params.num_trees, 2 * patience)
+    while True:
+        model = build_pipeline(few, [*numeric, *columns], replace(params, num_trees=n), label).fit(coded)
+        ready = valid
+        for stage in model.stages[:-1]:
+            ready = stage.transform(ready)
+        losses = list(model.stages[-1].evaluateEachIteration(ready)) if not valid.isEmpty() else []
+        best, done = best_round(losses, patience) if losses else (n, True)
+        if done or n >= params.num_trees or len(losses) < n:
+            return TreeModel(cut_trees(model, best), encoder, losses)
+        n = min(params.num_trees, 2 * n)
+
+
+def predict(model: TreeModel, df: DataFrame, out_col: str,
             keep: Sequence[str]) -> DataFrame:
     """Positive-class probability beside the kept columns."""
     scored = model.transform(df)
@@ -115,25 +184,23 @@ class CoverageEvaluator(Evaluator):
 
 def search(train: DataFrame, valid: DataFrame, categorical, numeric, *,
            max_evals: int = 4, parallelism: int = 4, label: str = "label",
-           id_col: str = "id", seed: int = SEED) -> tuple[TreeParams, float]:
-    """Seeded random search: fit each draw on ``train``, score coverage at
-    30 % on ``valid``; trials run ``parallelism`` at a time (each trial is
-    itself a distributed job)."""
-    from concurrent.futures import ThreadPoolExecutor
-
+           id_col: str = "id", seed: int = SEED, space=SEARCH_SPACE) -> tuple[TreeParams, float]:
+    """Parameters with the best coverage at 30 % of ``valid``, found by
+    :func:`spendgrid.operators.search.maximise`. Each trial is fitted on
+    ``train`` with ``valid`` for its early stop, ``parallelism`` at a time
+    (each trial is itself a distributed job)."""
     ev = CoverageEvaluator(label, id_col)
+    both = written_once(train.withColumn("_is_valid", F.lit(False)).unionByName(valid.withColumn("_is_valid", F.lit(True))), "search")
 
-    def trial(p: TreeParams) -> float:
-        return ev.evaluate(fit(train, categorical, numeric, p, label).transform(valid))
+    def trial(point: dict) -> float:
+        model = fit(both, categorical, numeric, params_of(point), label, "_is_valid", [id_col])
+        return ev.evaluate(model.transform(both.where("_is_valid")))
 
-    draws = draw_params(max_evals, seed)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        scores = list(pool.map(trial, draws))
-    best = max(range(len(draws)), key=lambda i: (scores[i], -i))
-    return draws[best], scores[best]
+    best, score, _ = maximise(trial, space, max_evals=max_evals, seed=seed, parallelism=parallelism)
+    return params_of(best), score
 
 
-def batch_scores(model: PipelineModel, features: DataFrame, category: str,
+def batch_scores(model: TreeModel, features: DataFrame, category: str,
                  ids: Sequence[str] = ("snapshot_dt", "elc_master_id",
                                        "consumer_id", "brand_id")) -> DataFrame | None:
     """Scores of one category beside the ids; None for an empty input."""

@@ -1,5 +1,5 @@
 """Batch scoring flow: the model's features for one snapshot month ->
-probabilities -> stored partition -> single-file CSV export.
+probabilities -> stored partition -> CSV export in parallel parts.
 
 Scores are written once and the export reads the stored partition back, so
 the scoring plan is not recomputed per output (the reference recomputed it
@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +19,7 @@ from spendgrid.operators import model as ml
 from spendgrid.sources import store
 
 
-def score_month(model: PipelineModel, master: DataFrame, *, category: str,
+def score_month(model: ml.TreeModel, master: DataFrame, *, category: str,
                 snapshot_dt: str, categorical: Sequence[str],
                 numeric: Sequence[str], indicators: Sequence[str] = ()
                 ) -> DataFrame | None:
@@ -35,8 +34,8 @@ def store_and_export(scores: DataFrame | None, *, table_path: str,
                      export_folder: str | None = None,
                      table_name: str = "scores",
                      write_dt: _dt.datetime | None = None) -> DataFrame | None:
-    """Replace the scored month's partition, then export it as one CSV file
-    named for the run. Nothing is written for empty scores."""
+    """Replace the scored month's partition, then export it as CSV parts in
+    a folder named for the run. Nothing is written for empty scores."""
     if scores is None:
         return None
     store.overwrite_partitions(scores, table_path, ["snapshot_dt"])

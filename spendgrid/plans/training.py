@@ -1,5 +1,5 @@
 """Training flow: training slice of the master table -> model matrix ->
-stratified split -> seeded parameter search -> final fit -> metrics.
+stratified split -> seeded Parzen search -> final fit -> metrics.
 
 The frame never leaves Spark; only the chosen parameters and the metric
 rows reach the driver.
@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ IDS = ("elc_master_id", "consumer_id", "brand_id")
 
 @dataclass
 class TrainingResult:
-    model: PipelineModel
+    model: ml.TreeModel
     params: ml.TreeParams
     categorical: list[str]
     numeric: list[str]
@@ -42,7 +41,7 @@ def training_slice(master: DataFrame, snapshot_dt: str,
 
 def train(master: DataFrame, *, target: str, snapshot_dt: str,
           search_fraction: float = 0.3, test_size: float = 0.3,
-          max_evals: int = 1, parallelism: int = 4) -> TrainingResult:
+          max_evals: int = 1, parallelism: int = 4, space=ml.SEARCH_SPACE) -> TrainingResult:
     """Search on a hash sample of the slice, fit on the full train split
     (early stop on the test split), report metrics on both splits."""
     from spendgrid.plans.preparation import materialize
@@ -61,10 +60,11 @@ def train(master: DataFrame, *, target: str, snapshot_dt: str,
     best, _ = ml.search(search_rows.where(F.col("split") == "train"),
                         search_rows.where(F.col("split") == "test"),
                         categorical, num, max_evals=max_evals,
-                        parallelism=parallelism)
+                        parallelism=parallelism, space=space)
     fit_rows = split.withColumn("is_valid", F.col("split") == "test")
-    model = ml.fit(fit_rows, categorical, num, best, validation_col="is_valid")
-    scored = ml.predict(model, split, "score", ["id", "label", "split"])
+    model = ml.fit(fit_rows, categorical, num, best, validation_col="is_valid", id_cols=["id"])
+    # written once: the metrics of both splits read it
+    scored = materialize(ml.predict(model, split, "score", ["id", "label", "split"]), "train_scored")
     parts = []
     for name in ("train", "test"):
         rep = met.classifier_report(scored.where(F.col("split") == name))

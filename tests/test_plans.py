@@ -26,7 +26,8 @@ def synthetic_master(spark, n=600):
 def test_train_and_score(spark):
     master = synthetic_master(spark)
     res = training.train(master, target="skincare", snapshot_dt="2023-04-01",
-                         max_evals=1, parallelism=1)
+                         max_evals=1, parallelism=1,
+                         space={"learning_rate": (0.1, 0.5), "num_trees": (8, 12), "l2_leaf_reg": (1, 10), "depth": (2, 3)})
     rep = {(r.split, r.metric): r.value for r in res.report.collect()}
     assert rep[("test", "roc_auc")] > 0.8
     assert set(res.categorical) == {"income", "email_opt_in_ind"}

@@ -129,7 +129,8 @@ def test_model_fit_and_score(spark):
     from spendgrid.operators.metrics import roc_auc
     assert roc_auc(s1.withColumnRenamed("p", "score")).first()[0] > 0.8
     assert ml.batch_scores(model, df.limit(0), "x") is None
-    best, cov = ml.search(df, df, ["c"], ["x"], max_evals=2, parallelism=2)
+    best, cov = ml.search(df, df, ["c"], ["x"], max_evals=2, parallelism=2,
+                          space={"learning_rate": (0.1, 0.5), "num_trees": (4, 8), "l2_leaf_reg": (1, 10), "depth": (2, 3)})
     assert isinstance(best, ml.TreeParams) and 0.0 <= cov <= 1.0
 
 
