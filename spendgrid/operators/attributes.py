@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from spendgrid.functions.dates import month_start
 from spendgrid.functions.money import to_units
 from spendgrid.operators import ENTITY_KEYS, REGION
-from spendgrid.operators.joins import dimension_join
+from spendgrid.operators.joins import dimension_join, unique_keys
 from spendgrid.operators.snapshot import SNAPSHOT, densify, sparse_running
 
 # Channels with a transaction-share ratio.
@@ -141,9 +141,9 @@ def store_leaders(sales: DataFrame, stores: DataFrame, *,
                .groupBy(*keys, "sale_month").agg(F.max("_lead").alias("_lead")))
     # descriptors go onto the sparse leader rows (one per key and month with
     # sales), so the dense grid needs no dimension join
-    dim = stores.select(F.col(store_col).alias("_sid"), *STORE_COLUMNS)
-    return (leaders.withColumn("_sid", -F.col("_lead._neg"))
-            .join(dim, "_sid", "left")
+    dim = unique_keys(stores.select(F.col(store_col).alias("_sid"), *STORE_COLUMNS), ["_sid"], "store dimension")
+    # a month before the first visit has no store: it stays out of the join
+    return (dimension_join(leaders.withColumn("_sid", -F.col("_lead._neg")), dim, "_sid", hot=())
             .select(*keys, "sale_month", F.when(
                 F.col("_sid").isNotNull(),
                 F.struct(F.col("_sid").alias("most_freq_store_id"),
@@ -209,6 +209,7 @@ def with_consumer_variables(df: DataFrame, cv: DataFrame,
                             region: str = REGION) -> DataFrame:
     right = consumer_variables_for(cv, region).select(
         F.col("elc_master_id").alias("_cv_id"), *CV_COLUMNS, "birth_year")
+    right = unique_keys(right, ["_cv_id"], "consumer variables")
     j = df.join(right, df["elc_master_id"] == right["_cv_id"], "left")
     return j.drop("_cv_id")
 
@@ -220,6 +221,7 @@ def with_exists_flag(df: DataFrame, ca: DataFrame, region: str = REGION,
     right = consumer_attributes_for(ca, region).select(
         F.col("elc_master_id").alias("_ca_id"),
         F.col("consumer_id").alias("_ca_consumer"), *columns)
+    right = unique_keys(right, ["_ca_id", "_ca_consumer"], "consumer attributes")
     j = df.join(right, (df["elc_master_id"] == right["_ca_id"])
                 & (df["consumer_id"] == right["_ca_consumer"]), "left")
     j = j.withColumn("exists_in_cdp",
@@ -269,7 +271,7 @@ def master_rows(snapshot: DataFrame, ratios: DataFrame, leaders: DataFrame, stor
                 region: str = REGION) -> DataFrame:
     """Master rows of a single month from frames with one row per key:
     snapshot rows, ratios and ``most_freq_store_id``; left joins throughout."""
-    dim = stores.select(F.col("store_id").alias("most_freq_store_id"), *STORE_COLUMNS)
+    dim = unique_keys(stores.select(F.col("store_id").alias("most_freq_store_id"), *STORE_COLUMNS), ["most_freq_store_id"], "store dimension")
     df = snapshot.join(ratios.select(*keys, *RATIO_COLUMNS), list(keys), "left")
     df = df.join(leaders.select(*keys, "most_freq_store_id"), list(keys), "left")
     df = dimension_join(df, dim, "most_freq_store_id")

@@ -81,8 +81,39 @@ def test_dimension_join_keeps_rows_and_deals_hot_keys(spark):
     try:
         joined = dimension_join(facts, dim, "store", hot=[7], salt=64)
         # half of the rows have one store; no task of the join has more than a quarter of them
+        # and the rows without a store are spread too
+        bare = joined.where("store is null").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(bare) > 1
         sizes = joined.where("store is not null").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
         assert max(r["count"] for r in sizes) < 0.5 * sum(r["count"] for r in sizes)
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_right_keys_fail_the_job(spark):
+    import datetime as dt
+
+    from spendgrid.operators import attributes as attr
+    from spendgrid.operators.joins import sales_details, unique_keys
+
+    once = spark.createDataFrame([(1, "a"), (2, None), (None, "x"), (None, "y")], "k int, v string")
+    assert sorted(map(tuple, unique_keys(once, ["k"], "lookup").collect())) == [(1, "a"), (2, None)]
+    with pytest.raises(Exception, match="lookup: repeated key 1"):
+        unique_keys(once.unionByName(once), ["k"], "lookup").collect()
+    keys = spark.createDataFrame([("E1", 1, 1, dt.date(2024, 1, 1))], "elc_master_id string, consumer_id long, brand_id long, snapshot_dt date")
+    cv = spark.createDataFrame([("E1", "noam", "U", 1980)], "elc_master_id string, cdp_region string, CDC_CODE string, birth_year int")
+    for c in attr.CV_COLUMNS:
+        cv = cv.withColumn(c, F.lit("x"))
+    assert attr.with_consumer_variables(keys, cv).count() == 1
+    with pytest.raises(Exception, match="consumer variables: repeated key E1"):
+        attr.with_consumer_variables(keys, cv.unionByName(cv)).collect()
+    ca = spark.createDataFrame([("E1", 1, "noam", "US")], "elc_master_id string, consumer_id long, cdp_region string, country_cd string")
+    assert attr.with_exists_flag(keys, ca, columns=["country_cd"]).first()["exists_in_cdp"] == "Y"
+    with pytest.raises(Exception, match="consumer attributes: repeated key"):
+        attr.with_exists_flag(keys, ca.unionByName(ca), columns=["country_cd"]).collect()
+    # an output that a repeated key fails is never visible
+    path = store.run_scratch(spark, "never")
+    with pytest.raises(Exception, match="repeated key"):
+        store.overwrite_partitions(attr.with_exists_flag(keys, ca.unionByName(ca), columns=["country_cd"]), path, ["snapshot_dt"])
+    assert not os.path.exists(path) or not [f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
