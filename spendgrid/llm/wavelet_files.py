@@ -289,7 +289,10 @@ def _save(folder: str, name: str, data: bytes) -> str:
     temporary = f"{root}/.{name}-{uuid.uuid4().hex}"
     with files.open_output_stream(temporary, compression=None) as out:
         out.write(data)
-    files.move(temporary, f"{root}/{name}")
+    target = f"{root}/{name}"
+    if files.get_file_info(target).type != pyarrow.fs.FileType.NotFound:  # of a lost attempt; not every file system replaces
+        files.delete_file(target)
+    files.move(temporary, target)
     return f"{folder.rstrip('/')}/{name}"
 
 
@@ -340,7 +343,7 @@ def _writer(tokenizer: str, folder: str, shard_tokens: int, end_id: int, schema:
             ends = np.cumsum(lengths)
             begin = 0
             while begin < len(ids):  # whole documents up to the shard's size, one at least
-                room = shard_tokens - sum(len(h[1]) for h in held)
+                room = max(0, shard_tokens - sum(len(h[1]) for h in held))
                 base = int(ends[begin - 1]) if begin else 0
                 end = int(np.searchsorted(ends, base + room, side="right"))
                 if end == begin:

@@ -79,3 +79,23 @@ def test_files_of_odd_documents(spark, odd_docs, odd_rows, no_docs, tmp_path):
     got = sorted(((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in read(odd_docs, "odd")), key=lambda r: r[1])
     assert got == expected
     assert read(no_docs, "none") == []
+
+
+@pytest.mark.parametrize("place", [0, 1, 2])
+def test_documents_above_the_shard_size(spark, tmp_path, place):
+    texts = ["ab " * 300, "cd " * 300]
+    texts.insert(place, "long " * 4000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    shards = Scratch(spark, "manifest").write(wavelet_files.write_shards(
+        docs, wavelet_files.default_tokenizer(), str(tmp_path / "long"), shard_tokens=500), "manifest")
+    got = sorted(wavelet_files.read_documents(shards).collect(), key=lambda r: r["start"])
+    tokenizer = wavelet_files.part_encoder(wavelet_files.default_tokenizer()).tokenizer
+    sizes = [len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+    assert [(r["doc_id"], r["n_tokens"]) for r in got] == list(enumerate(sizes))
+    assert shards.agg({"docs": "sum"}).first()[0] == 3
+
+
+def test_a_file_of_a_lost_attempt_is_replaced(tmp_path):
+    for data in (b"one", b"other"):
+        path = wavelet_files._save(str(tmp_path), "part.wvm", data)
+    assert open(path, "rb").read() == b"other" and len(list(tmp_path.iterdir())) == 1
