@@ -82,6 +82,11 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def text_key(column: str = "text"):
+    """64 bits of the text as it is."""
+    return F.xxhash64(F.col(column).cast("string"))
+
+
 # --- words of an Arrow batch -------------------------------------------------
 
 _RNG = np.random.default_rng(20240607)

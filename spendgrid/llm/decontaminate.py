@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrid.llm.common import Scratch, hash_grams, hash_words, read_table
+from spendgrid.llm.common import Scratch, hash_grams, hash_words, read_table, text_key
 from spendgrid.llm.near_duplicates import _slices
 
 SEED = 3
@@ -174,18 +174,17 @@ def _searcher(items):
             if found:
                 t, k, share, end = zip(*found)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(t)), pa.array(k, pa.int64()), pa.array(share, pa.float64()), pa.array(end, pa.int64())],
-                    names=["doc_id", "k", "score", "end_word"])
+                    batch.column(0).take(pa.array(t)), batch.column(2).take(pa.array(t)), pa.array(k, pa.int64()), pa.array(share, pa.float64()), pa.array(end, pa.int64())],
+                    names=["doc_id", "text_hash", "k", "score", "end_word"])
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``doc_id, item_id, score, end_word`` for each contaminated document and
-    the item; ``score`` is the share of a whole copy's, ``end_word`` where the
-    best alignment ends in the document."""
+def matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame | None:
+    """``doc_id, text_hash, item_id, score, end_word`` for each place of a row's
+    text at which an item is found; None without any item."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), text_key().alias("text_hash"))
     kind = texts.schema["doc_id"].dataType.simpleString()
     items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = items.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
@@ -196,12 +195,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK
                       key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
         sent = spark.sparkContext.broadcast(Items([r["text"] for r in rows]))
         ids = spark.createDataFrame([(k, r["item_id"]) for k, r in enumerate(rows)], f"k bigint, item_id {items.schema['item_id'].dataType.simpleString()}")
-        matches = scratch.write(texts.mapInArrow(_searcher(sent), f"doc_id {kind}, k bigint, score double, end_word bigint"), "matches")
-        part = matches.join(ids, "k").select("doc_id", "item_id", "score", "end_word")
+        part = scratch.write(texts.mapInArrow(
+            _searcher(sent), f"doc_id {kind}, text_hash bigint, k bigint, score double, end_word bigint"), "matches").join(ids, "k").drop("k")
         found = part if found is None else found.union(part)
+    return found
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``doc_id, item_id, score, end_word`` for each contaminated document and
+    the item; ``score`` is the share of a whole copy's, ``end_word`` where the
+    best alignment ends in the document."""
+    found = matches(docs, benchmark, block_words)
     if found is None:
-        return texts.where(F.lit(False)).select(
-            "doc_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("end_word"))
+        return docs.where(F.lit(False)).select(
+            "doc_id", F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("end_word"))
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "end_word")).alias("best")).select("doc_id", "item_id", "best.*")
 
 
@@ -210,6 +217,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no passage of a test item."""
-    found = contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """The rows that hold no passage of a test item. Each row is decided by its
+    own text: others under its id, or with a null id too, do not matter."""
+    found = matches(docs, read_table(spark, sf_dir, "benchmark"))
+    if found is None:
+        return docs
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]) & (F.xxhash64(docs["text"].cast("string")) == found["_hash"]), "left_anti")

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrid.llm.common import Scratch, hash_words, read_table, shingle_set
+from spendgrid.llm.common import Scratch, hash_words, read_table, shingle_set, text_key
 from spendgrid.llm.components import connected_components
 from spendgrid.llm.lists import blocks_of
 
@@ -221,10 +221,6 @@ def _overlap(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, column
     return out
 
 
-def text_key():
-    return F.xxhash64(F.col("text").cast("string"))
-
-
 def components_of_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, text_hash, n, node, root, component_id`` for each row of
     ``docs`` (``doc_id`` bigint, ``text``): rows of one ``root`` are a component
@@ -313,14 +309,13 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component, with five-word shingles: the one of the least
     id, null last, and of the least hash of its text. Rows without words are
-    components of their own. Of the rows that are left under an id that is not
-    null one stays, of the least hash; rows with a null id do not meet."""
+    components of their own. Rows are told apart by id and text: unrelated texts
+    under one id all stay, and of rows equal in both one stays, unless they have
+    neither id nor words."""
     rows = components_of_rows(docs)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     first = rows.where("node is not null").groupBy("root").agg(F.min(place).alias("at")).select("at.doc_id", "at.text_hash")
-    left = Scratch(spark, "near-duplicate-stage").write(first.union(rows.where("node is null").select("doc_id", "text_hash")), "left")
-    kept = left.where("doc_id is not null").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash")).union(
-        left.where("doc_id is null").distinct())
+    kept = Scratch(spark, "near-duplicate-stage").write(first.union(rows.where("node is null").select("doc_id", "text_hash")).distinct(), "left")
     staying = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == kept["text_hash"]), "left_semi")
     if not docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         return staying

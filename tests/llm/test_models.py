@@ -238,3 +238,14 @@ def test_sample_holds_rare_matches_and_is_bounded(spark):
     assert texts == secret_scan.sample_texts(docs.repartition(2), 180)
     assert len([t for t in secret_scan.sample_texts(docs, 60) if t in secrets]) >= 2
     assert secret_scan.fit(texts) is not None
+
+
+def test_stage_drops_rows_and_not_ids(spark, tmp_path):
+    item = " ".join(words(5001, 40, 10**6))
+    clean = [(None, " ".join(words(6000 + k, 60, 10**6))) for k in range(20)] + [(5, " ".join(words(6100, 60, 10**6))), (None, None)]
+    leaked = [(None, "before it " + item + " after it"), (5, item)]
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(i, t, 1, 2) for i, t in clean + leaked], "doc_id bigint, text string, _id int, text_hash int").repartition(3)
+    out = decontaminate.decontaminate_stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, spark.createDataFrame(clean, "doc_id bigint, text string").collect()))
