@@ -273,7 +273,8 @@ def line_classes(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_char
     listed = members.select("node").distinct()
     place = long.join(listed, "node").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("p"))
     places = scratch.write(place.select("node", F.col("p.doc_id").alias("at_doc"), F.col("p.line").alias("at_line")), "places")
-    asked = scratch.write(places.groupBy("at_doc").agg(F.collect_list(F.struct("node", "at_line")).alias("asked")).withColumn("n", F.size("asked")), "asked").where("n > 0")
+    wanted = scratch.write(places.groupBy("at_doc").agg(F.collect_list(F.struct("node", "at_line")).alias("asked")).withColumn("n", F.size("asked")), "asked")
+    asked = wanted.where("n > 0")
     read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"])).select(F.split("text", "\n").alias("s"), F.explode("asked").alias("q"))
     with filtered_scans(docs.sparkSession):
         body = scratch.write(read.select(F.col("q.node").alias("node"), F.get("s", F.col("q.at_line")).alias("body")).where(
@@ -292,6 +293,7 @@ def line_classes(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_char
         return check(scratch.write(maybe.distinct(), "in-blocks"), "block-checked")
 
     roots = classes(members, scratch, check, compare, block=4096)  # a row is a few bytes
+    scratch.drop(members, places, wanted, body, marks)  # the roots are written
     named = lines.join(roots, "node", "left").select(
         "doc_id", "text_hash", "line", "chars", F.coalesce("root", "node").alias("class"))
     firsts = named.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("at"))

@@ -124,7 +124,9 @@ def shared_entries(rows: DataFrame, entries: Entries, n_entries: int, scratch: S
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = dealt.repartition(tasks, "bucket", "salt").sortWithinPartitions("bucket", "salt", "kind").mapInArrow(
         _members, "value bigint, node bigint")
-    return scratch.write(found.distinct(), "entries")
+    entries = scratch.write(found.distinct(), "entries")
+    scratch.drop(shared)
+    return entries
 
 
 def distinct_lists(entries: DataFrame, scratch: Scratch) -> DataFrame:
@@ -134,7 +136,9 @@ def distinct_lists(entries: DataFrame, scratch: Scratch) -> DataFrame:
         F.count("*").alias("size"), F.min("node").alias("center"),
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark")).where("size > 1")
     once = scratch.write(about.groupBy("size", "center", "mark").agg(F.min("value").alias("value")), "lists")
-    return scratch.write(entries.join(once, "value").select("value", "size", "center", "node"), "members")
+    members = scratch.write(entries.join(once, "value").select("value", "size", "center", "node"), "members")
+    scratch.drop(entries, once)
+    return members
 
 
 def blocks_of(placed: DataFrame, n_blocks: Column) -> DataFrame:

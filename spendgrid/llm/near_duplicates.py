@@ -285,6 +285,7 @@ def components_of_rows(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         _block_links(words, percent), "a bigint, b bigint")
     links = links.union(scratch.write(more, "block-links"))
     found = connected_components(links, scratch)
+    scratch.drop(members, about, active, body, likely, wanted)  # the components are written
 
     # the least id of each component
     linked = nodes.select("node", "id").join(found.select("node", "root").union(found.select("root", "root")).distinct(), "node")
