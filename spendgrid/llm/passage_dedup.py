@@ -1,49 +1,71 @@
-"""Substring dedup: repeated paragraphs and passages.
-
-A paragraph is a line of ``min_words`` words or more; equal paragraphs (A-Z
-lower-cased, by words) are one node. A node is put into inverted lists under
-
-* ``BANDS`` MinHash bands of ``ROWS`` rows each over its ``SHINGLE``-word
-  shingles; paragraphs of similarity 0.8 miss each other with probability
-  ``(1 - 0.8 ** ROWS) ** BANDS``, 0.3 per cent;
-* its pieces, for passages inside paragraphs: it is cut wherever a hash of two
-  words is the least within ``REACH`` words on both sides, so the cuts inside
-  a passage are the same wherever it stands.
-
-Paragraphs that meet in a list are checked exactly: all of both is repeated if
-the Jaccard similarity of their shingles is 0.8 or more; else every run of
-``min_words`` words that both hold. Runs of a paragraph that overlap by half of
-the shorter one are one passage. Connected components over the passages make
-classes; all but the first place of a class, in the order of (doc_id, line),
-are removed.
+"""Substring dedup: near-equal paragraphs and repeated passages.
+
+**Paragraphs.** A paragraph is a line of ``min_words`` words or more; equal
+ones (A-Z lower-cased, by words) are one node. A node is put into inverted
+lists under MinHash bands over its ``SHINGLE``-word shingles; :func:`tuned`
+chooses bands and rows from the wanted recall at the similarity asked for.
+Paragraphs that meet in a list are checked by the exact Jaccard similarity of
+their shingles; connected components make classes, of which all but the first
+place, in the order of (doc_id, line), are removed.
+
+**Passages.** Runs of ``min_words`` words that stand in several texts, wherever
+line ends fall:
+
+1. The words of a whole text are winnowed: of the hashes of ``SEED`` words that
+   lie in a window of ``min_words`` words, the least is a seed. Two equal
+   windows have equal seeds, so no repeated run lacks a shared one.
+2. Texts with shared seeds give the hashes of their windows over such seeds.
+3. The first text, in the order of doc_id, that holds a window keeps it; it is
+   removed from all others. Windows that follow each other and come from the
+   same first text are one passage.
+
+Texts that are equal as a whole are one node throughout: the first document
+keeps the text, a passage that covers all of it is removed from the others.
 
 Words and runs are compared by 64-bit hashes. Defined cases: null texts and
-shorter lines hold no paragraph; rows of equal id and text are one document;
-null ids come first; further columns do not matter; an empty table gives no
-rows.
+texts of fewer words hold nothing; rows of equal id and text are one document;
+null ids come first; runs that are repeated within one text alone are left;
+further columns do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrid.llm.common import (_BASE, _BASE_INVERSE, WORD_SEPARATOR, Scratch, _powers, hash_grams, hash_words, mix,
-                                  read_table, shingle_set, text_of)
-from spendgrid.llm.components import connected_components
+from spendgrid.llm.common import (_BASE, _BASE_INVERSE, Scratch, _powers, hash_grams, hash_spans, hash_words, mix,
+                                  read_table, shingle_set, text_bytes, text_of, word_spans)
 from spendgrid.llm.lists import classes, dealt_by_group, distinct_lists, pairs_within, shared_entries, whole_groups
 from spendgrid.llm.near_duplicates import _slices
 
 MIN_WORDS = 50
 SHINGLE = 5
-BANDS, ROWS = 8, 3
+SEED = 20
 PERCENT = 80
-REACH = 4
+RECALL = 0.999
+MOST_HASHES = 30
 BATCH_BYTES = 8 << 20
+
+
+def tuned(similarity: float, recall: float, most: int) -> tuple[int, int]:
+    """(bands, rows) with the most rows, so the fewest chance meetings, by which
+    a pair of that similarity meets with probability ``recall``, out of
+    ``most`` hashes; one row if none are few enough."""
+    found = None
+    for rows in range(1, most + 1):
+        bands = ceil(log(1 - recall) / log(1 - similarity ** rows))
+        if found is None or bands * rows <= most:
+            found = bands, rows
+    return found
+
+
+BANDS, ROWS = tuned(PERCENT / 100, RECALL, MOST_HASHES)
 _SEEDS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -58,297 +80,295 @@ def runs_of(words: np.ndarray, n: int) -> np.ndarray:
     return mix((running[n:] - running[:size]) * inverse[:size])
 
 
-def node_of(words: np.ndarray) -> int:
-    return int(runs_of(words, len(words)).view(np.int64)[0]) if len(words) else 0
+def nodes_of(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """64 bits of each of the word sequences ``words[first[i]:first[i + 1]]``."""
+    powers, inverse = _powers(_BASE, len(words) + 1), _powers(_BASE_INVERSE, len(words) + 1)
+    running = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * powers[:len(words)], out=running[1:])
+    return mix((running[first[1:]] - running[first[:-1]]) * inverse[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64)
 
 
-def paragraph_keys(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, index of the paragraph): bands and pieces of paragraphs, each
+def band_keys(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``BANDS`` keys, a row for each of the paragraphs, which are
     ``words[first[i]:first[i + 1]]`` and of ``SHINGLE`` words at least."""
     n = len(first) - 1
-    size = np.diff(first)
-    keys, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    keys = np.zeros((n, BANDS), dtype=np.uint64)
     if not n:
-        return keys[0], of[0]
-    # bands: the least hash over each paragraph's shingles, for each row
+        return keys
     grams = hash_grams(words, SHINGLE)
-    starts = first[:-1]
-    stops = starts + size - SHINGLE + 1
-    cut = np.ravel(np.column_stack((starts, stops)))
-    cut = cut[:-1] if stops[-1] >= len(grams) else cut
+    cut = np.ravel(np.column_stack((first[:-1], first[1:] - SHINGLE + 1)))
+    cut = cut[:-1] if cut[-1] >= len(grams) else cut
     for band in range(BANDS):
         key = np.full(n, np.uint64(band + 1), dtype=np.uint64)
         for row in range(ROWS):
             least = np.minimum.reduceat(mix(grams ^ _SEEDS[band * ROWS + row]), cut)[::2]
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least)
-        keys.append(key)
-        of.append(np.arange(n))
-    # pieces between local minima
-    pairs = hash_grams(words, 2)
-    para = np.repeat(np.arange(n), size)
-    place = np.arange(len(words)) - first[para]
-    low = np.ones(len(pairs), dtype=bool)
-    for step in range(1, REACH + 1):
-        low[step:] &= pairs[step:] < pairs[:-step]
-        low[:-step] &= pairs[:-step] < pairs[step:]
-    place, para_ = place[:len(pairs)], para[:len(pairs)]
-    low &= (place >= REACH) & (place + REACH + 2 <= size[para_])
-    at = np.flatnonzero(low)
-    same = para_[at[1:]] == para_[at[:-1]]
-    begin, end = at[:-1][same], at[1:][same]
-    base = 0
-    powers, inverse = _powers(_BASE, len(words) + 1), _powers(_BASE_INVERSE, len(words) + 1)
-    running = np.zeros(len(words) + 1, dtype=np.uint64)
-    np.cumsum(words * powers[:len(words)], out=running[1:])
-    keys.append(mix((running[end] - running[begin]) * inverse[begin] + (end - begin).astype(np.uint64) + np.uint64(base)))
-    of.append(para_[begin])
-    return np.concatenate(keys), np.concatenate(of)
-
-
-def _paragraphs(column: pa.Array, min_words: int):
-    """Words of the long lines of a column: (hashes, first, row, line)."""
-    texts = column.to_pylist()
-    rows, lines, kept = [], [], []
-    for k, text in enumerate(texts):
-        for i, line in enumerate((text or "").split("\n")):
-            if len(line) >= 2 * min_words - 1:
-                rows.append(k)
-                lines.append(i)
-                kept.append(line)
-    hashes, first = hash_words(pa.array(kept, pa.string()))
-    size = np.diff(first)
-    ok = np.flatnonzero(size >= min_words)
-    keep = np.repeat(size >= min_words, size)
-    return hashes[keep], np.append(0, np.cumsum(size[ok])), np.array(rows, np.int64)[ok], np.array(lines, np.int64)[ok]
+        keys[:, band] = key
+    return keys
 
 
-def _nodes(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return np.array([node_of(hashes[a:b]) for a, b in zip(first[:-1], first[1:])], dtype=np.int64)
+def windows(words: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of ``min_words`` words of the texts ``words[first[i]:first[i + 1]]``:
+    (place of the first word in ``words``, text, place of the seed) and the
+    seeds' hashes by place."""
+    size = np.diff(first)
+    text = np.repeat(np.arange(len(size)), size)
+    seed = min(SEED, min_words)
+    hashes = runs_of(words, seed)
+    reach = min_words - seed + 1  # seeds within a window
+    least = np.arange(len(hashes))
+    width = 1
+    while width < reach:  # the place of the least hash among ``width`` that follow
+        step = min(width, reach - width)
+        a, b = least[:-step], least[step:]
+        least = np.where(hashes[a] <= hashes[b], a, b)
+        width += step
+    at = np.arange(len(least))
+    at = at[at + min_words <= first[1:][text[at]]]
+    return at, text[at], least[at], hashes
+
+
+class Batch:
+    """Words of the texts of an Arrow column, and its paragraphs."""
+
+    def __init__(self, column: pa.Array, min_words: int):
+        data, offsets = text_bytes(column)
+        start, end = word_spans(data)
+        self.words = hash_spans(data, start, end, True)
+        self.first = np.searchsorted(start, offsets)
+        ends = np.flatnonzero(data == 10)  # each text has one more newline
+        stop = np.searchsorted(start, ends)
+        begin = np.append(0, stop[:-1])
+        long = np.flatnonzero(stop - begin >= min_words)
+        self.begin, self.stop = begin[long], stop[long]
+        self.row = np.searchsorted(offsets, ends[long], side="right") - 1
+        self.line = long - np.searchsorted(ends, offsets)[self.row]
+
+    def paragraphs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(words, first, node) of the paragraphs alone."""
+        size = self.stop - self.begin
+        first = np.append(0, np.cumsum(size))
+        words = self.words[np.repeat(self.begin - first[:-1], size) + np.arange(first[-1])]
+        return words, first, nodes_of(words, first)
 
 
 def _entries(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bands of paragraphs under odd keys, seeds of whole texts under even."""
     for batch in _slices(batches, rows=1 << 14, size=BATCH_BYTES):
-        hashes, first, *_ = _paragraphs(batch.column(0), min_words)
-        keys, of = paragraph_keys(hashes, first)
-        yield keys, _nodes(hashes, first)[of] if len(of) else np.zeros(0, np.int64)
+        read = Batch(batch.column(0), min_words)
+        words, first, node = read.paragraphs()
+        bands = band_keys(words, first)
+        at, _, seed, hashes = windows(read.words, read.first, min_words)
+        seed = np.unique(seed)
+        text = np.searchsorted(read.first, seed, side="right") - 1
+        one = np.uint64(1)
+        yield (np.concatenate([bands.ravel() | one, hashes[seed] & ~one]),
+               np.concatenate([np.repeat(node, BANDS), batch.column(1).to_numpy()[text]]))
 
 
 def _places(min_words: int):
+    """Paragraphs, and under line -1 the texts of ``min_words`` or more."""
     def run(batches):
         for batch in _slices(batches, rows=1 << 14, size=BATCH_BYTES):
-            hashes, first, rows, lines = _paragraphs(batch.column(2), min_words)
-            at = pa.array(rows)
+            read = Batch(batch.column(2), min_words)
+            whole = np.flatnonzero(np.diff(read.first) >= min_words)
+            row = np.append(read.row, whole)
+            at = pa.array(row)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(at), batch.column(1).take(at), pa.array(lines), pa.array(_nodes(hashes, first)),
-                pa.array(np.diff(first))], names=["doc_id", "text_hash", "line", "node", "n"])
+                batch.column(0).take(at), batch.column(1).take(at), pa.array(np.append(read.line, np.full(len(whole), -1))),
+                pa.array(np.append(read.paragraphs()[2], batch.column(1).to_numpy()[whole])),
+                pa.array(np.append(read.begin, read.first[whole]) - read.first[row]),
+                pa.array(np.append(read.stop - read.begin, np.diff(read.first)[whole]))],
+                names=["doc_id", "text_hash", "line", "node", "start", "n"])
     return run
 
 
-# --- exact checks --------------------------------------------------------------------
-
-def shared_runs(a: np.ndarray, b: np.ndarray, min_words: int) -> list[tuple[int, int, int, int]]:
-    """(start, end) in a and in b of what the two paragraphs share."""
-    x, y = shingle_set(a, SHINGLE), shingle_set(b, SHINGLE)
-    union = len(np.union1d(x, y))
-    if 100 * (len(x) + len(y) - union) >= PERCENT * union:
-        return [(0, len(a), 0, len(b))]
-    p, q = runs_of(a, min_words), runs_of(b, min_words)
-    if not len(p) or not len(q):
-        return []
-    spans = []
-    for own, other in ((p, q), (q, p)):
-        hit = np.flatnonzero(np.isin(own, other))
-        if not len(hit):
-            return []
-        new = np.append(True, np.diff(hit) > 1)
-        spans.append((hit[new], hit[np.append(new[1:], True)] + min_words))
-    found = set()
-    for (own, other), mine, theirs, turn in (((p, q), spans[0], spans[1], False), ((q, p), spans[1], spans[0], True)):
-        order = np.argsort(other, kind="stable")
-        for s, e in zip(*mine):
-            at = order[np.searchsorted(other[order], own[s])]
-            k = int(np.searchsorted(theirs[0], at, side="right")) - 1
-            s2, e2 = theirs[0][k], theirs[1][k]
-            found.add((int(s2), int(e2), int(s), int(e)) if turn else (int(s), int(e), int(s2), int(e2)))
-    return sorted(found)
-
-
-_LINKS = "a bigint, b bigint, a_start bigint, a_end bigint, b_start bigint, b_end bigint"
-
-
-def _links(rows: list[tuple]) -> dict[str, pa.Array]:
-    columns = list(zip(*rows)) if rows else [[]] * 6
-    return {name.split()[0]: pa.array(c, pa.int64()) for name, c in zip(_LINKS.split(", "), columns)}
-
-
-def _check(min_words: int):
+def _windows_over(min_words: int):
+    """The windows whose seed is one of those asked for in the batch."""
     def run(batches):
-        for batch in _slices(batches, rows=4096):
-            (ha, fa), (hb, fb) = hash_words(batch.column("text_a")), hash_words(batch.column("text_b"))
-            rows = []
-            for k, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
-                rows += [(a, b, *s) for s in shared_runs(ha[fa[k]:fa[k + 1]], hb[fb[k]:fb[k + 1]], min_words)]
-            yield pa.RecordBatch.from_pydict(_links(rows))
+        for batch in _slices(batches, rows=1 << 12, size=BATCH_BYTES):
+            words, first = hash_words(batch.column(1))
+            at, text, seed, hashes = windows(words, first, min_words)
+            asked = np.unique(batch.column(2).flatten().to_numpy().view(np.uint64))
+            hit = np.isin(hashes[seed] & ~np.uint64(1), asked)
+            at, text = at[hit], text[hit]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(runs_of(words, min_words)[at].view(np.int64)), batch.column(0).take(pa.array(text)),
+                pa.array(at - first[text])], names=["value", "place", "start"])
     return run
 
 
-def _ragged(values: list[np.ndarray], rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of each row's entry, one after the other, and the rows."""
-    size = np.array([len(v) for v in values], dtype=np.int64)
-    flat = np.concatenate([np.zeros(0, np.uint64), *values])
-    first, many = (np.cumsum(size) - size)[rows], size[rows]
-    at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
-    return flat[at], np.repeat(np.arange(len(rows)), many)
+# --- exact checks of paragraphs --------------------------------------------------------
 
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Two sorted sets of shingles are similar enough."""
+    if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
-def _alike(marks: np.ndarray, rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows, ordered so that those of one group and mark follow each other in
-    their order, and the offsets of such stretches of two or more."""
-    key = mix(marks + mix(group[rows].astype(np.uint64)))
-    order = np.lexsort((rows, key))
-    key, rows = key[order], rows[order]
-    cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key)) if len(key) else np.zeros(1, np.int64)
-    size = np.diff(cuts)
-    keep = np.repeat(size > 1, size)
-    return rows[keep], np.append(0, np.cumsum(size[size > 1]))
 
+def _check(batches):
+    for batch in _slices(batches, rows=4096):
+        (ha, fa), (hb, fb) = hash_words(batch.column("text_a")), hash_words(batch.column("text_b"))
+        keep = [alike(shingle_set(ha[fa[k]:fa[k + 1]], SHINGLE), shingle_set(hb[fb[k]:fb[k + 1]], SHINGLE))
+                for k in range(batch.num_rows)]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-def _compare(min_words: int):
-    """Links between components within two blocks of a list. Paragraphs that
-    hold the same run of words are linked one to the next; those that share a
-    band are checked with each other."""
-    def run(batches):
-        for table, cuts in whole_groups(batches, ["value", "i", "j"]):
-            node, comp = (table.column(c).to_numpy() for c in ("node", "comp"))
-            group = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
-            _, at, own = np.unique(node, return_index=True, return_inverse=True)
-            hashes, first = hash_words(table.column("body").take(pa.array(at)).combine_chunks())
-            words = [hashes[x:y] for x, y in zip(first[:-1], first[1:])]
-            bands = paragraph_keys(hashes, first)[0][:BANDS * len(words)].reshape(BANDS, len(words)).T
-            root = {c: c for c in comp.tolist()}
-
-            def find(c):
-                while root[c] != c:
-                    root[c] = root[root[c]]
-                    c = root[c]
-                return c
-
-            found = []
-
-            def link(x: np.ndarray, y: np.ndarray, joined: bool) -> None:
-                """``joined``: also where the two are in one component by now."""
-                apart = comp[x] != comp[y]
-                for a, b in np.unique(np.stack([x[apart], y[apart]], axis=1), axis=0).tolist():
-                    p, q = find(int(comp[a])), find(int(comp[b]))
-                    if (joined or p != q) and (spans := shared_runs(words[own[a]], words[own[b]], min_words)):
-                        root[p] = q
-                        found.extend((int(node[a]), int(node[b]), *s) for s in spans)
-
-            rows, stretch = _alike(*_ragged([runs_of(w, min_words) for w in words], own), group)
-            next_to = np.ones(max(len(rows) - 1, 0), dtype=bool)
-            next_to[stretch[1:-1] - 1] = False
-            link(rows[:-1][next_to], rows[1:][next_to], True)
-            rows, stretch = _alike(bands[own].ravel(), np.repeat(np.arange(len(own)), BANDS), group)
-            if len(rows):
-                for x, y in pairs_within(stretch):
-                    link(rows[x], rows[y], False)
-            yield pa.RecordBatch.from_pydict(_links(found))
-    return run
 
+def _compare(batches):
+    """Links between components within two blocks of a list."""
+    for table, cuts in whole_groups(batches, ["value", "i", "j"]):
+        node, comp = (table.column(c).to_numpy() for c in ("node", "comp"))
+        _, at, own = np.unique(node, return_index=True, return_inverse=True)
+        hashes, first = hash_words(table.column("body").take(pa.array(at)).combine_chunks())
+        sets = [shingle_set(hashes[x:y], SHINGLE) for x, y in zip(first[:-1], first[1:])]
+        size = np.array([len(x) for x in sets])[own]
+        root = {c: c for c in comp.tolist()}
 
-def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """(start, end, start and end of the passage it belongs to): spans that
-    overlap the passage so far by half of the shorter one join it."""
-    out, held = [], []
-    for start, end in sorted(set(spans)):
-        if held and min(end, held[-1][1]) - start >= 0.5 * min(end - start, held[-1][1] - held[-1][0]):
-            held[-1][1] = max(held[-1][1], end)
-        else:
-            held.append([start, end])
-        out.append((start, end, held[-1]))
-    return [(s, e, h[0], h[1]) for s, e, h in out]
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
 
-
-def _passages(batches):
-    for batch in batches:
-        rows = [(node, *span) for node, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                for span in merge_spans([(s["s"], s["e"]) for s in spans])]
-        columns = list(zip(*rows)) if rows else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "s", "e", "start", "end"])
+        found = []
+        for x, y in pairs_within(cuts):
+            near = (comp[x] != comp[y]) & (100 * np.minimum(size[x], size[y]) >= PERCENT * np.maximum(size[x], size[y]))
+            for a, b in zip(x[near].tolist(), y[near].tolist()):
+                p, q = find(int(comp[a])), find(int(comp[b]))
+                if p != q and alike(sets[own[a]], sets[own[b]]):
+                    root[p] = q
+                    found.append((int(node[a]), int(node[b])))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
 # --- the job --------------------------------------------------------------------------
 
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, text_hash, line, start_word, end_word, class_id, class_line,
-    class_start, removed`` for each place of a passage that stands in several
-    places. ``class_id`` is the document of the first place, which stays."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "passage-dedup")
-    texts = docs.select("doc_id", text_of().alias("text"))
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    places = scratch.write(texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        _places(min_words), f"doc_id {kind}, text_hash bigint, line bigint, node bigint, n bigint"), "places")
-    n_entries = places.agg(F.sum(F.lit(BANDS) + F.col("n") / (2 * REACH + 1))).first()[0] or 0
-    members = distinct_lists(shared_entries(texts.select("text"), lambda b: _entries(b, min_words), int(n_entries), scratch), scratch)
-
-    listed = members.select("node").distinct()
-    place = places.join(listed, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("p"))
-    asked = place.groupBy(F.col("p.doc_id").alias("at_doc"), F.col("p.text_hash").alias("at_hash")).agg(
-        F.collect_list(F.struct("node", "p.line")).alias("asked"))
-    asked = scratch.write(asked, "asked")
-    read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"])).where(F.xxhash64("text") == F.col("at_hash")).select(
+def _near_paragraphs(texts: DataFrame, places: DataFrame, entries: DataFrame, scratch: Scratch) -> DataFrame:
+    """Places of paragraphs that are similar to others, as in the result."""
+    members = distinct_lists(scratch.write(entries, "bands"), scratch)
+    place = places.where("line >= 0").join(members.select("node").distinct(), "node").groupBy("node").agg(
+        F.min(F.struct("doc_id", "text_hash", "line")).alias("p"))
+    asked = scratch.write(place.groupBy(F.col("p.doc_id").alias("at_doc"), F.col("p.text_hash").alias("at_hash")).agg(
+        F.collect_list(F.struct("node", "p.line")).alias("asked")), "asked")
+    read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"]) & (texts["text_hash"] == asked["at_hash"])).select(
         F.split("text", "\n").alias("l"), F.explode("asked").alias("q"))
     body = scratch.write(read.select(F.col("q.node").alias("node"), F.get("l", F.col("q.line").cast("int")).alias("body")).dropDuplicates(["node"]), "bodies")
-    all_links: list[DataFrame] = []
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
         side = lambda s: body.select(F.col("node").alias(s), F.col("body").alias(f"text_{s}"))
-        all_links.append(scratch.write(pairs.join(side("a"), "a").join(side("b"), "b").select(
-            "a", "b", "text_a", "text_b").mapInArrow(_check(min_words), _LINKS), name))
-        return all_links[-1].select("a", "b")
+        return scratch.write(pairs.join(side("a"), "a").join(side("b"), "b").select(
+            "a", "b", "text_a", "text_b").mapInArrow(_check, "a bigint, b bigint"), name)
 
     def compare(dealt: DataFrame) -> DataFrame:
-        all_links.append(scratch.write(dealt_by_group(dealt.join(body, "node")).mapInArrow(
-            _compare(min_words), _LINKS).distinct(), "block-links"))
-        return all_links[-1].select("a", "b")
-
-    classes(members, scratch, check, compare, block=512)
-    links = all_links[0].union(all_links[1])
-
-    # passages of each paragraph, then components over passages
-    twice = places.groupBy("node", "n").agg(F.count("*").alias("copies")).where("copies > 1")
-    spans = links.select(F.col("a").alias("node"), F.col("a_start").alias("s"), F.col("a_end").alias("e")).union(
-        links.select("b", "b_start", "b_end")).union(twice.select("node", F.lit(0).cast("long"), "n")).distinct()
-    passages = scratch.write(spans.groupBy("node").agg(F.collect_list(F.struct("s", "e")).alias("spans")).mapInArrow(
-        _passages, "node bigint, s bigint, e bigint, start bigint, end bigint").withColumn("passage", F.xxhash64("node", "start", "end")), "passages")
-    side = lambda x: passages.select(F.col("node").alias(x), F.col("s").alias(f"{x}_start"), F.col("e").alias(f"{x}_end"), F.col("passage").alias(f"passage_{x}"))
-    joined = links.join(side("a"), ["a", "a_start", "a_end"]).join(side("b"), ["b", "b_start", "b_end"])
-    roots = connected_components(joined, scratch, "passage_a", "passage_b")
-    named = passages.select("node", "start", "end", "passage").distinct().join(
-        roots.withColumnRenamed("node", "passage"), "passage", "left").select("node", "start", "end", F.coalesce("root", "passage").alias("class"))
-    found = scratch.write(places.join(named, "node").select("doc_id", "text_hash", "line", "start", "end", "class").distinct(), "found")
-    firsts = found.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "line", "start")).alias("first"), F.count("*").alias("places")).where("places > 1")
+        return dealt_by_group(dealt.join(body, "node")).mapInArrow(_compare, "a bigint, b bigint")
+
+    roots = classes(members, scratch, check, compare, block=512)
+    scratch.drop(members, asked, body)
+    found = places.where("line >= 0").join(roots, "node").withColumnRenamed("root", "class")
+    firsts = found.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "line", "start")).alias("first"))
     return found.join(firsts, "class").select(
-        "doc_id", "text_hash", "line", F.col("start").alias("start_word"), F.col("end").alias("end_word"),
-        F.col("first.doc_id").alias("class_id"), F.col("first.line").alias("class_line"), F.col("first.start").alias("class_start"),
-        (F.struct("doc_id", "text_hash", "line", "start") != F.col("first")).alias("removed"))
+        "doc_id", "text_hash", "start", (F.col("start") + F.col("n")).alias("end"), F.col("first.doc_id").alias("class_id"),
+        F.col("first.start").alias("class_start"), (F.struct("doc_id", "text_hash", "line", "start") != F.col("first")).alias("removed"))
+
+
+def _passages(texts: DataFrame, places: DataFrame, entries: DataFrame, scratch: Scratch, min_words: int) -> DataFrame:
+    """Passages of first documents of texts, as in the result."""
+    seeds = entries.withColumnRenamed("node", "text_hash").groupBy("text_hash").agg(F.collect_list("value").alias("seeds"))
+    first = places.where("line < 0").groupBy("text_hash").agg(F.min(F.struct("doc_id")).alias("p")).select("text_hash", "p.doc_id")
+    # numbers that grow with (doc_id, text_hash) stand for texts from here on
+    asked = scratch.write(seeds.join(first, "text_hash").orderBy(F.col("doc_id").asc_nulls_first(), "text_hash").select(
+        F.monotonically_increasing_id().alias("place"), F.col("doc_id").alias("at_doc"), F.col("text_hash").alias("at_hash"), "seeds"), "asked")
+    read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"]) & (texts["text_hash"] == asked["at_hash"])).select(
+        "place", "text", "seeds").dropDuplicates(["place"])
+    runs = scratch.write(read.mapInArrow(_windows_over(min_words), "value bigint, place bigint, start bigint"), "runs")
+    about = runs.groupBy("value").agg(F.min("place").alias("origin"), F.max("place").alias("last")).where("origin < last")
+    number = F.expr("row_number() over (partition by place, origin order by start)")
+    shared = scratch.write(runs.join(about.drop("last"), "value").withColumn("island", F.col("start") - number), "shared-runs")
+    scratch.drop(runs)
+    passages = scratch.write(shared.groupBy("place", "origin", "island").agg(
+        F.min_by("value", "start").alias("value"), F.min("start").alias("start"), (F.max("start") + F.lit(min_words)).alias("end")), "passages")
+    # each passage belongs to that of its first text which holds its first window
+    there = shared.where("place = origin").groupBy("value").agg(F.min_by("island", "start").alias("there"))
+    kept = passages.where("place = origin").select("origin", F.col("island").alias("there"), F.col("start").alias("class_start"))
+    named = passages.join(there, "value").join(kept, ["origin", "there"])
+    at, home = asked.select("place", F.col("at_doc").alias("doc_id"), F.col("at_hash").alias("text_hash")), asked.select(
+        F.col("place").alias("origin"), F.col("at_doc").alias("class_id"))
+    return named.join(at, "place").join(home, "origin").select(
+        "doc_id", "text_hash", "start", "end", "class_id", "class_start", (F.col("place") != F.col("origin")).alias("removed"))
+
+
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``doc_id, text_hash, start_word, end_word, class_id, class_start,
+    removed`` for each place of a paragraph or passage that stands in several
+    places; words are counted from 0 over the whole text. ``class_id`` is the
+    document of the first place, which stays. A place within another one of its
+    document that is removed too, or stays too, has no row of its own."""
+    scratch = Scratch(docs.sparkSession, "passage-dedup")
+    texts = docs.select("doc_id", text_of().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    places = scratch.write(texts.select("doc_id", "text_hash", "text").mapInArrow(
+        _places(min_words), f"doc_id {kind}, text_hash bigint, line bigint, node bigint, start bigint, n bigint").distinct(), "places")
+    n_entries = places.agg(F.sum(F.when(F.col("line") < 0, 2 * F.col("n") / (min_words - SEED + 2)).otherwise(BANDS))).first()[0] or 0
+    entries = shared_entries(texts.select("text", "text_hash"), lambda b: _entries(b, min_words), int(n_entries), scratch)
+
+    near = _near_paragraphs(texts, places, entries.where("value & 1 = 1"), scratch)
+    runs = _passages(texts, places, entries.where("value & 1 = 0"), scratch, min_words)
+    whole = places.where("line < 0")
+    copies = whole.groupBy("text_hash").agg(F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    equal = whole.join(copies, "text_hash").select(
+        "doc_id", "text_hash", "start", F.col("n").alias("end"), F.col("first.doc_id").alias("class_id"), F.lit(0).cast("long").alias("class_start"),
+        (~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).alias("removed"))
+    found = scratch.write(near.unionByName(runs).unionByName(equal).withColumn("mark", F.xxhash64("class_id", "class_start")), "found")
+    size = F.col("end") - F.col("start")
+    wider = found.select(*(F.col(c).alias(f"{c}_") for c in ("doc_id", "text_hash", "start", "end", "removed", "mark")))
+    same = (found["doc_id"].eqNullSafe(wider["doc_id_"]) & (found["text_hash"] == wider["text_hash_"]) & (found["removed"] == wider["removed_"])
+            & (wider["start_"] <= found["start"]) & (wider["end_"] >= found["end"])
+            & ((F.col("end_") - F.col("start_") > size) | (F.col("mark_") < F.col("mark"))))
+    return found.join(wider, same, "left_anti").select(
+        "doc_id", "text_hash", F.col("start").alias("start_word"), F.col("end").alias("end_word"), "class_id", "class_start", "removed").distinct()
+
+
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _without(text: str, drops: list[tuple[int, int]]) -> str:
+    """``text`` without the words of ``drops``; a line that loses words has
+    single spaces, and goes if none is left."""
+    out, at = [], 0
+    gone = np.zeros(sum(1 for _ in _WORD.finditer(text)), dtype=bool)
+    for start, end in drops:
+        gone[start:end] = True
+    for line in text.split("\n"):
+        words = _WORD.findall(line)
+        lost = gone[at:at + len(words)]
+        at += len(words)
+        if not lost.any():
+            out.append(line)
+        elif not lost.all():
+            out.append(" ".join(w for w, g in zip(words, lost) if not g))
+    return "\n".join(out)
+
+
+def _cut(batches):
+    for batch in batches:
+        texts = [t if d is None else _without(t, [(x["start_word"], x["end_word"]) for x in d])
+                 for t, d in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "left"])
 
 
 def remove_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The rows of ``docs``, all columns, without the words of removed
-    passages (a line that lost words has single spaces; an empty one goes)."""
+    """The rows of ``docs``, all columns, without the words of removed places."""
     found = repeated_passages(docs, min_words).where("removed")
     drops = found.groupBy(F.col("doc_id").alias("drop_doc"), F.col("text_hash").alias("drop_hash")).agg(
-        F.collect_list(F.struct("line", "start_word", "end_word")).alias("drops"))
+        F.collect_list(F.struct("start_word", "end_word")).alias("drops"))
     keyed = docs.select(F.struct("*").alias("row"), text_of().alias("text_"))
-    joined = keyed.join(drops, F.col("row.doc_id").eqNullSafe(F.col("drop_doc")) & (F.xxhash64("text_") == F.col("drop_hash")), "left")
-    words = lambda s: F.filter(F.split(s, WORD_SEPARATOR), lambda w: w != "")
-    cut = F.transform(F.split("text_", "\n"), lambda s, i: F.when(
-        F.exists("drops", lambda d: d["line"] == i),
-        F.array_join(F.filter(words(s), lambda w, k: ~F.exists("drops", lambda d: (d["line"] == i) & (k >= d["start_word"]) & (k < d["end_word"]))), " ")).otherwise(s))
-    kept = F.array_join(F.filter(cut, lambda s, i: (s != "") | ~F.exists("drops", lambda d: d["line"] == i)), "\n")
-    return joined.select(F.col("row").withField("text", F.when(F.col("drops").isNull(), F.col("row.text")).otherwise(kept)).alias("row")).select("row.*")
+    joined = keyed.join(drops, F.col("row.doc_id").eqNullSafe(F.col("drop_doc")) & (F.xxhash64("text_") == F.col("drop_hash")), "left").select("row", "text_", "drops")
+    row = joined.schema["row"].dataType.simpleString()
+    whole = joined.where("drops is null").select("row.*")
+    cut = joined.where("drops is not null").mapInArrow(_cut, f"row {row}, left string")
+    return whole.unionByName(cut.select(F.col("row").withField("text", F.col("left")).alias("row")).select("row.*"))
 
 
 def op8_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,14 +163,76 @@ def test_repeated_passages(spark, odd_docs, no_docs):
     assert {r["doc_id"] for r in odd} == {None, 1, 2, 3} and {r["class_id"] for r in odd} == {None}
 
 
-def test_shared_runs_against_brute_force():
-    rng = random.Random(2)
-    for _ in range(60):
-        run = [rng.randrange(50) for _ in range(rng.randrange(5, 20))]
-        a = np.array([rng.randrange(10**6) for _ in range(rng.randrange(10))] + run + [rng.randrange(10**6) for _ in range(9)], dtype=np.uint64)
-        b = np.array([rng.randrange(10**6) for _ in range(12)] + run + [rng.randrange(10**6) for _ in range(rng.randrange(40))], dtype=np.uint64)
-        found = passage_dedup.shared_runs(a, b, 8)
-        longest = [(i, j) for i in range(len(a) - 7) for j in range(len(b) - 7) if (a[i:i + 8] == b[j:j + 8]).all()]
-        assert bool(found) == bool(longest)
-        for s, e, s2, e2 in found:
-            assert all(s <= i and i + 8 <= e for i, _ in longest) and all(s2 <= j and j + 8 <= e2 for _, j in longest)
+def repeated_words(rows, n):
+    """For each row: which words lie in a run of n words that a row of another
+    text holds, and which in one that an earlier one holds."""
+    split = [(t or "").lower().split() for _, t in rows]
+    of = {}
+    for k, w in enumerate(split):
+        for i in range(len(w) - n + 1):
+            of.setdefault(tuple(w[i:i + n]), set()).add(k)
+    shared, later = [], []
+    for k, w in enumerate(split):
+        a, b = set(), set()
+        for i in range(len(w) - n + 1):
+            holders = of[tuple(w[i:i + n])]
+            if len({rows[h][1] for h in holders}) > 1 or len({rows[h][0] for h in holders}) > 1:
+                a |= {*range(i, i + n)}
+                if min(holders) < k:
+                    b |= {*range(i, i + n)}
+        shared.append(a)
+        later.append(b)
+    return shared, later
+
+
+def test_passages_over_line_ends_equal_brute_force(spark):
+    rng = random.Random(8)
+    passages = [words(2000 + k, rng.randrange(50, 130), 300) for k in range(12)]
+    rows = []
+    for k in range(60):
+        parts = [words(3000 + k, rng.randrange(5, 60))]
+        for p in rng.sample(passages, rng.randrange(3)):
+            at = rng.randrange(len(p) - 20) if rng.random() < 0.3 else 0  # some are cut, below the bound too
+            parts += [p[at:], words(rng.randrange(10**6), rng.randrange(1, 30))]
+        flat = [w for p in parts for w in p]
+        out = "".join(w + rng.choice([" ", " ", " ", "  ", "\n", "\t"]) for w in flat)
+        rows.append((k, out.upper() if k % 7 == 0 else out))
+    rows += [(60 + k, rows[20 + k][1]) for k in range(5)] + [(65, None), (66, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    shared, later = repeated_words(rows, 50)
+    found, removed = [set() for _ in rows], [set() for _ in rows]
+    for r in passage_dedup.repeated_passages(docs).collect():
+        (removed if r["removed"] else found)[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+        assert r["class_id"] < r["doc_id"] if r["removed"] else r["class_id"] == r["doc_id"]
+    assert [a | b for a, b in zip(found, removed)] == shared
+    assert removed == later
+    left = {r["doc_id"]: r["text"] for r in passage_dedup.remove_passages(docs).collect()}
+    for (i, t), gone in zip(rows, later):
+        assert (left[i] or "").split() == [w for k, w in enumerate((t or "").split()) if k not in gone]
+        assert gone or left[i] == t
+
+
+def test_passage_in_hot_null_ids_and_long_text(spark):
+    passage = words(41, 90)
+    wrapped = " ".join(passage[:30]) + "\n" + " ".join(passage[30:60]) + "\n\n" + " ".join(passage[60:])
+    rows = [(None, f"own{k} {wrapped} tail{k}") for k in range(40)] + [(None, f"own1 {wrapped} tail1")] * 20
+    rows += [(5, " ".join(words(42, 150_000, 10**6)) + "\n" + wrapped), (6, " ".join(words(43, 300)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = passage_dedup.repeated_passages(docs).collect()
+    assert len(got) == 41 and {r["doc_id"] for r in got} == {None, 5}
+    assert all(r["end_word"] - r["start_word"] == 90 for r in got)
+    assert sum(not r["removed"] for r in got) == 1
+
+
+def test_bands_reach_the_wanted_recall():
+    bands, rows = passage_dedup.tuned(0.8, 0.999, 30)
+    assert bands * rows <= 30 and 1 - (1 - 0.8 ** rows) ** bands >= 0.999
+    rng = np.random.default_rng(3)
+    met = 0
+    for _ in range(300):
+        a = rng.integers(0, 2**63, 90, dtype=np.uint64)
+        b = a.copy()
+        b[[40, 41]] = rng.integers(0, 2**63, 2, dtype=np.uint64)  # similarity 0.87
+        keys = passage_dedup.band_keys(np.concatenate([a, b]), np.array([0, 90, 180]))
+        met += bool((keys[0] == keys[1]).any())
+    assert met == 300
