@@ -33,6 +33,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
             or shared_checkpoint_dir(spark)).rstrip("/")
 
 
+@contextmanager
+def _finished_shuffles_removed(spark: SparkSession):
+    """Shuffle files of a job written here go when it ends, not when the driver
+    happens to collect its memory: nothing reads them once the table stands."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """Written intermediate tables below the shared checkpoint folder.
 
@@ -51,7 +64,8 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        with _finished_shuffles_removed(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

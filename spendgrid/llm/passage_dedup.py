@@ -39,10 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgrid.llm.common import (_BASE, _BASE_INVERSE, Scratch, _powers, hash_grams, hash_spans, hash_words, mix,
+from spendgrid.llm.common import (_BASE, _BASE_INVERSE, Scratch, _powers, filtered_scans, hash_grams, hash_spans, hash_words, mix,
                                   read_table, shingle_set, text_bytes, text_of, word_spans)
 from spendgrid.llm.lists import classes, dealt_by_group, distinct_lists, pairs_within, shared_entries, whole_groups
 from spendgrid.llm.near_duplicates import _slices
+from spendgrid.operators.joins import dimension_join
 
 MIN_WORDS = 50
 SHINGLE = 5
@@ -183,10 +184,25 @@ def _places(min_words: int):
     return run
 
 
+def _new_places(batches: Iterator[pa.RecordBatch], read: set) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        new = []
+        for place in batch.column(0).to_pylist():
+            new.append(place not in read)
+            read.add(place)
+        yield batch if all(new) else batch.filter(pa.array(new))
+
+
 def _windows_over(min_words: int):
-    """The windows whose seed is one of those asked for in the batch."""
+    """The windows whose seed is one of those asked for in the batch. Rows of
+    equal id and text meet in a task, which reads one of them."""
     def run(batches):
-        for batch in _slices(batches, rows=1 << 12, size=BATCH_BYTES):
+        read = set()
+        for batch in _new_places(batches, read):
+            yield from over(batch)
+
+    def over(whole):
+        for batch in _slices([whole], rows=1 << 12, size=BATCH_BYTES):
             words, first = hash_words(batch.column(1))
             at, text, seed, hashes = windows(words, first, min_words)
             asked = np.unique(batch.column(2).flatten().to_numpy().view(np.uint64))
@@ -245,6 +261,13 @@ def _compare(batches):
 
 # --- the job --------------------------------------------------------------------------
 
+def _hot(table: DataFrame, key: str, share: float = 0.002, least: int = 1000) -> list:
+    """The keys that hold ``share`` of the rows of a written table, so at most
+    one for each share."""
+    most = max(least, share * table.count())
+    return [r[0] for r in table.groupBy(key).count().where(F.col("count") >= most).collect()]
+
+
 def _near_paragraphs(texts: DataFrame, places: DataFrame, entries: DataFrame, scratch: Scratch) -> DataFrame:
     """Places of paragraphs that are similar to others, as in the result."""
     members = distinct_lists(scratch.write(entries, "bands"), scratch)
@@ -252,9 +275,11 @@ def _near_paragraphs(texts: DataFrame, places: DataFrame, entries: DataFrame, sc
         F.min(F.struct("doc_id", "text_hash", "line")).alias("p"))
     asked = scratch.write(place.groupBy(F.col("p.doc_id").alias("at_doc"), F.col("p.text_hash").alias("at_hash")).agg(
         F.collect_list(F.struct("node", "p.line")).alias("asked")), "asked")
-    read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"]) & (texts["text_hash"] == asked["at_hash"])).select(
+    some = asked.where(F.size("asked") > 0)
+    read = texts.join(some, texts["doc_id"].eqNullSafe(some["at_doc"]) & (texts["text_hash"] == some["at_hash"])).select(
         F.split("text", "\n").alias("l"), F.explode("asked").alias("q"))
-    body = scratch.write(read.select(F.col("q.node").alias("node"), F.get("l", F.col("q.line").cast("int")).alias("body")).dropDuplicates(["node"]), "bodies")
+    with filtered_scans(texts.sparkSession):
+        body = scratch.write(read.select(F.col("q.node").alias("node"), F.get("l", F.col("q.line").cast("int")).alias("body")).dropDuplicates(["node"]), "bodies")
 
     def check(pairs: DataFrame, name: str) -> DataFrame:
         side = lambda s: body.select(F.col("node").alias(s), F.col("body").alias(f"text_{s}"))
@@ -266,9 +291,9 @@ def _near_paragraphs(texts: DataFrame, places: DataFrame, entries: DataFrame, sc
 
     roots = classes(members, scratch, check, compare, block=512)
     scratch.drop(members, asked, body)
-    found = places.where("line >= 0").join(roots, "node").withColumnRenamed("root", "class")
+    found = scratch.write(places.where("line >= 0").join(roots, "node").withColumnRenamed("root", "class"), "near-places")
     firsts = found.groupBy("class").agg(F.min(F.struct("doc_id", "text_hash", "line", "start")).alias("first"))
-    return found.join(firsts, "class").select(
+    return dimension_join(found, firsts, "class", hot=_hot(found, "class")).select(
         "doc_id", "text_hash", "start", (F.col("start") + F.col("n")).alias("end"), F.col("first.doc_id").alias("class_id"),
         F.col("first.start").alias("class_start"), (F.struct("doc_id", "text_hash", "line", "start") != F.col("first")).alias("removed"))
 
@@ -280,22 +305,27 @@ def _passages(texts: DataFrame, places: DataFrame, entries: DataFrame, scratch:
     # numbers that grow with (doc_id, text_hash) stand for texts from here on
     asked = scratch.write(seeds.join(first, "text_hash").orderBy(F.col("doc_id").asc_nulls_first(), "text_hash").select(
         F.monotonically_increasing_id().alias("place"), F.col("doc_id").alias("at_doc"), F.col("text_hash").alias("at_hash"), "seeds"), "asked")
-    read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"]) & (texts["text_hash"] == asked["at_hash"])).select(
-        "place", "text", "seeds").dropDuplicates(["place"])
-    runs = scratch.write(read.mapInArrow(_windows_over(min_words), "value bigint, place bigint, start bigint"), "runs")
-    about = runs.groupBy("value").agg(F.min("place").alias("origin"), F.max("place").alias("last")).where("origin < last")
-    number = F.expr("row_number() over (partition by place, origin order by start)")
-    shared = scratch.write(runs.join(about.drop("last"), "value").withColumn("island", F.col("start") - number), "shared-runs")
-    scratch.drop(runs)
+    some = asked.where(F.size("seeds") > 0)
+    read = texts.join(some, texts["doc_id"].eqNullSafe(some["at_doc"]) & (texts["text_hash"] == some["at_hash"])).select("place", "text", "seeds")
+    with filtered_scans(texts.sparkSession):
+        runs = scratch.write(read.mapInArrow(_windows_over(min_words), "value bigint, place bigint, start bigint"), "runs")
+    about = scratch.write(runs.groupBy("value").agg(F.min("place").alias("origin"), F.max("place").alias("last")).where("origin < last").drop("last"), "about")
+    number = F.expr("dense_rank() over (partition by place, origin order by start)")
+    shared = scratch.write(dimension_join(runs, about, "value", hot=_hot(runs, "value")).where("origin is not null").withColumn(
+        "island", F.col("start") - number), "shared-runs")
+    scratch.drop(runs, about)
     passages = scratch.write(shared.groupBy("place", "origin", "island").agg(
         F.min_by("value", "start").alias("value"), F.min("start").alias("start"), (F.max("start") + F.lit(min_words)).alias("end")), "passages")
     # each passage belongs to that of its first text which holds its first window
-    there = shared.where("place = origin").groupBy("value").agg(F.min_by("island", "start").alias("there"))
+    there = shared.where("place = origin").join(passages.select("value").distinct(), "value", "left_semi").groupBy("value", "origin").agg(
+        F.min_by("island", "start").alias("there"))
     kept = passages.where("place = origin").select("origin", F.col("island").alias("there"), F.col("start").alias("class_start"))
-    named = passages.join(there, "value").join(kept, ["origin", "there"])
-    at, home = asked.select("place", F.col("at_doc").alias("doc_id"), F.col("at_hash").alias("text_hash")), asked.select(
-        F.col("place").alias("origin"), F.col("at_doc").alias("class_id"))
-    return named.join(at, "place").join(home, "origin").select(
+    home = asked.select(F.col("place").alias("origin"), F.col("at_doc").alias("class_id"))
+    first = scratch.write(there.join(kept, ["origin", "there"]).join(home, "origin").select("value", "class_id", "class_start"), "first")
+    scratch.drop(shared)
+    named = dimension_join(passages, first, "value", hot=_hot(passages, "value"))
+    at = asked.select("place", F.col("at_doc").alias("doc_id"), F.col("at_hash").alias("text_hash"))
+    return named.join(at, "place").select(
         "doc_id", "text_hash", "start", "end", "class_id", "class_start", (F.col("place") != F.col("origin")).alias("removed"))
 
 
@@ -321,6 +351,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "doc_id", "text_hash", "start", F.col("n").alias("end"), F.col("first.doc_id").alias("class_id"), F.lit(0).cast("long").alias("class_start"),
         (~F.col("doc_id").eqNullSafe(F.col("first.doc_id"))).alias("removed"))
     found = scratch.write(near.unionByName(runs).unionByName(equal).withColumn("mark", F.xxhash64("class_id", "class_start")), "found")
+    scratch.drop(places, entries)
     size = F.col("end") - F.col("start")
     wider = found.select(*(F.col(c).alias(f"{c}_") for c in ("doc_id", "text_hash", "start", "end", "removed", "mark")))
     same = (found["doc_id"].eqNullSafe(wider["doc_id_"]) & (found["text_hash"] == wider["text_hash_"]) & (found["removed"] == wider["removed_"])
