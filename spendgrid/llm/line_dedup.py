@@ -271,11 +271,12 @@ def line_classes(docs: DataFrame, scratch: Scratch, edits: int = EDITS, min_char
 
     # the texts of listed lines, from the first place of each
     listed = members.select("node").distinct()
-    place = long.join(listed, "node").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("p"))
-    places = scratch.write(place.select("node", F.col("p.doc_id").alias("at_doc"), F.col("p.line").alias("at_line")), "places")
-    wanted = scratch.write(places.groupBy("at_doc").agg(F.collect_list(F.struct("node", "at_line")).alias("asked")).withColumn("n", F.size("asked")), "asked")
+    place = long.join(listed, "node").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "line")).alias("p"))
+    places = scratch.write(place.select("node", F.col("p.doc_id").alias("at_doc"), F.col("p.text_hash").alias("at_hash"), F.col("p.line").alias("at_line")), "places")
+    wanted = scratch.write(places.groupBy("at_doc", "at_hash").agg(F.collect_list(F.struct("node", "at_line")).alias("asked")).withColumn("n", F.size("asked")), "asked")
     asked = wanted.where("n > 0")
-    read = texts.join(asked, texts["doc_id"].eqNullSafe(asked["at_doc"])).select(F.split("text", "\n").alias("s"), F.explode("asked").alias("q"))
+    read = texts.join(
+        asked, texts["doc_id"].eqNullSafe(asked["at_doc"]) & (F.xxhash64(texts["text"]) == asked["at_hash"])).select(F.split("text", "\n").alias("s"), F.explode("asked").alias("q"))
     with filtered_scans(docs.sparkSession):
         body = scratch.write(read.select(F.col("q.node").alias("node"), F.get("s", F.col("q.at_line")).alias("body")).where(
             F.xxhash64("body") == F.col("node")).dropDuplicates(["node"]), "bodies")

@@ -137,6 +137,19 @@ def test_repeated_lines_go_whatever_their_share(spark, tmp_path):
     assert left == {0: text[0], 1: own[1], 2: own[2], 3: own[3], 4: "the same line ten times over in one document", 7: None}
 
 
+def test_rows_without_id_are_asked_for_their_own_lines(spark):
+    """Lines listed in many documents without an id: each text is read for its
+    own ones, so the rows read are as many as those with ids of their own."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(60):
+        line = " ".join(words(k, 9))
+        rows += [line, edit(rng, line, 1)]
+    frame = lambda ids: spark.createDataFrame([(i, t) for i, t in zip(ids, rows)], "doc_id bigint, text string").repartition(3)
+    of = lambda docs: line_dedup.document_lines(docs, Scratch(spark, "lines")).agg({"n_repeated": "sum", "n_lines": "sum"}).first()
+    assert tuple(of(frame([None] * 120))) == tuple(of(frame(range(120))))
+
+
 def test_repeated_passages(spark, odd_docs, no_docs):
     passage, other = words(1001, 60), words(1002, 75)
     rows = [(k, " ".join(words(k, 40) + (passage if k % 2 else other) + words(500 + k, 30)) + "\nshort line") for k in range(20)]
