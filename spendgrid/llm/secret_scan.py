@@ -7,9 +7,18 @@ shape of the token, the shapes of its neighbours and whether they are words
 that announce a secret, and three shares measured on the whole document. The
 weights are fitted here, by maximum likelihood, on a bounded sample of
 documents (``sample_docs``): a first pass finds those with a base match, of
-which a thirtieth of the sample is taken; any others fill it. Viterbi decoding
-tags every token of every text; pieces for which tagging all tokens outside is
-provably best are not walked through.
+which a thirtieth of the sample is taken; any others fill it. Of a sampled text
+longer than ``EXCERPT`` code points one stretch of that length is taken, about
+its first match or else by its hash. Viterbi decoding tags every token of every
+text; pieces for which tagging all tokens outside is provably best are not
+walked through.
+
+The base matches of the sample alone would teach the field the base patterns.
+So it is also given weak labels (``weak_lines``): lines of the sample with the
+match written in other ways (``FORMS``: other words that announce it, other
+separators, the value alone), some with the value drawn anew over wider
+alphabets, and lines with innocent words and numbers put in the same places
+(``PLAIN``), in which nothing is a secret.
 
 The base patterns are fixed; their matches are always reported, and spans of
 the field that overlap none of them are added as kind ``crf``.
@@ -22,6 +31,7 @@ gets no further spans; other columns do not matter; an empty table gives no rows
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,6 +55,15 @@ ANNOUNCING = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key
               "access", "private", "credential", "credentials")
 PIECE = 256
 SAMPLE_DOCS = 3000
+EXCERPT = 1 << 14
+WEAK_MATCHES = 60
+
+ALPHABETS = ("0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+             "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+             "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_-")
+FORMS = ("{w}={v}", '"{w}": "{v}"', "{w} is {v}", "{w} => '{v}'", "{w} {v}", "--{w} {v}", "{w} was set to {v} by", "{v}", "({v})", "{x} {v} {y}")
+PLAIN = ("the {w} is {x} {y}", "{w}: {x}", "{w} {x}, {y}", "{w} {n}", "{x}-{y}-{x}", "{x}_{y}_{x}", "/{x}/{y}/{x}.{y}", "{x}.{y}.{x}", "{n}",
+         "{n}-{n}-{n}", "{x}{n}", "{x}-{n}", "v{n}.{n}.{n}", "{x}.{y}@{x}.{y}", "{x}.{y}.{n}@{x}{n}.{y}.com", "{X}{Y}{X}", "{U}{U}{U}", "{x} = {n}", "{x}: {y}")
 BATCH_BYTES = 4 << 20
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
@@ -227,6 +246,12 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
 
 
+def _mark(tags: np.ndarray, tokens: Tokens, a: int, b: int) -> None:
+    lo, hi = np.searchsorted(tokens.end, a, side="right"), np.searchsorted(tokens.start, b)
+    tags[lo:hi] = INSIDE
+    tags[lo:lo + 1] = BEGIN
+
+
 def labels(tokens: Tokens, texts: list[str]) -> np.ndarray:
     """Tags of the tokens that base matches cover (the value, for ``assign``)."""
     tags = np.zeros(len(tokens.row), dtype=np.int8)
@@ -236,29 +261,74 @@ def labels(tokens: Tokens, texts: list[str]) -> np.ndarray:
                 if len(m[group]) >= least:
                     begin = int(tokens.doc_begin[i])
                     a, b = (begin + len(text[:x].encode()) for x in m.span(group))
-                    lo, hi = np.searchsorted(tokens.end, a, side="right"), np.searchsorted(tokens.start, b)
-                    tags[lo:hi] = INSIDE
-                    tags[lo:lo + 1] = BEGIN
+                    _mark(tags, tokens, a, b)
     return tags
 
 
+def weak_lines(texts: list[str], around: int = 80) -> tuple[list[str], list[int], list[tuple[int, int] | None]]:
+    """Lines with weak labels: their texts, the number of the text that each is
+    taken from, and where its secret stands (None: it holds none). Made of the
+    first ``WEAK_MATCHES`` base matches."""
+    rng = random.Random(11)
+    out, source, spans = [], [], []
+    words = [w for t in texts for w in re.findall(r"[^\W\d_]{3,12}", t[:2000])] or ["word"]
+    matches = []
+    for i, text in enumerate(texts):
+        end = 0
+        for a, b, kind in base_spans(text):
+            if a >= end:
+                value = next(m[g] for k, p, g, _ in BASE_PATTERNS if k == kind for m in [p.match(text, a)])
+                matches.append((i, a, b + text[b:b + 1].count('"'), value))
+                end = b
+        if len(matches) >= WEAK_MATCHES:
+            break
+    for i, a, b, value in matches[:WEAK_MATCHES]:
+        text = texts[i]
+        before, after = text[max(0, a - around):a], text[b:b + around]
+        for label, form in [(True, f) for f in FORMS] + [(False, f) for f in PLAIN]:
+            v = value if rng.random() < 0.3 else "".join(rng.choices(rng.choice(ALPHABETS), k=rng.randrange(16, 49)))
+            v = v.strip("+/_.=-") or value
+            w = rng.choice(ANNOUNCING)
+            x, y = rng.choice(words), rng.choice(words)
+            parts = form.split("{v}")
+            named = {"w": rng.choice((w, w, w.upper())), "x": x, "y": y, "X": x.capitalize(), "Y": y.capitalize(), "U": x.upper()}
+            filled = [re.sub(r"\{n\}", lambda m: str(rng.randrange(10 ** rng.randrange(1, 9))), p).format(**named) for p in parts]
+            begin = len(before) + len(filled[0])
+            out.append(before + v.join(filled) + after)
+            source.append(i)
+            spans.append((begin, begin + len(v)) if label else None)
+    return out, source, spans
+
+
 def fit(texts: list[str], steps: int = 90, penalty: float = 1e-3) -> Field | None:
     """Maximum likelihood by Adam on the pieces with a base match, three times
-    as many others with digits and as many without. None if no text matches."""
+    as many others with digits and as many without, and the lines with weak
+    labels. None if no text matches."""
     texts = [t or "" for t in texts]
-    tokens = tokenize(pa.array(texts, pa.string()))
-    tags = labels(tokens, texts)
+    more, source, spans = weak_lines(texts)
+    n_texts = len(texts)
+    tokens = tokenize(pa.array(texts + more, pa.string()))
+    tags = labels(tokens, texts + more)
+    for k, span in enumerate(spans):
+        if span:
+            begin = int(tokens.doc_begin[n_texts + k])
+            _mark(tags, tokens, *(begin + len(more[k][:x].encode()) for x in span))
+        if k % 2:  # as if the line stood in the text that it is taken from
+            tokens.file[n_texts + k] = tokens.file[source[k]]
     first, size = tokens.piece[:-1], np.diff(tokens.piece)
     if not tags.any():
         return None
-    has = np.logical_or.reduceat(tags > 0, first)
+    weak = tokens.doc[first] >= n_texts
+    has = np.logical_or.reduceat(tags > 0, first) & ~weak
     digits = (tokens.shape[:, len(_LENGTHS)] == 0)[tokens.row]  # the first share bucket: no digit
-    others = np.random.default_rng(7).permutation(np.flatnonzero(~has))
+    others = np.random.default_rng(7).permutation(np.flatnonzero(~has & ~weak))
     hard = np.logical_or.reduceat(digits, first)[others]
     want = 3 * int(has.sum())
-    picked = np.sort(np.concatenate((np.flatnonzero(has), others[hard][:want], others[~hard][:want])))
+    picked = np.sort(np.concatenate((np.flatnonzero(has | weak), others[hard][:want], others[~hard][:want])))
+    picked = picked[np.argsort(-size[picked], kind="stable")]
     first, size = first[picked], size[picked]
     longest = int(size.max())
+    on = np.searchsorted(-size, -np.arange(longest), side="left")  # how many pieces are longer than t
     grid = first[:, None] + np.arange(longest)
     mask = np.arange(longest) < size[:, None]
     flat = grid[mask]
@@ -275,20 +345,19 @@ def fit(texts: list[str], steps: int = 90, penalty: float = 1e-3) -> Field | Non
     for step in range(1, steps + 1):
         score = np.zeros((*mask.shape, 3))
         score[mask] = x @ w.astype(np.float32)
-        ahead = np.empty_like(score)
+        ahead = np.zeros_like(score)
         ahead[:, 0] = score[:, 0]
         for t in range(1, longest):
-            ahead[:, t] = np.where(mask[:, t, None], _log_sum(ahead[:, t - 1, :, None] + move, 1) + score[:, t], ahead[:, t - 1])
-        total = _log_sum(ahead[:, -1], 1)
+            ahead[:on[t], t] = _log_sum(ahead[:on[t], t - 1, :, None] + move, 1) + score[:on[t], t]
+        total = _log_sum(ahead[np.arange(len(size)), size - 1], 1)
         behind = np.zeros_like(score)
         expected = np.zeros((3, 3))
         for t in range(longest - 2, -1, -1):
-            nxt = score[:, t + 1] + behind[:, t + 1]
-            joint = ahead[:, t, :, None] + move + nxt[:, None, :] - total[:, None, None]
-            live = mask[:, t + 1]
-            expected += np.exp(joint[live]).sum(axis=0)
-            behind[:, t] = np.where(live[:, None], _log_sum(move + nxt[:, None, :], 2), 0)
-        share = np.exp(ahead + behind - total[:, None, None])[mask]
+            n_on = on[t + 1]
+            nxt = score[:n_on, t + 1] + behind[:n_on, t + 1]
+            expected += np.exp(ahead[:n_on, t, :, None] + move + nxt[:, None, :] - total[:n_on, None, None]).sum(axis=0)
+            behind[:n_on, t] = _log_sum(move + nxt[:, None, :], 2)
+        share = np.exp((ahead + behind)[mask] - np.repeat(total, size)[:, None])
         grads = (x.T @ (share - gold).astype(np.float32) / n + penalty * w / 10, (expected - gold_moves) / n + penalty * move / 10)
         for value, grad, (m, v) in zip((w, move), grads, state):
             m += 0.1 * (grad - m)
@@ -304,11 +373,18 @@ def fit(texts: list[str], steps: int = 90, penalty: float = 1e-3) -> Field | Non
 _MAY_MATCH = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"""
 
 
-def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for begin in range(0, batch.num_rows, 256):
-            part = batch.slice(begin, 256)
-            yield part.filter(pa.array([bool(base_spans(t)) for t in part.column("text").to_pylist()], pa.bool_()))
+def _matched(excerpt: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                texts = part.column("text").to_pylist()
+                first = [next(iter(base_spans(t)), None) for t in texts]
+                held = [k for k, span in enumerate(first) if span]
+                cut = [texts[k][max(0, first[k][0] - excerpt // 4):][:excerpt] for k in held]
+                part = part.take(pa.array(held, pa.int64()))
+                yield part.set_column(part.schema.get_field_index("text"), "text", pa.array(cut, pa.string()))
+    return run
 
 
 def _least(rows: DataFrame, most: int) -> list:
@@ -320,17 +396,19 @@ def _least(rows: DataFrame, most: int) -> list:
         F.pmod("mark", F.lit(1 << 30)), "mark").limit(most).collect()
 
 
-def sample_texts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[str]:
-    """At most ``sample_docs`` distinct texts, by a hash of id and text: a
-    thirtieth of them with a base match, as far as the corpus has any, and the rest
+def sample_texts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, excerpt: int = EXCERPT) -> list[str]:
+    """At most ``sample_docs`` distinct texts, or stretches of ``excerpt`` code
+    points of longer ones, by a hash of id and text: a thirtieth of them with a base match, as far as the corpus has any, and the rest
     whatever they hold."""
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("mark", F.xxhash64("doc_id", "text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    matched = texts.where(F.col("text").rlike(_MAY_MATCH)).mapInArrow(_matched, f"doc_id {kind}, text string, mark bigint")
+    matched = texts.where(F.col("text").rlike(_MAY_MATCH)).mapInArrow(_matched(excerpt), f"doc_id {kind}, text string, mark bigint")
     matched = Scratch(docs.sparkSession, "secret-scan").write(matched.select("mark", "doc_id", "text"), "matched")
     with_match = _least(matched, -(-sample_docs // 30))
     held = {r["mark"] for r in with_match}
-    others = [r for r in _least(texts.where(F.col("text").isNotNull()), sample_docs) if r["mark"] not in held]
+    room = F.greatest(F.length("text") - excerpt, F.lit(0)) + 1
+    cut = texts.where(F.col("text").isNotNull()).withColumn("text", F.substr("text", (F.pmod("mark", room) + 1).cast("int"), F.lit(excerpt)))
+    others = [r for r in _least(cut, sample_docs) if r["mark"] not in held]
     rows = with_match + others[:sample_docs - len(with_match)]
     return [r["text"] for r in sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"], r["text"]))]
 

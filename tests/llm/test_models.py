@@ -214,6 +214,48 @@ def test_field_on_held_out_texts(spark):
     assert secret_scan.fit(["no secret here", None, ""]) is None
 
 
+def other_secrets(seed):
+    """(text around it, value) of kinds that no base pattern and no weak label has."""
+    rng = random.Random(seed)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    draw = lambda n, of=letters: "".join(rng.choices(of, k=n))
+    digits = letters[-10:]
+    return [("{}", "sk_live_" + draw(24)), ("{}", "ghp_" + draw(36)), ("use {} here", f"xoxb-{draw(11, digits)}-{draw(12, digits)}-{draw(24)}"),
+            ("{}", "AIza" + draw(35)), ("{}", f"eyJ{draw(33)}.eyJ{draw(60)}.{draw(43)}"), ("Authorization: Bearer {}", draw(30)),
+            ("the pwd of it, {}", draw(20)), ("AccountKey='{}'", draw(64, letters + "+/"))]
+
+
+def test_field_finds_secrets_outside_the_patterns():
+    """Fitted where the corpus has one kind alone; the added kinds are new to it."""
+    field = secret_scan.fit(secret_texts(1, 300))
+    clean = [t for t in secret_texts(4, 400) if not secret_scan.base_spans(t)]
+    hit = asked = 0
+    for k, text in enumerate(clean[:60]):
+        for form, value in other_secrets(k):
+            whole = text[:90] + " " + form.format(value) + text[90:]
+            assert not secret_scan.base_spans(whole)
+            begin = whole.index(value)
+            spans = secret_scan.scan_batch(pa.array([whole]), field)[0]
+            asked += 1
+            hit += any(a <= begin + len(value) // 2 < b for a, b, kind in spans if kind == "crf")
+    assert hit / asked > 0.9
+    innocent = clean + [t + " see /usr/share/doc/readme.txt, version 2.31.4 of 2024-05-17, mail ann.lee12@mail7.example.org or call 555-0134-2288" for t in clean]
+    false = sum(len(spans) for spans in secret_scan.scan_batch(pa.array(innocent), field))
+    assert false <= len(innocent) // 50
+
+
+def test_sample_of_long_texts_is_bounded(spark):
+    secret = "password=0a1b2c3d4e5f6a7b8c"
+    rows = [(k, "word and run " * 500 + secret + " at the end of it" * 300) for k in range(5)] + [(9, "x " * 4000), (10, "short"), (11, None), (12, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    texts = secret_scan.sample_texts(docs, 60, excerpt=400)
+    assert max(map(len, texts)) == 400 and sum(secret in t for t in texts) >= 2 and "short" in texts
+    field = secret_scan.fit(texts)
+    assert field is not None
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan(docs, field).collect()}  # whole texts are scanned
+    assert all(any(s["kind"] == "assign" and s["start"] == 6500 for s in got[k]) for k in range(5))
+
+
 def test_scan_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     rows = odd_rows + [(500 + k, t) for k, t in enumerate(secret_texts(3, 40))]
     docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id bigint, text string, spans string").repartition(3)
