@@ -1,15 +1,22 @@
 """Benchmark decontamination: seeds, then Smith-Waterman alignment.
 
-Seeds are all ``SEED``-word windows of a test item (the whole item if it is
-shorter), whatever their count in the corpus. Each seed that a document holds
-asks for an alignment of the item with the passage around it, in words. Words
+Seeds are the rare ``SEED``-word windows of a test item (the whole item if it is
+shorter). A first pass counts the items' windows in all documents. Of any two
+neighbouring windows of an item that both occur, the one that occurs more than
+``RARE`` times as often as the other is left out, unless its other neighbour
+asks for it: no stretch of ``SEED + 1`` words is left without a seed, and copies
+of the item raise both counts alike, so they do not take its seeds away. A
+window whose neighbours occur nowhere stays, however frequent. Each seed that a
+document holds asks for an alignment of the item with the passage around it, in
+words. Words
 are counted first: an alignment of ``k`` equal words needs ``k`` of the item's
 words in the passage, so a passage with too few of them for the least score is
 not aligned. A document is contaminated if an alignment scores at least half of
 what a whole copy does (2 for an equal word, -1 for a changed, left out or added
 one), which about one changed word in three does not prevent, and at least as
-much as eight equal words or the whole item. A copy without ``SEED`` words in a
-row as they were is not met.
+much as eight equal words or the whole item. A copy with ``SEED + 1`` words in a
+row as they were is always met; one with ``SEED`` in a row is, unless a window
+next to them is far rarer elsewhere; one without is not.
 
 Test items go round in blocks of a bounded number of words, each as a
 broadcast; documents are read where they lie and not shuffled.
@@ -34,6 +41,7 @@ from spendgrid.llm.common import Scratch, hash_grams, hash_words, read_table, te
 from spendgrid.llm.near_duplicates import _slices
 
 SEED = 3
+RARE = 8
 SHARE = 0.5
 LEAST_WORDS = 8
 BLOCK_WORDS = 500_000
@@ -73,6 +81,31 @@ class Items:
         self.key = of[order][begin] * max(1, len(self.known)) + code[order][begin]
         self.many = np.diff(np.append(begin, len(order)))
 
+    def windows(self) -> np.ndarray:
+        """The distinct windows of ``SEED`` words, in order."""
+        return np.unique(self.seeds[SEED][0]) if SEED in self.seeds else np.zeros(0, np.uint64)
+
+    def keep_rare(self, counts: np.ndarray) -> None:
+        """Leaves the rare ones as seeds; ``counts`` are those of ``windows()``."""
+        if SEED not in self.seeds:
+            return
+        grams, item, place = self.seeds[SEED]
+        many = counts[np.searchsorted(self.windows(), grams)].astype(np.float64)
+        order = np.lexsort((place, item))
+        x = np.where(many > 0, many, np.inf)[order]
+        near = item[order][1:] == item[order][:-1]
+        least = RARE * np.minimum(x[1:], x[:-1])
+        left, right = np.append(near, False), np.append(False, near)  # is the first, the second of two
+        rare = ~left & ~right
+        rare[:-1] |= near & (x[:-1] <= least)
+        rare[1:] |= near & (x[1:] <= least)
+        own = np.empty(len(order), dtype=bool)
+        own[order] = rare & np.isfinite(x)
+        if own.any():
+            self.seeds[SEED] = (grams[own], item[own], place[own])
+        else:
+            del self.seeds[SEED]
+
     def least(self, item: np.ndarray) -> np.ndarray:
         """The score that an alignment with the item has to reach."""
         size = np.diff(self.first)[item]
@@ -143,6 +176,35 @@ def align(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
     return best, end
 
 
+def _counter(windows):
+    """How often each window occurs in the texts of a task."""
+    def run(batches):
+        known = windows.value
+        counts = np.zeros(len(known), dtype=np.int64)
+        for batch in _slices(batches, rows=4096):
+            hashes, first = hash_words(batch.column(1))
+            found = _windows(hashes, first, SEED)[0]
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            counts += np.bincount(at[known[at] == found], minlength=len(known))
+        held = np.flatnonzero(counts)
+        for begin in range(0, len(held), 1 << 16):
+            part = held[begin:begin + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(counts[part])], names=["window", "many"])
+    return run
+
+
+def _corpus_counts(texts: DataFrame, windows: np.ndarray) -> np.ndarray:
+    """The count of each window over all texts; no more rows than windows come back."""
+    counts = np.zeros(len(windows), dtype=np.int64)
+    if len(windows):
+        sent = texts.sparkSession.sparkContext.broadcast(windows)
+        rows = texts.mapInArrow(_counter(sent), "window bigint, many bigint").groupBy("window").agg(F.sum("many").alias("many")).collect()
+        for r in rows:
+            counts[r["window"]] = r["many"]
+        sent.unpersist()
+    return counts
+
+
 def _searcher(items):
     def run(batches):
         block: Items = items.value
@@ -193,7 +255,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORD
     for block in range(n_blocks):
         rows = sorted(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect(),
                       key=lambda r: (r["item_id"] is not None, r["item_id"], r["text"]))
-        sent = spark.sparkContext.broadcast(Items([r["text"] for r in rows]))
+        seeds = Items([r["text"] for r in rows])
+        seeds.keep_rare(_corpus_counts(texts, seeds.windows()))
+        sent = spark.sparkContext.broadcast(seeds)
         ids = spark.createDataFrame([(k, r["item_id"]) for k, r in enumerate(rows)], f"k bigint, item_id {items.schema['item_id'].dataType.simpleString()}")
         part = scratch.write(texts.mapInArrow(
             _searcher(sent), f"doc_id {kind}, text_hash bigint, k bigint, score double, end_word bigint"), "matches").join(ids, "k").drop("k")

@@ -169,6 +169,50 @@ def test_edited_copies_of_items(spark):
         assert r["score"] == local_score(item, text[r["doc_id"]].split()) / 60
 
 
+def test_rare_seeds():
+    items = decontaminate.Items(["a b c d e f g", "x y z", "one", "p q r s"])
+    known = items.windows()
+    assert len(known) == 5 + 1 + 2
+
+    def places(of):
+        """Seeds of each item for the counts of its windows, by place."""
+        items = decontaminate.Items(["a b c d e f g", "x y z", "one", "p q r s"])
+        grams, item, place = items.seeds[3]
+        counts = np.zeros(len(known), dtype=np.int64)
+        for g, i, p in zip(grams, item, place):
+            counts[np.searchsorted(known, g)] = of[i][p]
+        items.keep_rare(counts)
+        return {(int(i), int(p)) for _, i, p in zip(*items.seeds.get(3, ([], [], [])))}, items
+
+    # the middle window is common and both neighbours occur; one alone stays whatever it is
+    assert places({0: [1, 2, 900, 2, 1], 1: [10**6], 3: [5, 5]})[0] == {(0, 0), (0, 1), (0, 3), (0, 4), (1, 0), (3, 0), (3, 1)}
+    # neighbours that occur nowhere ask for nothing; copies raise all counts alike
+    assert places({0: [0, 0, 900, 0, 0], 1: [0], 3: [5000, 4000]})[0] == {(0, 2), (3, 0), (3, 1)}
+    rng = random.Random(9)
+    for _ in range(200):
+        of = {0: [rng.choice([0, 1, 3, 50, 4000]) for _ in range(5)], 1: [0], 3: [0, 0]}
+        kept, _ = places(of)
+        for p in range(4):  # no stretch of four words that occurs is without a seed
+            assert not (of[0][p] and of[0][p + 1]) or {(0, p), (0, p + 1)} & kept
+    none, items = places({0: [0] * 5, 1: [0], 3: [0, 0]})
+    assert not none and list(items.seeds) == [1]
+
+
+def test_common_windows_do_not_hide_copies(spark):
+    """Half of all documents hold a phrase of every item; copies are found by the rest."""
+    phrase = "as it was said before"
+    items = [(k, f"{' '.join(words(7000 + k, 12, 10**6))} {phrase} {' '.join(words(7100 + k, 12, 10**6))}") for k in range(10)]
+    rows = [(k, " ".join(words(k, 60, 10**6)) + " " + phrase + " " + " ".join(words(300 + k, 60, 10**6))) for k in range(300)]
+    for k, text in items:
+        item = text.split()
+        for at in range(2, 29, 5):
+            item[at] = f"other{at}"
+        rows += [(1000 + k, "before " + text + " after"), (2000 + k, "before " + " ".join(item) + " after")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(n + k, k) for k in range(10) for n in (1000, 2000)}
+
+
 # --- secrets -----------------------------------------------------------------------
 
 def test_base_spans():
