@@ -259,7 +259,7 @@ def test_field_on_held_out_texts(spark):
 
 
 def other_secrets(seed):
-    """(text around it, value) of kinds that no base pattern and no weak label has."""
+    """(text around it, value) of kinds that no base pattern has, most of them unlike the weak labels too."""
     rng = random.Random(seed)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     draw = lambda n, of=letters: "".join(rng.choices(of, k=n))
@@ -270,7 +270,7 @@ def other_secrets(seed):
 
 
 def test_field_finds_secrets_outside_the_patterns():
-    """Fitted where the corpus has one kind alone; the added kinds are new to it."""
+    """Fitted where the corpus has one kind alone."""
     field = secret_scan.fit(secret_texts(1, 300))
     clean = [t for t in secret_texts(4, 400) if not secret_scan.base_spans(t)]
     hit = asked = 0
