@@ -18,7 +18,7 @@ from spendgrid.functions.dates import month_start
 from spendgrid.functions.money import to_units
 from spendgrid.operators import ENTITY_KEYS, REGION
 from spendgrid.operators.joins import dimension_join, unique_keys
-from spendgrid.operators.snapshot import SNAPSHOT, densify, sparse_running
+from spendgrid.operators.snapshot import SNAPSHOT, SPAN_FROM, densify, expand, snapshot_columns, sparse_running, spans
 
 # Channels with a transaction-share ratio.
 RATIO_CHANNELS = {"fss": "FSS", "mobile": "MOBILE", "web": "WEB", "tablet": "TABLET"}

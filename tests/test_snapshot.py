@@ -3,10 +3,12 @@ import datetime as dt
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from spendgrid import oracle as O
 from spendgrid.operators import CATEGORIES, category_prefix
-from spendgrid.operators.snapshot import densify, month_grid, snapshot
+from spendgrid.operators.snapshot import (densify, expand, month_grid, running_columns, snapshot,
+                                           snapshot_columns, spans)
 
 D = dt.date
 
@@ -184,3 +186,31 @@ def test_snapshot_plan_has_one_exchange(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert "Join" not in plan, plan
+
+
+def test_grid_rows_are_neither_sorted_nor_windowed(spark):
+    rows = [("a", 1, 1, dt.date(2020, 1, 1), 5.0, 1, 1)]
+    facts = spark.createDataFrame(rows, "elc_master_id string, consumer_id long, brand_id long, sale_month date, sales_amount double, txn_cnt long, item_cnt long")
+    for p in ("makeup", "skincare", "fragrance", "haircare", "other"):
+        facts = facts.withColumn(f"{p}_amount", F.lit(2.0))
+    plan = snapshot(facts, calendar_start="2020-01-01", calendar_end="2021-01-01")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Generate")]
+    assert "Sort" not in above and "Window" not in above and "Exchange" not in above
+
+
+def test_frames_wider_than_a_number_has_bits(spark):
+    schema = "elc_master_id string, consumer_id long, brand_id long, sale_month date, sales_amount double, txn_cnt long, item_cnt long"
+    months = [dt.date(2010, 1, 1), dt.date(2013, 6, 1), dt.date(2016, 2, 1)]
+    facts = spark.createDataFrame([("a", 1, 1, m, 5.0, 1, 1) for m in months], schema)
+    for p in ("makeup", "skincare", "fragrance", "haircare", "other"):
+        facts = facts.withColumn(f"{p}_amount", F.lit(2.0))
+    carry = running_columns(trailing_months=(3, 70), avg_months=65)
+    grid = expand(spans(facts, calendar_start="2010-01-01", calendar_end="2017-01-01", carry=carry))
+    got = grid.select(*snapshot_columns(trailing_months=(3, 70), avg_months=65)).collect()
+    assert len(got) == 85
+    for r in got:
+        back = [(r.snapshot_dt.year - m.year) * 12 + r.snapshot_dt.month - m.month for m in months]
+        for n in (3, 70):
+            assert r[f"makeup_cnt_{n}m"] == sum(0 <= b < n for b in back)
+        assert r.makeup_avg_65m == (2.0 if any(0 <= b < 65 for b in back) else None)
+        assert r.target_makeup == int(any(-3 <= b < 0 for b in back))
