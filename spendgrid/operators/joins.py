@@ -74,72 +74,6 @@ def dimension_join(facts: DataFrame, dim: DataFrame, key: str, *, hot: Sequence
     return j.select(*facts.columns, *added)
 
 
-def unique_keys(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """``df`` as the right side of a join that must not multiply rows: a key
-    that occurs twice fails the job while it runs, before any output is made
-    visible. Rows are grouped by the join's own keys, so the join reads the
-    grouped rows where they are. Rows with a null key cannot match and go."""
-    rest = [c for c in df.columns if c not in keys]
-    present = df.where(" and ".join(f"`{k}` is not null" for k in keys))
-    row = F.first(F.struct(*rest)) if rest else F.lit(None)
-    grouped = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), row.alias("_row"))
-    repeated = F.raise_error(F.concat(F.lit(f"{name}: repeated key "), F.concat_ws("|", *[F.col(k).cast("string") for k in keys])))
-    once = grouped.where(F.when(F.col("_times") > 1, repeated.cast("boolean")).otherwise(F.lit(True)))
-    return once.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
-
-
-def _line_lookups(details: DataFrame, mapping: DataFrame, brands: DataFrame,
-                  sku_len: int) -> DataFrame:
-    """Lines joined to the brand lookup and the sku mapping (both inner, so
-    both also filter). The small dimensions go first so the big join with
-    the headers sees only surviving lines; Spark broadcasts a dimension only
-    when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``
-    and falls back to a shuffle join otherwise."""
-    lines = details.withColumn(
-        SKU_KEY, F.substring("product_sku", 1, sku_len))
-    lines = lines.join(unique_keys(brands.select("brand_id"), ["brand_id"], "brand lookup"), "brand_id", "inner")
-    return lines.join(mapping, SKU_KEY, "inner")
-
-
-def hot_keys(facts: DataFrame, key: str, *, share: float = 0.01) -> list:
-    """Keys that hold at least ``share`` of the rows, most frequent first: at
-    most ``2 / share`` candidates of a fixed-size frequency sketch (one
-    aggregate pass), those above the bound kept. Nulls are no key."""
-    if share <= 0:
-        return []
-    k = int(2 / share)
-    rows = facts.where(F.col(key).isNotNull()).agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k({key}, {k}, {max(10_000, 10 * k)})").alias("top")).first()
-    return [r["item"] for r in rows["top"] or [] if r["count"] >= share * rows["n"]]
-
-
-def dimension_join(facts: DataFrame, dim: DataFrame, key: str, *, hot: Sequence | None = (), salt: int = 64) -> DataFrame:
-    """Left join of a dimension with unique ``key`` that neither null nor hot
-    keys gather in one task.
-
-    Rows without a key cannot match: they stay out of the join and are added
-    with nulls. Rows of a ``hot`` key are dealt to ``salt`` copies of its
-    dimension row; all other rows have one copy. ``hot=None`` finds the keys by
-    :func:`hot_keys`, one pass over ``facts``, which should then be a written
-    table. Without hot keys, no row is salted, and Spark's splitting of skewed
-    partitions remains. Where Spark measures the dimension as small it
-    broadcasts it, and the salt does no harm.
-    """
-    hot = hot_keys(facts, key) if hot is None else list(hot)
-    added = [c for c in dim.columns if c != key]
-    columns = facts.columns + added
-    bare = facts.where(F.col(key).isNull()).select("*", *[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in added])
-    keyed = facts.where(F.col(key).isNotNull())
-    if not hot:
-        return keyed.join(dim, key, "left").select(*columns).unionByName(bare.select(*columns))
-    is_hot = F.col(key).isin(hot)
-    # a row's salt follows from its own values, so a task that runs again deals alike
-    row_salt = F.when(is_hot, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salt)).cast("int")).otherwise(0)
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salt - 1))).otherwise(F.array(F.lit(0)))
-    j = keyed.withColumn("_salt", row_salt).join(dim.withColumn("_salt", F.explode(copies)), [key, "_salt"], "left")
-    return j.select(*columns).unionByName(bare.select(*columns))
-
-
 def sales_details(details: DataFrame, headers: DataFrame, mapping: DataFrame,
                   brands: DataFrame, *, sku_len: int = 6,
                   category_col: str = "major_category_name",

@@ -117,3 +117,11 @@ def test_repeated_right_keys_fail_the_job(spark):
     with pytest.raises(Exception, match="repeated key"):
         store.overwrite_partitions(attr.with_exists_flag(keys, ca.unionByName(ca), columns=["country_cd"]), path, ["snapshot_dt"])
     assert not os.path.exists(path) or not [f for _, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+
+
+def test_dimension_join_reads_its_facts_once(spark):
+    facts = store.written_once(spark.range(100).select("id", (F.col("id") % 5).alias("store")), "facts_once")
+    dim = spark.range(3).select(F.col("id").alias("store"), F.lit("s").alias("label"))
+    for hot in ((), [2]):
+        plan = dimension_join(facts, dim, "store", hot=hot)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parquet") == 1
