@@ -441,16 +441,15 @@ def q_exists_flag(spark, base):
 
 def _master(src):
     t = prep.prepare_tables(src, P)
-    return attr.master_table(t.snapshot, src.consumer_variables,
-                             src.consumer_attributes, t.ratios, t.stores)
+    return attr.master_table_from_spans(t.snapshot_spans, t.ratio_spans, t.store_spans,
+                                        src.consumer_variables, src.consumer_attributes,
+                                        categories=P.categories, region=P.region)
 
 
 @register("master_table_onepass", O.with_everything(O.master_select()))
 def q_master_table_onepass(spark, base):
-    """The master table in one grid expansion (shared purchase-month anchors)
-    instead of three grids joined; same rows. Measured at sf0.1 it does more
-    executor work than the co-partitioned joins (wider rows through the
-    dense window), so ``master_table`` uses the joins."""
+    """The master table from purchase-month rows joined before any window;
+    ``master_table`` joins the spans of the three tables. Same rows."""
     return prep.master_of(_src(spark, base), P)
 
 

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from spendgrid.functions.dates import month_start
 from spendgrid.functions.money import to_units
-from spendgrid.operators import ENTITY_KEYS, REGION
+from spendgrid.operators import CATEGORIES, ENTITY_KEYS, REGION
 from spendgrid.operators.joins import dimension_join, unique_keys
-from spendgrid.operators.snapshot import SNAPSHOT, SPAN_FROM, densify, expand, snapshot_columns, sparse_running, spans
+from spendgrid.operators.snapshot import (SNAPSHOT, SPAN_FROM, expand, running_columns,
+                                           snapshot_columns, sparse_running, spans)
 
 # Channels with a transaction-share ratio.
 RATIO_CHANNELS = {"fss": "FSS", "mobile": "MOBILE", "web": "WEB", "tablet": "TABLET"}
@@ -78,6 +79,17 @@ def ratio_carry(keys: Sequence[str] = ENTITY_KEYS) -> dict:
     return carry
 
 
+def ratio_spans(sales: DataFrame, *, calendar_start, calendar_end,
+                keys: Sequence[str] = ENTITY_KEYS,
+                sales_before: str | None = None,
+                partition_by: Sequence[str] | None = None) -> DataFrame:
+    """The sparse form of :func:`ratio_attributes`: one row per key and month
+    with sales (:func:`~spendgrid.operators.snapshot.spans`)."""
+    return spans(ratio_monthly(sales, keys=keys, sales_before=sales_before),
+                 calendar_start=calendar_start, calendar_end=calendar_end,
+                 keys=keys, partition_by=partition_by, carry=ratio_carry(keys))
+
+
 def ratio_attributes(sales: DataFrame, *, calendar_start, calendar_end,
                      keys: Sequence[str] = ENTITY_KEYS,
                      sales_before: str | None = None,
@@ -92,11 +104,9 @@ def ratio_attributes(sales: DataFrame, *, calendar_start, calendar_end,
     The running ratios change only in months with transactions: evaluated on
     those rows and carried over the gaps, no window over the dense grid.
     """
-    carry = ratio_carry(keys)
-    dense = densify(ratio_monthly(sales, keys=keys, sales_before=sales_before),
-                    calendar_start=calendar_start, calendar_end=calendar_end,
-                    keys=keys, partition_by=partition_by, carry=carry)
-    return dense.select(F.col("dt").alias(SNAPSHOT), *keys, *carry)
+    sparse = ratio_spans(sales, calendar_start=calendar_start, calendar_end=calendar_end,
+                         keys=keys, sales_before=sales_before, partition_by=partition_by)
+    return expand(sparse).select(F.col("dt").alias(SNAPSHOT), *keys, *RATIO_COLUMNS)
 
 
 STORE_COLUMNS = ("store_channel", "store_market_cd", "store_name",
@@ -155,6 +165,21 @@ def store_carry(keys: Sequence[str] = ENTITY_KEYS) -> dict:
     return {"_store_now": F.last("_store", ignorenulls=True).over(sparse_running(keys))}
 
 
+def store_spans(sales: DataFrame, stores: DataFrame, *, calendar_start,
+                calendar_end, keys: Sequence[str] = ENTITY_KEYS,
+                sales_before: str | None = None,
+                store_col: str = "store_id",
+                partition_by: Sequence[str] | None = None) -> DataFrame:
+    """The sparse form of :func:`store_attributes`: one row per key and month
+    with sales, the store in ``_store_now``."""
+    anchors = store_leaders(sales, stores, keys=keys, sales_before=sales_before,
+                            store_col=store_col, partition_by=partition_by)
+    return spans(anchors, calendar_start=calendar_start,
+                 calendar_end=calendar_end, keys=keys, columns=["_store"],
+                 carry=store_carry(keys), carry_history=True,
+                 partition_by=partition_by or keys)
+
+
 def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
                      calendar_end, keys: Sequence[str] = ENTITY_KEYS,
                      sales_before: str | None = None,
@@ -165,15 +190,11 @@ def store_attributes(sales: DataFrame, stores: DataFrame, *, calendar_start,
     store's descriptors. Leaders come from :func:`store_leaders` and are
     carried over the months without sales by the grid expansion -- no window
     over the dense grid."""
-    anchors = store_leaders(sales, stores, keys=keys, sales_before=sales_before,
-                            store_col=store_col, partition_by=partition_by)
-    dense = densify(anchors, calendar_start=calendar_start,
-                    calendar_end=calendar_end, keys=keys, columns=["_store"],
-                    carry=store_carry(keys), carry_history=True,
-                    partition_by=partition_by or keys)
-    return dense.select(F.col("dt").alias(SNAPSHOT), *keys,
-                        "_store_now.most_freq_store_id",
-                        *[f"_store_now.{c}" for c in STORE_COLUMNS])
+    sparse = store_spans(sales, stores, calendar_start=calendar_start, calendar_end=calendar_end,
+                         keys=keys, sales_before=sales_before, store_col=store_col, partition_by=partition_by)
+    return expand(sparse).select(F.col("dt").alias(SNAPSHOT), *keys,
+                                 "_store_now.most_freq_store_id",
+                                 *[f"_store_now.{c}" for c in STORE_COLUMNS])
 
 
 # The output columns taken from the consumer tables, in order.
@@ -229,12 +250,13 @@ def with_exists_flag(df: DataFrame, ca: DataFrame, region: str = REGION,
     return j.drop("_ca_id", "_ca_consumer")
 
 
-def _with_people(df: DataFrame, cv: DataFrame, ca: DataFrame, *, region: str,
-                 base_cols: Sequence[str]) -> DataFrame:
+def _join_people(df: DataFrame, cv: DataFrame, ca: DataFrame, region: str) -> DataFrame:
+    return with_exists_flag(with_consumer_variables(df, cv, region), ca, region, columns=CA_COLUMNS)
+
+
+def _master_columns(base_cols: Sequence[str]) -> list:
     """Consumer variables, age, CDP attributes (indicator and store columns
-    as int), then the ratio and store columns already on ``df``."""
-    df = with_consumer_variables(df, cv, region)
-    df = with_exists_flag(df, ca, region, columns=CA_COLUMNS)
+    as int), then the ratio and store columns."""
     out = [F.col(c) for c in base_cols]
     out += [F.col(c) for c in CV_COLUMNS]
     out.append((F.year(SNAPSHOT) - F.col("birth_year")).alias("age"))
@@ -242,8 +264,28 @@ def _with_people(df: DataFrame, cv: DataFrame, ca: DataFrame, *, region: str,
     out += [F.expr(f"try_cast({c} as int)").alias(c) if c in CA_INTS else F.col(c)
             for c in CA_COLUMNS]
     out += [F.col(c) for c in RATIO_COLUMNS]
-    out += [F.col("most_freq_store_id"), *[F.col(c) for c in STORE_COLUMNS]]
-    return df.select(*out)
+    return out + [F.col("most_freq_store_id"), *[F.col(c) for c in STORE_COLUMNS]]
+
+
+def _with_people(df: DataFrame, cv: DataFrame, ca: DataFrame, *, region: str,
+                 base_cols: Sequence[str]) -> DataFrame:
+    """The master columns of ``df``, which has the ratio and store columns."""
+    return _join_people(df, cv, ca, region).select(*_master_columns(base_cols))
+
+
+def _expand_master(sparse: DataFrame, cv: DataFrame, ca: DataFrame, *, keys: Sequence[str],
+                   categories: Sequence[str], region: str) -> DataFrame:
+    """Master rows of spans that carry the snapshot's running values, the
+    ratios and ``_store_now``. What holds for a key is joined to its spans, so
+    the grid's rows are the output's and are made last."""
+    # text to number once for each span, not for each month of it
+    people = _join_people(sparse, cv, ca, region)
+    people = people.select(*[F.expr(f"try_cast({c} as int)").alias(c) if c in CA_INTS else F.col(c) for c in people.columns])
+    snap_cols = snapshot_columns(keys=keys, last_categories=categories)
+    rest = [*CV_COLUMNS, "birth_year", "exists_in_cdp", *CA_COLUMNS, *RATIO_COLUMNS, "_store_now.most_freq_store_id",
+            *[F.col(f"_store_now.{c}").alias(c) for c in STORE_COLUMNS]]
+    rows = expand(people).select(*snap_cols, *rest)
+    return rows.select(*_master_columns(rows.columns[:len(snap_cols)]))
 
 
 def master_table(snapshot: DataFrame, cv: DataFrame, ca: DataFrame,
@@ -253,8 +295,8 @@ def master_table(snapshot: DataFrame, cv: DataFrame, ca: DataFrame,
     """Snapshot with consumer variables, age, CDP attributes (indicator and
     store columns as int), behaviour ratios and store attributes -- all left
     joins, so every snapshot row stays. (For tables built from the same sale
-    lines, :func:`master_table_from_parts` gives the same rows with one grid
-    expansion instead of two grid joins.)"""
+    lines, :func:`master_table_from_spans` gives the same rows without joins of
+    grids.)"""
     jk = [*keys, SNAPSHOT]
     # 1:1 joins of frames as large as the snapshot: never broadcast (AQE
     # could pick a broadcast from the compressed shuffle size); grids built
@@ -296,25 +338,26 @@ def master_table_from_parts(monthly: DataFrame, ratio_rows: DataFrame,
     values, the running ratios and the store leader together. This replaces
     two 1:1 joins of calendar-sized grids by joins of purchase-month rows.
     """
-    from spendgrid.operators import CATEGORIES
-    from spendgrid.operators.snapshot import running_columns, snapshot_columns
-
-    cats = tuple(categories or CATEGORIES)
     jk = [*keys, "sale_month"]
     sparse = (monthly.join(ratio_rows, jk, "left")
               .join(leader_rows, jk, "left"))
     carry = {**running_columns(keys=keys), **ratio_carry(keys), **store_carry(keys)}
     fact_cols = [c for c in sparse.columns if c not in set(jk) | {"etl_date"}]
-    dense = densify(sparse, calendar_start=calendar_start, calendar_end=calendar_end,
-                    keys=keys, columns=fact_cols, carry=carry,
-                    carry_history=["_store"], partition_by=partition_by)
-    snap_cols = snapshot_columns(keys=keys, last_categories=cats)
-    snap = dense.select(
-        *snap_cols,
-        F.months_between("dt", "first_purchase_dt").alias("months_since_first_purchase"),
-        F.months_between("dt", "last_purchase_dt").alias("months_since_last_purchase"),
-        *RATIO_COLUMNS, "_store_now.most_freq_store_id",
-        *[F.col(f"_store_now.{c}").alias(c) for c in STORE_COLUMNS])
-    return _with_people(snap, cv, ca, region=region,
-                        base_cols=[c for c in snap.columns
-                                   if c not in set(RATIO_COLUMNS) | {"most_freq_store_id", *STORE_COLUMNS}])
+    sparse = spans(sparse, calendar_start=calendar_start, calendar_end=calendar_end,
+                   keys=keys, columns=fact_cols, carry=carry,
+                   carry_history=["_store"], partition_by=partition_by)
+    return _expand_master(sparse, cv, ca, keys=keys, categories=tuple(categories or CATEGORIES), region=region)
+
+
+def master_table_from_spans(snapshot_spans: DataFrame, ratios: DataFrame, stores: DataFrame,
+                            cv: DataFrame, ca: DataFrame, *, keys: Sequence[str] = ENTITY_KEYS,
+                            categories: Sequence[str] | None = None,
+                            region: str = REGION) -> DataFrame:
+    """The master table from the sparse forms of its tables: same rows and
+    columns as :func:`master_table` over the expanded ones, if all are of the
+    same sale lines (a key then has the same spans in each). The joins are of
+    rows per month with sales; the grid is made once, after them."""
+    jk = [*keys, SPAN_FROM]
+    sparse = (snapshot_spans.join(ratios.select(*jk, *RATIO_COLUMNS).hint("merge"), jk, "left")
+              .join(stores.select(*jk, "_store_now").hint("merge"), jk, "left"))
+    return _expand_master(sparse, cv, ca, keys=keys, categories=tuple(categories or CATEGORIES), region=region)

@@ -205,7 +205,7 @@ def _trailing_flags(name: str, n: int) -> Column:
     """Flagged months among a grid month and the ``n - 1`` before it. The months
     since the purchase have no flag, so as many fewer bits are counted."""
     if n > BITS:
-        return _trailing_sum(name, n)
+        return _trailing_sum(f"{name}_wide", n)
     return F.bit_count(F.col(_recent(name)).bitwiseAND(_low_bits(F.greatest(F.lit(n) - F.col(AGE), F.lit(0)))))
 
 
@@ -229,8 +229,11 @@ def running_columns(*, keys: Sequence[str] = ENTITY_KEYS,
     run, order, index = sparse_running(keys), _sparse(keys), F.col(SPAN_INDEX)
     widest = max(*trailing_months, avg_months, active_months)
 
-    def flags(flag: Column, months: int) -> Column:
-        return _recent_flags(keys, flag, months) if months <= BITS else _recent_sums(keys, F.when(flag, 1), months)
+    def flags(name: str, flag: Column, months: int) -> dict[str, Column]:
+        found = {_recent(name): _recent_flags(keys, flag, min(months, BITS))}
+        if months > BITS:
+            found[_recent(f"{name}_wide")] = _recent_sums(keys, F.when(flag, 1), months)
+        return found
 
     sales, item = F.col("sales_amount"), F.col("item_cnt")
     first = F.min(MONTH).over(run)
@@ -242,7 +245,7 @@ def running_columns(*, keys: Sequence[str] = ENTITY_KEYS,
         "txn_cnt_tot": F.sum("txn_cnt").over(run).cast("double"),
         "avg_item_cnt": F.try_divide(F.sum(_pos(item)).over(run).cast("double"),
                                      F.count(_pos(item)).over(run).cast("double")),
-        _recent("sales"): flags(sales > 0, active_months),
+        **flags("sales", sales > 0, active_months),
     }
     for cat in feature_categories:
         p = category_prefix(cat)
@@ -255,7 +258,7 @@ def running_columns(*, keys: Sequence[str] = ENTITY_KEYS,
             f"{p}_min": F.min(_pos(amt)).over(run),
             f"{p}_max": F.max(_pos(amt)).over(run),
             f"{p}_avg": F.when(pos_n > 0, mean_from_units(pos_units, pos_n)),
-            _recent(f"{p}_flags"): flags(amt > 0, widest),
+            **flags(f"{p}_flags", amt > 0, widest),
             _recent(f"{p}_units"): _recent_sums(keys, to_units(_pos(amt)), avg_months),
         })
     for k in range(1, horizon + 1):

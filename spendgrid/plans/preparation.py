@@ -16,7 +16,7 @@ from spendgrid.operators.filters import (brand_lookup, single_category_mapping,
                                          valid_details, valid_headers)
 from spendgrid.operators.joins import sales_details
 from spendgrid.operators.monthly import monthly_summary
-from spendgrid.operators.snapshot import snapshot
+from spendgrid.operators.snapshot import snapshot, snapshot_spans
 from spendgrid.sources import testdata
 
 
@@ -150,7 +150,7 @@ def materialize(df: DataFrame, name: str = "sales_lines") -> DataFrame:
 
 
 MASTER_HEADER_COLUMNS = ("loyalty_trans_flag",)
-# All grids of one run are hash-partitioned by the entity id alone, so the
+# All spans of one run are hash-partitioned by the entity id alone, so the
 # master table joins them without moving them again.
 GRID_PARTITION = ("elc_master_id",)
 
@@ -164,30 +164,30 @@ class PreparedTables:
     snapshot: DataFrame
     ratios: DataFrame
     stores: DataFrame
+    # their sparse forms, which the master table joins
+    snapshot_spans: DataFrame
+    ratio_spans: DataFrame
+    store_spans: DataFrame
 
 
 def prepare_tables(src: Sources, p: PrepParams, *, materialize_sales: bool = True
                    ) -> PreparedTables:
     """Sale lines (joined once, optionally checkpointed), then the monthly
     summary, snapshot, behaviour ratios and store attributes from them."""
-    from spendgrid.operators.attributes import ratio_attributes, store_attributes
+    from spendgrid.operators import attributes as attr
     sales = sales_of(src, p, header_columns=MASTER_HEADER_COLUMNS)
     if materialize_sales:
         sales = materialize(sales)
     monthly = monthly_summary(sales, categories=p.categories,
                               sales_before=p.sales_before, etl_ts=p.etl_ts)
-    snap = snapshot(monthly, calendar_start=p.calendar_start,
-                    calendar_end=p.calendar_end, last_categories=p.categories,
-                    partition_by=GRID_PARTITION)
-    ratios = ratio_attributes(sales, calendar_start=p.calendar_start,
-                              calendar_end=p.calendar_end,
-                              sales_before=p.sales_before,
-                              partition_by=GRID_PARTITION)
-    stores = store_attributes(sales, src.stores, calendar_start=p.calendar_start,
-                              calendar_end=p.calendar_end,
-                              sales_before=p.sales_before,
-                              partition_by=GRID_PARTITION)
-    return PreparedTables(sales, monthly, snap, ratios, stores)
+    grid = {"calendar_start": p.calendar_start, "calendar_end": p.calendar_end,
+            "partition_by": GRID_PARTITION}
+    lines = {**grid, "sales_before": p.sales_before}
+    return PreparedTables(
+        sales, monthly, snapshot(monthly, last_categories=p.categories, **grid),
+        attr.ratio_attributes(sales, **lines), attr.store_attributes(sales, src.stores, **lines),
+        snapshot_spans(monthly, **grid), attr.ratio_spans(sales, **lines),
+        attr.store_spans(sales, src.stores, **lines))
 
 
 def master_of(src: Sources, p: PrepParams, *, materialize_sales: bool = True) -> DataFrame:
