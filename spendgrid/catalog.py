@@ -493,8 +493,8 @@ def q_snapshot_slice(spark, base):
     snapshot table of two months (the equality filter prunes to one)."""
     src = _src(spark, base)
     path = store.run_scratch(spark, "sales_snapshot")
-    for month in ("2000-05-01", SLICE_DT):
-        store.overwrite_partitions(prep.snapshot_month_of(src, P, month), path, ["snapshot_dt"])
+    for rows in prep.snapshot_months_of(src, P, ("2000-05-01", SLICE_DT)):
+        store.overwrite_partitions(rows, path, ["snapshot_dt"])
     t = spark.read.parquet(path)
     return t.where(F.col("snapshot_dt") == F.lit(SLICE_DT).cast("date"))
 

@@ -232,6 +232,17 @@ def snapshot_month_of(src: Sources, p: PrepParams, month) -> DataFrame:
     return snapshot_month(monthly, month, calendar_start=p.calendar_start, calendar_end=p.calendar_end, last_categories=p.categories)
 
 
+def snapshot_months_of(src: Sources, p: PrepParams, months) -> list[DataFrame]:
+    """:func:`snapshot_month_of` for several months: the lines are joined and
+    summarised once, up to the targets of the last month, and the monthly facts
+    written; each month is one aggregate over them."""
+    from spendgrid.functions.dates import first_of_month
+    from spendgrid.operators.state import snapshot_month
+    last = max(first_of_month(m) for m in months)
+    monthly = materialize(monthly_summary(month_sales_of(src, p, last, header_columns=()), categories=p.categories, sales_before=p.sales_before), "monthly")
+    return [snapshot_month(monthly, m, calendar_start=p.calendar_start, calendar_end=p.calendar_end, last_categories=p.categories) for m in months]
+
+
 def master_month_of(src: Sources, p: PrepParams, month) -> DataFrame:
     """One month of the master table: the sale lines are joined and written
     once; snapshot, ratios and leading stores are one grouped aggregate each,

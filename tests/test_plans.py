@@ -48,3 +48,14 @@ def test_train_and_score(spark):
                                 snapshot_dt="2020-01-01", categorical=["income"],
                                 numeric=res.numeric, indicators=["email_opt_in_ind"])
     assert empty is None and scoring.store_and_export(empty, table_path=path) is None
+
+
+def test_months_of_one_run_equal_single_months(spark):
+    from spendgrid.plans import preparation as prep
+
+    src = prep.test_sources(spark, "/root/testdata/sf0.001")
+    months = ("2000-05-01", "2000-06-01")
+    for month, rows in zip(months, prep.snapshot_months_of(src, prep.TEST_PARAMS, months)):
+        assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()  # the lines are not joined again
+        want = prep.snapshot_month_of(src, prep.TEST_PARAMS, month)
+        assert rows.count() == want.count() > 0 and rows.exceptAll(want).isEmpty()
