@@ -46,7 +46,7 @@ MAGIC = b"WVMX0001"
 BLOCK_BYTES = 1 << 13
 BLOCK_BITS = 8 * BLOCK_BYTES
 SHARD_TOKENS = 1 << 20
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 3 << 20  # encoded at once; the encoder holds arrays of 8 bytes for each byte
 END_ID = 2
 
 
