@@ -748,7 +748,7 @@ def _month_scores(spark, base):
     slice (early stop on its test split) and score the whole month."""
     month = prep.materialize(prep.master_month_of(_src(spark, base), P, SLICE_DT), "master_month")
     ids = ["snapshot_dt", *_IDS]
-    m = prep.materialize(mx.model_matrix(month, TARGET, keep_ids=ids), "model_input")
+    m = mx.model_matrix(month, TARGET, keep_ids=ids)  # a projection of the written month
     # only rows known to CDP train; all rows are scored
     known = mx.model_matrix(month.where(F.col("exists_in_cdp") == "Y"), TARGET, keep_ids=ids)
     split = smp.stratified_split(smp.last_digit_sample(known, "consumer_id", ("1",)),

@@ -18,6 +18,7 @@ from spendgrid.functions.dates import month_start
 from spendgrid.functions.money import to_units
 from spendgrid.operators import CATEGORIES, ENTITY_KEYS, REGION
 from spendgrid.operators.joins import dimension_join, unique_keys
+from spendgrid.operators.monthly import with_month
 from spendgrid.operators.snapshot import (SNAPSHOT, SPAN_FROM, expand, running_columns,
                                            snapshot_columns, sparse_running, spans)
 
@@ -43,8 +44,7 @@ def _txn_month_flags(sales: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum(to_units(F.col("usd_discount_amount"))).alias("_disc"),
         F.sum(F.when(q4, amt).otherwise(0)).alias("_q4"),
     ]
-    return (sales.withColumn("sale_month", month_start(F.col("sale_dt")))
-            .groupBy(*keys, "sale_month", "txn_id").agg(*aggs))
+    return with_month(sales).groupBy(*keys, "sale_month", "txn_id").agg(*aggs)
 
 
 def ratio_monthly(sales: DataFrame, *, keys: Sequence[str] = ENTITY_KEYS,
@@ -314,9 +314,10 @@ def master_rows(snapshot: DataFrame, ratios: DataFrame, leaders: DataFrame, stor
     """Master rows of a single month from frames with one row per key:
     snapshot rows, ratios and ``most_freq_store_id``; left joins throughout."""
     dim = unique_keys(stores.select(F.col("store_id").alias("most_freq_store_id"), *STORE_COLUMNS), ["most_freq_store_id"], "store dimension")
+    # stores meet the leaders, so the wide rows are not dealt by store
+    described = dimension_join(leaders.select(*keys, "most_freq_store_id"), dim, "most_freq_store_id")
     df = snapshot.join(ratios.select(*keys, *RATIO_COLUMNS), list(keys), "left")
-    df = df.join(leaders.select(*keys, "most_freq_store_id"), list(keys), "left")
-    df = dimension_join(df, dim, "most_freq_store_id")
+    df = df.join(described, list(keys), "left")
     return _with_people(df, cv, ca, region=region, base_cols=snapshot.columns)
 
 

@@ -122,6 +122,12 @@ def cut_trees(model: PipelineModel, n: int) -> PipelineModel:
     return PipelineModel(stages=[*model.stages[:-1], GBTClassificationModel(cut)])
 
 
+def _dealt(rows: DataFrame, ids: Sequence[str], name: str) -> DataFrame:
+    """``rows`` written in as many parts as the cluster runs tasks: every pass of
+    the fit uses all of it, however few files the rows came from."""
+    return written_once(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *ids), name)
+
+
 def fit(train: DataFrame, categorical, numeric, params: TreeParams = TreeParams(),
         label: str = "label", validation_col: str | None = None, id_cols: Sequence[str] | None = None,
         patience: int = PATIENCE) -> TreeModel:
@@ -138,13 +144,14 @@ def fit(train: DataFrame, categorical, numeric, params: TreeParams = TreeParams(
     rows = train.where(~F.col(validation_col)) if validation_col else train
     large = large_categories(rows, categorical)
     few = [c for c in categorical if c not in large]
-    encoder = OrderedTargetEncoder(large, label, list(id_cols or [c for c in train.columns if c not in (label, validation_col)])) if large else None
-    coded = written_once(encoder.fit_transform(rows), "coded") if encoder else rows
+    ids = list(id_cols or [c for c in train.columns if c not in (label, validation_col)])
+    encoder = OrderedTargetEncoder(large, label, ids) if large else None
+    coded = _dealt(encoder.fit_transform(rows) if encoder else rows, ids, "coded")
     columns = [f"{c}__mean" for c in large]
     if not validation_col:
         return TreeModel(build_pipeline(few, [*numeric, *columns], params, label).fit(coded), encoder, [])
     valid = train.where(F.col(validation_col))
-    valid = written_once(encoder.transform(valid) if encoder else valid, "evaluation")
+    valid = _dealt(encoder.transform(valid) if encoder else valid, ids, "evaluation")
     n = min(params.num_trees, 2 * patience)
     while True:
         model = build_pipeline(few, [*numeric, *columns], replace(params, num_trees=n), label).fit(coded)

@@ -15,6 +15,12 @@ from spendgrid.operators import CATEGORIES, ENTITY_KEYS, category_prefix
 MONTH = "sale_month"
 
 
+def with_month(sales: DataFrame, date_col: str = "sale_dt") -> DataFrame:
+    """``sales`` with their month; rows that have it keep it, so rows dealt by
+    their keys and month are grouped where they are."""
+    return sales if MONTH in sales.columns else sales.withColumn(MONTH, month_start(F.col(date_col)))
+
+
 def monthly_summary(sales: DataFrame, *,
                     keys: Sequence[str] = ENTITY_KEYS,
                     categories: Sequence[str] = CATEGORIES,
@@ -48,8 +54,7 @@ def monthly_summary(sales: DataFrame, *,
         aggs.append(from_units(F.sum(
             F.when(F.col(category_col) == cat, units).otherwise(F.lit(0))
         )).alias(f"{category_prefix(cat)}_amount"))
-    out = (rows.withColumn(MONTH, month_start(F.col(date_col)))
-           .groupBy(MONTH, *keys).agg(*aggs))
+    out = with_month(rows, date_col).groupBy(MONTH, *keys).agg(*aggs)
     if etl_ts is not None:
         out = out.withColumn("etl_date", F.lit(etl_ts).cast("timestamp"))
         out = out.select(MONTH, "etl_date",

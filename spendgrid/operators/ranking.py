@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from spendgrid.sources.store import written_once
 
 RANGE = "_range"
-ROWS_PER_RANGE = 1_000_000
+ROWS_PER_RANGE = 50_000  # rows may be wide
 
 
 def range_count(rows: int, rows_per_range: int = ROWS_PER_RANGE,
@@ -104,7 +104,7 @@ def ordered_running(df: DataFrame, *, order: str, sums: Sequence[str] = (),
 
     Exact; ties in (order, tiebreak) are ranked in an arbitrary order, so
     pass a tiebreak that makes the order total when ranks matter.
-    ``ranges`` defaults to one per ~1M rows (one count of the input), so a
+    ``ranges`` defaults to one per ``ROWS_PER_RANGE`` rows (one count of the input), so a
     range stays a task-sized piece however large the input grows and however
     many rows share a value.
     """

@@ -32,11 +32,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spendgrid.functions.dates import add_months, first_of_month, month_start
+from spendgrid.functions.dates import add_months, first_of_month
 from spendgrid.functions.money import from_units, mean_from_units, to_units
 from spendgrid.operators import CATEGORIES, ENTITY_KEYS, FEATURE_CATEGORIES, TARGET_CATEGORIES, category_prefix
 from spendgrid.operators.attributes import RATIO_CHANNELS, STORE_COLUMNS
-from spendgrid.operators.monthly import MONTH
+from spendgrid.operators.monthly import MONTH, with_month
 from spendgrid.operators.snapshot import SNAPSHOT, TRAILING_MONTHS
 
 RING = 12
@@ -74,34 +74,39 @@ def month_state(monthly: DataFrame, month, *, keys: Sequence[str] = ENTITY_KEYS,
     last = add_months(month, horizon)
     if calendar_end is not None:
         last = min(last, first_of_month(calendar_end))
-    rows = monthly.where(F.col(MONTH) <= F.lit(max(last, month)))
-    back = _back(month)
-    known = back >= 0
-    counts = known if calendar_start is None else known & (F.col(MONTH) >= F.lit(first_of_month(calendar_start)))
+    rows = monthly.where(F.col(MONTH) <= F.lit(max(last, month))).withColumn("_back", _back(month))
+    # what many aggregates read is worked out once for a row, not in each of them
+    known = F.col("_back") >= 0
+    rows = rows.withColumn("_counts", known if calendar_start is None else known & (F.col(MONTH) >= F.lit(first_of_month(calendar_start))))
+    back, counts = F.col("_back"), F.col("_counts")
+    prefixes = [category_prefix(c) for c in feature_categories]
+    rows = rows.withColumns({
+        "_bit": _bit(back), "_recent": counts & (back < BITS),
+        **{f"_{p}_units": F.when(counts, to_units(F.col(f"{p}_amount"))) for p in prefixes},
+        **{f"_{p}_pos": F.when(counts & (F.col(f"{p}_amount") > 0), F.col(f"{p}_amount")) for p in prefixes}})
     now = counts & (back == 0)
     when = lambda value: F.when(counts, value)
-    recent = F.when(known & (back < BITS), _bit(back))
+    remembered = F.when(known & (back < BITS), F.col("_bit"))
+    zero = F.lit(0).cast("long")
 
     def bits(amount: Column) -> Column:
-        return F.coalesce(F.bit_or(F.when(counts & (back < BITS) & (amount > 0), _bit(back))), F.lit(0).cast("long"))
+        return F.coalesce(F.bit_or(F.when(F.col("_recent") & (amount > 0), F.col("_bit"))), zero)
 
     sales, item = F.col("sales_amount"), F.col("item_cnt")
     aggs = [
-        F.count_if(known).alias("_known"), F.sum(recent).alias("_months"), F.bit_or(recent).alias("_distinct"),
+        F.count_if(known).alias("_known"), F.sum(remembered).alias("_months"), F.bit_or(remembered).alias("_distinct"),
         F.min(when(F.col(MONTH))).alias("first_purchase_dt"), F.max(when(F.col(MONTH))).alias("last_purchase_dt"),
         F.sum(when(to_units(sales))).alias("sales_units"), F.sum(when(F.col("txn_cnt"))).alias("txn_tot"),
         F.sum(F.when(counts & (item > 0), item)).alias("item_pos"), F.count_if(counts & (item > 0)).alias("item_pos_n"),
         bits(sales).alias("sales_bits"),
     ]
-    for category in feature_categories:
-        p = category_prefix(category)
-        amount = F.col(f"{p}_amount")
-        positive = counts & (amount > 0)
+    for p in prefixes:
+        positive, units = F.col(f"_{p}_pos"), F.col(f"_{p}_units")
+        here = positive.isNotNull()
         aggs += [
-            F.sum(when(to_units(amount))).alias(f"{p}_units"), F.count_if(positive).alias(f"{p}_n"),
-            F.min(F.when(positive, amount)).alias(f"{p}_min"), F.max(F.when(positive, amount)).alias(f"{p}_max"),
-            F.coalesce(F.sum(F.when(positive, to_units(amount))), F.lit(0)).cast("long").alias(f"{p}_pos_units"), bits(amount).alias(f"{p}_bits"),
-            F.array(*[F.coalesce(F.sum(F.when(positive & (back == k), to_units(amount))), F.lit(0).cast("long")) for k in range(RING)]).alias(f"{p}_ring"),
+            F.sum(units).alias(f"{p}_units"), F.count(positive).alias(f"{p}_n"), F.min(positive).alias(f"{p}_min"), F.max(positive).alias(f"{p}_max"),
+            F.coalesce(F.sum(F.when(here, units)), F.lit(0)).cast("long").alias(f"{p}_pos_units"), bits(positive).alias(f"{p}_bits"),
+            F.array(*[F.coalesce(F.sum(F.when(here & (back == k), units)), zero) for k in range(RING)]).alias(f"{p}_ring"),
         ]
     values = [f"{category_prefix(c)}_amount" for c in last_categories] + ["item_cnt", "txn_cnt", "sales_amount"]
     aggs += [F.max(F.when(now, F.col(v))).alias(f"now_{v}") for v in values]
@@ -266,7 +271,7 @@ def ratio_rows_of(state: DataFrame, keys: Sequence[str] = ENTITY_KEYS) -> DataFr
 def monthly_visits(sales: DataFrame, *, keys: Sequence[str] = ENTITY_KEYS, sales_before=None, store_col: str = "store_id") -> DataFrame:
     """Transactions per key, store and month (``n``); a null store for lines without one."""
     rows = sales if sales_before is None else sales.where(F.col("sale_dt") < F.lit(sales_before).cast("date"))
-    return rows.groupBy(*keys, store_col, month_start(F.col("sale_dt")).alias(MONTH)).agg(F.countDistinct("txn_id").alias("n"))
+    return with_month(rows).groupBy(*keys, store_col, MONTH).agg(F.countDistinct("txn_id").alias("n"))
 
 
 def visit_state(visits: DataFrame, month, *, keys: Sequence[str] = ENTITY_KEYS, store_col: str = "store_id", state: DataFrame | None = None) -> DataFrame:

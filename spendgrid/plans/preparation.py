@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgrid.operators import (CATEGORIES, DEFAULT_START_DATE,
-                                 EXCLUDED_BRAND_CODES, REGION)
+                                 ENTITY_KEYS, EXCLUDED_BRAND_CODES, REGION)
 from spendgrid.operators.filters import (brand_lookup, single_category_mapping,
                                          valid_details, valid_headers)
 from spendgrid.operators.joins import sales_details
-from spendgrid.operators.monthly import monthly_summary
+from spendgrid.operators.monthly import MONTH, monthly_summary, with_month
 from spendgrid.operators.snapshot import snapshot, snapshot_spans
 from spendgrid.sources import testdata
 
@@ -150,6 +150,9 @@ def materialize(df: DataFrame, name: str = "sales_lines") -> DataFrame:
 
 
 MASTER_HEADER_COLUMNS = ("loyalty_trans_flag",)
+# What the monthly facts, ratios and visits read of a sale line.
+FACT_COLUMNS = (*ENTITY_KEYS, "sale_dt", "txn_id", "channel_cd", "major_category", "sales_amount", "src_txn_cd_desc",
+                "usd_discount_amount", "store_id", "loyalty_trans_flag")
 # All spans of one run are hash-partitioned by the entity id alone, so the
 # master table joins them without moving them again.
 GRID_PARTITION = ("elc_master_id",)
@@ -213,6 +216,14 @@ def master_of(src: Sources, p: PrepParams, *, materialize_sales: bool = True) ->
         region=p.region, partition_by=GRID_PARTITION)
 
 
+def fact_lines(sales: DataFrame, name: str) -> DataFrame:
+    """Sale lines as the facts read them, with their month, written once and
+    dealt by key and month: the three groupings of a month's facts move no rows,
+    and a key with many lines is dealt by its months."""
+    from spendgrid.sources.store import dealt_once
+    return dealt_once(with_month(sales.select(*FACT_COLUMNS)), name, (*ENTITY_KEYS, MONTH))
+
+
 # --- one month ---------------------------------------------------------------
 
 def month_sales_of(src: Sources, p: PrepParams, month, *, horizon: int = 3, header_columns=MASTER_HEADER_COLUMNS) -> DataFrame:
@@ -246,15 +257,17 @@ def snapshot_months_of(src: Sources, p: PrepParams, months) -> list[DataFrame]:
 def master_month_of(src: Sources, p: PrepParams, month) -> DataFrame:
     """One month of the master table: the sale lines are joined and written
     once; snapshot, ratios and leading stores are one grouped aggregate each,
-    with one row per key, and meet on the keys."""
+    with one row per key, and meet on the keys. Facts move by the entity id, in
+    which the aggregates and their joins, people included, find them."""
     from spendgrid.functions.dates import add_months, first_of_month
     from spendgrid.operators import state as st
     from spendgrid.operators.attributes import master_rows, ratio_monthly
 
-    sales = materialize(month_sales_of(src, p, month), "month_sales")
+    sales = fact_lines(month_sales_of(src, p, month), "month_sales")
     upto = sales.where(F.col("sale_dt") < F.lit(add_months(first_of_month(month), 1)))
-    monthly = monthly_summary(sales, categories=p.categories, sales_before=p.sales_before)
+    by_entity = lambda facts: facts.repartition(*GRID_PARTITION)
+    monthly = by_entity(monthly_summary(sales, categories=p.categories, sales_before=p.sales_before))
     snap = st.snapshot_month(monthly, month, calendar_start=p.calendar_start, calendar_end=p.calendar_end, last_categories=p.categories)
-    ratios = st.ratio_rows_of(st.ratio_state(ratio_monthly(upto, sales_before=p.sales_before), month, calendar_start=p.calendar_start))
-    leaders = st.leading_stores(st.visit_state(st.monthly_visits(upto, sales_before=p.sales_before), month))
+    ratios = st.ratio_rows_of(st.ratio_state(by_entity(ratio_monthly(upto, sales_before=p.sales_before)), month, calendar_start=p.calendar_start))
+    leaders = st.leading_stores(st.visit_state(by_entity(st.monthly_visits(upto, sales_before=p.sales_before)), month))
     return master_rows(snap, ratios, leaders, src.stores, src.consumer_variables, src.consumer_attributes, region=p.region)

@@ -41,6 +41,18 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt_once(df: DataFrame, name: str, by: Sequence[str], parts: int | None = None) -> DataFrame:
+    """:func:`written_once` with the rows dealt by ``by`` to ``parts`` bucket files
+    (the session's shuffle partitions, if not given): the rows move once, and
+    groups and joins on these columns, or on more, read them where they are."""
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = run_scratch(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(parts, *by).write.format("parquet").bucketBy(parts, *by).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def create_partitioned_table(spark: SparkSession, name: str, schema: StructType,
                              partition_cols: Sequence[str],
                              path: str | None = None) -> None:
@@ -166,6 +178,11 @@ def table_location(spark: SparkSession, name: str) -> str:
     return next(r["data_type"] for r in rows if r["col_name"] == "Location")
 
 
+def bucket_count(spark: SparkSession, name: str) -> int:
+    rows = spark.sql(f"DESCRIBE FORMATTED {_quoted(name)}").collect()
+    return int(next(r["data_type"] for r in rows if r["col_name"] == "Num Buckets"))
+
+
 def drop_unused(spark: SparkSession, name: str, path: str) -> int:
     """Remove the versions below ``path`` that ``name`` does not point to; how many."""
     used = table_location(spark, name).rstrip("/").rsplit("/", 1)[-1]

@@ -59,3 +59,38 @@ def test_months_of_one_run_equal_single_months(spark):
         assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()  # the lines are not joined again
         want = prep.snapshot_month_of(src, prep.TEST_PARAMS, month)
         assert rows.count() == want.count() > 0 and rows.exceptAll(want).isEmpty()
+
+
+def test_fact_lines_are_grouped_where_they_are(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from spendgrid.operators import state as st
+    from spendgrid.operators.attributes import ratio_monthly
+    from spendgrid.operators.monthly import monthly_summary
+    from spendgrid.plans import preparation as prep
+
+    # one key has a third of all lines
+    sales = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("E"), F.col("id") % 50)).alias("elc_master_id"),
+        F.lit(1).cast("long").alias("consumer_id"), (F.col("id") % 4).alias("brand_id"),
+        F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 900).cast("int")).alias("sale_dt"), (F.col("id") % 700).alias("txn_id"),
+        F.lit("FSS").alias("channel_cd"), F.lit("Makeup").alias("major_category"), (F.col("id") * 0.25).alias("sales_amount"),
+        F.lit("SALE").alias("src_txn_cd_desc"), F.lit(0.5).alias("usd_discount_amount"), (F.col("id") % 7).alias("store_id"),
+        F.lit("Y").alias("loyalty_trans_flag"), F.lit("x").alias("product_desc"))
+    lines = prep.fact_lines(sales, "test_lines")
+    assert "product_desc" not in lines.columns
+    for facts in (monthly_summary, ratio_monthly, st.monthly_visits):
+        assert "Exchange" not in facts(lines)._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, facts(lines).collect())) == sorted(map(repr, facts(sales).select(*facts(lines).columns).collect()))
+    assert lines.where("elc_master_id = 'hot'").select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_ranks_and_fits_use_many_tasks(spark):
+    from spendgrid.operators import model as ml
+    from spendgrid.operators.ranking import range_count
+
+    assert range_count(270_000) >= 5  # wide training rows of a month at 1 GB
+    rows = ml._dealt(spark.range(100).coalesce(1), ["id"], "dealt")
+    assert rows.count() == 100 and len(rows.inputFiles()) == spark.sparkContext.defaultParallelism
