@@ -28,7 +28,7 @@ from spendgrid.operators.joins import dimension_join, token_details
 from spendgrid.operators.monthly import MONTH, monthly_summary
 from spendgrid.operators.snapshot import SNAPSHOT, TRAILING_MONTHS
 from spendgrid.operators.tokens import baskets, product_tokens
-from spendgrid.plans.preparation import MASTER_HEADER_COLUMNS, PrepParams, Sources, brands_of, details_of, headers_of, materialize, sales_of
+from spendgrid.plans.preparation import MASTER_HEADER_COLUMNS, PrepParams, Sources, brands_of, details_of, fact_lines, headers_of, materialize, sales_of
 from spendgrid.sources import store
 from spendgrid.session import scratch_path
 
@@ -61,14 +61,26 @@ STORE_SCHEMA = StructType([
 DECLARED = {"sales_monthly_summary": MONTHLY_SCHEMA, "sales_snapshot": SNAPSHOT_SCHEMA,
             "custom_calculated_attributes": RATIO_SCHEMA, "store_calculated_attributes": STORE_SCHEMA}
 STATE = "state_dt"
+MIN_BUCKETS = 8
+LINES_PER_BUCKET = 6_000_000
+
+
+def buckets_for(lines: int, cores: int) -> int:
+    """Buckets of a run's tables: one task reads and writes one, so there are as
+    many as the cluster has cores, or a multiple, once ``lines`` fill a quarter
+    of them; a small run keeps few files."""
+    full = -(-lines // LINES_PER_BUCKET)
+    if 4 * full < cores:
+        return max(MIN_BUCKETS, full)
+    return max(MIN_BUCKETS, cores * -(-full // cores))
 
 
 class StoredRun:
     """A database of one region's tables below ``path`` (a shared folder)."""
 
-    def __init__(self, spark: SparkSession, src: Sources, params: PrepParams, *, database: str, path: str, buckets: int = 8,
+    def __init__(self, spark: SparkSession, src: Sources, params: PrepParams, *, database: str, path: str, buckets: int | None = None,
                  etl_ts: _dt.datetime | None = None):
-        self.spark, self.src, self.p, self.database, self.path, self.buckets = spark, src, params, database, path, buckets
+        self.spark, self.src, self.p, self.database, self.path, self._buckets = spark, src, params, database, path, buckets
         self.etl_ts = etl_ts or _dt.datetime(1970, 1, 1)
 
     @classmethod
@@ -83,6 +95,14 @@ class StoredRun:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    @property
+    def buckets(self) -> int:
+        """Buckets of every table: given, or those of the stored tables, or by
+        the lines of the first :meth:`load`."""
+        if self._buckets is None and store.table_exists(self.spark, self.name("sales_monthly_summary")):
+            self._buckets = store.bucket_count(self.spark, self.name("sales_monthly_summary"))
+        return self._buckets or MIN_BUCKETS
+
     def _create(self, table: str, schema: StructType, by: str) -> None:
         store.create_bucketed_table(self.spark, self.name(table), schema, partition_cols=[by], bucket_cols=ENTITY_KEYS,
                                     buckets=self.buckets, path=f"{self.path}/{table}")
@@ -103,14 +123,16 @@ class StoredRun:
     def load(self, first=None, last=None) -> None:
         """Monthly facts of the sale lines from month ``first`` to ``last`` (all,
         if not given): the summary, the ratios' counts and the store visits. The
-        lines are joined and written once."""
-        self.create_tables()
+        lines are joined and written once, dealt as the facts group them."""
         sales = sales_of(self.src, self.p, header_columns=MASTER_HEADER_COLUMNS)
         if first is not None:
             sales = sales.where(F.col("sale_dt") >= F.lit(first_of_month(first)))
         if last is not None:
             sales = sales.where(F.col("sale_dt") < F.lit(add_months(first_of_month(last), 1)))
-        sales = materialize(sales, "run_sales")
+        sales = fact_lines(sales, "run_sales")
+        if self._buckets is None and not store.table_exists(self.spark, self.name("sales_monthly_summary")):
+            self._buckets = buckets_for(sales.count(), self.spark.sparkContext.defaultParallelism)
+        self.create_tables()
         before = self.p.sales_before
         self._replace(monthly_summary(sales, categories=self.p.categories, sales_before=before, etl_ts=self.etl_ts), "sales_monthly_summary", MONTH)
         self._replace(ratio_monthly(sales, sales_before=before), "ratio_facts", MONTH)

@@ -125,3 +125,13 @@ def test_dimension_join_reads_its_facts_once(spark):
     for hot in ((), [2]):
         plan = dimension_join(facts, dim, "store", hot=hot)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("parquet") == 1
+
+
+def test_buckets_follow_lines_and_cores(spark):
+    assert [stored.buckets_for(n, 12) for n in (0, 2_000_000, 22_000_000, 130_000_000)] == [8, 8, 12, 24]
+    assert stored.buckets_for(700_000_000, 12) == 120 and stored.buckets_for(1, 2) == 8
+    run = stored.StoredRun.scratch(spark, None, prep.TEST_PARAMS, buckets=6)
+    run.create_tables()
+    # a run that goes on with stored tables keeps their buckets
+    again = stored.StoredRun(spark, None, prep.TEST_PARAMS, database=run.database, path=run.path)
+    assert again.buckets == 6
